@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkwright.session import checkpoint_root
+
 
 def _n_partitions(df: DataFrame, n: int | None) -> int:
     if n:
@@ -20,22 +22,28 @@ def _n_partitions(df: DataFrame, n: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def running_total(df: DataFrame, order_cols: list[str], weight: str | None = None,
+def running_total(df: DataFrame, order_cols: list, weight: str | None = None,
                   part_cols: list[str] | tuple = (), out: str = "_run",
                   num_partitions: int | None = None) -> DataFrame:
     """Add ``out`` = inclusive running sum of ``weight`` (1 per row when None)
     within ``part_cols`` in ``order_cols`` order.  ``order_cols`` (with
-    ``part_cols``) must identify rows uniquely for a deterministic result."""
+    ``part_cols``) must identify rows uniquely for a deterministic result.
+
+    The range bounds come from a sample taken when the exchange runs; a second
+    read of the same lineage could sample other bounds.  So the numbered rows
+    are written once with a reliable ``checkpoint`` (to the shared checkpoint
+    folder) and both the per-partition totals and the result read that copy."""
     part_cols = list(part_cols)
     n = _n_partitions(df, num_partitions)
+    checkpoint_root(df.sparkSession)
     w = F.col(weight) if weight else F.lit(1).cast("long")
     rp = (df.repartitionByRange(n, *part_cols, *order_cols)
           .withColumn("_pid", F.spark_partition_id())
           .withColumn("_w", w))
     local_w = (Window.partitionBy("_pid", *part_cols).orderBy(*order_cols)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = rp.withColumn("_local", F.sum("_w").over(local_w))
-    totals = rp.groupBy("_pid", *part_cols).agg(F.sum("_w").alias("_ptot"))
+    local = rp.withColumn("_local", F.sum("_w").over(local_w)).checkpoint(eager=True)
+    totals = local.groupBy("_pid", *part_cols).agg(F.sum("_w").alias("_ptot"))
     off_w = (Window.partitionBy(*part_cols).orderBy("_pid")
              .rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.withColumn("_off", F.coalesce(F.sum("_ptot").over(off_w), F.lit(0)))

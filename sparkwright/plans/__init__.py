@@ -1,6 +1,10 @@
 """Registered queries: one per operator of the inventory (see README)."""
 
 from sparkwright.plans import (  # noqa: F401  (import registers the queries)
+    q_clean,
+    q_eval,
+    q_features,
+    q_profile,
     q_relational,
 )
 from sparkwright.plans.registry import ORACLES, QUERIES
