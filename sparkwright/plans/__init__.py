@@ -6,6 +6,8 @@ from sparkwright.plans import (  # noqa: F401  (import registers the queries)
     q_features,
     q_profile,
     q_relational,
+    q_sources,
+    q_text,
 )
 from sparkwright.plans.registry import ORACLES, QUERIES
 
