@@ -4,6 +4,7 @@ from sparkwright.plans import (  # noqa: F401  (import registers the queries)
     q_clean,
     q_eval,
     q_features,
+    q_ml,
     q_profile,
     q_relational,
     q_sources,
