@@ -105,7 +105,8 @@ def _drop_corr_sql():
         else:
             hits = " OR ".join(f"coalesce(abs(corr({a}, {b})) >= {_CORR_T}, false)" for a in _CORR_ORDER[:j])
             cond = f"CASE WHEN {hits} THEN 1 ELSE 0 END"
-        parts.append(f"SELECT '{b}' AS feature, {j} AS position, {cond} AS dropped FROM feat")
+        src = " FROM feat" if j else ""
+        parts.append(f"SELECT '{b}' AS feature, {j} AS position, {cond} AS dropped{src}")
     return with_ctes(FEAT_SQL, "\nUNION ALL\n".join(parts))
 
 
