@@ -29,35 +29,41 @@ LEXICON = {
 }
 
 
-def _lexicon_map(lexicon: dict) -> tuple[Column, Column]:
-    pol = F.create_map(*[x for k, (p, _) in lexicon.items() for x in (F.lit(k), F.lit(float(p)))])
-    sub = F.create_map(*[x for k, (_, s) in lexicon.items() for x in (F.lit(k), F.lit(float(s)))])
-    return pol, sub
+def _lexicon_map(lexicon: dict) -> Column:
+    """word -> array(polarity, subjectivity), a foldable literal map."""
+    return F.create_map(*[x for k, (p, s) in lexicon.items()
+                          for x in (F.lit(k), F.array(F.lit(float(p)), F.lit(float(s))))])
 
 
-def _mean_of_hits(tokens: Column, m: Column) -> Column:
-    vals = F.filter(F.transform(tokens, lambda t: m[t]), lambda v: v.isNotNull())
-    total = F.aggregate(vals, F.lit(0.0), lambda acc, v: acc + v)
-    return F.when(F.size(vals) > 0, total / F.size(vals)).otherwise(F.lit(0.0))
+def _hits(text, lexicon: dict) -> Column:
+    """Score pairs of the lexicon tokens of one text (one split, one lookup)."""
+    t = F.col(text) if isinstance(text, str) else text
+    m = _lexicon_map(lexicon)
+    return F.filter(F.transform(F.split(F.lower(t), TOKEN_SPLIT), lambda w: m[w]), lambda v: v.isNotNull())
+
+
+def _mean_slot(hits: Column, i: int) -> Column:
+    total = F.aggregate(hits, F.lit(0.0), lambda acc, v: acc + v[i])
+    return F.when(F.size(hits) > 0, total / F.size(hits)).otherwise(F.lit(0.0))
 
 
 def polarity(text, lexicon: dict = LEXICON) -> Column:
     """T-2: mean polarity of lexicon tokens, in [-1, 1]."""
-    t = F.col(text) if isinstance(text, str) else text
-    pol, _ = _lexicon_map(lexicon)
-    return _mean_of_hits(F.split(F.lower(t), TOKEN_SPLIT), pol)
+    return _mean_slot(_hits(text, lexicon), 0)
 
 
 def subjectivity(text, lexicon: dict = LEXICON) -> Column:
     """T-3: mean subjectivity of lexicon tokens, in [0, 1]."""
-    t = F.col(text) if isinstance(text, str) else text
-    _, sub = _lexicon_map(lexicon)
-    return _mean_of_hits(F.split(F.lower(t), TOKEN_SPLIT), sub)
+    return _mean_slot(_hits(text, lexicon), 1)
 
 
 def classify_text(df: DataFrame, text: str = "word", lexicon: dict = LEXICON) -> DataFrame:
-    """T-4: append both scores (doubles, not strings) in one projection."""
-    return df.withColumns({"polarity": polarity(text, lexicon), "subjectivity": subjectivity(text, lexicon)})
+    """T-4: append both scores (doubles, not strings).  The matched pairs are
+    computed once per row and both means read them."""
+    cols = df.columns
+    h = df.withColumn("_hits", _hits(text, lexicon))
+    return h.select(*cols, _mean_slot(F.col("_hits"), 0).alias("polarity"),
+                    _mean_slot(F.col("_hits"), 1).alias("subjectivity"))
 
 
 def score_with_table(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:

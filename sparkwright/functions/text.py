@@ -21,7 +21,10 @@ def strip_markup(c, strict: bool = True) -> Column:
     ``strict`` keeps the reference's behaviour: 'RT' goes inside words too."""
     c = F.col(c) if isinstance(c, str) else c
     for p in (STRICT_PATTERNS if strict else WORD_PATTERNS):
-        c = F.regexp_replace(c, p, "")
+        if p.isalnum() or p in ("#", ":"):
+            c = F.replace(c, F.lit(p), F.lit(""))      # literal: no regex engine
+        else:
+            c = F.regexp_replace(c, p, "")
     return c
 
 

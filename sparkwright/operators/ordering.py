@@ -13,7 +13,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkwright.session import checkpoint_root
+from sparkwright.session import materialize
+
+
+def broadcast_if_small(df, max_rows: int = 1_000_000):
+    from sparkwright.operators.relational import broadcast_if_small as b
+    return b(df, max_rows)
 
 
 def _n_partitions(df: DataFrame, n: int | None) -> int:
@@ -35,14 +40,13 @@ def running_total(df: DataFrame, order_cols: list, weight: str | None = None,
     folder) and both the per-partition totals and the result read that copy."""
     part_cols = list(part_cols)
     n = _n_partitions(df, num_partitions)
-    checkpoint_root(df.sparkSession)
     w = F.col(weight) if weight else F.lit(1).cast("long")
     rp = (df.repartitionByRange(n, *part_cols, *order_cols)
           .withColumn("_pid", F.spark_partition_id())
           .withColumn("_w", w))
     local_w = (Window.partitionBy("_pid", *part_cols).orderBy(*order_cols)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = rp.withColumn("_local", F.sum("_w").over(local_w)).checkpoint(eager=True)
+    local = materialize(rp.withColumn("_local", F.sum("_w").over(local_w)))
     totals = local.groupBy("_pid", *part_cols).agg(F.sum("_w").alias("_ptot"))
     off_w = (Window.partitionBy(*part_cols).orderBy("_pid")
              .rowsBetween(Window.unboundedPreceding, -1))
@@ -85,24 +89,23 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], part_cols=(),
         vals, part_cols = vals.withColumn("_g", F.lit(0)), ["_g"]
     counts = vals.groupBy(*part_cols, value).agg(F.count(F.lit(1)).alias("_cnt"))
     cum = running_total(counts, [value], "_cnt", part_cols, "_cum", num_partitions)
-    # Positions (0-based) needed per group and prob: floor and ceil of p*(n-1).
-    n = counts.groupBy(*part_cols).agg(F.sum("_cnt").alias("_n"))
+    # Group sizes from the (materialised) running totals: the last one is n.
+    n = cum.groupBy(*part_cols).agg(F.max("_cum").alias("_n"))
     p = F.explode(F.array(*[F.lit(float(q)) for q in probs])).alias("prob")
     pos = n.select(*part_cols, "_n", p).withColumn("_h", (F.col("_n") - 1) * F.col("prob"))
     pos = (pos.withColumn("_lo", F.floor("_h")).withColumn("_hi", F.ceil("_h"))
            .withColumn("_frac", F.col("_h") - F.col("_lo")))
-    # A distinct value v covers 0-based positions [cum - cnt, cum - 1].
-    start = F.col("_cum") - F.col("_cnt")
-    cols = [*part_cols, value, start.alias("_start"), (F.col("_cum") - 1).alias("_end")]
-    span = cum.select(*cols)
-    # Range match on positions, bounded: each (group, prob) matches at most 2 values.
-    lo = (pos.join(span, part_cols, "inner")
-          .where((F.col("_lo") >= F.col("_start")) & (F.col("_lo") <= F.col("_end")))
-          .select(*part_cols, "prob", "_frac", F.col(value).alias("_vlo")))
-    hi = (pos.join(span, part_cols, "inner")
-          .where((F.col("_hi") >= F.col("_start")) & (F.col("_hi") <= F.col("_end")))
-          .select(*part_cols, "prob", F.col(value).alias("_vhi")))
-    q = lo.join(hi, [*part_cols, "prob"], "inner")
+    # A distinct value v covers 0-based positions [cum - cnt, cum - 1]; each
+    # (group, prob) needs the values at positions lo and hi.  One equi-join on
+    # the group (the positions table is #groups x #probs rows, size-checked
+    # before broadcast) and a range filter; no pair table is formed.
+    span = cum.select(*part_cols, value, (F.col("_cum") - F.col("_cnt")).alias("_start"),
+                      (F.col("_cum") - 1).alias("_end"))
+    in_lo = (F.col("_lo") >= F.col("_start")) & (F.col("_lo") <= F.col("_end"))
+    in_hi = (F.col("_hi") >= F.col("_start")) & (F.col("_hi") <= F.col("_end"))
+    hits = span.join(broadcast_if_small(pos), part_cols, "inner").where(in_lo | in_hi)
+    q = hits.groupBy(*part_cols, "prob", "_frac").agg(
+        F.max(F.when(in_lo, F.col(value))).alias("_vlo"), F.max(F.when(in_hi, F.col(value))).alias("_vhi"))
     keep = part_cols if grouped else []
     return q.select(*keep, "prob",
                     (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac"))

@@ -25,6 +25,7 @@ from sparkwright.operators.profile import cluster_profile
 from sparkwright.plans.q_features import ONE_HOT, feat_ohe
 from sparkwright.plans.q_profile import round_doubles
 from sparkwright.plans.registry import query, with_ctes
+from sparkwright.session import materialize
 from sparkwright.sources.tables import FEAT_BINARY, FEAT_NUMERIC, FEAT_SQL, feat, read_table
 
 SEED = 42
@@ -37,7 +38,13 @@ def prepared(spark, sf):
     the attribute ratios of the unscaled train side."""
     f = feat_ohe(spark, sf).withColumn("y", F.when(F.col("label2") == "attack", 1.0).otherwise(0.0))
     cols = ["id", "y", "planted", "label2", "label_group", *ALL_FEATURES]
-    f = f.select(*cols)
+    # Statistics, ratio selection and the iterative fits all read this table:
+    # materialise it once in the shared checkpoint folder (cuts the lineage
+    # of scans and joins; survives executor loss).
+    # Explicit partition count by key: iterative fits need parallel tasks, and
+    # an explicit count is not coalesced away by AQE.
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    f = materialize(f.select(*cols).repartition(n, "id"))
     train, test = S.random_split(f, "id", [0.8, 0.2], SEED)
     ratios = AR.attribute_ratio(train, FEAT_NUMERIC, FEAT_BINARY + ONE_HOT, "label_group")
     stats = H.fit_standardizer(train, FEAT_NUMERIC)
@@ -87,7 +94,6 @@ def _numeric_vectors(spark, sf):
 @query("ml_kmeans")
 def ml_kmeans(spark, sf):
     train, test = _numeric_vectors(spark, sf)
-    train = train.persist()
     _, scored = M.kmeans(train, train.unionByName(test), "num_features", k=8, seed=SEED, max_iter=20, init_steps=5)
     return scored.select("id", "label2", "cluster")
 

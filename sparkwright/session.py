@@ -11,7 +11,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -58,6 +59,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     return d
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and return the copy.
+    A reliable checkpoint otherwise computes its input twice (a count, then
+    the write), so the input is held in memory/disk just for that moment."""
+    checkpoint_root(df.sparkSession)
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return held.checkpoint(eager=True)
+    finally:
+        held.unpersist()
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path below the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
