@@ -74,3 +74,15 @@ def score_with_table(df: DataFrame, key: str, text: str, lexicon: DataFrame) ->
     agg = hits.groupBy(key).agg(F.avg("polarity").alias("polarity"), F.avg("subjectivity").alias("subjectivity"))
     return (df.join(agg, key, "left")
             .fillna(0.0, subset=["polarity", "subjectivity"]))
+
+
+def library_scorer(fn, return_type: str = "double"):
+    """X5 hook: wrap a per-text Python scoring function (e.g. a third-party
+    sentiment library) as an Arrow-batched Pandas UDF.  This is the slow path;
+    the lexicon expressions above stay in the JVM."""
+    import pandas as pd
+
+    @F.pandas_udf(return_type)
+    def _score(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else fn(t))
+    return _score

@@ -132,3 +132,15 @@ def class_report(df: DataFrame, label: str, pred: str, classes: list) -> DataFra
         F.struct(F.lit("weighted avg").alias("class"), F.col("wp").alias("precision"),
                  F.col("wr").alias("recall"), F.col("wf").alias("f1"), F.col("n").alias("support")))))
     return cls.drop("tp").unionByName(summary)
+
+
+def full_report(df: DataFrame, label: str, score: str, e: float | None = None,
+                classes=(0.0, 1.0), positive=1.0, negative=0.0) -> dict[str, DataFrame]:
+    """Everything the reference prints for one (table, score, threshold):
+    confusion matrix, binary metrics and the per-class report.  A label subset
+    is a filter on ``df`` before the call."""
+    pred = threshold(score, e) if e is not None else F.col(score)
+    p = df.withColumn("_pred", pred)
+    return {"confusion": confusion(p, label, "_pred", list(classes)),
+            "metrics": binary_report(p, label, "_pred", positive, negative),
+            "classes": class_report(p, label, "_pred", list(classes))}

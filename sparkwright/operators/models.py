@@ -129,7 +129,8 @@ def fit_cluster_forests(train: DataFrame, routing_rows: list, cluster_col: str,
     models = {}
     for r in routing_rows:
         if r["route"] == "model":
-            part = train.where(F.col(cluster_col) == r["cluster"])
+            part = (train.where(F.col(cluster_col) == r["cluster"])
+                    .drop("probability", "rawPrediction", "prediction"))
             models[r["cluster"]] = random_forest(features=features, label=label, **rf_args).fit(part)
     return models
 
@@ -146,7 +147,9 @@ def score_clusters(df: DataFrame, key: str, cluster_col: str, routing: DataFrame
                   .select(key, cluster_col, F.coalesce("score", F.lit(default)).alias("p")))
     parts = [const_part]
     for c, m in models.items():
-        sub = df.where(F.col(cluster_col) == c)
+        # Output columns of an earlier model (e.g. a mixture's probabilities)
+        # would clash with the forest's own.
+        sub = df.where(F.col(cluster_col) == c).drop("probability", "rawPrediction", "prediction")
         parts.append(m.transform(sub).select(key, cluster_col, p_positive().alias("p")))
     return union_all(parts)
 

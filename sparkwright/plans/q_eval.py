@@ -176,3 +176,12 @@ def eval_class_report(spark, sf):
     t = F.col("total")
     s = s.withColumn("pred", F.when(t > 300000, "A").when(t > 200000, "B").when(t > 100000, "C").otherwise("normal"))
     return round_doubles(E.class_report(s, "label_group", "pred", _GROUPS))
+
+
+@query("eval_subset_report", _sql(f"""
+c AS (SELECT {cells_sql(thr_sql('score1', 0.5))} FROM sc WHERE label_group = 'A' OR label_group = 'normal')""",
+                                  metrics_sql("c")))
+def eval_subset_report(spark, sf):
+    """E10 on a label subset: the detector's own group against normal."""
+    s = scored(spark, sf).where(F.col("label_group").isin("A", "normal"))
+    return round_doubles(E.full_report(s, "y", "score1", 0.5)["metrics"])

@@ -154,6 +154,21 @@ def ml_cluster_forest(spark, sf):
     return round_doubles(M.score_clusters(vall, "id", "cluster", routing, forests))
 
 
+@query("ml_gmm_cluster_forest")
+def ml_gmm_cluster_forest(spark, sf):
+    """The same routing and per-cluster forests on mixture clusters (hard
+    assignment of the 2-D PCA features)."""
+    train, test, _, _ = _vectors(spark, sf, 0.05)
+    allrows = train.unionByName(test)
+    pca_train = M.pca(train, train, "raw_features", 2)
+    model, tr = M.gmm(pca_train, pca_train, "pca_features", k=8, seed=SEED, max_iter=30)
+    tr = tr.withColumn("attack_label", F.when(F.col("planted") == 1.0, "attack").otherwise("normal"))
+    routing = M.route_clusters(cluster_profile(tr, "cluster", "attack_label"), "cluster_attack_label")
+    forests = M.fit_cluster_forests(tr, routing.collect(), "cluster", "raw_features", "planted", **RF_SMALL)
+    allp = model.transform(M.pca(train, allrows, "raw_features", 2))
+    return round_doubles(M.score_clusters(allp, "id", "cluster", routing, forests))
+
+
 @query("ml_random_forest")
 def ml_random_forest(spark, sf):
     """Forest on the planted label; report on the held-out rows."""

@@ -108,3 +108,11 @@ def test_votes(spark):
     assert r.m == pytest.approx(1.6 / 3) and r.w == pytest.approx(1.8 / 4)
     f = spark.createDataFrame([(0.0, 1.0), (0.0, 0.0)], "x double, y double")
     assert rows(f.select(V.any_flag(["x", "y"]).alias("o"))) == [(0.0,), (1.0,)]
+
+
+def test_full_report_bundle(spark):
+    df = spark.createDataFrame([(1.0, 0.9), (0.0, 0.6), (0.0, 0.1)], "y double, s double")
+    rep = E.full_report(df, "y", "s", 0.5)
+    assert rep["metrics"].first().fp == 1
+    assert len(rep["confusion"].collect()) == 4
+    assert {r["class"] for r in rep["classes"].collect()} >= {"0.0", "1.0", "accuracy"}

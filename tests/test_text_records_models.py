@@ -133,3 +133,9 @@ def test_cluster_scoring_scores_every_row_once(spark, planted):
     scored = M.score_clusters(v, "id", "c", routing, forests)
     assert scored.count() == 2000 and scored.select("id").distinct().count() == 2000
     assert scored.where(F.col("c") == 2).select(F.min("p"), F.max("p")).first() == (1.0, 1.0)
+
+
+def test_library_scorer_hook(spark):
+    score = SE.library_scorer(lambda t: float(len(t)))
+    df = spark.createDataFrame([("abc",), (None,)], "t string")
+    assert rows(df.select(score("t").alias("n"))) == [(3.0,), (None,)]
