@@ -11,6 +11,7 @@ A large lexicon kept in a table goes through ``score_with_table`` instead
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -80,8 +81,6 @@ def library_scorer(fn, return_type: str = "double"):
     """X5 hook: wrap a per-text Python scoring function (e.g. a third-party
     sentiment library) as an Arrow-batched Pandas UDF.  This is the slow path;
     the lexicon expressions above stay in the JVM."""
-    import pandas as pd
-
     @F.pandas_udf(return_type)
     def _score(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: None if t is None else fn(t))
