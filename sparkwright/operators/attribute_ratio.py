@@ -12,7 +12,7 @@ table of #classes rows is reshaped afterwards.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkwright.functions.exprs import safe_div
@@ -50,6 +50,14 @@ def rank_features(ratios: DataFrame) -> DataFrame:
     return ratios.orderBy(F.col("ratio").desc(), F.col("position").asc())
 
 
+def ranked(ratios: DataFrame, out: str = "rank") -> DataFrame:
+    """A15 as a column: 1-based rank by (ratio desc, position).  The table has
+    one row per feature - bounded by the schema, not the data - so a
+    single-partition window is the right tool here."""
+    w = Window.orderBy(F.col("ratio").desc(), F.col("position").asc())
+    return ratios.withColumn(out, F.row_number().over(w))
+
+
 def select_features(ratios: DataFrame, min_ratio: float) -> DataFrame:
     """Features with ratio >= threshold (as a table)."""
     return ratios.where(F.col("ratio") >= min_ratio)

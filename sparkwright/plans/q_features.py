@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from sparkwright.operators import attribute_ratio as AR
 from sparkwright.operators import features as H
 from sparkwright.operators import splits as S
-from sparkwright.operators.ordering import row_number_exact
 from sparkwright.operators.votes import class_weights
 from sparkwright.plans.q_profile import round_doubles
 from sparkwright.plans.q_relational import PRIORITY_GROUP
@@ -82,7 +81,7 @@ def _ratios(spark, sf):
 
 @query("agg_attr_ratio_rank", _AR_ALL)
 def agg_attr_ratio_rank(spark, sf):
-    return row_number_exact(_ratios(spark, sf), [F.col("ratio").desc(), F.col("position").asc()], out="rank")
+    return AR.ranked(_ratios(spark, sf))
 
 
 @query("agg_attr_ratio_select", with_ctes(
