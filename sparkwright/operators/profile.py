@@ -133,10 +133,26 @@ def means(df: DataFrame, columns: list[str]) -> DataFrame:
 # ------------------------------------------------------------- A18 / A19
 
 
-def corr_pearson(df: DataFrame, columns: list[str]) -> DataFrame:
+# Above this many columns the pairwise aggregate list (d*(d-1)/2 entries) is
+# replaced by one Correlation.corr pass over an assembled vector.
+WIDE_CORR_COLUMNS = 50
+
+
+def corr_pearson(df: DataFrame, columns: list[str], wide_threshold: int = WIDE_CORR_COLUMNS) -> DataFrame:
     """Pairwise Pearson, long (a, b, corr) for a before b in ``columns``;
-    zero variance -> null.  One aggregate pass for all pairs."""
+    zero variance -> null.  One aggregate pass for all pairs; for wide tables
+    one ``Correlation.corr`` pass (rows with a null are skipped there)."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
+    if len(columns) > wide_threshold:
+        from pyspark.ml.feature import VectorAssembler
+        from pyspark.ml.stat import Correlation
+        vec = VectorAssembler(inputCols=columns, outputCol="_v", handleInvalid="skip").transform(
+            df.select(*[F.col(c).cast("double").alias(c) for c in columns]))
+        m = Correlation.corr(vec, "_v", "pearson").first()[0].toArray()     # d x d, d bounded by the schema
+        idx = {c: i for i, c in enumerate(columns)}
+        vals = [(a, b, None if m[idx[a], idx[b]] != m[idx[a], idx[b]] else float(m[idx[a], idx[b]]))
+                for a, b in pairs]
+        return df.sparkSession.createDataFrame(vals, "a string, b string, corr double")
     aggs = [F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}|{b}") for a, b in pairs]
     one = df.agg(*aggs)
     rows = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),

@@ -100,3 +100,15 @@ def test_last_per_key_and_value_counts_ties(spark):
     vc = [tuple(r) for r in P.value_counts(spark.createDataFrame([("b",), ("a",)], "c string"), "c").collect()]
     assert vc == [("a", 1), ("b", 1)]
     assert F is not None
+
+
+def test_wide_correlation_path_agrees(spark):
+    rng = np.random.default_rng(3)
+    X = rng.normal(size=(200, 4))
+    X[:, 1] += X[:, 0]
+    df = spark.createDataFrame([tuple(map(float, r)) for r in X], "a double, b double, c double, d double")
+    narrow = {(r.a, r.b): r.corr for r in P.corr_pearson(df, ["a", "b", "c", "d"]).collect()}
+    wide = {(r.a, r.b): r.corr for r in P.corr_pearson(df, ["a", "b", "c", "d"], wide_threshold=2).collect()}
+    assert narrow.keys() == wide.keys()
+    for k in narrow:
+        assert wide[k] == pytest.approx(narrow[k], abs=1e-9)
