@@ -55,7 +55,7 @@ def ranked(ratios: DataFrame, out: str = "rank") -> DataFrame:
     one row per feature - bounded by the schema, not the data - so a
     single-partition window is the right tool here."""
     w = Window.orderBy(F.col("ratio").desc(), F.col("position").asc())
-    return ratios.withColumn(out, F.row_number().over(w))
+    return ratios.withColumn(out, F.row_number().over(w).cast("long"))
 
 
 def select_features(ratios: DataFrame, min_ratio: float) -> DataFrame:

@@ -25,7 +25,8 @@ def src_positional_csv(spark, sf):
     return DL.read_positional_csv(spark, path, DL.positional_schema(_ORDER_COLS, _ORDER_TYPES))
 
 
-@query("src_header_csv", "SELECT * FROM customer")
+@query("src_header_csv", """
+SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment FROM customer""")
 def src_header_csv(spark, sf):
     path = shared_path(spark, "csv-customer")
     read_table(spark, sf, "customer").write.option("header", True).csv(path)

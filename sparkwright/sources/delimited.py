@@ -9,6 +9,7 @@ job.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 from sparkwright.operators.relational import select_cast
@@ -31,10 +32,17 @@ def read_positional_csv(spark: SparkSession, path: str, schema: StructType, sep:
 
 
 def read_header_csv(spark: SparkSession, path: str, infer: bool = True, sampling_ratio: float = 1.0,
-                    sep: str = ",") -> DataFrame:
-    """Header CSV with inferred types (one extra pass over the sample)."""
-    return (spark.read.option("header", True).option("sep", sep)
-            .option("inferSchema", infer).option("samplingRatio", sampling_ratio).csv(path))
+                    sep: str = ",", widen: bool = True) -> DataFrame:
+    """Header CSV with inferred types (one extra pass over the sample).
+    ``widen`` maps inferred int/float to bigint/double, as a data-frame
+    library's 64-bit inference would (Spark picks int when values fit)."""
+    df = (spark.read.option("header", True).option("sep", sep)
+          .option("inferSchema", infer).option("samplingRatio", sampling_ratio).csv(path))
+    if not widen:
+        return df
+    wide = {"int": "bigint", "smallint": "bigint", "tinyint": "bigint", "float": "double"}
+    return df.select(*[F.col(f"`{c}`").cast(wide[t]).alias(c) if t in wide else F.col(f"`{c}`")
+                       for c, t in df.dtypes])
 
 
 def read_string_csv(spark: SparkSession, path: str, casts: dict[str, DataType | str] | None = None,
