@@ -43,7 +43,8 @@ def pie_series(df: DataFrame, name: str, value: str) -> DataFrame:
     total is one number from one aggregate)."""
     g = df.groupBy(name).agg(F.sum(value).alias("total"))
     grand = df.agg(F.sum(value)).first()[0]
-    return g.select(name, "total", safe_div(F.col("total"), F.lit(grand).cast("double")).alias("share"))
+    share = safe_div(F.col("total").cast("double"), F.lit(float(grand)) if grand is not None else F.lit(None))
+    return g.select(name, "total", share.cast("double").alias("share"))
 
 
 def bar_series(df: DataFrame, x: str, y: str, stack: str | None = None) -> DataFrame:

@@ -262,16 +262,23 @@ def chart_line(spark, sf):
     return round_doubles(G.line_series(o, "month", "o_totalprice"))
 
 
+# Money is summed exactly (2-decimal amounts as decimals), then reported as double.
 @query("chart_pie", """
-SELECT l_returnflag, round(sum(l_extendedprice), 6) AS total,
-       round(sum(l_extendedprice) / (SELECT sum(l_extendedprice) FROM lineitem), 6) AS share
+SELECT l_returnflag, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total,
+       round(CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE)
+             / (SELECT CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) FROM lineitem), 6) AS share
 FROM lineitem GROUP BY l_returnflag""")
 def chart_pie(spark, sf):
-    return round_doubles(G.pie_series(read_table(spark, sf, "lineitem"), "l_returnflag", "l_extendedprice"))
+    li = read_table(spark, sf, "lineitem").select("l_returnflag", F.col("l_extendedprice").cast("decimal(18,2)"))
+    p = G.pie_series(li, "l_returnflag", "l_extendedprice")
+    return p.select("l_returnflag", F.col("total").cast("double").alias("total"), F.round("share", 6).alias("share"))
 
 
 @query("chart_bar", """
-SELECT o_orderpriority, o_orderstatus, round(sum(o_totalprice), 6) AS total FROM orders GROUP BY ALL""")
+SELECT o_orderpriority, o_orderstatus, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+FROM orders GROUP BY ALL""")
 def chart_bar(spark, sf):
-    return round_doubles(G.bar_series(read_table(spark, sf, "orders"), "o_orderpriority", "o_totalprice",
-                                      "o_orderstatus"))
+    o = read_table(spark, sf, "orders").select("o_orderpriority", "o_orderstatus",
+                                                F.col("o_totalprice").cast("decimal(18,2)"))
+    b = G.bar_series(o, "o_orderpriority", "o_totalprice", "o_orderstatus")
+    return b.withColumn("total", F.col("total").cast("double"))

@@ -27,11 +27,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def line_summary(lineitem: DataFrame) -> DataFrame:
-    """Per-order line aggregate (partial aggregation happens map-side)."""
+    """Per-order line aggregate (partial aggregation happens map-side).
+    The mean discount is an exact decimal sum divided by the count, so it does
+    not depend on summation order (partitioning, engine)."""
+    exact_sum = F.sum(F.col("l_discount").cast("decimal(12,2)")).cast("double")
     return (lineitem.groupBy("l_orderkey")
             .agg(F.count(F.lit(1)).alias("n_lines_"),
                  F.sum("l_quantity").alias("qty_"),
-                 F.avg("l_discount").alias("avg_disc_"),
+                 (exact_sum / F.count(F.lit(1))).alias("avg_disc_"),
                  F.max(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).alias("has_return_")))
 
 
@@ -68,7 +71,8 @@ def feat(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The same table in SQL, for the DuckDB oracle (prefix with ``WITH``).
 FEAT_SQL = """feat AS (
   WITH l AS (
-    SELECT l_orderkey, count(*) AS n_lines, sum(l_quantity) AS qty, avg(l_discount) AS avg_disc,
+    SELECT l_orderkey, count(*) AS n_lines, sum(l_quantity) AS qty,
+           CAST(sum(CAST(l_discount AS DECIMAL(12,2))) AS DOUBLE) / count(*) AS avg_disc,
            max(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS has_return
     FROM lineitem GROUP BY l_orderkey)
   SELECT o_orderkey AS id,
