@@ -12,7 +12,7 @@ from sparkwright.operators.votes import class_weights
 from sparkwright.plans.q_profile import round_doubles
 from sparkwright.plans.q_relational import PRIORITY_GROUP
 from sparkwright.plans.registry import query, with_ctes
-from sparkwright.sources.tables import FEAT_BINARY, FEAT_NOMINAL, FEAT_NUMERIC, FEAT_SQL, feat
+from sparkwright.sources.tables import FEAT_BINARY, FEAT_NOMINAL, FEAT_NUMERIC, FEAT_SQL, feat, read_table
 
 # Categories of the two nominal feature columns (sorted).
 CATEGORIES = {"status": ["F", "O", "P"],
@@ -177,7 +177,6 @@ def feat_scale_only(spark, sf):
 @query("feat_stable_id", """
 SELECT sha256(text) AS row_id, row_number() OVER (PARTITION BY text) AS copy FROM documents""")
 def feat_stable_id(spark, sf):
-    from sparkwright.sources.tables import read_table
     d = read_table(spark, sf, "documents").select("doc_id", "text")
     return H.stable_id(d, ["text"]).select("row_id", "copy")
 

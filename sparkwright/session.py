@@ -7,7 +7,6 @@ below it.  Only when the setting is absent (local tests) do we create one.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -75,8 +74,3 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path below the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/sparkwright/{name}-{uuid.uuid4().hex}"
-
-
-def ensure_local_parent(path: str) -> None:
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(os.path.dirname(path.replace("file:", "")), exist_ok=True)

@@ -116,3 +116,16 @@ def test_full_report_bundle(spark):
     assert rep["metrics"].first().fp == 1
     assert len(rep["confusion"].collect()) == 4
     assert {r["class"] for r in rep["classes"].collect()} >= {"0.0", "1.0", "accuracy"}
+
+
+def test_label_stages_persist_in_a_pipeline(spark, tmp_path):
+    from pyspark.ml import Pipeline, PipelineModel
+    df = spark.createDataFrame([("normal",), ("smurf",)], "labels string")
+    pipe = Pipeline(stages=[H.BinaryLabel(inputCol="labels", outputCol="labels2"),
+                            H.GroupLabel(inputCol="labels", outputCol="labels5",
+                                         mapping={"normal": "normal", "smurf": "DoS"})])
+    model = pipe.fit(df)
+    path = str(tmp_path / "labels_pipeline")
+    model.write().overwrite().save(path)
+    again = PipelineModel.load(path)
+    assert rows(again.transform(df), "labels2", "labels5") == [("attack", "DoS"), ("normal", "normal")]
