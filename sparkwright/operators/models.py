@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from sparkwright.operators.profile import cluster_profile
 from sparkwright.operators.relational import union_all
+from sparkwright.session import materialize
 
 # ------------------------------------------------------------ H6 - H8
 
@@ -139,7 +140,11 @@ def score_clusters(df: DataFrame, key: str, cluster_col: str, routing: DataFrame
                    default: float = 1.0) -> DataFrame:
     """M6: (key, cluster, p): constant clusters by a join with the routing
     table, model clusters by their forest's P(attack), clusters unseen in
-    training get ``default``.  Every row is scored exactly once."""
+    training get ``default``.  Every row is scored exactly once.  With forests
+    the input is read once per model cluster, so it is materialised first (one
+    write to the shared checkpoint folder instead of k recomputations)."""
+    if models:
+        df = materialize(df)
     base = df.select(key, cluster_col)
     consts = routing.where(F.col("route") == "constant").select(F.col("cluster").alias(cluster_col), "score")
     const_part = (base.where(~F.col(cluster_col).isin(list(models)) if models else F.lit(True))
@@ -160,18 +165,19 @@ def score_clusters(df: DataFrame, key: str, cluster_col: str, routing: DataFrame
 def category_detectors(train: DataFrame, df: DataFrame, key: str, label5: str, groups: dict[str, list],
                        feature_sets: dict[str, list[str]], normal: str = "normal", **rf_args) -> DataFrame:
     """M9: one forest per category vs normal, each on its own features,
-    fitted on the category's rows and scoring every row of ``df``; returns
-    (key, p_<name> ...) in one table (scores attached by key)."""
-    scored = df.select(key)
+    fitted on the category's rows.  Scoring chains the fitted models over ``df``
+    in a single pass (each adds its ``p_<name>`` column, its temporary columns
+    are dropped), so no score table is joined back and nothing is shuffled."""
+    scored = df
     for name, members in groups.items():
         cols = feature_sets[name]
         sub = train.where(F.col(label5).isin(*members, normal))
         sub = sub.withColumn("_y", F.when(F.col(label5) == normal, 0.0).otherwise(1.0))
         rf = random_forest(features="_f", label="_y", **rf_args)
         m = Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="_f"), rf]).fit(sub)
-        s = m.transform(df.select(key, *cols)).select(key, p_positive().alias(f"p_{name}"))
-        scored = scored.join(s, key, "left")
-    return scored
+        scored = (m.transform(scored).withColumn(f"p_{name}", p_positive())
+                  .drop("_f", "rawPrediction", "probability", "prediction"))
+    return scored.select(key, *[f"p_{name}" for name in groups])
 
 
 # --------------------------------------------------------- M15 - M17
