@@ -34,9 +34,10 @@ def attribute_ratio(df: DataFrame, numeric: list[str], binary: list[str], label:
                      F.col(f"`{c}__s`").alias("s"), F.col(f"`{c}__n`").alias("n"))
             for c, k, p in feats]
     long = per_class.select(label, F.inline(F.array(*rows)))
-    # Global mean of each numeric feature from the class sums (tiny table).
-    g = long.groupBy("feature").agg((F.sum("s") / F.sum("n")).alias("_gmean"))
-    j = long.join(g, "feature")
+    # Global mean of each feature from the class sums: a window over the tiny
+    # (#classes x #features) table, so the input is aggregated exactly once.
+    by_feature = Window.partitionBy("feature")
+    j = long.withColumn("_gmean", F.sum("s").over(by_feature) / F.sum("n").over(by_feature))
     class_ratio = (F.when(F.col("kind") == "numeric", safe_div(safe_div("s", "n"), "_gmean"))
                    .otherwise(F.coalesce(safe_div("s", F.col("n") - F.col("s")), F.lit(NO_ZERO_RATIO))))
     out = (j.withColumn("_r", class_ratio)

@@ -103,35 +103,41 @@ def auc(df: DataFrame, label: str, score: str, positive=1.0) -> DataFrame:
 
 def class_report(df: DataFrame, label: str, pred: str, classes: list) -> DataFrame:
     """Per class precision, recall, F1, support, then accuracy, macro and
-    weighted averages (rows keyed by a string ``class``)."""
-    cm = confusion(df, label, pred, classes)
-    per = cm.groupBy("label").agg(
-        F.sum(F.when(F.col("label") == F.col("prediction"), F.col("count")).otherwise(0)).alias("tp"),
-        F.sum("count").alias("support"))
-    predicted = cm.groupBy("prediction").agg(F.sum("count").alias("npred"))
-    j = per.join(predicted, per.label == predicted.prediction, "inner")
+    weighted averages (rows keyed by a string ``class``).  One aggregate over
+    the data gives tp, support and predicted counts of every class; all the
+    rest is arithmetic on that single row."""
+    lab, prd = F.col(label), F.col(pred)
+    aggs = []
+    for i, c in enumerate(classes):
+        aggs += [F.count_if((lab == F.lit(c)) & (prd == F.lit(c))).alias(f"tp{i}"),
+                 F.count_if(lab == F.lit(c)).alias(f"sup{i}"),
+                 F.count_if(prd == F.lit(c)).alias(f"np{i}")]
+    one = df.agg(*aggs)
     z = F.lit(0.0)
-    tp, sup, npred = F.col("tp").cast("double"), F.col("support").cast("double"), F.col("npred").cast("double")
-    cls = j.select(F.col("label").cast("string").alias("class"),
-                   F.coalesce(safe_div(tp, npred), z).alias("precision"),
-                   F.coalesce(safe_div(tp, sup), z).alias("recall"),
-                   F.coalesce(safe_div(2 * tp, npred + sup), z).alias("f1"),
-                   F.col("support").cast("long").alias("support"),
-                   F.col("tp"))
-    tot = cls.agg(F.sum("support").alias("n"), F.sum("tp").alias("correct"),
-                  F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1").alias("mf"),
-                  safe_div(F.sum(F.col("precision") * F.col("support")), F.sum("support")).alias("wp"),
-                  safe_div(F.sum(F.col("recall") * F.col("support")), F.sum("support")).alias("wr"),
-                  safe_div(F.sum(F.col("f1") * F.col("support")), F.sum("support")).alias("wf"))
-    acc = safe_div(F.col("correct").cast("double"), F.col("n"))
-    summary = tot.select(F.inline(F.array(
-        F.struct(F.lit("accuracy").alias("class"), acc.alias("precision"), acc.alias("recall"),
-                 acc.alias("f1"), F.col("n").alias("support")),
-        F.struct(F.lit("macro avg").alias("class"), F.col("mp").alias("precision"), F.col("mr").alias("recall"),
-                 F.col("mf").alias("f1"), F.col("n").alias("support")),
-        F.struct(F.lit("weighted avg").alias("class"), F.col("wp").alias("precision"),
-                 F.col("wr").alias("recall"), F.col("wf").alias("f1"), F.col("n").alias("support")))))
-    return cls.drop("tp").unionByName(summary)
+    prec, rec, f1 = [], [], []
+    for i in range(len(classes)):
+        tp, sup, npred = (F.col(f"{k}{i}").cast("double") for k in ("tp", "sup", "np"))
+        prec.append(F.coalesce(safe_div(tp, npred), z))
+        rec.append(F.coalesce(safe_div(tp, sup), z))
+        f1.append(F.coalesce(safe_div(2 * tp, npred + sup), z))
+    k = float(len(classes))
+    n = sum((F.col(f"sup{i}") for i in range(len(classes))), F.lit(0)).cast("long")
+    correct = sum((F.col(f"tp{i}") for i in range(len(classes))), F.lit(0)).cast("double")
+
+    def weighted(vals):
+        return safe_div(sum((v * F.col(f"sup{i}") for i, v in enumerate(vals)), F.lit(0.0)), n)
+
+    acc = safe_div(correct, n)
+    rows = [F.struct(F.lit(str(c)).alias("class"), prec[i].alias("precision"), rec[i].alias("recall"),
+                     f1[i].alias("f1"), F.col(f"sup{i}").cast("long").alias("support"))
+            for i, c in enumerate(classes)]
+    rows += [F.struct(F.lit("accuracy").alias("class"), acc.alias("precision"), acc.alias("recall"),
+                      acc.alias("f1"), n.alias("support")),
+             F.struct(F.lit("macro avg").alias("class"), (sum(prec, z) / k).alias("precision"),
+                      (sum(rec, z) / k).alias("recall"), (sum(f1, z) / k).alias("f1"), n.alias("support")),
+             F.struct(F.lit("weighted avg").alias("class"), weighted(prec).alias("precision"),
+                      weighted(rec).alias("recall"), weighted(f1).alias("f1"), n.alias("support"))]
+    return one.select(F.inline(F.array(*rows)))
 
 
 def full_report(df: DataFrame, label: str, score: str, e: float | None = None,

@@ -173,9 +173,13 @@ def corr_spearman(df: DataFrame, columns: list[str], key: str) -> DataFrame:
 
 
 def _bounds(long: DataFrame, by: list[str] = ()) -> DataFrame:
-    return long.groupBy("column", *by).agg(F.min("value").alias("_mn"), F.max("value").alias("_mx"),
-                                           F.count("value").alias("_n"),
-                                           F.stddev_samp("value").alias("_sd"))
+    """Per column (and class) min, max, count, stddev.  The table has one row
+    per column (x class): it is collected once and re-created as a small local
+    table, so the data is not aggregated again for every use of the bounds."""
+    b = long.groupBy("column", *by).agg(F.min("value").alias("_mn"), F.max("value").alias("_mx"),
+                                        F.count("value").alias("_n"),
+                                        F.stddev_samp("value").alias("_sd"))
+    return long.sparkSession.createDataFrame(b.collect(), b.schema)
 
 
 def _bin_expr(n: int):
@@ -191,7 +195,7 @@ def histogram(df: DataFrame, columns: list[str], bins: int = 10, by: str | None
     grp = [by] if by else []
     long = _long(df, columns, grp).where(F.col("value").isNotNull())
     b = _bounds(long, grp)
-    counted = (long.join(broadcast_if_small(b.select("column", *grp, "_mn", "_mx")), ["column", *grp])
+    counted = (long.join(F.broadcast(b.select("column", *grp, "_mn", "_mx")), ["column", *grp])
                .withColumn("bin", _bin_expr(bins))
                .groupBy("column", *grp, "bin").agg(F.count(F.lit(1)).alias("count")))
     width = (F.col("_mx") - F.col("_mn")) / bins
@@ -212,7 +216,7 @@ def kde(df: DataFrame, columns: list[str], points: int = 16) -> DataFrame:
     long = _long(df, columns).where(F.col("value").isNotNull())
     b = _bounds(long)
     h = F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2))
-    j = long.join(broadcast_if_small(b.withColumn("_h", h)), "column")
+    j = long.join(F.broadcast(b.withColumn("_h", h)), "column")
     step = (F.col("_mx") - F.col("_mn")) / (points - 1)
     aggs = []
     for k in range(points):
