@@ -48,18 +48,21 @@ def txt_clean(spark, sf):
 
 
 def messages(spark, sf):
-    """JSON messages derived from documents; every 17th one is cut short
-    (does not parse) to exercise the skip rule."""
+    """JSON messages derived from documents (the long text in the nested
+    object when a document is over 140 characters), plus one cut-short copy of
+    each German document that does not parse, to exercise the skip rule."""
     d = read_table(spark, sf, "documents")
     long = F.col("n_chars") > 140
     msg = F.to_json(F.struct(
         F.when(long, F.substring("text", 1, 140)).otherwise(F.col("text")).alias("text"),
         F.col("lang"),
         F.when(long, F.struct(F.col("text").alias("full_text"))).alias("extended_tweet")))
-    return d.select("doc_id", F.when(F.col("doc_id") % 17 == 0, F.substring(msg, 1, 25)).otherwise(msg).alias("value"))
+    good = d.select("doc_id", msg.alias("value"))
+    broken = d.where(F.col("lang") == "de").select("doc_id", F.substring(msg, 1, 25).alias("value"))
+    return good.unionByName(broken)
 
 
-@query("src_json_text", "SELECT doc_id, text, lang FROM documents WHERE doc_id % 17 <> 0")
+@query("src_json_text", "SELECT doc_id, text, lang FROM documents")
 def src_json_text(spark, sf):
     return message_text(messages(spark, sf), "value", keep=["doc_id"])
 
@@ -70,7 +73,7 @@ _TRACK_LANGS = ["en", "fr"]
 
 @query("stream_track_filter", """
 SELECT doc_id FROM documents
-WHERE doc_id % 17 <> 0 AND lang IN ('en', 'fr') AND (contains(lower(text), 'the') OR contains(lower(text), 'les'))""")
+WHERE lang IN ('en', 'fr') AND (contains(lower(text), 'the') OR contains(lower(text), 'les'))""")
 def stream_track_filter(spark, sf):
     m = message_text(messages(spark, sf), "value", keep=["doc_id"])
     return TX.track_filter(m, "text", "lang", _TRACK_WORDS, _TRACK_LANGS).select("doc_id")
