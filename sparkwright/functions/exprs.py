@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DoubleType, FloatType, StructType
 
 FLOATING = (DoubleType, FloatType)
 
@@ -29,3 +29,21 @@ def r6(c) -> Column:
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
+
+
+def local_table(spark: SparkSession, rows: list, schema: StructType | str) -> DataFrame:
+    """A small driver-side table (statistics, fitted parameters; bounded by
+    the schema or the model, never by the data) as literal rows in the plan.
+    Unlike ``createDataFrame(list)`` this needs no Python worker to decode
+    the rows, and the optimizer sees the literals."""
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    fields = schema.fields
+
+    def cell(v, f):
+        return F.lit(v).cast(f.dataType).alias(f.name)
+
+    if not rows:
+        return spark.range(0).select(*[cell(None, f) for f in fields])
+    structs = [F.struct(*[cell(r[i], f) for i, f in enumerate(fields)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from sparkwright.functions.exprs import is_floating
+from sparkwright.functions.exprs import is_floating, local_table
 
 
 def nan_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -105,7 +105,7 @@ def correlated_to_drop(corr_long: DataFrame, threshold: float, order: list[str])
         F.when(pos[F.col("a")] > pos[F.col("b")], F.col("a")).otherwise(F.col("b")).alias("later"),
         F.abs(F.col("corr")).alias("r"))
     hits = pairs.where(F.col("r") >= threshold).select(F.col("later").alias("feature")).distinct()
-    feats = corr_long.sparkSession.createDataFrame([(n, i) for i, n in enumerate(order)],
-                                                   "feature string, position int")
+    feats = local_table(corr_long.sparkSession, [(n, i) for i, n in enumerate(order)],
+                        "feature string, position int")
     return (feats.join(hits.withColumn("dropped", F.lit(1)), "feature", "left")
             .select("feature", "position", F.coalesce("dropped", F.lit(0)).alias("dropped")))

@@ -18,6 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkwright.functions.exprs import local_table
 from sparkwright.operators.profile import cluster_profile
 from sparkwright.operators.relational import union_all
 from sparkwright.session import materialize
@@ -90,7 +91,7 @@ def gmm_params(model) -> DataFrame:
         for d, m in enumerate(r["mean"].toArray()):
             rows.append((comp, d, float(m), float(cov[d, d]), float(w)))
     spark = model.gaussiansDF.sparkSession
-    return spark.createDataFrame(rows, "component int, dim int, mean double, variance double, weight double")
+    return local_table(spark, rows, "component int, dim int, mean double, variance double, weight double")
 
 
 # --------------------------------------------------------- M4 - M6

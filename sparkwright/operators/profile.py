@@ -12,6 +12,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkwright.functions.exprs import local_table
 from sparkwright.operators.ordering import average_rank, exact_quantiles
 from sparkwright.operators.relational import broadcast_if_small
 
@@ -152,7 +153,7 @@ def corr_pearson(df: DataFrame, columns: list[str], wide_threshold: int = WIDE_C
         idx = {c: i for i, c in enumerate(columns)}
         vals = [(a, b, None if m[idx[a], idx[b]] != m[idx[a], idx[b]] else float(m[idx[a], idx[b]]))
                 for a, b in pairs]
-        return df.sparkSession.createDataFrame(vals, "a string, b string, corr double")
+        return local_table(df.sparkSession, vals, "a string, b string, corr double")
     aggs = [F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}|{b}") for a, b in pairs]
     one = df.agg(*aggs)
     rows = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
@@ -174,12 +175,12 @@ def corr_spearman(df: DataFrame, columns: list[str], key: str) -> DataFrame:
 
 def _bounds(long: DataFrame, by: list[str] = ()) -> DataFrame:
     """Per column (and class) min, max, count, stddev.  The table has one row
-    per column (x class): it is collected once and re-created as a small local
-    table, so the data is not aggregated again for every use of the bounds."""
+    per column (x class): it is collected once and re-created as literal rows,
+    so the data is not aggregated again for every use of the bounds."""
     b = long.groupBy("column", *by).agg(F.min("value").alias("_mn"), F.max("value").alias("_mx"),
                                         F.count("value").alias("_n"),
                                         F.stddev_samp("value").alias("_sd"))
-    return long.sparkSession.createDataFrame(b.collect(), b.schema)
+    return local_table(long.sparkSession, b.collect(), b.schema)
 
 
 def _bin_expr(n: int):

@@ -3,7 +3,7 @@
 A text scan yields lines without numbers.  Lines are numbered per file from
 the scan's own metadata: each file block is read in order by one task, so
 the position inside a block plus the line count of the earlier blocks of the
-same file is the line number.  Records are then assembled by a group-by on
+same file is the line number (no sort of the lines).  Records are then assembled by a group-by on
 (file, line // stride) - a record split across two blocks still meets in one
 group - and an incomplete last record is dropped.
 """
@@ -23,7 +23,12 @@ AU_TO_MILLION_MILES = 93
 
 
 def numbered_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """(file, line_no, value): 0-based line numbers per file."""
+    """(file, line_no, value): 0-based line numbers per file, without sorting
+    the lines.  One task reads a file block from start to end, so the ids of
+    a block's lines are consecutive: line_no = id - first id of the block +
+    lines in the earlier blocks of the file.  Only the per-block table (one
+    row per block, bounded by data size / block size) is aggregated and
+    joined back; the scan and its ids are the same on every re-read."""
     r = spark.read.option("wholetext", False)
     if glob:
         r = r.option("pathGlobFilter", glob)
@@ -32,15 +37,12 @@ def numbered_lines(spark: SparkSession, path: str, glob: str | None = None) -> D
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("_seq"),
         "value")
-    # Position inside the block: one block is read by one task, in order.
-    w = Window.partitionBy("file", "block").orderBy("_seq")
-    pos = raw.withColumn("_pos", F.row_number().over(w) - 1)
-    # Lines before each block within its file (one row per block).
-    counts = pos.groupBy("file", "block").agg(F.count(F.lit(1)).alias("_n"))
+    blocks = raw.groupBy("file", "block").agg(F.min("_seq").alias("_first"), F.count(F.lit(1)).alias("_n"))
     ow = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(ow), F.lit(0))).select("file", "block", "_off")
-    return (pos.join(broadcast_if_small(offsets), ["file", "block"])
-            .select("file", (F.col("_off") + F.col("_pos")).alias("line_no"), "value"))
+    offsets = blocks.select("file", "block", "_first",
+                            F.coalesce(F.sum("_n").over(ow), F.lit(0)).alias("_off"))
+    return (raw.join(broadcast_if_small(offsets), ["file", "block"])
+            .select("file", (F.col("_off") + F.col("_seq") - F.col("_first")).alias("line_no"), "value"))
 
 
 def stride_records(lines: DataFrame, fields: list[str], types: dict[str, str] | None = None) -> DataFrame:

@@ -65,6 +65,27 @@ def test_stride_records_from_files(spark):
     assert v["Mars"].description.endswith("Surface Temperature (degrees C):-60 to 20\n")
 
 
+def test_line_numbers_across_blocks_and_files(spark):
+    """Small blocks: every file is split into many blocks read by different
+    tasks, and several files share a task; numbering must still be exact."""
+    d = tempfile.mkdtemp(prefix="sw-lines-")
+    want = set()
+    for f in range(3):
+        with open(os.path.join(d, f"f{f}.txt"), "w") as fh:
+            for i in range(3000 + 500 * f):
+                line = f"{f}-{i}-" + "x" * (i % 37)
+                fh.write(line + "\n")
+                want.add((f"f{f}.txt", i, line))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        got = {(r.file.rsplit("/", 1)[-1], r.line_no, r.value)
+               for r in RC.numbered_lines(spark, d, "*.txt").collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == want
+
+
 def test_stream_job_available_now(spark):
     src = tempfile.mkdtemp(prefix="sw-src-")
     with open(os.path.join(src, "a.txt"), "w") as fh:
