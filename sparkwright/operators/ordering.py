@@ -52,7 +52,10 @@ def running_total(df: DataFrame, order_cols: list, weight: str | None = None,
              .rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.withColumn("_off", F.coalesce(F.sum("_ptot").over(off_w), F.lit(0)))
     offsets = offsets.select("_pid", *part_cols, "_off")
-    return (local.join(offsets, ["_pid", *part_cols], "inner")
+    # One row per (partition, group) present: at most partitions + groups
+    # rows.  Broadcast it when the count proves it small, so the numbered rows
+    # are not shuffled again; with very many groups the planner joins it.
+    return (local.join(broadcast_if_small(offsets), ["_pid", *part_cols], "inner")
             .withColumn(out, F.col("_off") + F.col("_local"))
             .drop("_pid", "_w", "_local", "_off"))
 
