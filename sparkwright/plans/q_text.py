@@ -11,7 +11,7 @@ from sparkwright.plans.q_profile import round_doubles
 from sparkwright.plans.registry import query, with_ctes
 from sparkwright.session import shared_path
 from sparkwright.sources.messages import message_text
-from sparkwright.sources.tables import read_table
+from sparkwright.sources.tables import read_table, spread_for_cpu
 from sparkwright.streaming import text_job as J
 
 
@@ -28,8 +28,13 @@ _PIECES_SQL = f"p AS (SELECT unnest(string_split({_FRAMED_SQL}, 't_end')) AS w F
 _CLEAN_SQL = with_ctes(_PIECES_SQL, f"SELECT {_strip_sql('w')} AS word FROM p WHERE w <> ''")
 
 
+def documents(spark, sf):
+    """The document table, spread over all cores for the text work."""
+    return spread_for_cpu(read_table(spark, sf, "documents"))
+
+
 def framed_documents(spark, sf):
-    d = read_table(spark, sf, "documents")
+    d = documents(spark, sf)
     return d.select(F.concat(F.regexp_replace("text", "\n", TX.FRAME_MARKER), F.lit(TX.FRAME_MARKER)).alias("value"))
 
 
@@ -42,7 +47,7 @@ def txt_unframe(spark, sf):
 l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)""", f"""
 SELECT doc_id, {_strip_sql('line')} AS line FROM l WHERE line <> ''"""))
 def txt_clean(spark, sf):
-    d = read_table(spark, sf, "documents")
+    d = documents(spark, sf)
     lines = d.select("doc_id", F.explode(F.split("text", "\n")).alias("line")).where(F.col("line") != "")
     return lines.select("doc_id", TX.strip_markup("line").alias("line"))
 
@@ -51,7 +56,7 @@ def messages(spark, sf):
     """JSON messages derived from documents (the long text in the nested
     object when a document is over 140 characters), plus one cut-short copy of
     each German document that does not parse, to exercise the skip rule."""
-    d = read_table(spark, sf, "documents")
+    d = documents(spark, sf)
     long = F.col("n_chars") > 140
     msg = F.to_json(F.struct(
         F.when(long, F.substring("text", 1, 140)).otherwise(F.col("text")).alias("text"),

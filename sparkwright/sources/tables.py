@@ -26,6 +26,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread_for_cpu(df: DataFrame) -> DataFrame:
+    """Row-local CPU-heavy work (regex cleaning, tokenising, JSON) runs in the
+    scan's tasks.  When the scan yields fewer splits than the cluster has
+    cores (a small table in one file or row group), the rows are first spread
+    round-robin over all cores.  A large input already has many splits and is
+    returned unchanged, so at scale this adds no shuffle."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def line_summary(lineitem: DataFrame) -> DataFrame:
     """Per-order line aggregate (partial aggregation happens map-side).
     The mean discount is an exact decimal sum divided by the count, so it does
