@@ -100,3 +100,25 @@ def test_empty_input(spark):
     assert C.duplicate_count(df).first().duplicates == 0
     assert C.nan_counts(df).first()["x"] == 0
     assert math.isnan(float("nan"))
+
+
+def test_local_table_literals_and_empty(spark):
+    from sparkwright.functions.exprs import local_table
+    t = local_table(spark, [("a", 1, float("nan")), ("b", None, 2.5)], "x string, y int, z double")
+    assert [f.dataType.simpleString() for f in t.schema.fields] == ["string", "int", "double"]
+    got = rows(t)
+    assert got[0][:2] == ("a", 1) and got[0][2] != got[0][2] and got[1] == ("b", None, 2.5)
+    e = local_table(spark, [], "x string, y bigint")
+    assert e.count() == 0 and e.columns == ["x", "y"]
+    # No Python worker: the rows are literals in the plan.
+    assert "ExistingRDD" not in t._jdf.queryExecution().executedPlan().toString()
+
+
+def test_spread_for_cpu_only_when_few_splits(spark):
+    from sparkwright.sources.tables import spread_for_cpu
+    n = spark.sparkContext.defaultParallelism
+    one = spark.range(0, 1000, 1, 1)
+    assert spread_for_cpu(one).rdd.getNumPartitions() == n
+    many = spark.range(0, 1000, 1, n * 2)
+    assert spread_for_cpu(many).rdd.getNumPartitions() == n * 2
+    assert sorted(r.id for r in spread_for_cpu(one).collect()) == list(range(1000))
