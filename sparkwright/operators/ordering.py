@@ -76,7 +76,10 @@ def average_rank(df: DataFrame, value: str, part_cols=(), out: str = "rank",
     ranked = running_total(counts, [value], "_cnt", part_cols, "_cum", num_partitions)
     ranked = ranked.select(*part_cols, value,
                            (F.col("_cum") - (F.col("_cnt") - 1) / 2.0).alias(out))
-    return df.join(ranked, [*part_cols, value], "left")
+    # One row per distinct value: broadcast when the count proves it small,
+    # so a value shared by many rows never lands in one join task; otherwise
+    # a shuffle join whose hot keys AQE splits.
+    return df.join(broadcast_if_small(ranked), [*part_cols, value], "left")
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], part_cols=(),

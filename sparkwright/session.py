@@ -48,8 +48,12 @@ def checkpoint_root(spark: SparkSession) -> str:
         d = spark.conf.get("spark.checkpoint.dir", None)
     except Exception:  # noqa: BLE001 - conf lookups differ between deployments
         d = None
+    sc = spark.sparkContext
+    if d and not sc.getCheckpointDir():
+        # Named for the cluster but not yet registered with this context.
+        sc.setCheckpointDir(d)
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
+        d = sc.getCheckpointDir()
     if not d:
         # Unset (local tests only): make one and register it.
         d = tempfile.mkdtemp(prefix="sparkwright-ckpt-")
