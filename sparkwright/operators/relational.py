@@ -6,20 +6,40 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringType, StructType
 
 from sparkwright.functions.exprs import null_safe
 
-# Upper bound (rows) for a side we broadcast after checking its size.
+# Upper bounds for a side we broadcast after checking its size: rows, and
+# bytes (exact for text and binary, the type's width for fixed-size values).
 BROADCAST_MAX_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows;
-    otherwise return it unchanged and let the planner shuffle (AQE may still
-    convert to a broadcast at runtime)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+# Bytes per value of the fixed-size types (others count 8).
+_FIXED_WIDTH = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "float": 4, "date": 4, "decimal": 16}
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    parts = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        elif isinstance(f.dataType, (ArrayType, MapType, StructType)):
+            parts.append(F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)))
+        else:
+            parts.append(F.lit(_FIXED_WIDTH.get(f.dataType.typeName(), 8)))
+    return reduce(lambda a, b: a + b, parts, F.lit(8)).cast("long")
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                       max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows
+    and about ``max_bytes`` bytes (one job, stopped after ``max_rows + 1``
+    rows); otherwise return it unchanged and let the planner shuffle (AQE may
+    still convert to a broadcast at runtime)."""
+    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
+    small = r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
+    return F.broadcast(df) if small else df
 
 
 # ---------------------------------------------------------------- projection

@@ -122,3 +122,13 @@ def test_spread_for_cpu_only_when_few_splits(spark):
     many = spark.range(0, 1000, 1, n * 2)
     assert spread_for_cpu(many).rdd.getNumPartitions() == n * 2
     assert sorted(r.id for r in spread_for_cpu(one).collect()) == list(range(1000))
+
+
+def test_broadcast_only_within_row_and_byte_bounds(spark):
+    def hinted(df):
+        return df._jdf.queryExecution().logical().toString().startswith("UnresolvedHint broadcast")
+    d = spark.createDataFrame([("a" * 100, 1, [1.0]), ("b", 2, None)], "x string, y int, z array<double>")
+    assert hinted(R.broadcast_if_small(d))
+    assert not hinted(R.broadcast_if_small(d, max_bytes=50))       # text bytes counted exactly
+    assert not hinted(R.broadcast_if_small(d, max_rows=1))
+    assert hinted(R.broadcast_if_small(spark.range(0)))
