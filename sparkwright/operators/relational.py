@@ -37,7 +37,8 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     and about ``max_bytes`` bytes (one job, stopped after ``max_rows + 1``
     rows); otherwise return it unchanged and let the planner shuffle (AQE may
     still convert to a broadcast at runtime)."""
-    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
+    sizes = df.select(_row_bytes(df).alias("_b")).limit(max_rows + 1)      # only one long per row moves
+    r = sizes.agg(F.count(F.lit(1)).alias("n"), F.sum("_b").alias("b")).first()
     small = r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
     return F.broadcast(df) if small else df
 
