@@ -8,6 +8,7 @@ from pyspark.sql.types import DoubleType
 
 from sparkwright.operators import profile as P
 from sparkwright.plans.registry import query, with_ctes
+from sparkwright.session import materialize
 from sparkwright.sources.tables import FEAT_NUMERIC, FEAT_SQL, feat, read_table
 
 
@@ -19,6 +20,17 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
                        for f in df.schema.fields])
 
 
+def feat_once(spark, sf, cols: list[str]) -> DataFrame:
+    """``feat`` for the multi-pass exact-rank queries: they read their input
+    three times (describe or join-back, the range-partition sample, the
+    numbered copy), and ``feat`` is a join over the line-item aggregate: at
+    scale that is three scans and shuffles of the largest table.  The needed
+    columns are computed once and written to the shared checkpoint folder
+    (keeping the join's partitioning, no extra shuffle); every pass reads
+    that copy."""
+    return materialize(feat(spark, sf).select(*cols))
+
+
 def _union(parts: list[str]) -> str:
     return "\nUNION ALL\n".join(parts)
 
@@ -77,7 +89,7 @@ _QUART_SQL = _union([
 
 @query("agg_describe_quartiles", with_ctes(FEAT_SQL, _QUART_SQL))
 def agg_describe_quartiles(spark, sf):
-    return round_doubles(P.describe_quartiles(feat(spark, sf), _QUART_COLS))
+    return round_doubles(P.describe_quartiles(feat_once(spark, sf, ["id", *_QUART_COLS]), _QUART_COLS))
 
 
 @query("agg_describe_by_class", with_ctes(FEAT_SQL, """
@@ -124,7 +136,7 @@ _SP_RANKS = "r AS (SELECT id, " + ", ".join(
 @query("agg_corr_spearman", with_ctes(FEAT_SQL, _SP_RANKS, _union([
     f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS corr FROM r" for a, b in _SP_PAIRS])))
 def agg_corr_spearman(spark, sf):
-    return round_doubles(P.corr_spearman(feat(spark, sf), _SP_COLS, "id"))
+    return round_doubles(P.corr_spearman(feat_once(spark, sf, ["id", *_SP_COLS]), _SP_COLS, "id"))
 
 
 # ---------------------------------------------------------------- A20-A22
