@@ -4,12 +4,15 @@ A window ``partitionBy(g).orderBy(o)`` sends each group to one task; with a hot
 group holding a third of the rows that task does a third of the job.  Here the
 rows are range-partitioned on ``(g, o)`` (boundaries from a sample, so a hot
 group spreads over many partitions), numbered inside each partition, and
-shifted by the totals of the earlier partitions of the same group.  The
-per-partition totals table has at most ``partitions + groups`` rows.
+shifted by the totals of the earlier partitions of the same group.  Only
+groups that span a partition boundary need such a shift, so the offset table
+has at most twice as many rows as partitions, whatever the number of groups.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,16 +51,28 @@ def running_total(df: DataFrame, order_cols: list, weight: str | None = None,
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = materialize(rp.withColumn("_local", F.sum("_w").over(local_w)))
     totals = local.groupBy("_pid", *part_cols).agg(F.sum("_w").alias("_ptot"))
+    if part_cols:
+        # Range partitioning keeps each group contiguous, so a group needs an
+        # offset only where it continues from an earlier partition: at most
+        # partitions - 1 groups span a boundary.  Keep only their totals.
+        spans = (totals.groupBy(*part_cols).agg(F.count(F.lit(1)).alias("_np"))
+                 .where(F.col("_np") > 1).select(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(part_cols)]))
+        same = [F.col(c).eqNullSafe(F.col(f"_s{i}")) for i, c in enumerate(part_cols)]
+        totals = totals.join(F.broadcast(spans), reduce(lambda a, b: a & b, same), "left_semi")
     off_w = (Window.partitionBy(*part_cols).orderBy("_pid")
              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.withColumn("_off", F.coalesce(F.sum("_ptot").over(off_w), F.lit(0)))
-    offsets = offsets.select("_pid", *part_cols, "_off")
-    # One row per (partition, group) present: at most partitions + groups
-    # rows.  Broadcast it when the count proves it small, so the numbered rows
-    # are not shuffled again; with very many groups the planner joins it.
-    return (local.join(broadcast_if_small(offsets), ["_pid", *part_cols], "inner")
-            .withColumn(out, F.col("_off") + F.col("_local"))
-            .drop("_pid", "_w", "_local", "_off"))
+    offsets = totals.select(F.col("_pid").alias("_opid"),
+                            *[F.col(c).alias(f"_o{i}") for i, c in enumerate(part_cols)],
+                            F.coalesce(F.sum("_ptot").over(off_w), F.lit(0)).alias("_off"))
+    # At most partitions rows (no groups) or 2 x partitions rows (groups that
+    # span a boundary, two or more partitions each): bounded by the partition
+    # count, never by the data, so it is broadcast.  Rows of groups that sit
+    # in one partition find no match and start at 0; null keys match too.
+    on = [F.col("_pid") == F.col("_opid")] + [F.col(c).eqNullSafe(F.col(f"_o{i}"))
+                                              for i, c in enumerate(part_cols)]
+    j = local.join(F.broadcast(offsets), reduce(lambda a, b: a & b, on), "left")
+    return (j.withColumn(out, F.coalesce(F.col("_off"), F.lit(0)) + F.col("_local"))
+            .select(*[F.col(f"`{c}`") for c in df.columns if c != out], out))
 
 
 def row_number_exact(df: DataFrame, order_cols: list[str], part_cols=(), out: str = "rn",

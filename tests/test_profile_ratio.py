@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sparkwright.operators import attribute_ratio as AR
 from sparkwright.operators import profile as P
@@ -110,3 +111,21 @@ def test_wide_correlation_path_agrees(spark):
     assert narrow.keys() == wide.keys()
     for k in narrow:
         assert wide[k] == pytest.approx(narrow[k], abs=1e-9)
+
+
+def test_running_total_many_groups_hot_and_null_groups(spark):
+    """Brute force: a hot group (a third of the rows, spread over many
+    partitions), a null group, and thousands of one-row groups."""
+    from sparkwright.operators.ordering import running_total
+    data = [("hot", i, float(i % 5)) for i in range(3000)]
+    data += [(None, i, 1.0) for i in range(1500)]
+    data += [(f"s{i}", i, 2.0) for i in range(4500)]
+    df = spark.createDataFrame(data, "g string, k long, w double")
+    got = {(r.g, r.k): r.run for r in running_total(df, ["k"], "w", ["g"], "run", num_partitions=16).collect()}
+    want, acc = {}, {}
+    for g, k, w in sorted(data, key=lambda x: (x[0] is not None, x[0] or "", x[1])):
+        acc[g] = acc.get(g, 0.0) + w
+        want[(g, k)] = acc[g]
+    assert got == want
+    glob = {r.k: r.n for r in running_total(df.where(F.col("g") == "hot"), ["k"], None, (), "n", 8).collect()}
+    assert glob == {k: k + 1 for k in range(3000)}
