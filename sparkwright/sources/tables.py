@@ -31,7 +31,9 @@ def spread_for_cpu(df: DataFrame) -> DataFrame:
     scan's tasks.  When the scan yields fewer splits than the cluster has
     cores (a small table in one file or row group), the rows are first spread
     round-robin over all cores.  A large input already has many splits and is
-    returned unchanged, so at scale this adds no shuffle."""
+    returned unchanged, so at scale this adds no shuffle.  Apply it to a scan
+    (no shuffle below it): there the split count is planning metadata and
+    reading it runs no job."""
     n = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(n) if df.rdd.getNumPartitions() < n else df
 
