@@ -2,6 +2,7 @@
 
 from sparkwright.llm import (  # noqa: F401
     packing,
+    secrets,
     simhash,
 )
 from sparkwright.llm.shared import ORACLES, QUERIES
