@@ -3,6 +3,7 @@
 from sparkwright.llm import (  # noqa: F401
     licenses,
     packing,
+    quality,
     secrets,
     simhash,
 )
