@@ -21,6 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sparkwright.llm.shared import KEY, query, row_key, same_key, stage, table, text_or_empty
+from sparkwright.llm.words import words_of
 
 K = 3
 #: Least share of a template's words that the merged diagonals must cover.
@@ -50,16 +51,9 @@ NOTICES = (
     ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0"),
 )
 
-#: Bytes to words: A-Z lower-cased, 0-9, a-z and all bytes of non-ASCII characters kept, the rest blank.
-WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
-                   for b in range(256))
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))  # two odd multipliers
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").translate(WORD_BYTES).split()
-
-
 def _powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """Powers of both multipliers and of their inverses modulo 2**64."""
     if not _CACHE or len(_CACHE[0][0]) < n:

@@ -1,6 +1,7 @@
 """All queries of this package: importing the modules registers them."""
 
 from sparkwright.llm import (  # noqa: F401
+    decontaminate,
     embedding_dedup,
     licenses,
     packing,
