@@ -8,6 +8,7 @@ from sparkwright.llm import (  # noqa: F401
     quality,
     secrets,
     simhash,
+    toxicity,
 )
 from sparkwright.llm.shared import ORACLES, QUERIES
 
