@@ -3,6 +3,7 @@
 from sparkwright.llm import (  # noqa: F401
     decontaminate,
     embedding_dedup,
+    language_id,
     licenses,
     packing,
     preferences,
