@@ -96,7 +96,7 @@ def _buckets(tables: int, bits: int):
 def _compare(cosine: float):
     """Rows (u, v, links) from rows sorted by bucket and block: u != v is a link
     of the forest, u = v the number of vectors linked with u."""
-    def pairs(rows, bucket: int):
+    def pairs(rows, bucket: int, cell: int):
         x = _unit(np.frombuffer(b"".join(rows.column("vec").to_pylist()), np.float64).reshape(rows.num_rows, -1))
         own = rows.column("own").to_numpy()
         signs = np.frombuffer(b"".join(rows.column("signs").to_pylist()), "<i4").reshape(len(x), -1)
@@ -105,7 +105,7 @@ def _compare(cosine: float):
             a, c = np.nonzero(x[lo: lo + 512] @ x.T >= cosine)
             a += lo
             # Each pair once; in a cell of two blocks only pairs across them.
-            ok = (a < c) if (own == own[0]).all() else (own[a] < own[c])
+            ok = (a < c) if cell < 0 else (own[a] < own[c])
             a, c = a[ok], c[ok]
             if t and len(a):
                 new = ~(signs[a, :t] == signs[c, :t]).any(axis=1)
@@ -122,16 +122,17 @@ def _compare(cosine: float):
             key, cell = both.column("bucket").to_numpy(), both.column("cell").to_numpy()
             first = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (cell[1:] != cell[:-1])])
             rest = both.slice(int(first[-1]))
-            yield from found(both, first[:-1], first[1:], key)
+            yield from found(both, first[:-1], first[1:], key, cell)
         if rest is not None and rest.num_rows:
-            yield from found(rest, np.array([0]), np.array([rest.num_rows]), rest.column("bucket").to_numpy())
+            yield from found(rest, np.array([0]), np.array([rest.num_rows]), rest.column("bucket").to_numpy(),
+                             rest.column("cell").to_numpy())
 
-    def found(rows, starts, ends, key):
+    def found(rows, starts, ends, key, cell):
         node, copies = rows.column("node").to_numpy(), rows.column("copies").to_numpy()
         us, vs, links = [], [], np.zeros(rows.num_rows, np.int64)
         for s, e in zip(starts.tolist(), ends.tolist()):
             if e - s > 1:
-                for a, c in pairs(rows.slice(s, e - s), int(key[s])):
+                for a, c in pairs(rows.slice(s, e - s), int(key[s]), int(cell[s])):
                     a, c = a + s, c + s
                     np.add.at(links, a, copies[c])
                     np.add.at(links, c, copies[a])
@@ -163,13 +164,15 @@ def near_links(nodes: DataFrame, cosine: float = COSINE, recall: float = RECALL,
         F.col("bucket"), F.ceil(F.col("count") / block).cast("bigint").alias("parts")), "heavy-buckets")
     zero = F.lit(0).cast("bigint")
     if heavy.head(1):
-        # A node's block meets every block of the bucket in one cell of the grid.
+        # A node's block meets every block of the bucket in one cell of the grid;
+        # cells of one block have negative numbers.
         own = F.pmod(F.xxhash64("node"), F.col("parts"))
         rows = (rows.join(heavy, "bucket", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("bigint")))
                 .withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-                .withColumn("cell", F.least("own", "other") * F.col("parts") + F.greatest("own", "other")))
+                .withColumn("cell", F.when(F.col("own") == F.col("other"), -1 - F.col("own")).otherwise(
+                    F.least("own", "other") * F.col("parts") + F.greatest("own", "other"))))
     else:
-        rows = rows.withColumn("own", zero).withColumn("cell", zero)
+        rows = rows.withColumn("own", zero).withColumn("cell", zero - 1)
     rows = rows.select("bucket", "cell", "own", "node", "copies", "signs", "vec")
     return (rows.repartition("bucket", "cell").sortWithinPartitions("bucket", "cell")
             .mapInArrow(_compare(cosine), "u bigint, v bigint, links bigint"))
