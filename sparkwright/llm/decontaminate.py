@@ -25,20 +25,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkwright.llm.shared import KEY, query, row_key, same_key, stage, table, text_or_empty
+from sparkwright.llm.shared import KEY, query, row_key, same_key, slices, stage, table, text_or_empty
 from sparkwright.llm.words import words_of
 
 #: Words a passage (statistics, SVD), and words and step of the search windows.
 PASSAGE, WINDOW, STEP = 40, 10, 5
 #: Random directions of the sketch and latent directions kept.
 SKETCH, RANK = 48, 40
-#: Least weight share of benchmark words in a window, and least cosine.
-SHARE, COSINE = 0.6, 0.8
+#: Least weight share of benchmark words (then of the item's own) in a window,
+#: least cosine, and a window's least weight as a part of an item's median one.
+SHARE, COSINE, LEAST = 0.6, 0.8, 0.8
 #: Least cover of an item, of its answer, and the cover that needs no answer.
 COVER, ANSWER, WHOLE = 0.6, 0.5, 0.9
 ITEMS_AT_ONCE = 20_000
 SEED = 7
-WORDS_AT_ONCE = 400_000
+WORDS_AT_ONCE = 150_000
 KEY_DDL = "k_id bigint, k_h1 bigint, k_h2 int, k_len int"
 
 
@@ -61,7 +62,7 @@ def vocabulary(texts: list[str]) -> dict[bytes, int]:
 def _code(vocab: dict[bytes, int]):
     def run(batches):
         get = vocab.get
-        for b in batches:
+        for b in slices(batches):
             out = []
             for t in b.column("text").to_pylist():
                 words = words_of(t.lower())
@@ -121,13 +122,15 @@ def _weights(code: np.ndarray, pid: np.ndarray, count: np.ndarray, idf: np.ndarr
     w = (1 + np.log(count)) * idf[code]
     first = np.flatnonzero(np.r_[True, pid[1:] != pid[:-1]])
     norm = np.sqrt(np.add.reduceat(w * w, first))
-    return w / np.repeat(np.maximum(norm, 1e-12), np.diff(np.r_[first, len(w)])), first
+    return (w / np.repeat(np.maximum(norm, 1e-12), np.diff(np.r_[first, len(w)]))).astype(np.float32), first
 
 
 def _sketch(idf: np.ndarray, random: np.ndarray, passage: int):
     """(code, y): this partition's part of (A'A) times the random directions."""
+    random = random.astype(np.float32)
+
     def run(batches):
-        total = np.zeros_like(random)
+        total = np.zeros(random.shape)
         for _, _, codes, sizes in _chunks(batches):
             pid, code, count, _ = _terms(codes, sizes, passage)
             if not len(code):
@@ -135,8 +138,10 @@ def _sketch(idf: np.ndarray, random: np.ndarray, passage: int):
             w, first = _weights(code, pid, count, idf)
             z = np.add.reduceat(random[code] * w[:, None], first)
             row = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(w)]))
-            for d in range(random.shape[1]):
-                total[:, d] += np.bincount(code, weights=w * z[row, d], minlength=len(idf))
+            # Add up by word: the terms in the order of their codes.
+            order = np.argsort(code, kind="stable")
+            start = np.flatnonzero(np.r_[True, np.diff(code[order]) > 0])
+            total[code[order[start]]] += np.add.reduceat(z[row[order]] * w[order, None], start)
         at = np.flatnonzero(total.any(axis=1))
         y = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * random.shape[1]),
                                      pa.array(total[at].ravel()))
@@ -189,17 +194,22 @@ class Retriever:
     """Windows of the items in latent space, and the checks of a candidate."""
 
     def __init__(self, items: list[Item], idf: np.ndarray, directions: np.ndarray):
-        self.items, self.idf = items, idf
+        self.items, self.idf, self.size = items, idf, len(idf)
         self.terms = (directions * idf[:, None]).astype(np.float32)
         self.terms[0] = 0
-        owner, offset, rows = [], [], []
+        owner, offset, rows, least = [], [], [], np.inf
         for k, it in enumerate(items):
-            for o in range(max(1, len(it.codes) - WINDOW + 1)):
-                owner.append(k)
-                offset.append(o)
-                rows.append(self.terms[it.codes[o: o + WINDOW]].sum(axis=0))
+            windows = [it.codes[o: o + WINDOW] for o in range(max(1, len(it.codes) - WINDOW + 1))]
+            owner += [k] * len(windows)
+            offset += range(len(windows))
+            rows += [self.terms[w].sum(axis=0) for w in windows]
+            least = min(least, float(np.median([idf[w].sum() for w in windows])))
+        # Half of the windows of every item carry this weight of their own words.
+        self.least = LEAST * least
         self.owner, self.offset = np.array(owner), np.array(offset)
-        self.queries = self._unit(np.array(rows, np.float32)) if rows else np.zeros((0, directions.shape[1]), np.float32)
+        self.queries = self._unit(np.array(rows, np.float32))
+        #: item * size + code of the items' words
+        self.words = np.unique(np.concatenate([k * self.size + it.codes for k, it in enumerate(items)]))
 
     @staticmethod
     def _unit(x: np.ndarray) -> np.ndarray:
@@ -218,16 +228,28 @@ class Retriever:
         end = np.minimum(begin + WINDOW, (first + sizes)[text])
         mass = np.concatenate([[0.0], np.cumsum(self.idf[codes])])
         known = np.concatenate([[0.0], np.cumsum(np.where(codes > 0, self.idf[codes], 0.0))])
-        ok = np.flatnonzero(known[end] - known[begin] >= SHARE * np.maximum(mass[end] - mass[begin], 1e-9))
+        weight = known[end] - known[begin]
+        ok = np.flatnonzero((weight >= self.least) & (weight >= SHARE * (mass[end] - mass[begin])))
         padded = np.concatenate([codes, np.zeros(WINDOW, codes.dtype)])
         for lo in range(0, len(ok), 512):
             w = ok[lo: lo + 512]
-            words = padded[begin[w][:, None] + np.arange(WINDOW)]
-            words = np.where(np.arange(WINDOW) < (end - begin)[w][:, None], words, 0)
+            inside = np.arange(WINDOW) < (end - begin)[w][:, None]
+            words = np.where(inside, padded[begin[w][:, None] + np.arange(WINDOW)], 0)
             cosine = self._unit(self.terms[words].sum(axis=1)) @ self.queries.T
             r, q = np.nonzero(cosine >= COSINE)
-            for i, j in zip(r.tolist(), q.tolist()):
-                yield (int(text[w[i]]), int(self.owner[j]), int(at[w[i]] - self.offset[j]), float(cosine[i, j]))
+            # The best offset of each window and item ...
+            value = cosine[r, q]
+            order = np.lexsort((-value, self.owner[q], r))
+            r, q, value = r[order], q[order], value[order]
+            best = np.r_[True, (r[1:] != r[:-1]) | (self.owner[q[1:]] != self.owner[q[:-1]])][: len(r)]
+            r, q, value = r[best], q[best], value[best]
+            # ... if the item's own words carry the window's weight.
+            key = self.owner[q][:, None] * self.size + words[r]
+            at_key = np.minimum(np.searchsorted(self.words, key), len(self.words) - 1)
+            own = np.where((self.words[at_key] == key) & (words[r] > 0), self.idf[words[r]], 0.0).sum(axis=1)
+            whole = np.where(inside[r], self.idf[words[r]], 0.0).sum(axis=1)
+            for i in np.flatnonzero(own >= SHARE * whole).tolist():
+                yield (int(text[w[r[i]]]), int(self.owner[q[i]]), int(at[w[r[i]]] - self.offset[q[i]]), float(value[i]))
 
     def verify(self, item: Item, codes: np.ndarray, start: int) -> tuple[float, float]:
         """Cover of the item and of its answer around ``start``."""

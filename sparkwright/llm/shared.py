@@ -35,6 +35,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def slices(batches, rows: int = 512):
+    """The Arrow batches in smaller ones, so that a task turns few texts into
+    Python strings at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def text_or_empty(col: str = "text") -> Column:
     """Null texts count as empty ones."""
     return F.coalesce(F.col(col), F.lit(""))
