@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkwright.llm.shared import query, stage, table
+from sparkwright.llm.shared import query, slices, stage, table
 
 CAPACITY = 2048
 #: Workers whose unfinished sequences are completed together.
@@ -88,7 +88,7 @@ def _pack(path: str, eos: int, capacity: int):
     def run(batches):
         worker = TaskContext.get().partitionId()
         number, bins, end = 0, {}, np.array([eos], "<u4")
-        for b in batches:
+        for b in slices(batches):
             done = [[] for _ in range(7)]
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 ids = np.concatenate([token_ids(text or "", path), end])

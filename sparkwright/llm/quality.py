@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkwright.llm.shared import query, table
+from sparkwright.llm.shared import query, slices, table
 
 FEATURES = ("words", "word_length", "upper", "symbols", "marks", "digits", "stops", "distinct", "adjacent",
             "line_length", "line_repeats", "short_words")
@@ -58,7 +58,7 @@ def statistics(text: str | None) -> np.ndarray:
 
 def _vectors(batches):
     """Statistics of the texts in the column ``text``, with the other columns."""
-    for b in batches:
+    for b in slices(batches):
         rows = [statistics(t) for t in b.column("text").to_pylist()]
         at = b.schema.get_field_index("text")
         flat = pa.array(np.concatenate(rows) if rows else np.zeros(0))
@@ -148,7 +148,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
 
 def _scores(model: Discriminant):
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             rows = [statistics(t) for t in b.column("text").to_pylist()]
             score = model.score(np.array(rows)) if rows else np.zeros(0)
             yield pa.RecordBatch.from_arrays(
@@ -167,7 +167,7 @@ def score(docs: DataFrame, model: Discriminant, id_col: str = "doc_id", text_col
 def keep_good(docs: DataFrame, model: Discriminant, cut: float = CUT, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that score at least ``cut``, all columns unchanged."""
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             rows = [statistics(t) for t in b.column(text_col).to_pylist()]
             if rows:
                 yield b.filter(pa.array(model.score(np.array(rows)) >= cut))

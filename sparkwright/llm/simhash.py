@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkwright.llm.components import components, forest
-from sparkwright.llm.shared import query, stage, table
+from sparkwright.llm.shared import query, slices, stage, table
 
 SEGMENTS = 5
 WIDTHS = (13, 13, 13, 13, 12)
@@ -55,7 +55,7 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
 
 def _fingerprints(shingle: int):
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             fp = np.array([fingerprint(t, shingle) for t in b.column(1).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], names=["doc_id", "fp"])
     return run

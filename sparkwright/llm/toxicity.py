@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkwright.llm.shared import query, stage, table
+from sparkwright.llm.shared import query, slices, stage, table
 from sparkwright.llm.words import words_of
 
 GRADES = 3
@@ -64,7 +64,7 @@ def copy_key(text: str | None) -> int:
 
 
 def _copy_keys(batches):
-    for b in batches:
+    for b in slices(batches):
         key = [copy_key(t) for t in b.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([*b.columns, pa.array(key, pa.int64())], names=[*b.schema.names, "copy"])
 
@@ -119,17 +119,29 @@ def ordinal_fit(rows: list[tuple[list[int], int]], n_features: int, ridge: float
     return p[:n_features], p[n_features] + np.concatenate([[0.0], np.cumsum(gaps)])
 
 
+#: Distinct words and beginnings that a task counts before it sends them on.
+COUNTED = 300_000
+
+
 def _words(batches):
-    for b in batches:
-        ys, out = b.column("y").to_pylist(), {0: {}, 1: {}}
-        for y, t in zip(ys, b.column("text").to_pylist()):
-            count = out[y]
-            for w in features_of(t):
-                count[w] = count.get(w, 0) + 1
+    """(word, y, n): texts of each kind with each feature."""
+    out = {0: {}, 1: {}}
+
+    def send():
         for y, count in out.items():
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(count), pa.binary()), pa.array(np.full(len(count), y), pa.int32()),
                  pa.array(list(count.values()), pa.int64())], names=["word", "y", "n"])
+            count.clear()
+
+    for b in slices(batches):
+        for y, t in zip(b.column("y").to_pylist(), b.column("text").to_pylist()):
+            count = out[y]
+            for w in features_of(t):
+                count[w] = count.get(w, 0) + 1
+        if len(out[0]) + len(out[1]) > COUNTED:
+            yield from send()
+    yield from send()
 
 
 def _known(words: list[bytes]):
@@ -137,7 +149,7 @@ def _known(words: list[bytes]):
     number = {w: i for i, w in enumerate(words)}
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             found = [sorted(number[w] for w in features_of(t) & number.keys()) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("y"), pa.array(found, pa.list_(pa.int32()))],
                                              names=["y", "features"])
@@ -184,7 +196,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
 
 def _scores(model: Ordinal):
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             up = model.at_least(b.column("text").to_pylist())
             sums = up.sum(axis=1)
             cols = [b.column(0), pa.array(sums), pa.array(np.rint(sums).astype(np.int32)), pa.array(up[:, 0])]
