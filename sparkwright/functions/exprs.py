@@ -23,10 +23,6 @@ def is_floating(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, FLOATING)
 
 
-def r6(c) -> Column:
-    return F.round(_c(c), 6)
-
-
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

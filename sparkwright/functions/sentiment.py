@@ -15,7 +15,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkwright.operators.relational import broadcast_if_small
 
 TOKEN_SPLIT = "[^a-z']+"
 
@@ -69,19 +68,9 @@ def classify_text(df: DataFrame, text: str = "word", lexicon: dict = LEXICON) ->
 
 def score_with_table(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
     """Batch form for a lexicon held in a table (word, polarity, subjectivity):
-    tokens join the lexicon (broadcast after a size check), means per key."""
+    tokens join the lexicon, means per key."""
     toks = df.select(key, F.explode(F.split(F.lower(F.col(text)), TOKEN_SPLIT)).alias("word"))
-    hits = toks.join(broadcast_if_small(lexicon), "word", "inner")
+    hits = toks.join(lexicon, "word", "inner")
     agg = hits.groupBy(key).agg(F.avg("polarity").alias("polarity"), F.avg("subjectivity").alias("subjectivity"))
     return (df.join(agg, key, "left")
             .fillna(0.0, subset=["polarity", "subjectivity"]))
-
-
-def library_scorer(fn, return_type: str = "double"):
-    """X5 hook: wrap a per-text Python scoring function (e.g. a third-party
-    sentiment library) as an Arrow-batched Pandas UDF.  This is the slow path;
-    the lexicon expressions above stay in the JVM."""
-    @F.pandas_udf(return_type)
-    def _score(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else fn(t))
-    return _score

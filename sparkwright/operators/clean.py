@@ -7,7 +7,7 @@ columns only (on text it fails under ANSI mode).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -60,28 +60,43 @@ def fill_missing(df: DataFrame, value, subset: list[str] | None = None) -> DataF
     return df.fillna(value, subset=subset)
 
 
+def _row_hash(df: DataFrame, columns: list[str]) -> Column:
+    """256-bit hash of some columns, nulls and lengths told apart: the group key
+    of whole rows, so that long texts are neither shuffled nor sorted."""
+    parts = []
+    for c in columns:
+        v = F.col(f"`{c}`")
+        text = v if dict(df.dtypes)[c] == "string" else F.to_json(F.struct(v))
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.sha2(F.concat_ws(",", *parts), 256)
+
+
 def duplicate_count(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Number of rows that repeat an earlier row (nulls compare equal).
-    Group counts are combined map-side, so a hot row costs no single task."""
+    Rows are counted by hash, combined map-side, so a hot row costs no single
+    task and no text leaves the scan."""
     cols = columns or df.columns
-    g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    g = df.select(_row_hash(df, cols).alias("_h")).groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
     return g.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("duplicates"),
                  F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("rows"),
                  F.count(F.lit(1)).cast("long").alias("distinct_rows"))
 
 
-def dedup(df: DataFrame, subset: list[str] | None = None, keep_first_by: list[str] | None = None) -> DataFrame:
+def dedup(df: DataFrame, subset: list[str] | None = None, keep_first_by: list[str] | None = None,
+          columns: list[str] | None = None) -> DataFrame:
     """Drop duplicate rows.  With ``subset`` and ``keep_first_by`` the row with
     the smallest order key is kept; ``min_by`` is a partial aggregate, so a key
-    with a third of all rows is reduced map-side before the shuffle."""
+    with a third of all rows is reduced map-side before the shuffle.  The
+    rows are grouped by the hash of ``subset``, so of long texts only the
+    returned ``columns`` (all by default) are shuffled."""
     if not subset:
         return df.dropDuplicates()
     if not keep_first_by:
         return df.dropDuplicates(subset)
-    others = [c for c in df.columns if c not in subset]
     order = F.struct(*[F.col(c) for c in keep_first_by])
-    kept = df.groupBy(*subset).agg(F.min_by(F.struct(*others), order).alias("_r"))
-    return kept.select(*subset, "_r.*").select(*df.columns)
+    kept = (df.withColumn("_h", _row_hash(df, subset)).groupBy("_h")
+            .agg(F.min_by(F.struct(*[F.col(c) for c in columns or df.columns]), order).alias("_r")))
+    return kept.select("_r.*")
 
 
 def constant_columns(df: DataFrame, columns: list[str] | None = None) -> list[str]:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from sparkwright.functions.exprs import safe_div
 from sparkwright.operators.ordering import row_number_exact
-from sparkwright.operators.relational import broadcast_if_small, map_lookup
+from sparkwright.operators.relational import map_lookup
 
 # ------------------------------------------------------- H1: label stages
 
@@ -66,29 +66,34 @@ def frequency_index(train: DataFrame, column: str) -> DataFrame:
     """Fitted index table (value, index): most frequent value gets 0.0,
     ties alphabetical (StringIndexer frequencyDesc).  Counts are combined
     map-side; the numbering is a distributed sort of the distinct values."""
-    counts = train.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = row_number_exact(counts, [F.col("_n").desc(), F.col(column).asc()], out="_rn")
+    counts = train.where(F.col(column).isNotNull()).groupBy(column).agg((-F.count(F.lit(1))).alias("_less"))
+    ranked = row_number_exact(counts, ["_less", column], out="_rn")
     return ranked.select(column, (F.col("_rn") - 1).cast("double").alias("index"))
 
 
 def apply_index(df: DataFrame, index: DataFrame, column: str, out: str) -> DataFrame:
     """Attach the fitted index; unseen values -> null."""
     idx = index.select(F.col(column).alias("_v"), F.col("index").alias(out))
-    return df.join(broadcast_if_small(idx), F.col(column) == F.col("_v"), "left").drop("_v")
+    return df.join(idx, F.col(column) == F.col("_v"), "left").drop("_v")
 
 
 # ------------------------------------------------------------ H3: one-hot
 
 
-def fit_categories(train: DataFrame, columns: list[str], max_values: int = 10_000) -> dict[str, list]:
-    """Sorted distinct values per nominal column (names only reach the driver)."""
-    out = {}
-    for c in columns:
-        vals = train.select(c).where(F.col(c).isNotNull()).distinct().limit(max_values + 1).collect()
-        if len(vals) > max_values:
-            raise ValueError(f"{c} has more than {max_values} categories")
-        out[c] = sorted(r[0] for r in vals)
-    return out
+def fit_categories(train: DataFrame, columns: list[str]) -> dict[str, list]:
+    """Sorted distinct values per nominal column, for the wide form: each
+    becomes a column, so the schema bounds them.  For columns with more values
+    use ``frequency_index`` and ``one_hot_vector``, which keep them in a table."""
+    return {c: sorted(r[0] for r in train.select(c).where(F.col(c).isNotNull()).distinct().collect()) for c in columns}
+
+
+def one_hot_vector(df: DataFrame, index: DataFrame, column: str, out: str) -> DataFrame:
+    """One-hot as (size, slot): a sparse 0/1 row of any width.  ``slot`` is the
+    fitted index of the value, null for unseen and null values; ``size`` is
+    the number of fitted values."""
+    size = F.lit(index.count()).alias("size")
+    got = apply_index(df, index, column, "_slot")
+    return got.withColumn(out, F.struct(size, F.col("_slot").cast("bigint").alias("slot"))).drop("_slot")
 
 
 def one_hot(df: DataFrame, categories: dict[str, list], drop_input: bool = True) -> tuple[DataFrame, list[str]]:
@@ -138,12 +143,12 @@ def standardize(df: DataFrame, stats: dict[str, float], columns: list[str], with
 # ------------------------------------------------------ F10: stable ids
 
 
-def stable_id(df: DataFrame, columns: list[str], out: str = "row_id") -> DataFrame:
+def stable_id(df: DataFrame, columns: list[str], key: list[str], out: str = "row_id") -> DataFrame:
     """Content hash id: the same row gets the same id under any partitioning.
-    Exact copies share a hash; ``copy`` numbers them 1..k so (row_id, copy) is
-    unique.  Copies are interchangeable; the numbering is a distributed sort,
-    so a hash shared by a third of all rows still spreads over many tasks."""
+    Returns the ``key`` columns, the hash and ``copy``, which numbers rows of
+    one hash 1..k in key order, so (row_id, copy) is unique.  The hashed
+    columns stay behind; a hash shared by a third of all rows still spreads
+    over many tasks."""
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in columns]
-    h = F.sha2(F.concat_ws("\u0001", *parts), 256)
-    x = df.withColumn(out, h).withColumn("_tie", F.monotonically_increasing_id())
-    return row_number_exact(x, ["_tie"], part_cols=[out], out="copy").drop("_tie")
+    x = df.select(*key, F.sha2(F.concat_ws("\u0001", *parts), 256).alias(out))
+    return row_number_exact(x, key, part_cols=[out], out="copy")

@@ -2,26 +2,23 @@
 
 A window ``partitionBy(g).orderBy(o)`` sends each group to one task; with a hot
 group holding a third of the rows that task does a third of the job.  Here the
-rows are range-partitioned on ``(g, o)`` (boundaries from a sample, so a hot
-group spreads over many partitions), numbered inside each partition, and
-shifted by the totals of the earlier partitions of the same group.  Only
-groups that span a partition boundary need such a shift, so the offset table
-has at most twice as many rows as partitions, whatever the number of groups.
+first order column is cut into buckets at points taken from a sample, so a
+group spreads over all buckets.  The cut points are literals in the plan, so
+every evaluation gives a row the same bucket and nothing has to be written.
+Each (group, bucket) starts from the total of the group's earlier buckets: that
+total enters the window as a row of its own, before the bucket's rows, so the
+data is exchanged once and never joined.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkwright.session import materialize
-
-
-def broadcast_if_small(df, max_rows: int = 1_000_000):
-    from sparkwright.operators.relational import broadcast_if_small as b
-    return b(df, max_rows)
+#: Sampled rows per cut point; the sample on the driver has this many times the buckets.
+SAMPLE_PER_CUT = 50
 
 
 def _n_partitions(df: DataFrame, n: int | None) -> int:
@@ -30,49 +27,57 @@ def _n_partitions(df: DataFrame, n: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def running_total(df: DataFrame, order_cols: list, weight: str | None = None,
+def _cut_points(df: DataFrame, order_cols: list[str], part_cols: list[str], buckets: int) -> list:
+    """Up to ``buckets`` - 1 ascending values of the first order column, from
+    the rows with the smallest hashes (the order and group columns identify a
+    row, so this is a uniform sample, the same in every run)."""
+    first = order_cols[0]
+    few = (df.where(F.col(first).isNotNull()).select(first, F.xxhash64(*part_cols, *order_cols).alias("_s"))
+           .orderBy("_s", first).limit(buckets * SAMPLE_PER_CUT).orderBy(first).select(first).collect())
+    values = [few[i * len(few) // buckets][0] for i in range(1, buckets)] if few else []
+    return [v for i, v in enumerate(values) if i == 0 or v != values[i - 1]]
+
+
+def _bucket(column: str, cuts: list, kind: str) -> Column:
+    """Number of cut points below the value; nulls sort first, into bucket 0."""
+    if not cuts:
+        return F.lit(0)
+    points = F.array(*[F.lit(c).cast(kind) for c in cuts])
+    return F.when(F.col(column).isNull(), 0).otherwise(F.size(F.filter(points, lambda c: c < F.col(column))))
+
+
+def running_total(df: DataFrame, order_cols: list[str], weight: str | None = None,
                   part_cols: list[str] | tuple = (), out: str = "_run",
                   num_partitions: int | None = None) -> DataFrame:
     """Add ``out`` = inclusive running sum of ``weight`` (1 per row when None)
-    within ``part_cols`` in ``order_cols`` order.  ``order_cols`` (with
-    ``part_cols``) must identify rows uniquely for a deterministic result.
-
-    The range bounds come from a sample taken when the exchange runs; a second
-    read of the same lineage could sample other bounds.  So the numbered rows
-    are written once with a reliable ``checkpoint`` (to the shared checkpoint
-    folder) and both the per-partition totals and the result read that copy."""
+    within ``part_cols`` in ascending ``order_cols`` order, nulls first.
+    ``order_cols`` (with ``part_cols``) must identify rows uniquely for a
+    deterministic result; a null group is a group like any other."""
     part_cols = list(part_cols)
-    n = _n_partitions(df, num_partitions)
-    w = F.col(weight) if weight else F.lit(1).cast("long")
-    rp = (df.repartitionByRange(n, *part_cols, *order_cols)
-          .withColumn("_pid", F.spark_partition_id())
-          .withColumn("_w", w))
-    local_w = (Window.partitionBy("_pid", *part_cols).orderBy(*order_cols)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = materialize(rp.withColumn("_local", F.sum("_w").over(local_w)))
-    totals = local.groupBy("_pid", *part_cols).agg(F.sum("_w").alias("_ptot"))
-    if part_cols:
-        # Range partitioning keeps each group contiguous, so a group needs an
-        # offset only where it continues from an earlier partition: at most
-        # partitions - 1 groups span a boundary.  Keep only their totals.
-        spans = (totals.groupBy(*part_cols).agg(F.count(F.lit(1)).alias("_np"))
-                 .where(F.col("_np") > 1).select(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(part_cols)]))
-        same = [F.col(c).eqNullSafe(F.col(f"_s{i}")) for i, c in enumerate(part_cols)]
-        totals = totals.join(F.broadcast(spans), reduce(lambda a, b: a & b, same), "left_semi")
-    off_w = (Window.partitionBy(*part_cols).orderBy("_pid")
-             .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select(F.col("_pid").alias("_opid"),
-                            *[F.col(c).alias(f"_o{i}") for i, c in enumerate(part_cols)],
-                            F.coalesce(F.sum("_ptot").over(off_w), F.lit(0)).alias("_off"))
-    # At most partitions rows (no groups) or 2 x partitions rows (groups that
-    # span a boundary, two or more partitions each): bounded by the partition
-    # count, never by the data, so it is broadcast.  Rows of groups that sit
-    # in one partition find no match and start at 0; null keys match too.
-    on = [F.col("_pid") == F.col("_opid")] + [F.col(c).eqNullSafe(F.col(f"_o{i}"))
-                                              for i, c in enumerate(part_cols)]
-    j = local.join(F.broadcast(offsets), reduce(lambda a, b: a & b, on), "left")
-    return (j.withColumn(out, F.coalesce(F.col("_off"), F.lit(0)) + F.col("_local"))
-            .select(*[F.col(f"`{c}`") for c in df.columns if c != out], out))
+    # More buckets than partitions, so that hashing spreads them evenly.
+    buckets = 2 * _n_partitions(df, num_partitions)
+    cuts = _cut_points(df, order_cols, part_cols, buckets)
+    kind = dict(df.dtypes)[order_cols[0]]
+    x = df.withColumns({"_bucket": _bucket(order_cols[0], cuts, kind),
+                        "_w": F.col(weight) if weight else F.lit(1).cast("long"), "_first": F.lit(1)})
+    # One row per group and bucket, combined map-side.
+    totals = x.groupBy(*part_cols, "_bucket").agg(F.sum("_w").alias("_total"))
+    earlier = Window.partitionBy(*part_cols).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (totals.withColumn("_w", F.sum("_total").over(earlier)).where(F.col("_w").isNotNull())
+              .select(*part_cols, "_bucket", "_w", F.lit(0).alias("_first")))
+    inside = (Window.partitionBy(*part_cols, "_bucket").orderBy("_first", *order_cols)
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (x.unionByName(starts, allowMissingColumns=True).withColumn(out, F.sum("_w").over(inside))
+            .where("_first = 1").select(*[F.col(f"`{c}`") for c in df.columns if c != out], out))
+
+
+def join_groups(left: DataFrame, right: DataFrame, cols: list[str], how: str = "left") -> DataFrame:
+    """Join on group columns that both frames have; null groups match.  The
+    columns of ``left`` stay, those of ``right`` besides ``cols`` are added."""
+    named = right.select(*[F.col(f"`{c}`").alias(f"_j{i}") for i, c in enumerate(cols)],
+                         *[F.col(f"`{c}`") for c in right.columns if c not in cols])
+    on = [F.col(f"`{c}`").eqNullSafe(F.col(f"_j{i}")) for i, c in enumerate(cols)]
+    return left.join(named, reduce(lambda x, y: x & y, on), how).drop(*[f"_j{i}" for i in range(len(cols))])
 
 
 def row_number_exact(df: DataFrame, order_cols: list[str], part_cols=(), out: str = "rn",
@@ -91,17 +96,18 @@ def average_rank(df: DataFrame, value: str, part_cols=(), out: str = "rank",
     ranked = running_total(counts, [value], "_cnt", part_cols, "_cum", num_partitions)
     ranked = ranked.select(*part_cols, value,
                            (F.col("_cum") - (F.col("_cnt") - 1) / 2.0).alias(out))
-    # One row per distinct value: broadcast when the count proves it small,
-    # so a value shared by many rows never lands in one join task; otherwise
-    # a shuffle join whose hot keys AQE splits.
-    return df.join(broadcast_if_small(ranked), [*part_cols, value], "left")
+    # One row per distinct value: the planner broadcasts it when it is small;
+    # otherwise it is a shuffle join whose hot keys AQE splits.
+    return join_groups(df, ranked, [*part_cols, value])
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], part_cols=(),
-                    num_partitions: int | None = None) -> DataFrame:
+                    num_partitions: int | None = None, few_groups: bool = False) -> DataFrame:
     """Linear-interpolated quantiles (numpy/pandas default, DuckDB quantile_cont)
     computed from a distributed sort; returns one row per group and probability:
-    ``(*part_cols, prob, quantile)``.  No task ever holds a whole group."""
+    ``(*part_cols, prob, quantile)``.  No task ever holds a whole group; a null
+    group is a group.  ``few_groups``: the groups are bounded by the schema, so
+    the table of wanted positions may be broadcast."""
     part_cols = list(part_cols)
     grouped = bool(part_cols)
     vals = df.where(F.col(value).isNotNull()).select(*part_cols, value)
@@ -118,13 +124,15 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], part_cols=(),
            .withColumn("_frac", F.col("_h") - F.col("_lo")))
     # A distinct value v covers 0-based positions [cum - cnt, cum - 1]; each
     # (group, prob) needs the values at positions lo and hi.  One equi-join on
-    # the group (the positions table is #groups x #probs rows, size-checked
-    # before broadcast) and a range filter; no pair table is formed.
+    # the group (the positions table has #groups x #probs rows) and a range
+    # filter; no pair table is formed.
     span = cum.select(*part_cols, value, (F.col("_cum") - F.col("_cnt")).alias("_start"),
                       (F.col("_cum") - 1).alias("_end"))
     in_lo = (F.col("_lo") >= F.col("_start")) & (F.col("_lo") <= F.col("_end"))
     in_hi = (F.col("_hi") >= F.col("_start")) & (F.col("_hi") <= F.col("_end"))
-    hits = span.join(broadcast_if_small(pos), part_cols, "inner").where(in_lo | in_hi)
+    if few_groups or not grouped:
+        pos = F.broadcast(pos.drop("_n"))
+    hits = join_groups(span, pos, part_cols, "inner").where(in_lo | in_hi)
     q = hits.groupBy(*part_cols, "prob", "_frac").agg(
         F.max(F.when(in_lo, F.col(value))).alias("_vlo"), F.max(F.when(in_hi, F.col(value))).alias("_vhi"))
     keep = part_cols if grouped else []

@@ -1,20 +1,21 @@
 """Profiling and aggregates.
 
-Wide statistics are computed in ONE aggregate over the wide row and only the
-single result row is transposed to long form, so no input row is multiplied.
-Exact quantiles and ranks come from a distributed sort (see ``ordering``).
+Wide statistics, histograms and densities are computed in one aggregate over
+the wide row, and only the result row is transposed to long form.  Exact
+quantiles and ranks unpivot the columns, count the distinct values map-side and
+sort those (see ``ordering``).
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkwright.functions.exprs import local_table
-from sparkwright.operators.ordering import average_rank, exact_quantiles
-from sparkwright.operators.relational import broadcast_if_small
+from sparkwright.operators.ordering import average_rank, exact_quantiles, join_groups
 
 # ------------------------------------------------------------- small helpers
 
@@ -56,17 +57,22 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
 
 
-def crosstab(df: DataFrame, a: str, b: str, values: list | None = None,
-             max_values: int = 10_000) -> DataFrame:
+def crosstab_long(df: DataFrame, a: str, b: str) -> DataFrame:
+    """A5 for any number of values: (a, b, count) of the pairs that occur,
+    nulls included."""
+    return df.groupBy(a, b).agg(F.count(F.lit(1)).alias("count"))
+
+
+def crosstab(df: DataFrame, a: str, b: str, values: list | None = None) -> DataFrame:
     """A5: contingency table, first column ``a_b`` holds a's value, one count
-    column per value of b, missing pairs = 0.  Keys keep their type (unlike
-    ``DataFrame.crosstab``).  Values of b are listed or discovered (bounded)."""
+    column per value of b (``null`` for its nulls), missing pairs = 0.  Keys
+    keep their type (unlike ``DataFrame.crosstab``).  The wide form has a
+    column per value, listed or found; for unbounded ones there is
+    ``crosstab_long``."""
     if values is None:
-        vals = df.select(b).distinct().limit(max_values + 1).collect()
-        if len(vals) > max_values:
-            raise ValueError(f"{b} has more than {max_values} distinct values")
-        values = sorted(r[0] for r in vals if r[0] is not None)
-    counts = [F.count_if(F.col(b) == F.lit(v)).alias(str(v)) for v in values]
+        found = [r[0] for r in df.select(b).distinct().collect()]
+        values = sorted(v for v in found if v is not None) + [None] * (None in found)
+    counts = [F.count_if(F.col(b).eqNullSafe(F.lit(v))).alias("null" if v is None else str(v)) for v in values]
     return df.groupBy(F.col(a).alias(f"{a}_{b}")).agg(*counts)
 
 
@@ -98,7 +104,7 @@ def describe_quartiles(df: DataFrame, columns: list[str], approx: bool = False,
         qs = _transpose(df.agg(*aggs), columns, ["q"])
         qs = qs.select("column", *[F.col("q")[i].alias(n) for i, n in enumerate(["q25", "q50", "q75"])])
     else:
-        q = exact_quantiles(_long(df, columns), "value", probs, ["column"])
+        q = exact_quantiles(_long(df, columns), "value", probs, ["column"], few_groups=True)
         qs = q.groupBy("column").pivot("prob", probs).agg(F.first("quantile"))
         qs = qs.select("column", *[F.col(f"`{p}`").alias(n) for p, n in zip(probs, ["q25", "q50", "q75"])])
     return basic.join(qs, "column", "left")
@@ -113,8 +119,9 @@ def describe_by_class(df: DataFrame, column: str, by: str) -> DataFrame:
     probs = [0.25, 0.5, 0.75]
     q = exact_quantiles(df.select(by, x.alias("_v")), "_v", probs, [by])
     qs = q.groupBy(by).pivot("prob", probs).agg(F.first("quantile"))
-    qs = qs.select(by, *[F.col(f"`{p}`").alias(n) for p, n in zip(probs, ["q25", "q50", "q75"])])
-    return basic.join(qs, by, "left")
+    names = ["q25", "q50", "q75"]
+    qs = qs.select(by, *[F.col(f"`{p}`").alias(n) for p, n in zip(probs, names)])
+    return join_groups(basic, qs, [by])
 
 
 def info(df: DataFrame) -> DataFrame:
@@ -134,32 +141,27 @@ def means(df: DataFrame, columns: list[str]) -> DataFrame:
 # ------------------------------------------------------------- A18 / A19
 
 
-# Above this many columns the pairwise aggregate list (d*(d-1)/2 entries) is
-# replaced by one Correlation.corr pass over an assembled vector.
-WIDE_CORR_COLUMNS = 50
+# Pairs of columns that one aggregate takes at a time.
+_PAIRS = 400
 
 
-def corr_pearson(df: DataFrame, columns: list[str], wide_threshold: int = WIDE_CORR_COLUMNS) -> DataFrame:
+def corr_pearson(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pairwise Pearson, long (a, b, corr) for a before b in ``columns``;
-    zero variance -> null.  One aggregate pass for all pairs; for wide tables
-    one ``Correlation.corr`` pass (rows with a null are skipped there)."""
+    each pair over the rows where both are present, zero variance -> null.
+    Every aggregate takes a chunk of the pairs, so wide tables take several
+    passes and mean the same."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    if len(columns) > wide_threshold:
-        from pyspark.ml.feature import VectorAssembler
-        from pyspark.ml.stat import Correlation
-        vec = VectorAssembler(inputCols=columns, outputCol="_v", handleInvalid="skip").transform(
-            df.select(*[F.col(c).cast("double").alias(c) for c in columns]))
-        m = Correlation.corr(vec, "_v", "pearson").first()[0].toArray()     # d x d, d bounded by the schema
-        idx = {c: i for i, c in enumerate(columns)}
-        vals = [(a, b, None if m[idx[a], idx[b]] != m[idx[a], idx[b]] else float(m[idx[a], idx[b]]))
-                for a, b in pairs]
-        return local_table(df.sparkSession, vals, "a string, b string, corr double")
-    aggs = [F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}|{b}") for a, b in pairs]
-    one = df.agg(*aggs)
-    rows = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
-                     F.nanvl(F.col(f"`{a}|{b}`"), F.lit(None).cast("double")).alias("corr"))
-            for a, b in pairs]
-    return one.select(F.inline(F.array(*rows)))
+    parts = []
+    for at in range(0, max(1, len(pairs)), _PAIRS):
+        some = pairs[at: at + _PAIRS]
+        one = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}|{b}") for a, b in some]
+                     or [F.lit(1)])
+        rows = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
+                         F.nanvl(F.col(f"`{a}|{b}`"), F.lit(None).cast("double")).alias("corr"))
+                for a, b in some]
+        parts.append(one.select(F.inline(F.array(*rows))) if rows
+                     else local_table(df.sparkSession, [], "a string, b string, corr double"))
+    return reduce(DataFrame.unionAll, parts)
 
 
 def corr_spearman(df: DataFrame, columns: list[str], key: str) -> DataFrame:
@@ -173,35 +175,57 @@ def corr_spearman(df: DataFrame, columns: list[str], key: str) -> DataFrame:
 # ---------------------------------------------------------- A20 - A22
 
 
-def _bounds(long: DataFrame, by: list[str] = ()) -> DataFrame:
-    """Per column (and class) min, max, count, stddev.  The table has one row
-    per column (x class): it is collected once and re-created as literal rows,
-    so the data is not aggregated again for every use of the bounds."""
-    b = long.groupBy("column", *by).agg(F.min("value").alias("_mn"), F.max("value").alias("_mx"),
-                                        F.count("value").alias("_n"),
-                                        F.stddev_samp("value").alias("_sd"))
-    return local_table(long.sparkSession, b.collect(), b.schema)
+def _ranges(df: DataFrame, columns: list[str], by: list[str] = ()) -> DataFrame:
+    """Per column (and class) min, max, count and stddev: one wide aggregate,
+    then a row per column (and class)."""
+    aggs = []
+    for c in columns:
+        v = F.col(c).cast("double")
+        aggs += [F.min(v).alias(f"{c}__mn"), F.max(v).alias(f"{c}__mx"), F.count(v).alias(f"{c}__n"),
+                 F.stddev_samp(v).alias(f"{c}__sd")]
+    wide = df.groupBy(*by).agg(*aggs)
+    rows = [F.struct(F.lit(c).alias("column"), *[F.col(f"`{c}__{s}`").alias(f"_{s}") for s in ("mn", "mx", "n", "sd")])
+            for c in columns]
+    return wide.select(*by, F.inline(F.array(*rows)))
 
 
-def _bin_expr(n: int):
+def _bin_expr(value, n: int):
     span = F.col("_mx") - F.col("_mn")
-    raw = F.floor(F.try_divide((F.col("value") - F.col("_mn")) * n, span)) + 1
+    raw = F.floor(F.try_divide((value - F.col("_mn")) * n, span)) + 1
     return F.when(span == 0, F.lit(1)).otherwise(F.least(raw, F.lit(n))).cast("int")
 
 
 def histogram(df: DataFrame, columns: list[str], bins: int = 10, by: str | None = None) -> DataFrame:
     """Equal-width histogram per column (and class): rows
-    (column[, by], bin, lo, hi, count, density); empty bins are kept.
-    Range per column (and class); top edge folded into the last bin."""
+    (column[, by], bin, lo, hi, count, density); empty bins are kept, a null
+    class is a class.  Range per column (and class); top edge folded into the
+    last bin.  Without classes the ranges are literals of the counting
+    projection; classes join their table of ranges."""
     grp = [by] if by else []
-    long = _long(df, columns, grp).where(F.col("value").isNotNull())
-    b = _bounds(long, grp)
-    counted = (long.join(F.broadcast(b.select("column", *grp, "_mn", "_mx")), ["column", *grp])
-               .withColumn("bin", _bin_expr(bins))
-               .groupBy("column", *grp, "bin").agg(F.count(F.lit(1)).alias("count")))
+    ranges = _ranges(df, columns, grp)
+    if by:
+        long = _long(df, columns, grp).where(F.col("value").isNotNull())
+        binned = (join_groups(long, ranges.where("_n > 0"), ["column", by], "inner")
+                  .select("column", by, _bin_expr(F.col("value"), bins).alias("bin")))
+    else:
+        # At most one row per column.
+        ranges = local_table(df.sparkSession, ranges.collect(), ranges.schema)
+        rows = {r["column"]: r for r in ranges.collect()}
+        cells = []
+        for c in columns:
+            value, r = F.col(c).cast("double"), rows.get(c)
+            if r and r["_n"]:
+                width = r["_mx"] - r["_mn"]
+                raw = F.floor((value - F.lit(r["_mn"])) * bins / F.lit(width)) + 1 if width else F.lit(1)
+                cells.append(F.struct(F.lit(c).alias("column"), F.when(
+                    value.isNotNull(), F.least(raw, F.lit(bins))).cast("int").alias("bin")))
+        binned = (df.select(F.inline(F.array(*cells))) if cells
+                  else local_table(df.sparkSession, [], "column string, bin int")).where("bin is not null")
+    counted = binned.groupBy("column", *grp, "bin").agg(F.count(F.lit(1)).alias("count"))
     width = (F.col("_mx") - F.col("_mn")) / bins
-    grid = b.select("column", *grp, "_mn", "_mx", "_n", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
-    out = (grid.join(counted, ["column", *grp, "bin"], "left")
+    ranges = ranges.where("_n > 0")
+    grid = ranges.select("column", *grp, "_mn", "_mx", "_n", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
+    out = (join_groups(grid, counted, ["column", *grp, "bin"])
            .withColumn("count", F.coalesce("count", F.lit(0)).cast("long")))
     return out.select("column", *grp, "bin",
                       (F.col("_mn") + (F.col("bin") - 1) * width).alias("lo"),
@@ -210,25 +234,33 @@ def histogram(df: DataFrame, columns: list[str], bins: int = 10, by: str | None
                       F.try_divide(F.col("count"), F.col("_n") * width).alias("density"))
 
 
-def kde(df: DataFrame, columns: list[str], points: int = 16) -> DataFrame:
+#: Grid points of a density curve, as plotting libraries draw it.
+KDE_POINTS = 200
+
+
+def kde(df: DataFrame, columns: list[str], points: int = KDE_POINTS) -> DataFrame:
     """Gaussian kernel density on ``points`` evenly spaced grid points per
-    column, bandwidth = stddev * n^(-1/5).  Each grid point is one aggregate
-    over the rows joined with their column's 1-row bounds (no pair table)."""
-    long = _long(df, columns).where(F.col("value").isNotNull())
-    b = _bounds(long)
-    h = F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2))
-    j = long.join(F.broadcast(b.withColumn("_h", h)), "column")
-    step = (F.col("_mx") - F.col("_mn")) / (points - 1)
-    aggs = []
-    for k in range(points):
-        xk = F.col("_mn") + step * k
-        aggs.append(F.sum(F.exp(-0.5 * F.pow((xk - F.col("value")) / F.col("_h"), 2))).alias(f"k{k}"))
-    s = j.groupBy("column", "_mn", "_mx", "_n", "_h").agg(*aggs)
-    norm = F.col("_n") * F.col("_h") * F.lit(math.sqrt(2 * math.pi))
-    rows = [F.struct(F.lit(k).alias("point"),
-                     (F.col("_mn") + (F.col("_mx") - F.col("_mn")) / (points - 1) * k).alias("x"),
-                     F.try_divide(F.col(f"k{k}"), norm).alias("density")) for k in range(points)]
-    return s.select("column", F.inline(F.array(*rows)))
+    column, bandwidth = stddev * n^(-1/5).  The ranges are literals; each task
+    adds its values up into one array per column, an element per grid point."""
+    ranges = _ranges(df, columns).collect()  # a row per column
+    spark, parts = df.sparkSession, []
+    for r in ranges:
+        if not r["_n"] or r["_sd"] is None:
+            continue
+        h = r["_sd"] * float(r["_n"]) ** -0.2
+        step = (r["_mx"] - r["_mn"]) / (points - 1)
+        v = F.col(r["column"]).cast("double")
+        sums = []
+        for k in range(points):
+            z = (F.lit(r["_mn"] + step * k) - v) / F.lit(h) if h else F.lit(None).cast("double")
+            sums.append(F.sum(F.exp(-0.5 * z * z)).alias(f"k{k}"))
+        norm = F.lit(r["_n"] * h * math.sqrt(2 * math.pi))
+        rows = [F.struct(F.lit(k).alias("point"), F.lit(r["_mn"] + step * k).alias("x"),
+                         F.try_divide(F.col(f"k{k}"), norm).alias("density")) for k in range(points)]
+        parts.append(df.agg(*sums).select(F.lit(r["column"]).alias("column"), F.inline(F.array(*rows))))
+    if not parts:
+        return local_table(spark, [], "column string, point int, x double, density double")
+    return reduce(DataFrame.unionAll, parts)
 
 
 # ----------------------------------------------------------- A23 - A25

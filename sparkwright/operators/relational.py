@@ -6,42 +6,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringType, StructType
+from pyspark.sql.types import DataType, StructType
 
 from sparkwright.functions.exprs import null_safe
 
-# Upper bounds for a side we broadcast after checking its size: rows, and
-# bytes (exact for text and binary, the type's width for fixed-size values).
-BROADCAST_MAX_ROWS = 1_000_000
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-# Bytes per value of the fixed-size types (others count 8).
-_FIXED_WIDTH = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "float": 4, "date": 4, "decimal": 16}
-
-
-def _row_bytes(df: DataFrame) -> Column:
-    parts = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, (StringType, BinaryType)):
-            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
-        elif isinstance(f.dataType, (ArrayType, MapType, StructType)):
-            parts.append(F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)))
-        else:
-            parts.append(F.lit(_FIXED_WIDTH.get(f.dataType.typeName(), 8)))
-    return reduce(lambda a, b: a + b, parts, F.lit(8)).cast("long")
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                       max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows
-    and about ``max_bytes`` bytes (one job, stopped after ``max_rows + 1``
-    rows); otherwise return it unchanged and let the planner shuffle (AQE may
-    still convert to a broadcast at runtime)."""
-    sizes = df.select(_row_bytes(df).alias("_b")).limit(max_rows + 1)      # only one long per row moves
-    r = sizes.agg(F.count(F.lit(1)).alias("n"), F.sum("_b").alias("b")).first()
-    small = r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
-    return F.broadcast(df) if small else df
-
 
 # ---------------------------------------------------------------- projection
 
@@ -93,12 +61,10 @@ def route(df: DataFrame, pred: Column) -> tuple[DataFrame, DataFrame]:
 
 
 def isin_keys(df: DataFrame, column: str, keys, key_column: str | None = None) -> DataFrame:
-    """Membership in a key list (literal) or a key table (semi join).
-    A key table is broadcast only after its size is checked."""
+    """Membership in a key list (literal) or a key table (semi join, which
+    takes repeated keys as they are; the planner picks the join)."""
     if isinstance(keys, DataFrame):
-        kc = key_column or column
-        k = keys.select(F.col(kc).alias(column)).distinct()
-        return df.join(broadcast_if_small(k), column, "left_semi")
+        return df.join(keys.select(F.col(key_column or column).alias(column)), column, "left_semi")
     return df.where(F.col(column).isin(list(keys)))
 
 
@@ -164,8 +130,7 @@ def map_lookup(df: DataFrame, column: str, mapping: dict, out: str,
 
 def table_lookup(df: DataFrame, column: str, mapping: DataFrame, key: str, value: str,
                  out: str, default=None) -> DataFrame:
-    """J3 for a mapping held in a table: left join (broadcast after a size
-    check), unknown keys -> ``default``."""
+    """J3 for a mapping held in a table: left join, unknown keys -> ``default``."""
     m = mapping.select(F.col(key).alias("_k"), F.col(value).alias(out))
-    j = df.join(broadcast_if_small(m), F.col(column) == F.col("_k"), "left").drop("_k")
+    j = df.join(m, F.col(column) == F.col("_k"), "left").drop("_k")
     return j.withColumn(out, F.coalesce(F.col(out), F.lit(default))) if default is not None else j

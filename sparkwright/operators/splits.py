@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkwright.operators.ordering import row_number_exact
-from sparkwright.operators.relational import broadcast_if_small
+from sparkwright.operators.ordering import join_groups, row_number_exact
 
 
 def hex_threshold(fraction: float) -> str:
@@ -70,6 +69,6 @@ def stratified_split(df: DataFrame, key: str, label: str, test_fraction: float,
     n = x.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     ranked = row_number_exact(x, ["_h", key], part_cols=[label], out="_rn")
     target = F.round(F.col("_n") * F.lit(test_fraction))
-    return (ranked.join(broadcast_if_small(n), label, "left")
+    return (join_groups(ranked, n, [label])
             .withColumn(out, (F.col("_rn") <= target).cast("int"))
             .drop("_h", "_rn", "_n"))

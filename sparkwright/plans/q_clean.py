@@ -84,7 +84,7 @@ SELECT doc_id, lang, n_chars FROM documents
 WHERE doc_id IN (SELECT min(doc_id) FROM documents GROUP BY text)""")
 def clean_dedup(spark, sf):
     d = read_table(spark, sf, "documents")
-    return C.dedup(d, subset=["text"], keep_first_by=["doc_id"]).select("doc_id", "lang", "n_chars")
+    return C.dedup(d, ["text"], ["doc_id"], ["doc_id", "lang", "n_chars"])
 
 
 @query("clean_drop_constant", with_ctes(FEAT_SQL, "SELECT id, total, acctbal, has_return FROM feat"))

@@ -132,13 +132,14 @@ def feat_string_index(spark, sf):
 
 
 @query("feat_one_hot", with_ctes(FEAT_SQL, f"""
-SELECT id, {_one_hot_sql()} FROM feat WHERE {_hash_sql()} >= 'cccccccc'"""))
+SELECT id, CAST({_hash_sql()} >= 'cccccccc' AS INTEGER) AS is_test, {_one_hot_sql()} FROM feat"""))
 def feat_one_hot(spark, sf):
     f = feat(spark, sf).select("id", *FEAT_NOMINAL)
     train, test = S.random_split(f, "id", [0.8, 0.2], _SEED)
     cats = H.fit_categories(train, FEAT_NOMINAL)
-    out, _ = H.one_hot(test, cats)
-    return out
+    # Train and test get the same fitted columns.
+    both = train.withColumn("is_test", F.lit(0)).unionByName(test.withColumn("is_test", F.lit(1)))
+    return H.one_hot(both, cats)[0]
 
 
 # ------------------------------------------------------------ H4/H5
@@ -175,10 +176,11 @@ def feat_scale_only(spark, sf):
 
 
 @query("feat_stable_id", """
-SELECT sha256(text) AS row_id, row_number() OVER (PARTITION BY text) AS copy FROM documents""")
+SELECT doc_id, sha256(text) AS row_id, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS copy
+FROM documents""")
 def feat_stable_id(spark, sf):
     d = read_table(spark, sf, "documents").select("doc_id", "text")
-    return H.stable_id(d, ["text"]).select("row_id", "copy")
+    return H.stable_id(d, ["text"], ["doc_id"])
 
 
 @query("feat_class_weights", with_ctes(FEAT_SQL, """

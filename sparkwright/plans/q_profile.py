@@ -22,12 +22,11 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
 
 def feat_once(spark, sf, cols: list[str]) -> DataFrame:
     """``feat`` for the multi-pass exact-rank queries: they read their input
-    three times (describe or join-back, the range-partition sample, the
-    numbered copy), and ``feat`` is a join over the line-item aggregate: at
+    several times (ranges or describe, the cut-point sample, the ranked rows), and
+    ``feat`` is a join over the line-item aggregate: at
     scale that is three scans and shuffles of the largest table.  The needed
-    columns are computed once and written to the shared checkpoint folder
-    (keeping the join's partitioning, no extra shuffle); every pass reads
-    that copy."""
+    columns are computed once and written to the shared folder; every pass
+    reads that copy."""
     return materialize(feat(spark, sf).select(*cols))
 
 
@@ -170,16 +169,17 @@ FROM g LEFT JOIN c ON c."column" = g."column" AND c.bin = g.bin{(' AND c.' + by
 
 @query("agg_histogram", _hist_sql(["total", "qty", "avg_disc"], 10))
 def agg_histogram(spark, sf):
-    return round_doubles(P.histogram(feat(spark, sf), ["total", "qty", "avg_disc"], bins=10))
+    cols = ["total", "qty", "avg_disc"]
+    return round_doubles(P.histogram(feat_once(spark, sf, cols), cols, bins=10))
 
 
 @query("agg_histogram_by_class", _hist_sql(["total"], 50, "label2"))
 def agg_histogram_by_class(spark, sf):
-    return round_doubles(P.histogram(feat(spark, sf), ["total"], bins=50, by="label2"))
+    return round_doubles(P.histogram(feat_once(spark, sf, ["total", "label2"]), ["total"], bins=50, by="label2"))
 
 
 _KDE_COLS = ["avg_disc", "n_lines"]
-_KDE_POINTS = 16
+_KDE_POINTS = P.KDE_POINTS
 
 
 @query("agg_kde", with_ctes(
@@ -193,7 +193,7 @@ _KDE_POINTS = 16
        round(sum(exp(-0.5 * pow((g.x - l.value) / g.h, 2))) / (g.n * g.h * sqrt(2 * pi())), 6) AS density
 FROM g JOIN l ON l."column" = g."column" GROUP BY g."column", g.point, g.x, g.n, g.h"""))
 def agg_kde(spark, sf):
-    return round_doubles(P.kde(feat(spark, sf), _KDE_COLS, _KDE_POINTS))
+    return round_doubles(P.kde(feat_once(spark, sf, _KDE_COLS), _KDE_COLS))
 
 
 # ---------------------------------------------------------------- A23-A25

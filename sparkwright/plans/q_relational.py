@@ -8,6 +8,7 @@ from sparkwright.operators import relational as R
 from sparkwright.operators.ordering import row_number_exact
 from sparkwright.operators.profile import last_per_key
 from sparkwright.plans.registry import query, with_ctes
+from sparkwright.session import materialize
 from sparkwright.sources.tables import FEAT_SQL, feat, read_table
 
 # The order-priority -> label-group dictionary of the feature table.
@@ -101,7 +102,9 @@ SELECT user_id, round(value, 6) AS value, seq,
        row_number() OVER (ORDER BY value DESC, seq ASC) AS rank
 FROM last"""))
 def sort_by_value(spark, sf):
-    r = row_number_exact(_last_events(spark, sf), [F.col("value").desc(), F.col("seq").asc()], out="rank")
+    # Computed once: the ranking reads it for its cut points and its rows.
+    last = materialize(_last_events(spark, sf).withColumn("_less", -F.col("value")))
+    r = row_number_exact(last, ["_less", "seq"], out="rank")
     return r.select("user_id", F.round("value", 6).alias("value"), "seq", "rank")
 
 

@@ -11,7 +11,7 @@ from sparkwright.plans.q_profile import round_doubles
 from sparkwright.plans.registry import query, with_ctes
 from sparkwright.session import shared_path
 from sparkwright.sources.messages import message_text
-from sparkwright.sources.tables import read_table, spread_for_cpu
+from sparkwright.sources.tables import read_table
 from sparkwright.streaming import text_job as J
 
 
@@ -29,8 +29,7 @@ _CLEAN_SQL = with_ctes(_PIECES_SQL, f"SELECT {_strip_sql('w')} AS word FROM p WH
 
 
 def documents(spark, sf):
-    """The document table, spread over all cores for the text work."""
-    return spread_for_cpu(read_table(spark, sf, "documents"))
+    return read_table(spark, sf, "documents")
 
 
 def framed_documents(spark, sf):
@@ -100,8 +99,8 @@ def _sentiment_sql(src_cte: str) -> str:
 @query("stream_sentiment", _sentiment_sql(f"c AS ({_CLEAN_SQL})"))
 def stream_sentiment(spark, sf):
     """T-2..T-4 as a batch over the cleaned pieces (same expressions as the stream)."""
-    words = J.preprocessing(framed_documents(spark, sf))
-    return round_doubles(J.text_classification(words))
+    words = J.clean_words(framed_documents(spark, sf))
+    return round_doubles(J.scored_words(words))
 
 
 def _stage_stream_input(spark, sf) -> str:
@@ -115,7 +114,7 @@ def stream_clean_text(spark, sf):
     """T-1 on a real stream: file source -> clean -> memory-free parquet sink."""
     src = _stage_stream_input(spark, sf)
     out, chk = shared_path(spark, "stream-clean-out"), shared_path(spark, "stream-clean-chk")
-    words = J.preprocessing(J.file_line_source(spark, src))
+    words = J.clean_words(J.file_line_source(spark, src))
     q = (words.writeStream.outputMode("append").format("parquet").option("path", out)
          .option("checkpointLocation", chk).trigger(availableNow=True).start())
     q.awaitTermination()

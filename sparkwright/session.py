@@ -7,10 +7,10 @@ below it.  Only when the setting is absent (local tests) do we create one.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
@@ -42,39 +42,51 @@ def get_spark(master: str | None = None, app: str = "sparkwright",
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a private one only if unset."""
-    d = None
-    try:
-        d = spark.conf.get("spark.checkpoint.dir", None)
-    except Exception:  # noqa: BLE001 - conf lookups differ between deployments
-        d = None
+    """The shared folder named by ``spark.checkpoint.dir``.  Only a session in
+    one process (``local[...]``) may do without: it gets a private folder.
+    Elsewhere a folder on the driver's disk would be lost to the executors, so
+    a missing setting is an error."""
     sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None)
     if d and not sc.getCheckpointDir():
         # Named for the cluster but not yet registered with this context.
         sc.setCheckpointDir(d)
+    d = d or sc.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="sparkwright-ckpt-"))
         d = sc.getCheckpointDir()
-    if not d:
-        # Unset (local tests only): make one and register it.
-        d = tempfile.mkdtemp(prefix="sparkwright-ckpt-")
-        spark.sparkContext.setCheckpointDir(d)
-        d = spark.sparkContext.getCheckpointDir() or d
     return d
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and return the copy.
-    A reliable checkpoint otherwise computes its input twice (a count, then
-    the write), so the input is held in memory/disk just for that moment."""
-    checkpoint_root(df.sparkSession)
-    held = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return held.checkpoint(eager=True)
-    finally:
-        held.unpersist()
+_RUN_FOLDERS: dict[tuple[str, str], str] = {}
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused path below the shared checkpoint folder."""
+def _run_folder(spark: SparkSession) -> str:
+    """This application's folder below the shared one; the file system removes
+    it when the driver's JVM ends."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/sparkwright/{name}-{uuid.uuid4().hex}"
+    key = (spark.sparkContext.applicationId, root)
+    if key not in _RUN_FOLDERS:
+        path = f"{root}/sparkwright-{uuid.uuid4().hex}"
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(p)
+        fs.deleteOnExit(p)
+        _RUN_FOLDERS[key] = path
+    return _RUN_FOLDERS[key]
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh, never reused path below the shared folder."""
+    return f"{_run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as Parquet to the shared folder and read the copy: the
+    lineage is cut, a lost executor rereads the files, and later steps prune
+    columns and push filters down."""
+    path = shared_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

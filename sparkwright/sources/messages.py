@@ -1,29 +1,32 @@
 """JSON message source (S8): pick the long text when present.
 
 A message is ``{"text": ..., "extended_tweet": {"full_text": ...}}`` with the
-nested object optional.  Parsing is ``from_json`` under a declared schema; a
-message that does not parse (or has no text) is dropped, as the reference
-skips it.
+nested object optional.  A message that is not one whole JSON value, or whose
+text is not a string, is dropped, as the reference skips it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
-MESSAGE_SCHEMA = StructType([
-    StructField("text", StringType(), True),
-    StructField("lang", StringType(), True),
-    StructField("extended_tweet", StructType([StructField("full_text", StringType(), True)]), True),
-])
+
+def _string_at(message: Column, path: str) -> Column:
+    """The string at ``path``; null for any other type and where there is none."""
+    inner = F.variant_get(message, path, "variant")
+    return F.when(F.schema_of_variant(inner) == "STRING", F.variant_get(message, path, "string"))
 
 
 def message_text(df: DataFrame, column: str = "value", keep: list[str] | tuple = ()) -> DataFrame:
-    """(keep..., text, lang): ``extended_tweet.full_text`` if present else
-    ``text``; unparsable messages and messages without text are dropped."""
-    m = F.from_json(F.col(column), MESSAGE_SCHEMA, {"mode": "PERMISSIVE"})
-    parsed = df.select(*keep, m.alias("_m"))
-    out = parsed.select(*keep, F.coalesce(F.col("_m.extended_tweet.full_text"), F.col("_m.text")).alias("text"),
-                        F.col("_m.lang").alias("lang"))
+    """(keep..., text, lang): ``extended_tweet.full_text`` if the message has
+    an ``extended_tweet``, else ``text``; messages that don't parse or have no
+    such string are dropped."""
+    # Inside brackets, anything after the message's value is an error or a
+    # second element.
+    m = F.try_parse_json(F.concat(F.lit("["), F.col(column), F.lit("]")))
+    parsed = df.select(*keep, m.alias("_m")).where(F.variant_get("_m", "$[1]", "variant").isNull())
+    nested = F.variant_get("_m", "$[0].extended_tweet", "variant").isNotNull()
+    text = F.when(nested, _string_at(F.col("_m"), "$[0].extended_tweet.full_text")).otherwise(
+        _string_at(F.col("_m"), "$[0].text"))
+    out = parsed.select(*keep, text.alias("text"), _string_at(F.col("_m"), "$[0].lang").alias("lang"))
     return out.where(F.col("text").isNotNull())

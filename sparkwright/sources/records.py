@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sparkwright.operators.relational import broadcast_if_small
 
 # The field order of one record (7 lines).
 PLANET_FIELDS = ["name", "type", "distance", "mass", "low", "high", "cloud"]
@@ -41,7 +40,7 @@ def numbered_lines(spark: SparkSession, path: str, glob: str | None = None) -> D
     ow = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select("file", "block", "_first",
                             F.coalesce(F.sum("_n").over(ow), F.lit(0)).alias("_off"))
-    return (raw.join(broadcast_if_small(offsets), ["file", "block"])
+    return (raw.join(offsets, ["file", "block"])
             .select("file", (F.col("_off") + F.col("_seq") - F.col("_first")).alias("line_no"), "value"))
 
 

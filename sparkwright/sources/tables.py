@@ -26,18 +26,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread_for_cpu(df: DataFrame) -> DataFrame:
-    """Row-local CPU-heavy work (regex cleaning, tokenising, JSON) runs in the
-    scan's tasks.  When the scan yields fewer splits than the cluster has
-    cores (a small table in one file or row group), the rows are first spread
-    round-robin over all cores.  A large input already has many splits and is
-    returned unchanged, so at scale this adds no shuffle.  Apply it to a scan
-    (no shuffle below it): there the split count is planning metadata and
-    reading it runs no job."""
-    n = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
-
-
 def line_summary(lineitem: DataFrame) -> DataFrame:
     """Per-order line aggregate (partial aggregation happens map-side).
     The mean discount is an exact decimal sum divided by the count, so it does
@@ -55,7 +43,7 @@ def feat(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
     lines = line_summary(read_table(spark, sf_dir, "lineitem"))
-    j = (orders.join(customer, orders.o_custkey == customer.c_custkey, "inner")
+    j = (orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
          .join(lines, orders.o_orderkey == lines.l_orderkey, "left"))
     prio = F.col("o_orderpriority")
     total = F.col("o_totalprice")
@@ -102,4 +90,4 @@ FEAT_SQL = """feat AS (
          CASE WHEN o_totalprice >= 500000 THEN CAST(1 AS DOUBLE)
               ELSE o_totalprice / CAST(500000 AS DOUBLE) END AS score1,
          CAST(CASE WHEN o_totalprice > 250000 THEN 1 ELSE 0 END AS DOUBLE) AS planted
-  FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN l ON l_orderkey = o_orderkey)"""
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN l ON l_orderkey = o_orderkey)"""

@@ -21,9 +21,10 @@ from sparkwright.functions.text import clean_stream_text
 LINE_SCHEMA = StructType([StructField("value", StringType(), True)])
 
 
-def file_line_source(spark: SparkSession, path: str, glob: str | None = "*.txt",
+def file_line_source(spark: SparkSession, path: str, glob: str | None = None,
                      max_files_per_trigger: int | None = None) -> DataFrame:
-    """Unbounded line source over a folder (new files = new data)."""
+    """Unbounded line source over a folder (new files = new data); all
+    files, or those whose names match ``glob``."""
     r = spark.readStream.format("text")
     if glob:
         r = r.option("pathGlobFilter", glob)
@@ -32,12 +33,12 @@ def file_line_source(spark: SparkSession, path: str, glob: str | None = "*.txt",
     return r.load(path)
 
 
-def preprocessing(lines: DataFrame, strict: bool = True) -> DataFrame:
+def clean_words(lines: DataFrame, strict: bool = True) -> DataFrame:
     """T-1 on a stream or a batch."""
     return clean_stream_text(lines, "value", strict=strict)
 
 
-def text_classification(words: DataFrame, lexicon: dict = LEXICON) -> DataFrame:
+def scored_words(words: DataFrame, lexicon: dict = LEXICON) -> DataFrame:
     """T-4."""
     return classify_text(words, "word", lexicon)
 
@@ -49,7 +50,7 @@ def run_stream(source: DataFrame, out_path: str, checkpoint: str, query_name: st
     e.g. ``{"processingTime": "60 seconds"}`` or ``{"availableNow": True}``.
     ``repartition`` (default none) sets the files per micro-batch; 1 funnels a
     batch through one task, so it is only for small streams."""
-    words = text_classification(preprocessing(source, strict), lexicon)
+    words = scored_words(clean_words(source, strict), lexicon)
     if repartition:
         words = words.repartition(repartition)
     w = (words.writeStream.queryName(query_name).outputMode("append").format("parquet")

@@ -59,9 +59,19 @@ def test_stratified_exact_counts(spark):
 
 
 def test_stable_id_copies(spark):
-    df = spark.createDataFrame([("x",), ("x",), ("y",)], "t string")
-    out = rows(H.stable_id(df, ["t"]), "t", "copy")
-    assert out == [("x", 1), ("x", 2), ("y", 1)]
+    df = spark.createDataFrame([(7, "x"), (2, "x"), (3, "y"), (4, None), (9, None)], "k int, t string")
+    for parts in (1, 5):
+        out = rows(H.stable_id(df.repartition(parts), ["t"], ["k"]), "k", "copy")
+        assert out == [(2, 1), (3, 1), (4, 1), (7, 2), (9, 2)]
+
+
+def test_one_hot_vector_of_many_categories(spark):
+    df = spark.range(12_000).selectExpr("id", "concat('c', id) as c")
+    idx = H.frequency_index(df.unionByName(df.limit(0)), "c")
+    probe = spark.createDataFrame([("c3",), ("new",), (None,)], "c string")
+    out = {r.c: r.v for r in H.one_hot_vector(probe, idx, "c", "v").collect()}
+    assert out["c3"].size == 12_000 and 0 <= out["c3"].slot < 12_000
+    assert out["new"].slot is None and out[None].slot is None
 
 
 def test_threshold_null_and_equal(spark):

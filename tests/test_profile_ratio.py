@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from sparkwright.operators import attribute_ratio as AR
 from sparkwright.operators import profile as P
-from sparkwright.operators.ordering import average_rank, exact_quantiles, row_number_exact
+from sparkwright.operators.ordering import average_rank, exact_quantiles, row_number_exact, running_total
 from tests.conftest import rows
 
 
@@ -101,18 +101,6 @@ def test_last_per_key_and_value_counts_ties(spark):
     assert vc == [("a", 1), ("b", 1)]
 
 
-def test_wide_correlation_path_agrees(spark):
-    rng = np.random.default_rng(3)
-    X = rng.normal(size=(200, 4))
-    X[:, 1] += X[:, 0]
-    df = spark.createDataFrame([tuple(map(float, r)) for r in X], "a double, b double, c double, d double")
-    narrow = {(r.a, r.b): r.corr for r in P.corr_pearson(df, ["a", "b", "c", "d"]).collect()}
-    wide = {(r.a, r.b): r.corr for r in P.corr_pearson(df, ["a", "b", "c", "d"], wide_threshold=2).collect()}
-    assert narrow.keys() == wide.keys()
-    for k in narrow:
-        assert wide[k] == pytest.approx(narrow[k], abs=1e-9)
-
-
 def test_running_total_many_groups_hot_and_null_groups(spark):
     """Brute force: a hot group (a third of the rows, spread over many
     partitions), a null group, and thousands of one-row groups."""
@@ -129,3 +117,57 @@ def test_running_total_many_groups_hot_and_null_groups(spark):
     assert got == want
     glob = {r.k: r.n for r in running_total(df.where(F.col("g") == "hot"), ["k"], None, (), "n", 8).collect()}
     assert glob == {k: k + 1 for k in range(3000)}
+
+
+def _null_class(spark):
+    data = [("a", 1.0), ("a", 3.0), ("a", 4.0), ("b", 2.0), (None, 5.0), (None, 7.0), (None, 7.0), (None, None), ("b", None)]
+    return spark.createDataFrame([(i, g, v) for i, (g, v) in enumerate(data)], "id int, g string, v double")
+
+
+def test_null_class_keeps_its_rows(spark):
+    from sparkwright.operators import splits as S
+    df = _null_class(spark)
+    d = {r.g: r for r in P.describe_by_class(df, "v", "g").collect()}
+    assert (d[None]["count"], d[None].q25, d[None].q50, d[None].q75) == (3, 6.0, 7.0, 7.0)
+    assert (d["a"].q50, d["b"].q50) == (3.0, 2.0)
+    h = [(r.g, r["count"]) for r in P.histogram(df, ["v"], bins=2, by="g").collect() if r["count"]]
+    assert sum(n for g, n in h if g is None) == 3 and sum(n for g, n in h if g == "a") == 3
+    split = S.stratified_split(df, "id", "g", 0.5).collect()
+    assert sum(r.is_test for r in split if r.g is None) == 2 and all(r.is_test is not None for r in split)
+
+
+def test_crosstab_keeps_nulls_and_has_no_cap(spark):
+    df = spark.createDataFrame([("x", "p"), ("x", None), (None, "p")], "a string, b string")
+    out = {r["a_b"]: (r["p"], r["null"]) for r in P.crosstab(df, "a", "b").collect()}
+    assert out == {"x": (1, 1), None: (1, 0)}
+    wide = spark.range(10_500).selectExpr("id % 3 as a", "id as b")
+    assert P.crosstab_long(wide, "a", "b").count() == 10_500
+
+
+def test_pearson_means_the_same_at_any_width(spark):
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((60, 53))
+    x[:, 1] += x[:, 0]
+    data = [[None if (i + j) % 11 == 0 else float(v) for j, v in enumerate(r)] for i, r in enumerate(x)]
+    cols = [f"c{j}" for j in range(53)]
+    df = spark.createDataFrame(data, ", ".join(f"{c} double" for c in cols))
+    got = {(r.a, r.b): r["corr"] for r in P.corr_pearson(df, cols).collect()}
+    assert len(got) == 53 * 52 // 2
+    for a, b in ((0, 1), (3, 40), (51, 52)):
+        both = [(r[a], r[b]) for r in data if r[a] is not None and r[b] is not None]
+        assert got[f"c{a}", f"c{b}"] == pytest.approx(np.corrcoef(np.array(both).T)[0, 1])
+
+
+def test_running_total_exchanges_its_rows_once(spark):
+    df = spark.range(3000).selectExpr("id", "id % 7 as g", "cast(id * 37 % 101 as double) as v")
+    out = running_total(df, ["v", "id"], None, ["g"], "n", num_partitions=4)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # One exchange of the rows (with the start rows); the other two hold a row
+    # per group and bucket.
+    assert plan.count("Exchange hashpartitioning(g") == 3 and "rangepartitioning" not in plan
+    got = {r.id: r.n for r in out.collect()}
+    want, seen = {}, {}
+    for r in sorted(df.collect(), key=lambda r: (r.v, r.id)):
+        seen[r.g] = seen.get(r.g, 0) + 1
+        want[r.id] = seen[r.g]
+    assert got == want

@@ -114,21 +114,49 @@ def test_local_table_literals_and_empty(spark):
     assert "ExistingRDD" not in t._jdf.queryExecution().executedPlan().toString()
 
 
-def test_spread_for_cpu_only_when_few_splits(spark):
-    from sparkwright.sources.tables import spread_for_cpu
-    n = spark.sparkContext.defaultParallelism
-    one = spark.range(0, 1000, 1, 1)
-    assert spread_for_cpu(one).rdd.getNumPartitions() == n
-    many = spark.range(0, 1000, 1, n * 2)
-    assert spread_for_cpu(many).rdd.getNumPartitions() == n * 2
-    assert sorted(r.id for r in spread_for_cpu(one).collect()) == list(range(1000))
-
-
-def test_broadcast_only_within_row_and_byte_bounds(spark):
-    def hinted(df):
-        return df._jdf.queryExecution().logical().toString().startswith("UnresolvedHint broadcast")
-    d = spark.createDataFrame([("a" * 100, 1, [1.0]), ("b", 2, None)], "x string, y int, z array<double>")
-    assert hinted(R.broadcast_if_small(d))
-    assert not hinted(R.broadcast_if_small(d, max_bytes=50))       # text bytes counted exactly
-    assert not hinted(R.broadcast_if_small(d, max_rows=1))
-    assert hinted(R.broadcast_if_small(spark.range(0)))
+def test_semi_join_ignores_repeated_keys(spark):
+    df = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    keys = spark.createDataFrame([(2,), (2,), (None,)], "k int")
+    assert rows(R.isin_keys(df, "k", keys)) == [(2,)]
+
+
+def test_shared_folder_is_required_off_local_mode(spark, monkeypatch):
+    import pytest
+    from sparkwright import session
+
+    class Context:
+        master = "spark://cluster:7077"
+
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
+    class Cluster:
+        sparkContext = Context
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Cluster)
+
+
+def test_materialize_keeps_schema_and_metadata(spark):
+    from sparkwright.session import materialize
+    df = spark.createDataFrame([(1, None, [1.0]), (2, "b", None)], "a int, b string, c array<double>")
+    out = materialize(df)
+    assert out.schema == df.schema and rows(out.select("a", "b")) == rows(df.select("a", "b"))
+    assert "Scan" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dedup_groups_by_hash(spark):
+    df = spark.createDataFrame([(3, "x", None), (1, "x", "q"), (2, None, "q"), (4, None, "r"), (5, "", "s")],
+                               "i int, t string, o string")
+    out = C.dedup(df, ["t"], ["i"])
+    assert rows(out) == rows(df.where("i in (1, 2, 5)"))
+    assert rows(C.dedup(df, ["t"], ["i"], ["i"])) == [(1,), (2,), (5,)]
+    plan = C.dedup(df, ["t"], ["i"], ["i"])._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_h" in plan and "hashpartitioning(t" not in plan
+    assert rows(C.duplicate_count(df, ["t"])) == [(2, 5, 3)]

@@ -156,12 +156,6 @@ def test_cluster_scoring_scores_every_row_once(spark, planted):
     assert scored.where(F.col("c") == 2).select(F.min("p"), F.max("p")).first() == (1.0, 1.0)
 
 
-def test_library_scorer_hook(spark):
-    score = SE.library_scorer(lambda t: float(len(t)))
-    df = spark.createDataFrame([("abc",), (None,)], "t string")
-    assert rows(df.select(score("t").alias("n"))) == [(3.0,), (None,)]
-
-
 def test_category_detectors_single_pass(spark, planted):
     df = planted.withColumn("g", F.when(F.col("x") > 0.8, "A").when(F.col("x") > 0.6, "B").otherwise("normal"))
     det = M.category_detectors(df, df, "id", "g", {"A": ["A"], "B": ["B"]}, {"A": ["x", "z"], "B": ["x"]},
@@ -171,3 +165,30 @@ def test_category_detectors_single_pass(spark, planted):
     assert "Exchange" not in plan                      # scored without joins or shuffles
     r = det.join(df, "id").where(F.col("g") == "A").agg(F.avg("p_A")).first()[0]
     assert r > 0.5
+
+
+def test_messages_must_be_one_json_value_with_a_string(spark):
+    from sparkwright.sources.messages import message_text
+    good = ['{"text":"a"}', ' {"text":"b","lang":"de"} ', '{"text":"c","extended_tweet":{"full_text":"long"}}']
+    bad = ['{"text":"a"} trailing', '{"text":5}', '{"text":"a"', '"x"', "{}", '{"text":"a"}}', '{"text":null}', None, "",
+           '{"text":"a","extended_tweet":{}}', '{"text":"a","extended_tweet":null}', '{"text":"a"},{"text":"b"}', "[]"]
+    df = spark.createDataFrame([(m,) for m in good + bad], "value string")
+    assert rows(message_text(df)) == sorted([("a", None), ("b", "de"), ("long", None)], key=repr)
+
+
+def test_stream_reads_every_file_and_batches(spark, tmp_path):
+    from sparkwright.streaming import text_job as J
+    src, out, chk = (str(tmp_path / d) for d in ("src", "out", "chk"))
+    import os
+    os.makedirs(src)
+    for i, name in enumerate(["a.txt", "b.log", "c"]):
+        with open(f"{src}/{name}", "w") as f:
+            f.write(f"good day {i}t_end\n")
+    source = J.file_line_source(spark, src, max_files_per_trigger=1)
+    q = J.run_stream(source, out, chk, query_name="trigger_test", trigger={"processingTime": "1 second"}, repartition=2)
+    try:
+        q.processAllAvailable()
+        assert len([p for p in q.recentProgress if p["numInputRows"]]) == 3  # a file a batch
+    finally:
+        q.stop()
+    assert spark.read.parquet(out).where("word like '%good day%'").count() == 3
