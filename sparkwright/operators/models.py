@@ -8,13 +8,13 @@ in DataFrames and are attached by key.
 
 from __future__ import annotations
 
-from functools import reduce
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.feature import PCA, VectorAssembler, VectorIndexer, VectorSlicer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,16 +51,26 @@ def p_positive(col: str = "probability", index: int = 1):
 # --------------------------------------------------------------- H12
 
 
+def fit_pca(train: DataFrame, vec: str, k: int = 2):
+    """PCA fitted on ``train``; ``apply_pca`` uses it on any rows."""
+    return PCA(k=k, inputCol=vec, outputCol="_pca").fit(train)
+
+
+def apply_pca(model, df: DataFrame, prefix: str = "pc") -> DataFrame:
+    """Adds pc1..pck (doubles) and the vector ``pca_features`` of the same
+    values; each component's sign is fixed so that its largest-magnitude loading
+    is positive (deterministic output)."""
+    loadings = model.pc.toArray()                  # d x k (small)
+    k = loadings.shape[1]
+    signs = [1.0 if loadings[abs(loadings[:, j]).argmax(), j] >= 0 else -1.0 for j in range(k)]
+    arr = vector_to_array(F.col("_pca"))
+    out = model.transform(df).withColumns({f"{prefix}{j + 1}": arr[j] * F.lit(signs[j]) for j in range(k)})
+    return out.withColumn("pca_features", array_to_vector(F.array(*[F.col(f"{prefix}{j + 1}") for j in range(k)]))).drop("_pca")
+
+
 def pca(train: DataFrame, df: DataFrame, vec: str, k: int = 2, prefix: str = "pc") -> DataFrame:
-    """PCA fitted on ``train``; each component's sign is fixed so its
-    largest-magnitude loading is positive (deterministic output).  Adds
-    columns pc1..pck (doubles) and the vector ``pca_features``."""
-    model = PCA(k=k, inputCol=vec, outputCol="pca_features").fit(train)
-    pcm = model.pc.toArray()                       # d x k loadings (small)
-    signs = [1.0 if pcm[abs(pcm[:, j]).argmax(), j] >= 0 else -1.0 for j in range(k)]
-    out = model.transform(df)
-    arr = vector_to_array(F.col("pca_features"))
-    return out.withColumns({f"{prefix}{j + 1}": arr[j] * F.lit(signs[j]) for j in range(k)})
+    """Fit on ``train``, apply to ``df``."""
+    return apply_pca(fit_pca(train, vec, k), df, prefix)
 
 
 # --------------------------------------------------------- M1 - M3
@@ -94,6 +104,15 @@ def gmm_params(model) -> DataFrame:
     return local_table(spark, rows, "component int, dim int, mean double, variance double, weight double")
 
 
+def gmm_covariances(model) -> DataFrame:
+    """M3: (component, i, j, cov), the full covariance of every component."""
+    rows = []
+    for comp, r in enumerate(model.gaussiansDF.collect()):
+        cov = r["cov"].toArray()
+        rows += [(comp, i, j, float(cov[i, j])) for i in range(len(cov)) for j in range(len(cov))]
+    return local_table(model.gaussiansDF.sparkSession, rows, "component int, i int, j int, cov double")
+
+
 # --------------------------------------------------------- M4 - M6
 
 # Fixed value: clusters with at most this many rows are treated as outliers.
@@ -117,35 +136,47 @@ def route_clusters(profile: DataFrame, cluster_col: str, min_rows: int = OUTLIER
 def random_forest(num_trees: int = 20, max_depth: int = 5, seed: int = 42, features: str = "features",
                   label: str = "label", subset: str = "sqrt", weight: str | None = None) -> RandomForestClassifier:
     """M7/M8: the forest (reference sizes: 500 trees, depth 20)."""
+    # Deep forests: more memory for node statistics (fewer passes), and rows
+    # remember their nodes instead of walking every tree again in each pass.
     rf = RandomForestClassifier(numTrees=num_trees, maxDepth=max_depth, seed=seed, featuresCol=features,
-                                labelCol=label, featureSubsetStrategy=subset)
+                                labelCol=label, featureSubsetStrategy=subset, maxMemoryInMB=512, cacheNodeIds=True)
     if weight:
         rf.setWeightCol(weight)
     return rf
 
 
+#: Model fits that run at the same time.
+FITS_AT_ONCE = 4
+
+
+def _side_by_side(fit, args: list) -> list:
+    """Independent fits, a few at a time, so that the small ones share the
+    cluster's cores."""
+    with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
+        return list(pool.map(fit, args))
+
+
 def fit_cluster_forests(train: DataFrame, routing_rows: list, cluster_col: str, features: str, label: str,
                         **rf_args) -> dict:
-    """M5: one forest per mixed cluster.  The loop runs over the few routed
-    clusters (bounded by k); each fit is a distributed Spark job."""
-    models = {}
-    for r in routing_rows:
-        if r["route"] == "model":
-            part = (train.where(F.col(cluster_col) == r["cluster"])
-                    .drop("probability", "rawPrediction", "prediction"))
-            models[r["cluster"]] = random_forest(features=features, label=label, **rf_args).fit(part)
-    return models
+    """M5: one forest per mixed cluster (at most k); each fit is a distributed
+    Spark job, and some run at a time."""
+    clusters = [r["cluster"] for r in routing_rows if r["route"] == "model"]
+
+    def fit(cluster):
+        part = train.where(F.col(cluster_col) == cluster).drop("probability", "rawPrediction", "prediction")
+        return random_forest(features=features, label=label, **rf_args).fit(part)
+    return dict(zip(clusters, _side_by_side(fit, clusters)))
 
 
 def score_clusters(df: DataFrame, key: str, cluster_col: str, routing: DataFrame, models: dict,
-                   default: float = 1.0) -> DataFrame:
+                   features: str = "features", default: float = 1.0) -> DataFrame:
     """M6: (key, cluster, p): constant clusters by a join with the routing
     table, model clusters by their forest's P(attack), clusters unseen in
     training get ``default``.  Every row is scored exactly once.  With forests
     the input is read once per model cluster, so it is materialised first (one
     write to the shared checkpoint folder instead of k recomputations)."""
     if models:
-        df = materialize(df)
+        df = materialize(df.select(key, cluster_col, features))
     base = df.select(key, cluster_col)
     consts = routing.where(F.col("route") == "constant").select(F.col("cluster").alias(cluster_col), "score")
     const_part = (base.where(~F.col(cluster_col).isin(list(models)) if models else F.lit(True))
@@ -153,9 +184,7 @@ def score_clusters(df: DataFrame, key: str, cluster_col: str, routing: DataFrame
                   .select(key, cluster_col, F.coalesce("score", F.lit(default)).alias("p")))
     parts = [const_part]
     for c, m in models.items():
-        # Output columns of an earlier model (e.g. a mixture's probabilities)
-        # would clash with the forest's own.
-        sub = df.where(F.col(cluster_col) == c).drop("probability", "rawPrediction", "prediction")
+        sub = df.where(F.col(cluster_col) == c)
         parts.append(m.transform(sub).select(key, cluster_col, p_positive().alias("p")))
     return union_all(parts)
 
@@ -163,22 +192,23 @@ def score_clusters(df: DataFrame, key: str, cluster_col: str, routing: DataFrame
 # --------------------------------------------------------------- M9
 
 
-def category_detectors(train: DataFrame, df: DataFrame, key: str, label5: str, groups: dict[str, list],
+def category_detectors(train: DataFrame, df: DataFrame, label5: str, groups: dict[str, list],
                        feature_sets: dict[str, list[str]], normal: str = "normal", **rf_args) -> DataFrame:
-    """M9: one forest per category vs normal, each on its own features,
-    fitted on the category's rows.  Scoring chains the fitted models over ``df``
+    """M9: ``df`` with a column ``p_<name>`` per category: one forest per
+    category vs normal, each on its own features, fitted on the category's rows.  Scoring chains the fitted models over ``df``
     in a single pass (each adds its ``p_<name>`` column, its temporary columns
     are dropped), so no score table is joined back and nothing is shuffled."""
-    scored = df
-    for name, members in groups.items():
-        cols = feature_sets[name]
-        sub = train.where(F.col(label5).isin(*members, normal))
+    def fit(name):
+        sub = train.where(F.col(label5).isin(*groups[name], normal))
         sub = sub.withColumn("_y", F.when(F.col(label5) == normal, 0.0).otherwise(1.0))
         rf = random_forest(features="_f", label="_y", **rf_args)
-        m = Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="_f"), rf]).fit(sub)
+        return Pipeline(stages=[VectorAssembler(inputCols=feature_sets[name], outputCol="_f"), rf]).fit(sub)
+
+    scored = df
+    for name, m in zip(groups, _side_by_side(fit, list(groups))):
         scored = (m.transform(scored).withColumn(f"p_{name}", p_positive())
                   .drop("_f", "rawPrediction", "probability", "prediction"))
-    return scored.select(key, *[f"p_{name}" for name in groups])
+    return scored
 
 
 # --------------------------------------------------------- M15 - M17
@@ -206,11 +236,7 @@ def stack_forest(train: DataFrame, inputs: list[str], label: str, index_flags: b
     return Pipeline(stages=stages).fit(train)
 
 
-def combine(frames: list[DataFrame], key: str) -> DataFrame:
-    """Attach several score tables by key in one plan."""
-    return reduce(lambda a, b: a.join(b, key, "left"), frames)
-
-
 __all__ = ["assemble", "fit_vector_indexer", "slice_vector", "pca", "kmeans", "gmm", "gmm_params",
            "route_clusters", "random_forest", "fit_cluster_forests", "score_clusters", "category_detectors",
-           "stack_logistic", "stack_forest", "p_positive", "cluster_profile", "combine"]
+           "stack_logistic", "stack_forest", "p_positive", "cluster_profile",
+           "fit_pca", "apply_pca", "gmm_covariances"]

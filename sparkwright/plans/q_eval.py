@@ -93,6 +93,18 @@ def vote_weighted(spark, sf):
     return round_doubles(scored(spark, sf).select("id", V.weighted_vote(_WEIGHTS).alias("vote")))
 
 
+_FIVE = {"score1": 3, "score2": 1, "score3": 1, "score4": 1, "score5": 1}
+
+
+@query("vote_weighted_five", _sql("""
+SELECT id, round((score1 * 3.0 + score2 + score3 + (score1 + score2) / 2.0 + (score2 + score3) / 2.0) / 7.0, 6) AS vote
+FROM sc"""))
+def vote_weighted_five(spark, sf):
+    s = scored(spark, sf).withColumns({"score4": (F.col("score1") + F.col("score2")) / 2.0,
+                                       "score5": (F.col("score2") + F.col("score3")) / 2.0})
+    return round_doubles(s.select("id", V.weighted_vote(_FIVE).alias("vote")))
+
+
 # ---------------------------------------------------------- evaluation
 
 

@@ -1,18 +1,23 @@
 """Queries for vectors, PCA, clustering, forests, detectors and stackers
-(H6-H8, H12, M1-M9, M15-M17) and the chart series (G2-G5).
-
-Models train on the hash split's train side of ``feat`` (features scaled with
-train statistics, attribute-ratio selection on the unscaled train side) and
-score every row.  ``planted`` is the learnable label; the 2- and 5-way
-labels of the driver data carry no signal, so quality is tested in pytest on
-``planted`` only.  Clustering runs at the reference's sizes (k-means k=8,
-25 init steps, up to 100 iterations; mixture k=8, 150 iterations); forests
-use small sizes here - the reference's (500 trees, depth 20) are arguments.
+(H6-H8, H12, M1-M9, M15-M17) and the chart series (G2-G5, G7).
+
+Rows are split three ways by key hash: base models train on ``base``, stackers
+on ``cv``, reports read ``test`` only.  Attribute ratios always come from the
+unscaled base rows; scaled features use base statistics.  ``y`` (the planted
+label) and ``category`` (normal, or one of three bands of planted rows) are what
+the models learn.  Sizes are the reference's: k-means k=8, 25 init steps, up to
+100 iterations; mixture k=8, 150 iterations; forests of 500 trees of depth 20,
+the flags' forest 250 of depth 5.  ``forest`` arguments let tests use smaller
+ones.  The scores of the five base models are computed once per session and
+input and written to the shared folder; all stackers read them.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkwright.operators import attribute_ratio as AR
@@ -23,7 +28,8 @@ from sparkwright.operators import models as M
 from sparkwright.operators import splits as S
 from sparkwright.operators import votes as V
 from sparkwright.operators.profile import cluster_profile
-from sparkwright.plans.q_features import ONE_HOT, feat_ohe
+from sparkwright.operators.relational import union_all
+from sparkwright.plans.q_features import ONE_HOT, _ar_sql, _hash_sql, _one_hot_sql, feat_ohe
 from sparkwright.plans.q_profile import round_doubles
 from sparkwright.plans.registry import query, with_ctes
 from sparkwright.session import materialize
@@ -31,95 +37,248 @@ from sparkwright.sources.tables import FEAT_BINARY, FEAT_NUMERIC, FEAT_SQL, feat
 
 SEED = 42
 ALL_FEATURES = FEAT_NUMERIC + FEAT_BINARY + ONE_HOT
-RF_SMALL = {"num_trees": 10, "max_depth": 4, "seed": SEED}
-# The clustering sizes of the reference pipeline.
+# The sizes of the reference pipeline.
 KMEANS = {"k": 8, "max_iter": 100, "init_steps": 25, "seed": SEED}
 GMM = {"k": 8, "max_iter": 150, "seed": SEED}
+FOREST = {"num_trees": 500, "max_depth": 20, "seed": SEED}
+FLAGS_FOREST = {"num_trees": 250, "max_depth": 5, "seed": SEED}
+DEFAULT_FOREST = {"num_trees": 20, "max_depth": 5, "seed": SEED}
+PARTS = {"base": 0.64, "cv": 0.16, "test": 0.2}
+CATEGORY_CASE = """CASE WHEN planted = 0 THEN 'normal' WHEN total >= 400000 THEN 'A'
+                       WHEN total >= 325000 THEN 'B' ELSE 'C' END"""
+_GROUPS = {"A": ["A"], "B": ["B"], "C": ["C"]}
+PROBS = ["p_km", "p_gm", "p_A", "p_B", "p_C"]
+FLAGS = ["f_km", "f_gm", "f_A", "f_B", "f_C", "f_any"]
+_LABELS = ["id", "part", "y", "planted", "category", "label2", "label_group"]
+
+
+@dataclass
+class Prepared:
+    """All rows with scaled features, the unscaled base rows, and the ratios
+    of the unscaled base rows."""
+    scaled: DataFrame
+    base_raw: DataFrame
+    ratios: DataFrame
+
+    def part(self, name: str) -> DataFrame:
+        return self.scaled.where(F.col("part") == name)
+
+
+_KEPT: dict[tuple, object] = {}
+
+
+def _once(spark, sf, name, make):
+    """What ``make`` returns, made once per application and input."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def split_rows(spark, sf):
+    f = (feat_ohe(spark, sf).withColumn("y", F.col("planted")).withColumn("category", F.expr(CATEGORY_CASE)))
+    parts = S.random_split(f, "id", list(PARTS.values()), SEED)
+    return union_all([d.withColumn("part", F.lit(n)) for n, d in zip(PARTS, parts)])
+
+
+def prepared(spark, sf) -> Prepared:
+    def make():
+        # Statistics, ratios and the iterative fits all read this table; an
+        # explicit count by key keeps enough tasks for iterative fits.
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        rows = materialize(split_rows(spark, sf).select(*_LABELS, *ALL_FEATURES).repartition(n, "id"))
+        base = rows.where("part = 'base'")
+        ratios = materialize(AR.attribute_ratio(base, FEAT_NUMERIC, FEAT_BINARY + ONE_HOT, "category"))
+        return Prepared(H.standardize(rows, H.fit_standardizer(base, FEAT_NUMERIC), FEAT_NUMERIC), base, ratios)
+    return _once(spark, sf, "prepared", make)
+
+
+def _selected(ratios: DataFrame, least: float) -> list[str]:
+    """Selected features in role order."""
+    names = AR.selected_names(ratios, least)
+    return [c for c in ALL_FEATURES if c in names]
+
+
+# --------------------------------------------------------- split and features
+
+FEAT_CAT_SQL = f"fo AS (SELECT *, {_one_hot_sql()}, {CATEGORY_CASE} AS category FROM feat)"
+_BASE_END = S.hex_threshold(PARTS["base"])
+_CV_END = S.hex_threshold(PARTS["base"] + PARTS["cv"])
+_IN_BASE = f"{_hash_sql()} < '{_BASE_END}'"
+
 
+@query("ml_split", with_ctes(FEAT_SQL, f"""
+SELECT id, CASE WHEN {_hash_sql()} < '{_BASE_END}' THEN 'base' WHEN {_hash_sql()} < '{_CV_END}' THEN 'cv'
+                ELSE 'test' END AS part FROM feat"""))
+def ml_split(spark, sf):
+    return split_rows(spark, sf).select("id", "part")
 
-def prepared(spark, sf):
-    """(train, test, ratios): scaled feature tables with label columns and
-    the attribute ratios of the unscaled train side."""
-    f = feat_ohe(spark, sf).withColumn("y", F.when(F.col("label2") == "attack", 1.0).otherwise(0.0))
-    cols = ["id", "y", "planted", "label2", "label_group", *ALL_FEATURES]
-    # Statistics, ratio selection and the iterative fits all read this table:
-    # materialise it once in the shared checkpoint folder (cuts the lineage
-    # of scans and joins; survives executor loss).
-    # Explicit partition count by key: iterative fits need parallel tasks, and
-    # an explicit count is not coalesced away by AQE.
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    f = materialize(f.select(*cols).repartition(n, "id"))
-    train, test = S.random_split(f, "id", [0.8, 0.2], SEED)
-    ratios = AR.attribute_ratio(train, FEAT_NUMERIC, FEAT_BINARY + ONE_HOT, "label_group")
-    stats = H.fit_standardizer(train, FEAT_NUMERIC)
-    return (H.standardize(train, stats, FEAT_NUMERIC), H.standardize(test, stats, FEAT_NUMERIC), ratios)
-
-
-def _vectors(spark, sf, min_ratio=0.01):
-    train, test, ratios = prepared(spark, sf)
-    names = [n for n in AR.selected_names(ratios, min_ratio)]
-    names = [c for c in ALL_FEATURES if c in names]          # keep the role order
-    return M.assemble(train, names, "raw_features"), M.assemble(test, names, "raw_features"), names, ratios
-
-
-@query("feat_assemble")
+
+def detector_ratios(p: Prepared, members: list[str]) -> DataFrame:
+    sub = p.base_raw.where(F.col("category").isin(*members, "normal"))
+    return AR.attribute_ratio(sub, FEAT_NUMERIC, FEAT_BINARY + ONE_HOT, "category")
+
+
+@query("ml_detector_features", with_ctes(FEAT_SQL, FEAT_CAT_SQL, "\nUNION ALL\n".join(
+    f"""SELECT '{g}' AS detector, feature, ratio FROM (
+{_ar_sql(FEAT_NUMERIC, FEAT_BINARY + ONE_HOT, "category", f"{_IN_BASE} AND category IN ('{g}', 'normal')")}
+) WHERE ratio >= 0.05""" for g in _GROUPS)))
+def ml_detector_features(spark, sf):
+    p = prepared(spark, sf)
+    return union_all([round_doubles(AR.select_features(detector_ratios(p, m), 0.05))
+                      .select(F.lit(g).alias("detector"), "feature", "ratio") for g, m in _GROUPS.items()])
+
+
+@query("ml_stack_features", with_ctes(FEAT_SQL, FEAT_CAT_SQL, f"""
+SELECT feature, ratio FROM ({_ar_sql(FEAT_NUMERIC, FEAT_BINARY + ONE_HOT, "category", _IN_BASE)}) WHERE ratio >= 1.5"""))
+def ml_stack_features(spark, sf):
+    return round_doubles(AR.select_features(prepared(spark, sf).ratios, 1.5)).select("feature", "ratio")
+
+
+# --------------------------------------------------------- vectors, PCA
+
+_VECTOR = ["total", "qty", "acctbal", "has_return", "acct_negative", "status_F"]
+
+
+def _slots(df: DataFrame, vec: str, n: int) -> DataFrame:
+    a = vector_to_array(F.col(vec))
+    return df.select("id", *[a[i].alias(f"v{i}") for i in range(n)])
+
+
+def _raw_vectors(spark, sf):
+    return M.assemble(feat_ohe(spark, sf).select("id", *_VECTOR), _VECTOR, "raw_features")
+
+
+def _vector_sql(names: list[str]) -> str:
+    return with_ctes(FEAT_SQL, "fo AS (SELECT *, " + _one_hot_sql() + " FROM feat)",
+                     "SELECT id, " + ", ".join(f"CAST({c} AS DOUBLE) AS v{i}" for i, c in enumerate(names)) + " FROM fo")
+
+
+@query("feat_assemble", _vector_sql(_VECTOR))
 def feat_assemble(spark, sf):
-    train, test, _, _ = _vectors(spark, sf)
-    return train.unionByName(test).select("id", "raw_features")
+    return _slots(_raw_vectors(spark, sf), "raw_features", len(_VECTOR))
 
 
-@query("feat_vector_index")
+# Two-valued slots are indexed 0 and 1, which are their values; the others stay.
+@query("feat_vector_index", _vector_sql(_VECTOR))
 def feat_vector_index(spark, sf):
-    train, test, _, _ = _vectors(spark, sf)
-    idx = M.fit_vector_indexer(train, "raw_features", "indexed_features")
-    return idx.transform(train.unionByName(test)).select("id", "indexed_features")
+    v = materialize(_raw_vectors(spark, sf))
+    return _slots(M.fit_vector_indexer(v, "raw_features", "indexed").transform(v), "indexed", len(_VECTOR))
 
 
-@query("feat_vector_slice")
+@query("feat_vector_slice", _vector_sql(["acctbal", "has_return"]))
 def feat_vector_slice(spark, sf):
-    train, test, names, ratios = _vectors(spark, sf)
-    keep = [c for c in names if c in AR.selected_names(ratios, 0.05)]
-    return M.slice_vector(train.unionByName(test), "raw_features", keep, "sliced").select("id", "sliced")
+    return _slots(M.slice_vector(_raw_vectors(spark, sf), "raw_features", ["acctbal", "has_return"], "sliced"), "sliced", 2)
+
+
+# The variances of two components are the eigenvalues of the covariance matrix.
+@query("ml_pca_variance", with_ctes(FEAT_SQL, """
+c AS (SELECT var_samp(qty) AS a, var_samp(n_lines) AS b, covar_samp(qty, n_lines) AS c FROM feat)""", """
+SELECT round((a + b) / 2 + sqrt(((a - b) / 2) * ((a - b) / 2) + c * c), 4) AS var1,
+       round((a + b) / 2 - sqrt(((a - b) / 2) * ((a - b) / 2) + c * c), 4) AS var2 FROM c"""))
+def ml_pca_variance(spark, sf):
+    v = materialize(M.assemble(feat(spark, sf).select("id", "qty", "n_lines"), ["qty", "n_lines"], "vec"))
+    out = M.pca(v, v, "vec", 2)
+    return out.agg(F.round(F.var_samp("pc1"), 4).alias("var1"), F.round(F.var_samp("pc2"), 4).alias("var2"))
+
+
+def _pca_rows(spark, sf):
+    """All rows with the two components fitted on the base part."""
+    def make():
+        p = prepared(spark, sf)
+        rows = M.assemble(p.scaled, _selected(p.ratios, 0.05), "raw_features")
+        return materialize(M.apply_pca(M.fit_pca(rows.where("part = 'base'"), "raw_features"), rows))
+    return _once(spark, sf, "pca", make)
 
 
 @query("ml_pca")
 def ml_pca(spark, sf):
-    train, test, _, _ = _vectors(spark, sf, 0.05)
-    out = M.pca(train, train.unionByName(test), "raw_features", 2)
-    return round_doubles(out.select("id", "label2", "label_group", "pc1", "pc2"))
+    return round_doubles(_pca_rows(spark, sf).select("id", "label2", "label_group", "pc1", "pc2"))
+
+
+@query("chart_pca_scatter", with_ctes(FEAT_SQL, """
+SELECT label_group, count(*) AS count FROM feat GROUP BY 1"""))
+def chart_pca_scatter(spark, sf):
+    """The grid of the PCA scatter holds every row of each label once."""
+    grid = G.scatter_grid(_pca_rows(spark, sf), "pc1", "pc2", 20, by="label_group")
+    return grid.groupBy("label_group").agg(F.sum("count").alias("count"))
+
+
+@query("chart_pca_scatter_grid")
+def chart_pca_scatter_grid(spark, sf):
+    rows = _pca_rows(spark, sf)
+    return round_doubles(union_all([
+        G.scatter_grid(rows, "pc1", "pc2", 20, by=c).withColumnRenamed(c, "label").withColumn("labels", F.lit(c))
+        for c in ("label2", "label_group")]))
 
 
-def _numeric_vectors(spark, sf):
-    train, test, ratios = prepared(spark, sf)
-    nums = [c for c in FEAT_NUMERIC if c in AR.selected_names(ratios, 0.1)]
-    return M.assemble(train, nums, "num_features"), M.assemble(test, nums, "num_features")
+# --------------------------------------------------------- clustering
+
+
+def _kmeans(spark, sf):
+    """(model, all rows with ``cluster``), fitted on the base part."""
+    def make():
+        p = prepared(spark, sf)
+        nums = [c for c in FEAT_NUMERIC if c in AR.selected_names(p.ratios, 0.1)]
+        rows = M.assemble(p.scaled, nums, "num_features")
+        model, scored = M.kmeans(rows.where("part = 'base'"), rows, "num_features", **KMEANS)
+        return model, materialize(scored)
+    return _once(spark, sf, "kmeans", make)
 
 
 @query("ml_kmeans")
 def ml_kmeans(spark, sf):
-    train, test = _numeric_vectors(spark, sf)
-    _, scored = M.kmeans(train, train.unionByName(test), "num_features", **KMEANS)
-    return scored.select("id", "label2", "cluster")
+    return _kmeans(spark, sf)[1].select("id", "label2", "cluster")
+
+
+# Every row sits at its nearest fitted centre.
+@query("ml_kmeans_nearest", with_ctes(FEAT_SQL, "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS misplaced FROM feat"))
+def ml_kmeans_nearest(spark, sf):
+    model, rows = _kmeans(spark, sf)
+    x = vector_to_array(F.col("num_features"))
+    far = [F.aggregate(F.zip_with(x, F.array(*[F.lit(float(v)) for v in c]), lambda a, b: (a - b) * (a - b)),
+                       F.lit(0.0), lambda s, d: s + d) for c in model.clusterCenters()]  # k centres
+    d = F.array(*far)
+    return rows.agg(F.count(F.lit(1)).alias("rows"),
+                    F.count_if(F.element_at(d, F.col("cluster") + 1) > F.array_min(d) + 1e-9).alias("misplaced"))
 
 
 def _gmm(spark, sf):
-    train, test, _, _ = _vectors(spark, sf, 0.05)
-    pca_train = M.pca(train, train, "raw_features", 2)
-    allp = M.pca(train, train.unionByName(test), "raw_features", 2)
-    return M.gmm(pca_train, allp, "pca_features", **GMM)
+    def make():
+        rows = _pca_rows(spark, sf)
+        model, scored = M.gmm(rows.where("part = 'base'"), rows, "pca_features", **GMM)
+        return model, materialize(scored)
+    return _once(spark, sf, "gmm", make)
 
 
 @query("ml_gmm")
 def ml_gmm(spark, sf):
-    _, scored = _gmm(spark, sf)
     p_max = F.array_max(vector_to_array(F.col("probability")))
-    return round_doubles(scored.select("id", "cluster", p_max.alias("p_max")))
+    return round_doubles(_gmm(spark, sf)[1].select("id", "cluster", p_max.alias("p_max")))
 
 
 @query("ml_gmm_params")
 def ml_gmm_params(spark, sf):
-    model, _ = _gmm(spark, sf)
-    return round_doubles(M.gmm_params(model))
+    return round_doubles(M.gmm_params(_gmm(spark, sf)[0]))
+
+
+@query("ml_gmm_covariances")
+def ml_gmm_covariances(spark, sf):
+    return round_doubles(M.gmm_covariances(_gmm(spark, sf)[0]))
+
+
+# Weights sum to one, and the weighted component means are the mean of the rows
+# that the mixture was fitted on (zero for centred components).
+@query("ml_gmm_moments", """
+SELECT CAST(1 AS DOUBLE) AS weight, CAST(0 AS DOUBLE) AS off_1, CAST(0 AS DOUBLE) AS off_2""")
+def ml_gmm_moments(spark, sf):
+    model, rows = _gmm(spark, sf)
+    base = rows.where("part = 'base'").agg(F.avg("pc1").alias("m1"), F.avg("pc2").alias("m2")).first()
+    p = M.gmm_params(model).groupBy("component").agg(
+        F.first("weight").alias("w"), F.sum(F.when(F.col("dim") == 0, F.col("mean"))).alias("m1"),
+        F.sum(F.when(F.col("dim") == 1, F.col("mean"))).alias("m2"))
+    off = lambda i: F.abs(F.round(F.sum(F.col("w") * F.col(f"m{i}")) - F.lit(base[f"m{i}"]), 4))
+    return p.agg(F.round(F.sum("w"), 6).alias("weight"), off(1).alias("off_1"), off(2).alias("off_2"))
 
 
 # Rule clusters for the SQL-checked routing: orders banded by total price.
@@ -144,102 +303,143 @@ def ml_cluster_routing(spark, sf):
     return round_doubles(M.route_clusters(prof, "band_label2"))
 
 
+# --------------------------------------------------------- base models
+
+
+def _cluster_forest(spark, sf, clustered: DataFrame, forest: dict) -> DataFrame:
+    """(id, cluster, p) of all rows: routing on the base part's profile, one
+    forest per mixed cluster on the ratio-selected features, every row scored
+    once (a cluster unseen in the base part -> 1.0)."""
+    p = prepared(spark, sf)
+    rows = M.assemble(clustered.select(*_LABELS, *ALL_FEATURES, "cluster"), _selected(p.ratios, 0.05), "features")
+    base = rows.where("part = 'base'").withColumn(
+        "attack_label", F.when(F.col("y") == 1.0, "attack").otherwise("normal"))
+    routing = M.route_clusters(cluster_profile(base, "cluster", "attack_label"), "cluster_attack_label")
+    forests = M.fit_cluster_forests(base, routing.collect(), "cluster", "features", "y", **forest)
+    return M.score_clusters(rows, "id", "cluster", routing, forests)
+
+
+def base_scores(spark, sf, forest: dict = FOREST) -> DataFrame:
+    """Every row with the scores of the five base models and their flags
+    (threshold 0.05; ``f_any`` is the OR of the k-means, mixture and detector
+    flags); all models are fitted on the base part."""
+    def make():
+        p = prepared(spark, sf)
+        sets = {g: _selected(detector_ratios(p, m), 0.05) for g, m in _GROUPS.items()}
+        rows = M.category_detectors(p.part("base"), p.scaled, "category", _GROUPS, sets, **forest)
+        for name, clustered in (("p_km", _kmeans(spark, sf)[1]), ("p_gm", _gmm(spark, sf)[1])):
+            own = _cluster_forest(spark, sf, clustered, forest)
+            rows = rows.join(own.select("id", F.col("p").alias(name)), "id")
+        rows = rows.withColumns({"f_" + c[2:]: V.threshold(c, 0.05) for c in PROBS})
+        return materialize(rows.withColumn("f_any", V.any_flag([f for f in FLAGS if f != "f_any"])))
+    return _once(spark, sf, f"scores-{sorted(forest.items())}", make)
+
+
+def _checked(scores: DataFrame, probs: list[str]) -> DataFrame:
+    ok = F.lit(True)
+    for c in probs:
+        ok = ok & F.col(c).between(0.0, 1.0)
+    return scores.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("id").alias("ids"),
+                      F.count_if(~F.coalesce(ok, F.lit(False))).alias("out_of_range"))
+
+
+_SCORED_SQL = with_ctes(FEAT_SQL, "SELECT count(*) AS rows, count(DISTINCT id) AS ids, CAST(0 AS BIGINT) AS out_of_range FROM feat")
+
+
+# Every id is scored exactly once by every base model, with a probability.
+@query("ml_base_scores_once", _SCORED_SQL)
+def ml_base_scores_once(spark, sf, forest: dict = FOREST):
+    return _checked(base_scores(spark, sf, forest), PROBS)
+
+
 @query("ml_cluster_forest")
-def ml_cluster_forest(spark, sf):
-    """k-means clusters -> routing on the train profile -> one forest per
-    mixed cluster -> every row scored once (unseen cluster -> 1.0)."""
-    train, test = _numeric_vectors(spark, sf)
-    train = train.withColumn("attack_label", F.when(F.col("planted") == 1.0, "attack").otherwise("normal"))
-    vtrain = M.assemble(train, ALL_FEATURES, "features")
-    model, tr = M.kmeans(vtrain, vtrain, "num_features", **KMEANS)
-    routing = M.route_clusters(cluster_profile(tr, "cluster", "attack_label"), "cluster_attack_label")
-    forests = M.fit_cluster_forests(tr, routing.collect(), "cluster", "features", "planted", **RF_SMALL)
-    vall = model.transform(M.assemble(train.drop("attack_label").unionByName(test), ALL_FEATURES, "features"))
-    return round_doubles(M.score_clusters(vall, "id", "cluster", routing, forests))
+def ml_cluster_forest(spark, sf, forest: dict = FOREST):
+    return round_doubles(base_scores(spark, sf, forest).select("id", "part", F.col("p_km").alias("p")))
 
 
 @query("ml_gmm_cluster_forest")
-def ml_gmm_cluster_forest(spark, sf):
-    """The same routing and per-cluster forests on mixture clusters (hard
-    assignment of the 2-D PCA features)."""
-    train, test, _, _ = _vectors(spark, sf, 0.05)
-    allrows = train.unionByName(test)
-    pca_train = M.pca(train, train, "raw_features", 2)
-    model, tr = M.gmm(pca_train, pca_train, "pca_features", **GMM)
-    tr = tr.withColumn("attack_label", F.when(F.col("planted") == 1.0, "attack").otherwise("normal"))
-    routing = M.route_clusters(cluster_profile(tr, "cluster", "attack_label"), "cluster_attack_label")
-    forests = M.fit_cluster_forests(tr, routing.collect(), "cluster", "raw_features", "planted", **RF_SMALL)
-    allp = model.transform(M.pca(train, allrows, "raw_features", 2))
-    return round_doubles(M.score_clusters(allp, "id", "cluster", routing, forests))
+def ml_gmm_cluster_forest(spark, sf, forest: dict = FOREST):
+    return round_doubles(base_scores(spark, sf, forest).select("id", "part", F.col("p_gm").alias("p")))
+
+
+@query("ml_category_detectors")
+def ml_category_detectors(spark, sf, forest: dict = FOREST):
+    return round_doubles(base_scores(spark, sf, forest).select("id", "part", "p_A", "p_B", "p_C"))
+
+
+# The weighted vote of all five models on the test part.
+@query("ml_vote_five")
+def ml_vote_five(spark, sf, forest: dict = FOREST):
+    test = base_scores(spark, sf, forest).where("part = 'test'")
+    vote = V.weighted_vote({"p_km": 3, "p_gm": 1, "p_A": 1, "p_B": 1, "p_C": 1})
+    return round_doubles(E.threshold_report(test.withColumn("vote", vote), "y", "vote", 0.005))
+
+
+def _forest_report(spark, sf, forest):
+    p = prepared(spark, sf)
+    model = M.random_forest(features="features", label="y", **forest).fit(M.assemble(p.part("base"), ALL_FEATURES))
+    return model.transform(M.assemble(p.part("test"), ALL_FEATURES)).withColumn("p", M.p_positive())
 
 
 @query("ml_random_forest")
-def ml_random_forest(spark, sf):
-    """Forest on the planted label; report on the held-out rows."""
-    train, test, _ = prepared(spark, sf)
-    rf = M.random_forest(features="features", label="planted", **RF_SMALL)
-    model = rf.fit(M.assemble(train, ALL_FEATURES))
-    scored = model.transform(M.assemble(test, ALL_FEATURES)).withColumn("p", M.p_positive())
-    return round_doubles(E.threshold_report(scored, "planted", "p", 0.5))
+def ml_random_forest(spark, sf, forest: dict = DEFAULT_FOREST):
+    """The default-sized forest; report on the test part."""
+    return round_doubles(E.threshold_report(_forest_report(spark, sf, forest), "y", "p", 0.5))
 
 
-_GROUPS = {"A": ["A"], "B": ["B"], "C": ["C"]}
+# A forest of the reference's size learns the planted threshold rule.
+@query("ml_forest_agrees", with_ctes(FEAT_SQL, f"""
+SELECT count(*) AS rows, true AS learned FROM feat WHERE {_hash_sql()} >= '{_CV_END}'"""))
+def ml_forest_agrees(spark, sf, forest: dict = FOREST):
+    scored = _forest_report(spark, sf, forest)
+    same = F.count_if((F.col("p") >= 0.5) == (F.col("y") == 1.0))
+    return scored.agg(F.count(F.lit(1)).alias("rows"), (same >= 0.95 * F.count(F.lit(1))).alias("learned"))
 
 
-def _detectors(spark, sf):
-    train, test, _ = prepared(spark, sf)
-    sets = {}
-    for name, members in _GROUPS.items():
-        sub = train.where(F.col("label_group").isin(*members, "normal"))
-        r = AR.attribute_ratio(sub, FEAT_NUMERIC, FEAT_BINARY + ONE_HOT, "label_group")
-        sel = AR.selected_names(r, 0.05)
-        sets[name] = [c for c in ALL_FEATURES if c in sel]
-    allrows = train.unionByName(test)
-    det = M.category_detectors(train, allrows, "id", "label_group", _GROUPS, sets, **RF_SMALL)
-    return det.join(allrows.select("id", "y", "planted"), "id"), train, test
+# --------------------------------------------------------- stackers
 
 
-@query("ml_category_detectors")
-def ml_category_detectors(spark, sf):
-    det, _, _ = _detectors(spark, sf)
-    return round_doubles(det.select("id", "p_A", "p_B", "p_C"))
+def _stack_parts(spark, sf, forest):
+    """Fitted on cv, reported on test: neither was seen by a base model."""
+    s = base_scores(spark, sf, forest)
+    return s.where("part = 'cv'"), s.where("part = 'test'")
 
 
-def _stack_inputs(spark, sf):
-    det, _, _ = _detectors(spark, sf)
-    det = det.withColumns({f"f_{g}": V.threshold(f"p_{g}", 0.05) for g in _GROUPS})
-    valid, test = S.random_split(det, "id", [0.5, 0.5], SEED + 1)
-    return valid, test
+# No stacker row comes from base training, and every row has one part.
+@query("ml_stack_rows", with_ctes(FEAT_SQL, f"""
+SELECT count(*) FILTER ({_hash_sql()} >= '{_BASE_END}' AND {_hash_sql()} < '{_CV_END}') AS fitted,
+       count(*) FILTER ({_hash_sql()} >= '{_CV_END}') AS reported FROM feat"""))
+def ml_stack_rows(spark, sf, forest: dict = FOREST):
+    cv, test = _stack_parts(spark, sf, forest)
+    sides = union_all([cv.select("id", F.lit(1).alias("c")), test.select("id", F.lit(0).alias("c"))])
+    return sides.agg(F.sum("c").alias("fitted"), F.sum(1 - F.col("c")).alias("reported"))
+
+
+def _logistic(cv: DataFrame):
+    weighted = V.class_weights(cv, "category", {"normal": 1.0, "A": 100.0, "B": 100.0, "C": 100.0}, "w")
+    return weighted, M.stack_logistic(weighted, PROBS, "y", weight="w")
 
 
 @query("ml_stack_logistic")
-def ml_stack_logistic(spark, sf):
-    valid, test = _stack_inputs(spark, sf)
-    valid = V.class_weights(valid, "y", {0.0: 1.0, 1.0: 100.0}, "w")
-    m = M.stack_logistic(valid, ["p_A", "p_B", "p_C"], "y", weight="w")
-    scored = m.transform(test).withColumn("p", M.p_positive())
+def ml_stack_logistic(spark, sf, forest: dict = FOREST):
+    cv, test = _stack_parts(spark, sf, forest)
+    scored = _logistic(cv)[1].transform(test).withColumn("p", M.p_positive())
     return round_doubles(E.threshold_report(scored, "y", "p", 0.01))
 
 
 @query("ml_stack_flags_forest")
-def ml_stack_flags_forest(spark, sf):
-    valid, test = _stack_inputs(spark, sf)
-    m = M.stack_forest(valid, ["f_A", "f_B", "f_C"], "y", **RF_SMALL)
-    scored = m.transform(test).withColumn("p", M.p_positive())
-    return round_doubles(E.threshold_report(scored, "y", "p", 0.01))
+def ml_stack_flags_forest(spark, sf, forest: dict = FOREST, flags_forest: dict = FLAGS_FOREST):
+    cv, test = _stack_parts(spark, sf, forest)
+    m = M.stack_forest(cv, [f for f in FLAGS if f != "f_any"], "y", **flags_forest)
+    return round_doubles(E.threshold_report(m.transform(test).withColumn("p", M.p_positive()), "y", "p", 0.01))
 
 
 @query("ml_stack_features_forest")
-def ml_stack_features_forest(spark, sf):
-    det, train, test = _detectors(spark, sf)
-    ratios = AR.attribute_ratio(train, FEAT_NUMERIC, FEAT_BINARY + ONE_HOT, "label_group")
-    strong = [c for c in ALL_FEATURES if c in AR.selected_names(ratios, 1.5)]
-    flags = det.select("id", *[V.threshold(f"p_{g}", 0.05).alias(f"f_{g}") for g in _GROUPS])
-    joined = train.unionByName(test).join(flags, "id")
-    valid, hold = S.random_split(joined, "id", [0.5, 0.5], SEED + 1)
-    m = M.stack_forest(valid, strong + [f"f_{g}" for g in _GROUPS], "y", **RF_SMALL)
-    scored = m.transform(hold).withColumn("p", M.p_positive())
-    return round_doubles(E.threshold_report(scored, "y", "p", 0.01))
+def ml_stack_features_forest(spark, sf, forest: dict = FOREST):
+    cv, test = _stack_parts(spark, sf, forest)
+    strong = _selected(prepared(spark, sf).ratios, 1.5)
+    m = M.stack_forest(cv, strong + FLAGS, "y", **forest)
+    return round_doubles(E.threshold_report(m.transform(test).withColumn("p", M.p_positive()), "y", "p", 0.01))
 
 
 # ------------------------------------------------------------- charts

@@ -158,12 +158,12 @@ def test_cluster_scoring_scores_every_row_once(spark, planted):
 
 def test_category_detectors_single_pass(spark, planted):
     df = planted.withColumn("g", F.when(F.col("x") > 0.8, "A").when(F.col("x") > 0.6, "B").otherwise("normal"))
-    det = M.category_detectors(df, df, "id", "g", {"A": ["A"], "B": ["B"]}, {"A": ["x", "z"], "B": ["x"]},
+    det = M.category_detectors(df, df, "g", {"A": ["A"], "B": ["B"]}, {"A": ["x", "z"], "B": ["x"]},
                                num_trees=5, max_depth=3)
-    assert det.columns == ["id", "p_A", "p_B"] and det.count() == 2000
+    assert det.columns == [*df.columns, "p_A", "p_B"] and det.count() == 2000
     plan = det._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan                      # scored without joins or shuffles
-    r = det.join(df, "id").where(F.col("g") == "A").agg(F.avg("p_A")).first()[0]
+    r = det.where(F.col("g") == "A").agg(F.avg("p_A")).first()[0]
     assert r > 0.5
 
 
