@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkwright.functions.exprs import null_safe
@@ -47,3 +47,24 @@ def delete_many(collection: DataFrame, match: dict) -> DataFrame:
 def append_to_table(docs: DataFrame, path: str, fmt: str = "parquet") -> None:
     """K4 for a stored collection: append files (no key constraint)."""
     docs.write.mode("append").format(fmt).save(path)
+
+
+def update_stored(spark: SparkSession, path: str, target: str, match: dict, set_fields: dict) -> dict[str, int]:
+    """K5 for a stored collection: write the updated collection to ``target``
+    (a new version; the old files stay whole until the caller drops them).
+    Returns the numbers of matched and of changed documents."""
+    old = spark.read.parquet(path)
+    update_many(old, match, set_fields).write.parquet(target)
+    pred = null_safe(_match(match))
+    same = reduce(lambda a, b: a & b, [
+        F.col(c).eqNullSafe((v if isinstance(v, Column) else F.lit(v)).cast(old.schema[c].dataType))
+        for c, v in set_fields.items()], F.lit(True))
+    return old.agg(F.count_if(pred).alias("matched"), F.count_if(pred & ~same).alias("modified")).first().asDict()
+
+
+def delete_stored(spark: SparkSession, path: str, target: str, match: dict) -> dict[str, int]:
+    """K6 for a stored collection: write what is left to ``target``; returns the
+    number of deleted documents."""
+    old = spark.read.parquet(path)
+    delete_many(old, match).write.parquet(target)
+    return old.agg(F.count_if(null_safe(_match(match))).alias("deleted")).first().asDict()

@@ -8,31 +8,40 @@ balanced accuracy, AUC -> null.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkwright.functions.exprs import safe_div
 from sparkwright.operators.ordering import running_total
 from sparkwright.operators.votes import threshold
+from sparkwright.session import materialize
+
+
+def _number(cond: Column, weight: str | None) -> Column:
+    """Rows for which ``cond`` holds; rows that stand for ``weight`` others
+    count as often."""
+    return F.count_if(cond) if weight is None else F.coalesce(F.sum(F.when(cond, F.col(weight))), F.lit(0))
 
 
-def confusion(df: DataFrame, label: str, pred: str, classes: list) -> DataFrame:
+def confusion(df: DataFrame, label: str, pred: str, classes: list, weight: str | None = None) -> DataFrame:
     """Long matrix (label, prediction, count), every cell of the class grid
     present (zeros kept)."""
     cells = [(a, b) for a in classes for b in classes]
-    one = df.agg(*[F.count_if((F.col(label) == F.lit(a)) & (F.col(pred) == F.lit(b))).alias(f"c{i}")
+    one = df.agg(*[_number((F.col(label) == F.lit(a)) & (F.col(pred) == F.lit(b)), weight).alias(f"c{i}")
                    for i, (a, b) in enumerate(cells)])
     rows = [F.struct(F.lit(a).alias("label"), F.lit(b).alias("prediction"), F.col(f"c{i}").alias("count"))
             for i, (a, b) in enumerate(cells)]
     return one.select(F.inline(F.array(*rows)))
 
 
-def _cells(label: Column, pred: Column, positive, negative) -> list[Column]:
+def _cells(label: Column, pred: Column, positive, negative, weight: str | None = None) -> list[Column]:
     pos, neg = F.lit(positive), F.lit(negative)
-    return [F.count_if((label == neg) & (pred == neg)).alias("tn"),
-            F.count_if((label == neg) & (pred == pos)).alias("fp"),
-            F.count_if((label == pos) & (pred == neg)).alias("fn"),
-            F.count_if((label == pos) & (pred == pos)).alias("tp")]
+    return [_number((label == neg) & (pred == neg), weight).alias("tn"),
+            _number((label == neg) & (pred == pos), weight).alias("fp"),
+            _number((label == pos) & (pred == neg), weight).alias("fn"),
+            _number((label == pos) & (pred == pos), weight).alias("tp")]
 
 
 def _metrics(tn="tn", fp="fp", fn="fn", tp="tp") -> list[Column]:
@@ -51,11 +60,12 @@ def _metrics(tn="tn", fp="fp", fn="fn", tp="tp") -> list[Column]:
             ((dr + 1 - far) / 2).alias("balanced_accuracy"), (FP + FN).cast("long").alias("errors")]
 
 
-def binary_report(df: DataFrame, label: str, pred: str, positive=1.0, negative=0.0) -> DataFrame:
+def binary_report(df: DataFrame, label: str, pred: str, positive=1.0, negative=0.0,
+                  weight: str | None = None) -> DataFrame:
     """One row: cells, accuracy, precision, recall, F1, MCC,
     false-alarm rate, detection rate, balanced accuracy (the hard-label
     "AUC" of the reference), number of errors."""
-    cells = df.agg(*_cells(F.col(label), F.col(pred), positive, negative))
+    cells = df.agg(*_cells(F.col(label), F.col(pred), positive, negative, weight))
     return cells.select("tn", "fp", "fn", "tp", *_metrics())
 
 
@@ -101,7 +111,7 @@ def auc(df: DataFrame, label: str, score: str, positive=1.0) -> DataFrame:
                    F.sum("_pos").alias("positives"), F.sum("_neg").alias("negatives"))
 
 
-def class_report(df: DataFrame, label: str, pred: str, classes: list) -> DataFrame:
+def class_report(df: DataFrame, label: str, pred: str, classes: list, weight: str | None = None) -> DataFrame:
     """Per class precision, recall, F1, support, then accuracy, macro and
     weighted averages (rows keyed by a string ``class``).  One aggregate over
     the data gives tp, support and predicted counts of every class; all the
@@ -109,9 +119,9 @@ def class_report(df: DataFrame, label: str, pred: str, classes: list) -> DataFra
     lab, prd = F.col(label), F.col(pred)
     aggs = []
     for i, c in enumerate(classes):
-        aggs += [F.count_if((lab == F.lit(c)) & (prd == F.lit(c))).alias(f"tp{i}"),
-                 F.count_if(lab == F.lit(c)).alias(f"sup{i}"),
-                 F.count_if(prd == F.lit(c)).alias(f"np{i}")]
+        aggs += [_number((lab == F.lit(c)) & (prd == F.lit(c)), weight).alias(f"tp{i}"),
+                 _number(lab == F.lit(c), weight).alias(f"sup{i}"),
+                 _number(prd == F.lit(c), weight).alias(f"np{i}")]
     one = df.agg(*aggs)
     z = F.lit(0.0)
     prec, rec, f1 = [], [], []
@@ -143,10 +153,25 @@ def class_report(df: DataFrame, label: str, pred: str, classes: list) -> DataFra
 def full_report(df: DataFrame, label: str, score: str, e: float | None = None,
                 classes=(0.0, 1.0), positive=1.0, negative=0.0) -> dict[str, DataFrame]:
     """Everything the reference prints for one (table, score, threshold):
-    confusion matrix, binary metrics and the per-class report.  A label subset
-    is a filter on ``df`` before the call."""
+    confusion matrix, binary metrics and the per-class report.  The rows are
+    read once, into the counts of each (label, prediction); all three parts
+    come from these.  A label subset is a filter on ``df`` before the call."""
     pred = threshold(score, e) if e is not None else F.col(score)
-    p = df.withColumn("_pred", pred)
-    return {"confusion": confusion(p, label, "_pred", list(classes)),
-            "metrics": binary_report(p, label, "_pred", positive, negative),
-            "classes": class_report(p, label, "_pred", list(classes))}
+    p = materialize(df.select(F.col(label), pred.alias("_pred")).groupBy(label, "_pred").agg(F.count(F.lit(1)).alias("_n")))
+    return {"confusion": confusion(p, label, "_pred", list(classes), "_n"),
+            "metrics": binary_report(p, label, "_pred", positive, negative, "_n"),
+            "classes": class_report(p, label, "_pred", list(classes), "_n")}
+
+
+def long_report(df: DataFrame, label: str, score: str, e: float | None = None, classes=(0.0, 1.0)) -> DataFrame:
+    """E10 as one table (section, name, value)."""
+    r = full_report(df, label, score, e, classes)
+    named = lambda section, name, value: [F.lit(section).alias("section"), name.alias("name"),
+                                          value.cast("double").alias("value")]
+    parts = [r["confusion"].select(*named("confusion", F.concat_ws("|", F.col("label").cast("string"),
+                                                                   F.col("prediction").cast("string")), F.col("count")))]
+    for section, table, key in (("metrics", r["metrics"], F.lit("")), ("classes", r["classes"], F.col("class"))):
+        cols = [c for c in table.columns if c != "class"]
+        parts.append(table.select(F.inline(F.array(*[F.struct(*named(
+            section, F.concat(key, F.lit("|" if section == "classes" else ""), F.lit(c)), F.col(c))) for c in cols]))))
+    return reduce(DataFrame.unionAll, parts)

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from sparkwright.operators import evaluate as E
 from sparkwright.operators import votes as V
+from sparkwright.operators.relational import union_all
 from sparkwright.plans.q_profile import round_doubles
 from sparkwright.plans.registry import query, with_ctes
+from sparkwright.session import materialize
 from sparkwright.sources.tables import FEAT_SQL, feat
 
 
@@ -197,3 +199,38 @@ def eval_subset_report(spark, sf):
     """E10 on a label subset: the detector's own group against normal."""
     s = scored(spark, sf).where(F.col("label_group").isin("A", "normal"))
     return round_doubles(E.full_report(s, "y", "score1", 0.5)["metrics"])
+
+
+def _subset_report_sql(name: str, where: str) -> str:
+    """confusion, metric and class rows of one label subset."""
+    p = f"(SELECT y, {thr_sql('score1', 0.5)} AS pred FROM sc WHERE {where})"
+    cells = f"(SELECT {cells_sql('pred')} FROM {p})"
+    metrics = ["tn", "fp", "fn", "tp", "accuracy", "precision", "recall", "f1", "mcc", "false_alarm_rate",
+               "detection_rate", "balanced_accuracy", "errors"]
+    rows = [f"SELECT '{name}' AS subset, 'confusion' AS section, '{a}|{b}' AS name, CAST({c} AS DOUBLE) AS value FROM {cells}"
+            for a, b, c in (("0.0", "0.0", "tn"), ("0.0", "1.0", "fp"), ("1.0", "0.0", "fn"), ("1.0", "1.0", "tp"))]
+    rows += [f"SELECT '{name}', 'metrics', '{m}', CAST({m} AS DOUBLE) FROM ({metrics_sql(cells)})" for m in metrics]
+    per = []
+    for cls, tp, fp, fn in (("0.0", "tn", "fn", "fp"), ("1.0", "tp", "fp", "fn")):
+        per.append((cls, f"coalesce({tp} / nullif({tp} + {fp}, 0), 0.0)", f"coalesce({tp} / nullif({tp} + {fn}, 0), 0.0)",
+                    f"coalesce(2 * {tp} / nullif(2 * {tp} + {fp} + {fn}, 0), 0.0)", f"({tp} + {fn})"))
+    n, acc = "(tn + fp + fn + tp)", "(tn + tp) / (tn + fp + fn + tp)"
+    mean = lambda i: f"({per[0][i]} + {per[1][i]}) / 2"
+    weighted = lambda i: f"({per[0][i]} * {per[0][4]} + {per[1][i]} * {per[1][4]}) / {n}"
+    table = [*per, ("accuracy", acc, acc, acc, n), ("macro avg", mean(1), mean(2), mean(3), n),
+             ("weighted avg", weighted(1), weighted(2), weighted(3), n)]
+    for cls, *values in table:
+        rows += [f"SELECT '{name}', 'classes', '{cls}|{m}', round(CAST({v} AS DOUBLE), 6) FROM {cells}"
+                 for m, v in zip(("precision", "recall", "f1", "support"), values)]
+    return "\nUNION ALL\n".join(rows)
+
+
+_SUBSETS = {"all": "true", "A": "label_group IN ('A', 'normal')"}
+
+
+# Confusion matrix, metrics and class table, per label subset.
+@query("eval_full_report", _sql("\nUNION ALL\n".join(_subset_report_sql(n, w) for n, w in _SUBSETS.items())))
+def eval_full_report(spark, sf):
+    s = materialize(scored(spark, sf).select("y", "label_group", "score1"))
+    return round_doubles(union_all([E.long_report(s.where(w), "y", "score1", 0.5).select(F.lit(n).alias("subset"), "*")
+                                    for n, w in _SUBSETS.items()]))

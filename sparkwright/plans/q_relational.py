@@ -63,7 +63,8 @@ def filt_label_group(spark, sf):
 SELECT id, CASE WHEN coalesce(total > 200000 AND acctbal > 0, false) THEN 1 ELSE 2 END AS route
 FROM feat"""))
 def filt_route(spark, sf):
-    f = feat(spark, sf).select("id", "total", "acctbal")
+    # Both sides read one copy of the feature table.
+    f = materialize(feat(spark, sf).select("id", "total", "acctbal"))
     a, b = R.route(f, (F.col("total") > 200000) & (F.col("acctbal") > 0))
     return R.union_all([a.select("id", F.lit(1).alias("route")), b.select("id", F.lit(2).alias("route"))])
 
@@ -120,7 +121,7 @@ SELECT id, CAST(1 AS DOUBLE) AS p FROM feat WHERE total >= 400000
 UNION ALL
 SELECT id, total / CAST(400000 AS DOUBLE) AS p FROM feat WHERE total < 400000"""))
 def set_union_scores(spark, sf):
-    f = feat(spark, sf).select("id", "total")
+    f = materialize(feat(spark, sf).select("id", "total"))
     hi, lo = R.route(f, F.col("total") >= 400000)
     return R.union_all([hi.select("id", F.lit(1.0).alias("p")),
                         lo.select("id", (F.col("total") / 400000.0).alias("p"))])
@@ -132,7 +133,7 @@ SELECT f.id, f.label2, f.score1, round(greatest(f.acctbal, 0) / 10000.0, 6) AS s
 FROM feat f LEFT JOIN (SELECT id, round(qty / 400.0, 6) AS score3 FROM feat WHERE has_return = 1) s3
   ON f.id = s3.id"""))
 def join_attach_scores(spark, sf):
-    f = feat(spark, sf)
+    f = materialize(feat(spark, sf).select("id", "label2", "score1", "acctbal", "has_return", "qty"))
     base = f.select("id", "label2", F.lit(None).cast("double").alias("score3"))
     s1 = f.select("id", "score1")
     s2 = f.select("id", F.round(F.greatest("acctbal", F.lit(0.0)) / 10000.0, 6).alias("score2"))
@@ -145,7 +146,7 @@ SELECT f.id, f.total, f.qty, p.pred_big, p.pred_ret
 FROM feat f JOIN (SELECT id, CAST(total > 250000 AS DOUBLE) AS pred_big,
                          has_return AS pred_ret FROM feat WHERE n_lines > 0) p ON f.id = p.id"""))
 def join_features_preds(spark, sf):
-    f = feat(spark, sf)
+    f = materialize(feat(spark, sf).select("id", "total", "qty", "n_lines", "has_return"))
     preds = f.where(F.col("n_lines") > 0).select(
         "id", (F.col("total") > 250000).cast("double").alias("pred_big"), F.col("has_return").alias("pred_ret"))
     return f.select("id", "total", "qty").join(preds, "id", "inner")

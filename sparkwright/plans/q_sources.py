@@ -72,7 +72,7 @@ def _stage_records(spark, sf) -> str:
               (F.col("p_size") - 150).cast("string")]
     lines = p.select("p_partkey", F.posexplode(F.array(*fields)).alias("pos", "value"))
     path = shared_path(spark, "records")
-    (lines.repartitionByRange(4, "p_partkey").sortWithinPartitions("p_partkey", "pos")
+    (lines.repartitionByRange("p_partkey").sortWithinPartitions("p_partkey", "pos")
      .select("value").write.text(path))
     return path
 
@@ -153,6 +153,41 @@ def doc_update_many(spark, sf):
                          {"c_acctbal": 0.0, "c_mktsegment": "CONSTRUCTION"})
 
 
+def _stored(spark, sf) -> str:
+    path = shared_path(spark, "collection")
+    read_table(spark, sf, "customer").write.parquet(path)
+    return path
+
+
+@query("doc_update_stored", """
+SELECT count(*) FILTER (c_mktsegment = 'BUILDING') AS matched,
+       count(*) FILTER (c_mktsegment = 'BUILDING' AND c_nationkey IS DISTINCT FROM 7) AS modified,
+       count(*) FILTER (c_mktsegment = 'BUILDING' OR c_nationkey = 7) AS now_seven FROM customer""")
+def doc_update_stored(spark, sf):
+    path, target = _stored(spark, sf), shared_path(spark, "collection")
+    counts = D.update_stored(spark, path, target, {"c_mktsegment": "BUILDING"}, {"c_nationkey": 7})
+    return spark.read.parquet(target).agg(
+        F.lit(counts["matched"]).cast("bigint").alias("matched"), F.lit(counts["modified"]).cast("bigint").alias("modified"),
+        F.count_if(F.col("c_nationkey") == 7).alias("now_seven"))
+
+
+@query("doc_delete_stored", """
+SELECT count(*) FILTER (c_mktsegment = 'AUTOMOBILE') AS deleted,
+       count(*) FILTER (c_mktsegment IS DISTINCT FROM 'AUTOMOBILE') AS left_over FROM customer""")
+def doc_delete_stored(spark, sf):
+    path, target = _stored(spark, sf), shared_path(spark, "collection")
+    counts = D.delete_stored(spark, path, target, {"c_mktsegment": "AUTOMOBILE"})
+    return spark.read.parquet(target).agg(F.lit(counts["deleted"]).cast("bigint").alias("deleted"),
+                                          F.count(F.lit(1)).alias("left_over"))
+
+
+@query("doc_append_stored", "SELECT 2 * count(*) AS rows, count(DISTINCT c_custkey) AS ids FROM customer")
+def doc_append_stored(spark, sf):
+    path = _stored(spark, sf)
+    D.append_to_table(read_table(spark, sf, "customer"), path)
+    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("c_custkey").alias("ids"))
+
+
 @query("doc_delete_many", "SELECT * FROM customer WHERE c_mktsegment <> 'AUTOMOBILE' OR c_mktsegment IS NULL")
 def doc_delete_many(spark, sf):
     return D.delete_many(read_table(spark, sf, "customer"), {"c_mktsegment": "AUTOMOBILE"})
