@@ -86,19 +86,24 @@ def row_number_exact(df: DataFrame, order_cols: list[str], part_cols=(), out: st
     return running_total(df, order_cols, None, part_cols, out, num_partitions)
 
 
-def average_rank(df: DataFrame, value: str, part_cols=(), out: str = "rank",
-                 num_partitions: int | None = None) -> DataFrame:
-    """Average rank of ``value`` within ``part_cols`` (ties share the mean of
-    their positions, as Spearman correlation needs).  Nulls get no rank."""
+def rank_table(df: DataFrame, value: str, part_cols=(), out: str = "rank",
+               num_partitions: int | None = None) -> DataFrame:
+    """(*part_cols, value, out): the average rank of every distinct value within
+    ``part_cols`` (ties share the mean of their positions)."""
     part_cols = list(part_cols)
     counts = (df.where(F.col(value).isNotNull())
               .groupBy(*part_cols, value).agg(F.count(F.lit(1)).alias("_cnt")))
     ranked = running_total(counts, [value], "_cnt", part_cols, "_cum", num_partitions)
-    ranked = ranked.select(*part_cols, value,
-                           (F.col("_cum") - (F.col("_cnt") - 1) / 2.0).alias(out))
-    # One row per distinct value: the planner broadcasts it when it is small;
-    # otherwise it is a shuffle join whose hot keys AQE splits.
-    return join_groups(df, ranked, [*part_cols, value])
+    return ranked.select(*part_cols, value, (F.col("_cum") - (F.col("_cnt") - 1) / 2.0).alias(out))
+
+
+def average_rank(df: DataFrame, value: str, part_cols=(), out: str = "rank",
+                 num_partitions: int | None = None) -> DataFrame:
+    """``df`` with the average rank of ``value`` within ``part_cols``, as Spearman
+    correlation needs.  Nulls get no rank.  The rank table has one row per
+    distinct value: the planner broadcasts it when it is small; otherwise it is
+    a shuffle join whose hot keys AQE splits."""
+    return join_groups(df, rank_table(df, value, part_cols, out, num_partitions), [*part_cols, value])
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], part_cols=(),

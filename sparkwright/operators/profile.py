@@ -2,8 +2,8 @@
 
 Wide statistics, histograms and densities are computed in one aggregate over
 the wide row, and only the result row is transposed to long form.  Exact
-quantiles and ranks unpivot the columns, count the distinct values map-side and
-sort those (see ``ordering``).
+quantiles unpivot the columns, count the distinct values map-side and sort
+those; ranks do so column by column (see ``ordering``).
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkwright.functions.exprs import local_table
-from sparkwright.operators.ordering import average_rank, exact_quantiles, join_groups
+from sparkwright.operators.ordering import exact_quantiles, join_groups, rank_table
 
 # ------------------------------------------------------------- small helpers
 
@@ -170,12 +170,15 @@ def corr_pearson(df: DataFrame, columns: list[str]) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
-def corr_spearman(df: DataFrame, columns: list[str], key: str) -> DataFrame:
-    """Spearman = Pearson of average ranks.  Ranks come from one
-    distributed sort over (column, value); rows are re-assembled by ``key``."""
-    ranked = average_rank(_long(df, columns, [key]), "value", ["column"], out="rank")
-    wide = ranked.groupBy(key).pivot("column", columns).agg(F.first("rank"))
-    return corr_pearson(wide, columns)
+def corr_spearman(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Spearman = Pearson of average ranks.  Each column's distinct values
+    are ranked on their own and joined to its rows; the rows are neither
+    unpivoted nor put together again."""
+    base = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    ranked = base
+    for i, c in enumerate(columns):
+        ranked = join_groups(ranked, rank_table(base, c, out=f"_rank{i}"), [c])
+    return corr_pearson(ranked.select(*[F.col(f"_rank{i}").alias(c) for i, c in enumerate(columns)]), columns)
 
 
 # ---------------------------------------------------------- A20 - A22
@@ -246,26 +249,26 @@ KDE_POINTS = 200
 
 def kde(df: DataFrame, columns: list[str], points: int = KDE_POINTS) -> DataFrame:
     """Gaussian kernel density on ``points`` evenly spaced grid points per
-    column, bandwidth = stddev * n^(-1/5).  The ranges are literals; each task
-    adds its values up into one array per column, an element per grid point."""
-    ranges = _ranges(df, columns).collect()  # a row per column
-    spark, parts = df.sparkSession, []
-    for r in ranges:
+    column, bandwidth = stddev * n^(-1/5).  Equal values are counted first; each
+    distinct value meets the grid inside its task, and the sums per point are
+    combined map-side, so only ``points`` rows a task are shuffled.  The ranges
+    are literals."""
+    parts = []
+    for r in _ranges(df, columns).collect():  # a row per column
         if not r["_n"] or r["_sd"] is None:
             continue
         h = r["_sd"] * float(r["_n"]) ** -0.2
         step = (r["_mx"] - r["_mn"]) / (points - 1)
-        v = F.col(r["column"]).cast("double")
-        sums = []
-        for k in range(points):
-            z = (F.lit(r["_mn"] + step * k) - v) / F.lit(h) if h else F.lit(None).cast("double")
-            sums.append(F.sum(F.exp(-0.5 * z * z)).alias(f"k{k}"))
-        norm = F.lit(r["_n"] * h * math.sqrt(2 * math.pi))
-        rows = [F.struct(F.lit(k).alias("point"), F.lit(r["_mn"] + step * k).alias("x"),
-                         F.try_divide(F.col(f"k{k}"), norm).alias("density")) for k in range(points)]
-        parts.append(df.agg(*sums).select(F.lit(r["column"]).alias("column"), F.inline(F.array(*rows))))
+        values = (df.select(F.col(r["column"]).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+                  .groupBy("_v").agg(F.count(F.lit(1)).alias("_times")))
+        x = F.lit(r["_mn"]) + F.lit(step) * F.col("point")
+        z = F.try_divide(x - F.col("_v"), F.lit(h))
+        sums = (values.select("_v", "_times", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
+                .groupBy("point").agg(F.sum(F.col("_times") * F.exp(-0.5 * z * z)).alias("_sum")))
+        parts.append(sums.select(F.lit(r["column"]).alias("column"), "point", x.alias("x"), F.try_divide(
+            F.col("_sum"), F.lit(r["_n"] * h * math.sqrt(2 * math.pi))).alias("density")))
     if not parts:
-        return local_table(spark, [], "column string, point int, x double, density double")
+        return local_table(df.sparkSession, [], "column string, point int, x double, density double")
     return reduce(DataFrame.unionAll, parts)
 
 

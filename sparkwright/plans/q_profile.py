@@ -135,7 +135,7 @@ _SP_RANKS = "r AS (SELECT id, " + ", ".join(
 @query("agg_corr_spearman", with_ctes(FEAT_SQL, _SP_RANKS, _union([
     f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS corr FROM r" for a, b in _SP_PAIRS])))
 def agg_corr_spearman(spark, sf):
-    return round_doubles(P.corr_spearman(feat_once(spark, sf, ["id", *_SP_COLS]), _SP_COLS, "id"))
+    return round_doubles(P.corr_spearman(feat_once(spark, sf, _SP_COLS), _SP_COLS))
 
 
 # ---------------------------------------------------------------- A20-A22

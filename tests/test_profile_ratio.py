@@ -60,7 +60,7 @@ def test_spearman_matches_numpy(spark):
     x = rng.integers(0, 20, 300).astype(float)
     y = x * 0.5 + rng.integers(0, 10, 300)
     df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(zip(x, y))], "id int, x double, y double")
-    got = P.corr_spearman(df, ["x", "y"], "id").first()["corr"]
+    got = P.corr_spearman(df, ["x", "y"]).first()["corr"]
 
     def avg_rank(v):
         order = v.argsort(kind="mergesort")
