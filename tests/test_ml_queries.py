@@ -24,6 +24,8 @@ def run(spark, name):
 @pytest.mark.parametrize("name", UNCHECKED)
 def test_query_runs(spark, name):
     df = run(spark, name)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert [n for n in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython") if n in plan] == []
     got = df.collect()
     assert got
     for r in got:
