@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkwright.llm.shared import KEY, query, row_key, same_key, slices, stage, table, text_or_empty
+from sparkwright.llm.shared import KEY, query, release, row_key, same_key, slices, stage, table, text_or_empty
 from sparkwright.llm.words import words_of
 
 #: Words a passage (statistics, SVD), and words and step of the search windows.
@@ -81,6 +81,7 @@ def coded(docs: DataFrame, vocab: dict[bytes, int], id_col: str, text_col: str)
 
 def _chunks(batches):
     """(batch, first row, codes of some rows end to end, words a row)."""
+    release()
     for b in batches:
         col, at = b.column("codes"), 0
         parts, held = [], 0

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,12 +38,23 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """Give memory that earlier tasks of this Python worker have freed back to
+    the system; workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # glibc only
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def slices(batches, rows: int = 512):
     """The Arrow batches in smaller ones, so that a task turns few texts into
     Python strings at a time."""
+    release()
     for b in batches:
         for at in range(0, b.num_rows, rows):
             yield b.slice(at, rows)
+        del b
+    release()
 
 
 def text_or_empty(col: str = "text") -> Column:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkwright.llm.components import components, forest
-from sparkwright.llm.shared import query, slices, stage, table
+from sparkwright.llm.shared import query, release, slices, stage, table
 
 SEGMENTS = 5
 WIDTHS = (13, 13, 13, 13, 12)
@@ -156,6 +156,7 @@ def _match(bits: int):
     block, so a group is complete when the next one starts."""
     def run(batches):
         rest = None
+        release()
         for b in batches:
             cols = [b.column(k).to_numpy(zero_copy_only=False) for k in range(4)]
             if rest is not None:
