@@ -136,22 +136,22 @@ def route_clusters(profile: DataFrame, cluster_col: str, min_rows: int = OUTLIER
 def random_forest(num_trees: int = 20, max_depth: int = 5, seed: int = 42, features: str = "features",
                   label: str = "label", subset: str = "sqrt", weight: str | None = None) -> RandomForestClassifier:
     """M7/M8: the forest (reference sizes: 500 trees, depth 20)."""
-    # Deep forests: more memory for node statistics (fewer passes), and rows
-    # remember their nodes instead of walking every tree again in each pass.
+    # Deep forests: rows remember their nodes instead of walking every tree
+    # again in each pass.
     rf = RandomForestClassifier(numTrees=num_trees, maxDepth=max_depth, seed=seed, featuresCol=features,
-                                labelCol=label, featureSubsetStrategy=subset, maxMemoryInMB=512, cacheNodeIds=True)
+                                labelCol=label, featureSubsetStrategy=subset, cacheNodeIds=True)
     if weight:
         rf.setWeightCol(weight)
     return rf
 
 
-#: Model fits that run at the same time.
-FITS_AT_ONCE = 4
+#: Model fits that run at the same time.  Each keeps its growing forest in the
+#: driver's memory; raise it where the driver has several gigabytes.
+FITS_AT_ONCE = 1
 
 
 def _side_by_side(fit, args: list) -> list:
-    """Independent fits, a few at a time, so that the small ones share the
-    cluster's cores."""
+    """Independent fits, ``FITS_AT_ONCE`` at a time."""
     with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
         return list(pool.map(fit, args))
 
@@ -159,7 +159,7 @@ def _side_by_side(fit, args: list) -> list:
 def fit_cluster_forests(train: DataFrame, routing_rows: list, cluster_col: str, features: str, label: str,
                         **rf_args) -> dict:
     """M5: one forest per mixed cluster (at most k); each fit is a distributed
-    Spark job, and some run at a time."""
+    Spark job."""
     clusters = [r["cluster"] for r in routing_rows if r["route"] == "model"]
 
     def fit(cluster):
