@@ -4,12 +4,16 @@ The benchmark's words are the feature space; texts are turned into codes of
 these words once.  Passages of the whole corpus are weighted by TF-IDF (passage
 frequencies of all texts), and a randomised SVD of the passage-term matrix,
 whose sketch is added up over all partitions, gives the latent directions.
-Every text is then cut into short overlapping windows; a window in which the
-benchmark's words carry enough of the weight is projected and compared by
-cosine with the windows of the benchmark items.  What passes is aligned with
-the item: the longest common subsequence of words must cover most of the item,
-and the item's answer, its closing words, must be there too, so paraphrases
-with changed, dropped or added words count and chance likeness does not.
+A text leaks an item if one of its windows, at any word, is close by latent
+cosine to a window of the item and the span aligned by the two holds the item:
+the longest common subsequence of words must cover most of the item, and the
+item's answer, its closing words, must be there too, so paraphrases with
+changed, dropped or added words count and chance likeness does not.
+
+Every alignment counts.  What is not computed is what a cover of 60 % rules
+out: as few as 40 % of an item's words can be missing, so some of its rarest
+ones must lie in the span (an inverted index of these finds where), and an
+upper bound of the cover is taken before the cover itself.
 
 Only the benchmark and what has the size of its vocabulary is broadcast, for
 ``items_at_once`` items at a time.  The corpus is shuffled nowhere; it sends
@@ -28,13 +32,14 @@ from pyspark.sql import functions as F
 from sparkwright.llm.shared import KEY, query, release, row_key, same_key, slices, stage, table, text_or_empty
 from sparkwright.llm.words import words_of
 
-#: Words a passage (statistics, SVD), and words and step of the search windows.
-PASSAGE, WINDOW, STEP = 40, 10, 5
+#: Words a passage (statistics, SVD), and words of the search windows.
+PASSAGE, WINDOW = 40, 10
 #: Random directions of the sketch and latent directions kept.
 SKETCH, RANK = 48, 40
-#: Least weight share of benchmark words (then of the item's own) in a window,
-#: least cosine, and a window's least weight as a part of an item's median one.
-SHARE, COSINE, LEAST = 0.6, 0.8, 0.8
+#: Least cosine.
+COSINE = 0.8
+#: Rare words of an item that are looked for together.  Any number gives the same pairs.
+TOGETHER = 4
 #: Least cover of an item, of its answer, and the cover that needs no answer.
 COVER, ANSWER, WHOLE = 0.6, 0.5, 0.9
 ITEMS_AT_ONCE = 20_000
@@ -192,72 +197,111 @@ def common(item: np.ndarray, words: np.ndarray) -> int:
 
 
 class Retriever:
-    """Windows of the items in latent space, and the checks of a candidate."""
+    """Where an item may begin in a text, and the checks of such a start.
+
+    ``regions`` leaves out only starts that no check could accept.  An item of
+    n words is covered by ``least`` of them at least, so of any n - least + t
+    of its words t or more lie in the span that is aligned; the rarest ones
+    are looked up."""
 
     def __init__(self, items: list[Item], idf: np.ndarray, directions: np.ndarray):
-        self.items, self.idf, self.size = items, idf, len(idf)
+        self.items = items
         self.terms = (directions * idf[:, None]).astype(np.float32)
         self.terms[0] = 0
-        owner, offset, rows, least = [], [], [], np.inf
+        self.length = np.array([len(it.codes) for it in items])
+        self.slack = self.length // 4 + 2
+        self.least = np.array([next(i for i in range(1, n + 1) if i / n >= COVER) for n in self.length.tolist()])
+        self.together = np.minimum(TOGETHER, self.least)
+        code, owner = [], []
         for k, it in enumerate(items):
-            windows = [it.codes[o: o + WINDOW] for o in range(max(1, len(it.codes) - WINDOW + 1))]
-            owner += [k] * len(windows)
-            offset += range(len(windows))
-            rows += [self.terms[w].sum(axis=0) for w in windows]
-            least = min(least, float(np.median([idf[w].sum() for w in windows])))
-        # Half of the windows of every item carry this weight of their own words.
-        self.least = LEAST * least
-        self.owner, self.offset = np.array(owner), np.array(offset)
-        self.queries = self._unit(np.array(rows, np.float32))
-        #: item * size + code of the items' words
-        self.words = np.unique(np.concatenate([k * self.size + it.codes for k, it in enumerate(items)]))
+            rare = np.argsort(-idf[it.codes], kind="stable")[: self.length[k] - self.least[k] + self.together[k]]
+            code.append(np.unique(it.codes[rare]))
+            owner.append(np.full(len(code[-1]), k))
+        code, owner = np.concatenate(code), np.concatenate(owner)
+        order = np.argsort(code, kind="stable")
+        #: Items with a code among their rarest words, end to end by code.
+        self.posted = owner[order]
+        self.upto = np.concatenate([[0], np.cumsum(np.bincount(code, minlength=len(idf)))])
+        self.queries: dict[int, np.ndarray] = {}
 
     @staticmethod
     def _unit(x: np.ndarray) -> np.ndarray:
         return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
-    def candidates(self, codes: np.ndarray, sizes: np.ndarray):
-        """(text, item, start, cosine) of the windows that pass; start: where
-        the item would begin, in words of the text."""
-        n = np.maximum(1, -(-(sizes - WINDOW) // STEP) + 1) * (sizes > 0)
+    def regions(self, codes: np.ndarray, sizes: np.ndarray):
+        """(text, item, low, high): starts, in words of the text, around which
+        enough of the item's rarest words lie; no other start can pass."""
+        per = np.where(codes > 0, self.upto[codes + 1] - self.upto[codes], 0)
+        at = np.repeat(np.arange(len(codes)), per)
+        item = self.posted[np.repeat(self.upto[codes] - np.cumsum(per) + per, per) + np.arange(len(at))]
         first = np.cumsum(sizes) - sizes
-        text = np.repeat(np.arange(len(sizes)), n)
-        k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        # The last window ends with its text.
-        at = np.minimum(k * STEP, np.maximum(sizes[text] - WINDOW, 0))
-        begin = first[text] + at
-        end = np.minimum(begin + WINDOW, (first + sizes)[text])
-        mass = np.concatenate([[0.0], np.cumsum(self.idf[codes])])
-        known = np.concatenate([[0.0], np.cumsum(np.where(codes > 0, self.idf[codes], 0.0))])
-        weight = known[end] - known[begin]
-        ok = np.flatnonzero((weight >= self.least) & (weight >= SHARE * (mass[end] - mass[begin])))
-        padded = np.concatenate([codes, np.zeros(WINDOW, codes.dtype)])
-        for lo in range(0, len(ok), 512):
-            w = ok[lo: lo + 512]
-            inside = np.arange(WINDOW) < (end - begin)[w][:, None]
-            words = np.where(inside, padded[begin[w][:, None] + np.arange(WINDOW)], 0)
-            cosine = self._unit(self.terms[words].sum(axis=1)) @ self.queries.T
-            r, q = np.nonzero(cosine >= COSINE)
-            # The best offset of each window and item ...
-            value = cosine[r, q]
-            order = np.lexsort((-value, self.owner[q], r))
-            r, q, value = r[order], q[order], value[order]
-            best = np.r_[True, (r[1:] != r[:-1]) | (self.owner[q[1:]] != self.owner[q[:-1]])][: len(r)]
-            r, q, value = r[best], q[best], value[best]
-            # ... if the item's own words carry the window's weight.
-            key = self.owner[q][:, None] * self.size + words[r]
-            at_key = np.minimum(np.searchsorted(self.words, key), len(self.words) - 1)
-            own = np.where((self.words[at_key] == key) & (words[r] > 0), self.idf[words[r]], 0.0).sum(axis=1)
-            whole = np.where(inside[r], self.idf[words[r]], 0.0).sum(axis=1)
-            for i in np.flatnonzero(own >= SHARE * whole).tolist():
-                yield (int(text[w[r[i]]]), int(self.owner[q[i]]), int(at[w[r[i]]] - self.offset[q[i]]), float(value[i]))
+        text = np.repeat(np.arange(len(sizes)), sizes)[at]
+        at = at - first[text]
+        order = np.lexsort((at, item, text))
+        text, item, at = text[order], item[order], at[order]
+        # ``together`` hits in a row within a span.
+        i = np.arange(len(at))
+        last = i + self.together[item] - 1
+        i, last = i[last < len(at)], last[last < len(at)]
+        k = item[i]
+        low, high = at[last] - self.length[k] - self.slack[k] + 1, at[i] + self.slack[k]
+        ok = (text[last] == text[i]) & (item[last] == k) & (low <= high)
+        text, item, low, high = text[i][ok], k[ok], low[ok], high[ok]
+        if not len(text):
+            return
+        # Overlapping ones are one.
+        new = np.flatnonzero(np.r_[True, (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (low[1:] > high[:-1])])
+        end = np.r_[new[1:], len(text)] - 1
+        yield from zip(text[new].tolist(), item[new].tolist(), low[new].tolist(), high[end].tolist())
 
     def verify(self, item: Item, codes: np.ndarray, start: int) -> tuple[float, float]:
         """Cover of the item and of its answer around ``start``."""
         slack = len(item.codes) // 4 + 2
-        near = codes[max(0, start - slack): start + len(item.codes) + slack]
+        near = codes[max(0, start - slack): max(0, start + len(item.codes) + slack)]
         cover = common(item.codes, near) / len(item.codes)
-        return cover, common(item.answer, near) / len(item.answer)
+        return cover, common(item.answer, near) / len(item.answer) if cover >= COVER else 0.0
+
+    def _windows(self, codes: np.ndarray, size: int) -> np.ndarray:
+        """Unit vectors of all windows of ``size`` words; fewer words are one."""
+        at = np.lib.stride_tricks.sliding_window_view(codes, min(size, len(codes)))
+        return self._unit(self.terms[at].sum(axis=1))
+
+    def cosines(self, k: int, codes: np.ndarray, starts: list[int]) -> list[float]:
+        """For each start of item ``k`` the best cosine of a window of the text
+        with the window of the item that is aligned with it."""
+        if k not in self.queries:
+            self.queries[k] = self._windows(self.items[k].codes, WINDOW)
+        query = self.queries[k]
+        # Rows of the table: windows from the first that may be aligned on.
+        base = min(max(0, starts[0]), max(0, len(codes) - WINDOW))
+        near = codes[base: max(0, starts[-1]) + len(query) + WINDOW - 1]
+        table = self._windows(near, WINDOW) @ query.T
+        return [float(max(table.diagonal(base - s), default=-1.0)) for s in starts]
+
+    def matches(self, codes: np.ndarray, k: int, low: int, high: int):
+        """(start, cover, answer, cosine) of the starts low..high that pass
+        the cosine, the cover and the answer."""
+        item, slack = self.items[k], int(self.slack[k])
+        n, least = len(item.codes), int(self.least[k])
+        # A window of the text is aligned with one of the item.
+        low = max(low, min(0, WINDOW - n))
+        high = min(high, max(0, len(codes) - WINDOW))
+        begin = max(0, low - slack)
+        near = codes[begin: max(0, high + n + slack)]
+        if low > high or common(item.codes, near) < least:
+            return
+        member = np.concatenate([[0], np.cumsum(np.isin(near, item.codes))])
+        s = np.arange(low, high + 1)
+        held = member[np.clip(s + n + slack - begin, 0, len(near))] - member[np.maximum(s - slack - begin, 0)]
+        passed = {}
+        for start in s[held >= least].tolist():
+            cover, answer = self.verify(item, codes, start)
+            if cover >= WHOLE or (cover >= COVER and answer >= ANSWER):
+                passed[start] = cover, answer
+        if passed:
+            for (start, (cover, answer)), cosine in zip(passed.items(), self.cosines(k, codes, list(passed))):
+                if cosine >= COSINE:
+                    yield start, cover, answer, cosine
 
 
 def _search(items: list[Item], idf: np.ndarray, directions: np.ndarray):
@@ -265,14 +309,10 @@ def _search(items: list[Item], idf: np.ndarray, directions: np.ndarray):
         finder = Retriever(items, idf, directions)
         for b, row0, codes, sizes in _chunks(batches):
             first = np.cumsum(sizes) - sizes
-            tried, found = {}, {}
-            for text, item, start, cosine in finder.candidates(codes, sizes):
-                key = (text, item, start)
-                if key not in tried:
-                    own = codes[first[text]: first[text] + sizes[text]]
-                    tried[key] = finder.verify(items[item], own, start)
-                cover, answer = tried[key]
-                if cover >= WHOLE or (cover >= COVER and answer >= ANSWER):
+            found = {}
+            for text, item, low, high in finder.regions(codes, sizes):
+                own = codes[first[text]: first[text] + sizes[text]]
+                for start, cover, answer, cosine in finder.matches(own, item, low, high):
                     best = found.get((text, item))
                     if best is None or (cover, cosine) > best[:2]:
                         found[text, item] = (cover, cosine, answer, start)

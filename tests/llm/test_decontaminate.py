@@ -61,6 +61,60 @@ def test_leaks_and_clean_texts(spark):
     assert len(parts ^ set(got)) <= 3
 
 
+def finder_of(items, texts):
+    """Word codes, a finder with weights of the texts and their code arrays."""
+    vocab = D.vocabulary(items)
+    code = [np.array([vocab.get(w, 0) for w in words_of(t.lower())], "<i4") for t in items + texts]
+    seen = np.bincount(np.concatenate(code[len(items):]), minlength=len(vocab) + 1)
+    idf = np.log((len(texts) * 10 + 1) / (seen + 1)) + 1
+    directions = np.linalg.qr(np.random.default_rng(5).standard_normal((len(vocab) + 1, 40)))[0]
+    return D.Retriever([D.Item(k, c.astype(np.int64)) for k, c in enumerate(code[:len(items)])], idf, directions), code[len(items):]
+
+
+def every_alignment(finder, codes):
+    """Items and starts by all windows against all windows, no bound used."""
+    out = set()
+    for k, item in enumerate(finder.items):
+        text, query = finder._windows(codes, D.WINDOW), finder._windows(item.codes, D.WINDOW)
+        for at, offset in zip(*np.nonzero(text @ query.T >= D.COSINE)):
+            cover, answer = finder.verify(item, codes, at - offset)
+            if cover >= D.WHOLE or (cover >= D.COVER and answer >= D.ANSWER):
+                out.add((k, int(at - offset)))
+    return out
+
+
+def test_no_alignment_is_left_out():
+    """A word in three changed: everything that cosine, cover and answer
+    accept is found, with the same starts."""
+    rng, words, items, texts = corpus(4)
+    for k, item in enumerate(items):
+        edited = [x if rng.random() > 1 / 3 else rng.choice(words + ["other", "new"]) for x in item.split()]
+        texts[k] = f"{texts[k]} {' '.join(edited)} {texts[k + 40]}"
+    finder, codes = finder_of(items, texts)
+    sizes = np.array([len(c) for c in codes])
+    got = {}
+    for t, k, low, high in finder.regions(np.concatenate(codes), sizes):
+        for start, *_ in finder.matches(codes[t], k, low, high):
+            got.setdefault(t, set()).add((k, start))
+    want = {t: found for t, c in enumerate(codes) if (found := every_alignment(finder, c))}
+    assert got == want
+    assert sum(any(k == t for k, _ in got.get(t, ())) for t in range(30)) >= 18
+
+
+def test_light_and_partly_known_windows_are_verified(spark):
+    """An item of common words, beside items of rare ones, with every third
+    word changed to an unknown one: no weight of words keeps it out."""
+    common = [f"w{i}" for i in range(60)]
+    rng = random.Random(6)
+    fill = [" ".join(rng.choice(common) for _ in range(200)) for _ in range(60)]
+    item = " ".join(rng.sample(common, 30))
+    rare = " ".join(f"rare{i}" for i in range(30))
+    edited = " ".join(w if i % 3 != 1 or i > 24 else f"odd{i}" for i, w in enumerate(item.split()))
+    df = docs(spark, [*fill, " ".join(f"new{i}" for i in range(100)) + " " + edited])
+    bench = spark.createDataFrame([(0, item), (1, rare)], "item_id bigint, text string")
+    assert (60, 0) in {(r["k_id"], r["item_id"]) for r in D.leaks(df, bench).collect()}
+
+
 def test_repeated_and_unnamed_rows(spark):
     item = prose(30, 2)
     df = docs(spark, [(1, item), (1, item), (None, item + " tail"), (2, prose(80, 3))])
