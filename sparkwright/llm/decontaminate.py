@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 from sparkwright.llm.shared import KEY, query, release, row_key, same_key, slices, stage, table, text_or_empty
 from sparkwright.llm.words import words_of
 
-#: Words a passage (statistics, SVD), and words of the search windows.
+#: Words a passage (statistics, SVD), and words of the search windows (of a
+#: shorter item, its length).
 PASSAGE, WINDOW = 40, 10
 #: Random directions of the sketch and latent directions kept.
 SKETCH, RANK = 48, 40
@@ -209,6 +210,7 @@ class Retriever:
         self.terms = (directions * idf[:, None]).astype(np.float32)
         self.terms[0] = 0
         self.length = np.array([len(it.codes) for it in items])
+        self.window = np.minimum(WINDOW, self.length)
         self.slack = self.length // 4 + 2
         self.least = np.array([next(i for i in range(1, n + 1) if i / n >= COVER) for n in self.length.tolist()])
         self.together = np.minimum(TOGETHER, self.least)
@@ -269,23 +271,24 @@ class Retriever:
     def cosines(self, k: int, codes: np.ndarray, starts: list[int]) -> list[float]:
         """For each start of item ``k`` the best cosine of a window of the text
         with the window of the item that is aligned with it."""
+        size = int(self.window[k])
         if k not in self.queries:
-            self.queries[k] = self._windows(self.items[k].codes, WINDOW)
+            self.queries[k] = self._windows(self.items[k].codes, size)
         query = self.queries[k]
         # Rows of the table: windows from the first that may be aligned on.
-        base = min(max(0, starts[0]), max(0, len(codes) - WINDOW))
-        near = codes[base: max(0, starts[-1]) + len(query) + WINDOW - 1]
-        table = self._windows(near, WINDOW) @ query.T
+        base = min(max(0, starts[0]), max(0, len(codes) - size))
+        near = codes[base: max(0, starts[-1]) + len(query) + size - 1]
+        table = self._windows(near, size) @ query.T
         return [float(max(table.diagonal(base - s), default=-1.0)) for s in starts]
 
     def matches(self, codes: np.ndarray, k: int, low: int, high: int):
         """(start, cover, answer, cosine) of the starts low..high that pass
         the cosine, the cover and the answer."""
         item, slack = self.items[k], int(self.slack[k])
-        n, least = len(item.codes), int(self.least[k])
+        n, least, size = len(item.codes), int(self.least[k]), int(self.window[k])
         # A window of the text is aligned with one of the item.
-        low = max(low, min(0, WINDOW - n))
-        high = min(high, max(0, len(codes) - WINDOW))
+        low = max(low, size - n)
+        high = min(high, max(0, len(codes) - size))
         begin = max(0, low - slack)
         near = codes[begin: max(0, high + n + slack)]
         if low > high or common(item.codes, near) < least:

@@ -75,7 +75,8 @@ def every_alignment(finder, codes):
     """Items and starts by all windows against all windows, no bound used."""
     out = set()
     for k, item in enumerate(finder.items):
-        text, query = finder._windows(codes, D.WINDOW), finder._windows(item.codes, D.WINDOW)
+        size = min(D.WINDOW, len(item.codes))
+        text, query = finder._windows(codes, size), finder._windows(item.codes, size)
         for at, offset in zip(*np.nonzero(text @ query.T >= D.COSINE)):
             cover, answer = finder.verify(item, codes, at - offset)
             if cover >= D.WHOLE or (cover >= D.COVER and answer >= D.ANSWER):
@@ -101,6 +102,25 @@ def test_no_alignment_is_left_out():
     assert sum(any(k == t for k, _ in got.get(t, ())) for t in range(30)) >= 18
 
 
+def test_short_items_inside_long_texts(spark):
+    """Word-for-word copies of items of 1 to 12 words, the item's words rare
+    or common in the corpus, at both ends and in the middle of a text."""
+    rng = random.Random(8)
+    fill = [f"f{i}" for i in range(300)]
+    common = [f"c{i}" for i in range(400)]
+    items = [" ".join(rng.sample(common, n)) if k % 2 else " ".join(f"r{n}x{k}x{i}" for i in range(n))
+             for n in range(1, 13) for k in range(4)]
+    texts, want = [" ".join(rng.choice(fill + common) for _ in range(100)) for _ in range(40)], set()
+    for k, item in enumerate(items):
+        left, right = (" ".join(rng.choice(fill) for _ in range(250)) for _ in range(2))
+        for text in (f"{left} {item} {right}", f"{left} {item}", f"{item} {right}", item):
+            want.add((len(texts), k))
+            texts.append(text)
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    found = D.leaks(docs(spark, texts), bench).collect()
+    assert want <= {(r["k_id"], r["item_id"]) for r in found}
+
+
 def test_light_and_partly_known_windows_are_verified(spark):
     """An item of common words, beside items of rare ones, with every third
     word changed to an unknown one: no weight of words keeps it out."""
