@@ -5,6 +5,7 @@ from sparkwright.llm import (  # noqa: F401
     embedding_dedup,
     language_id,
     licenses,
+    merkle,
     packing,
     preferences,
     quality,
