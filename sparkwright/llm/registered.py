@@ -1,6 +1,7 @@
 """All queries of this package: importing the modules registers them."""
 
 from sparkwright.llm import (  # noqa: F401
+    collocations,
     decontaminate,
     embedding_dedup,
     language_id,
@@ -11,6 +12,7 @@ from sparkwright.llm import (  # noqa: F401
     quality,
     secrets,
     simhash,
+    suffix_dedup,
     toxicity,
 )
 from sparkwright.llm.shared import ORACLES, QUERIES
