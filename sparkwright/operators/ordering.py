@@ -2,23 +2,27 @@
 
 A window ``partitionBy(g).orderBy(o)`` sends each group to one task; with a hot
 group holding a third of the rows that task does a third of the job.  Here the
-first order column is cut into buckets at points taken from a sample, so a
-group spreads over all buckets.  The cut points are literals in the plan, so
-every evaluation gives a row the same bucket and nothing has to be written.
-Each (group, bucket) starts from the total of the group's earlier buckets: that
-total enters the window as a row of its own, before the bucket's rows, so the
-data is exchanged once and never joined.
+order is cut into buckets at points (whole tuples of the order columns) taken
+from a bounded sample, so a group spreads over all buckets, also where most
+rows agree in the first order column.  The input is stored once; the cut points
+are literals in the plan, searched by halving.  Each (group, bucket) starts
+from the total of the group's earlier buckets: that total enters the window as
+a row of its own, before the bucket's rows, so the data is exchanged once and
+never joined.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Sampled rows per cut point; the sample on the driver has this many times the buckets.
+from sparkwright.functions.exprs import join_groups
+from sparkwright.operators.selection import quantiles
+from sparkwright.session import materialize
+
+#: Sampled rows per cut point, and sampled rows at most (they go to the driver).
 SAMPLE_PER_CUT = 50
+MOST_SAMPLED = 100_000
 
 
 def _n_partitions(df: DataFrame, n: int | None) -> int:
@@ -27,23 +31,29 @@ def _n_partitions(df: DataFrame, n: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def _cut_points(df: DataFrame, order_cols: list[str], part_cols: list[str], buckets: int) -> list:
-    """Up to ``buckets`` - 1 ascending values of the first order column, from
-    the rows with the smallest hashes (the order and group columns identify a
-    row, so this is a uniform sample, the same in every run)."""
-    first = order_cols[0]
-    few = (df.where(F.col(first).isNotNull()).select(first, F.xxhash64(*part_cols, *order_cols).alias("_s"))
-           .orderBy("_s", first).limit(buckets * SAMPLE_PER_CUT).orderBy(first).select(first).collect())
-    values = [few[i * len(few) // buckets][0] for i in range(1, buckets)] if few else []
+def _cut_points(df: DataFrame, order_cols: list[str], part_cols: list[str], buckets: int) -> list[tuple]:
+    """Up to ``buckets`` - 1 ascending tuples of the order columns, from the
+    rows with the smallest hashes (the order and group columns identify a row,
+    so this is a uniform sample, the same in every run)."""
+    order = [F.col(f"`{c}`") for c in order_cols]
+    few = (df.select(*order, F.xxhash64(*part_cols, *order_cols).alias("_s"))
+           .orderBy("_s", *order).limit(min(MOST_SAMPLED, buckets * SAMPLE_PER_CUT))
+           .orderBy(*order).select(*order).collect())
+    values = [tuple(few[i * len(few) // buckets]) for i in range(1, buckets)] if few else []
     return [v for i, v in enumerate(values) if i == 0 or v != values[i - 1]]
 
 
-def _bucket(column: str, cuts: list, kind: str) -> Column:
-    """Number of cut points below the value; nulls sort first, into bucket 0."""
+def _bucket(order_cols: list[str], cuts: list[tuple], kinds: dict[str, str]) -> Column:
+    """Number of cut points below the row (nulls first), by binary search in a
+    constant array."""
     if not cuts:
         return F.lit(0)
-    points = F.array(*[F.lit(c).cast(kind) for c in cuts])
-    return F.when(F.col(column).isNull(), 0).otherwise(F.size(F.filter(points, lambda c: c < F.col(column))))
+    points = F.array(*[F.struct(*[F.lit(v).cast(kinds[c]).alias(f"o{i}") for i, (c, v) in enumerate(zip(order_cols, cut))])
+                       for cut in cuts])
+    row = F.struct(*[F.col(f"`{c}`").alias(f"o{i}") for i, c in enumerate(order_cols)])
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(cuts).bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        (at + step <= len(cuts)) & (F.get(points, at + step - 1) < row), at + step).otherwise(at))
 
 
 def running_total(df: DataFrame, order_cols: list[str], weight: str | None = None,
@@ -52,13 +62,15 @@ def running_total(df: DataFrame, order_cols: list[str], weight: str | None = Non
     """Add ``out`` = inclusive running sum of ``weight`` (1 per row when None)
     within ``part_cols`` in ascending ``order_cols`` order, nulls first.
     ``order_cols`` (with ``part_cols``) must identify rows uniquely for a
-    deterministic result; a null group is a group like any other."""
+    deterministic result; a null group is a group like any other.  ``df`` is
+    stored once (pass the columns that are needed), then read for the cut
+    points, the totals and the rows."""
     part_cols = list(part_cols)
+    df = materialize(df)
     # More buckets than partitions, so that hashing spreads them evenly.
     buckets = 2 * _n_partitions(df, num_partitions)
     cuts = _cut_points(df, order_cols, part_cols, buckets)
-    kind = dict(df.dtypes)[order_cols[0]]
-    x = df.withColumns({"_bucket": _bucket(order_cols[0], cuts, kind),
+    x = df.withColumns({"_bucket": _bucket(order_cols, cuts, dict(df.dtypes)),
                         "_w": F.col(weight) if weight else F.lit(1).cast("long"), "_first": F.lit(1)})
     # One row per group and bucket, combined map-side.
     totals = x.groupBy(*part_cols, "_bucket").agg(F.sum("_w").alias("_total"))
@@ -71,15 +83,6 @@ def running_total(df: DataFrame, order_cols: list[str], weight: str | None = Non
             .where("_first = 1").select(*[F.col(f"`{c}`") for c in df.columns if c != out], out))
 
 
-def join_groups(left: DataFrame, right: DataFrame, cols: list[str], how: str = "left") -> DataFrame:
-    """Join on group columns that both frames have; null groups match.  The
-    columns of ``left`` stay, those of ``right`` besides ``cols`` are added."""
-    named = right.select(*[F.col(f"`{c}`").alias(f"_j{i}") for i, c in enumerate(cols)],
-                         *[F.col(f"`{c}`") for c in right.columns if c not in cols])
-    on = [F.col(f"`{c}`").eqNullSafe(F.col(f"_j{i}")) for i, c in enumerate(cols)]
-    return left.join(named, reduce(lambda x, y: x & y, on), how).drop(*[f"_j{i}" for i in range(len(cols))])
-
-
 def row_number_exact(df: DataFrame, order_cols: list[str], part_cols=(), out: str = "rn",
                      num_partitions: int | None = None) -> DataFrame:
     """1-based row number within ``part_cols``; skew-safe."""
@@ -107,40 +110,7 @@ def average_rank(df: DataFrame, value: str, part_cols=(), out: str = "rank",
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], part_cols=(),
-                    num_partitions: int | None = None, few_groups: bool = False) -> DataFrame:
-    """Linear-interpolated quantiles (numpy/pandas default, DuckDB quantile_cont)
-    computed from a distributed sort; returns one row per group and probability:
-    ``(*part_cols, prob, quantile)``.  No task ever holds a whole group; a null
-    group is a group.  ``few_groups``: the groups are bounded by the schema, so
-    the table of wanted positions may be broadcast."""
-    part_cols = list(part_cols)
-    grouped = bool(part_cols)
-    vals = df.where(F.col(value).isNotNull()).select(*part_cols, value)
-    if not grouped:
-        # A constant key keeps the position match below an equi-join.
-        vals, part_cols = vals.withColumn("_g", F.lit(0)), ["_g"]
-    counts = vals.groupBy(*part_cols, value).agg(F.count(F.lit(1)).alias("_cnt"))
-    cum = running_total(counts, [value], "_cnt", part_cols, "_cum", num_partitions)
-    # Group sizes from the (materialised) running totals: the last one is n.
-    n = cum.groupBy(*part_cols).agg(F.max("_cum").alias("_n"))
-    p = F.explode(F.array(*[F.lit(float(q)) for q in probs])).alias("prob")
-    pos = n.select(*part_cols, "_n", p).withColumn("_h", (F.col("_n") - 1) * F.col("prob"))
-    pos = (pos.withColumn("_lo", F.floor("_h")).withColumn("_hi", F.ceil("_h"))
-           .withColumn("_frac", F.col("_h") - F.col("_lo")))
-    # A distinct value v covers 0-based positions [cum - cnt, cum - 1]; each
-    # (group, prob) needs the values at positions lo and hi.  One equi-join on
-    # the group (the positions table has #groups x #probs rows) and a range
-    # filter; no pair table is formed.
-    span = cum.select(*part_cols, value, (F.col("_cum") - F.col("_cnt")).alias("_start"),
-                      (F.col("_cum") - 1).alias("_end"))
-    in_lo = (F.col("_lo") >= F.col("_start")) & (F.col("_lo") <= F.col("_end"))
-    in_hi = (F.col("_hi") >= F.col("_start")) & (F.col("_hi") <= F.col("_end"))
-    if few_groups or not grouped:
-        pos = F.broadcast(pos.drop("_n"))
-    hits = join_groups(span, pos, part_cols, "inner").where(in_lo | in_hi)
-    q = hits.groupBy(*part_cols, "prob", "_frac").agg(
-        F.max(F.when(in_lo, F.col(value))).alias("_vlo"), F.max(F.when(in_hi, F.col(value))).alias("_vhi"))
-    keep = part_cols if grouped else []
-    return q.select(*keep, "prob",
-                    (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac"))
-                    .cast("double").alias("quantile"))
+                    num_partitions: int | None = None) -> DataFrame:
+    """Linear-interpolated quantiles per group, by digit histograms; these need
+    no number of partitions (see ``selection.quantiles``)."""
+    return quantiles(df, value, probs, part_cols)

@@ -2,8 +2,9 @@
 
 Wide statistics, histograms and densities are computed in one aggregate over
 the wide row, and only the result row is transposed to long form.  Exact
-quantiles unpivot the columns, count the distinct values map-side and sort
-those; ranks do so column by column (see ``ordering``).
+quantiles descend through digit histograms (``selection``), ranks go column by
+column (``ordering``), and correlations of wide tables are matrix products
+(``moments``): one scan each.
 """
 
 from __future__ import annotations
@@ -15,7 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkwright.functions.exprs import local_table
-from sparkwright.operators.ordering import exact_quantiles, join_groups, rank_table
+from sparkwright.operators.moments import correlations
+from sparkwright.operators.ordering import join_groups, rank_table
+from sparkwright.operators.selection import quantiles
+from sparkwright.session import materialize
 
 # ------------------------------------------------------------- small helpers
 
@@ -101,7 +105,7 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
 def describe_quartiles(df: DataFrame, columns: list[str], approx: bool = False,
                        accuracy: int = 10_000) -> DataFrame:
     """Describe plus 25/50/75 % quantiles with linear interpolation
-    (exact by a distributed sort; ``approx=True`` uses percentile_approx)."""
+    (exact, by digit histograms; ``approx=True`` uses percentile_approx)."""
     basic = describe(df, columns)
     probs = [0.25, 0.5, 0.75]
     if approx:
@@ -110,7 +114,7 @@ def describe_quartiles(df: DataFrame, columns: list[str], approx: bool = False,
         qs = _transpose(df.agg(*aggs), columns, ["q"])
         qs = qs.select("column", *[F.col("q")[i].alias(n) for i, n in enumerate(["q25", "q50", "q75"])])
     else:
-        q = exact_quantiles(_long(df, columns), "value", probs, ["column"], few_groups=True)
+        q = quantiles(_long(df, columns), "value", probs, ["column"])
         qs = q.groupBy("column").pivot("prob", probs).agg(F.first("quantile"))
         qs = qs.select("column", *[F.col(f"`{p}`").alias(n) for p, n in zip(probs, ["q25", "q50", "q75"])])
     return basic.join(qs, "column", "left")
@@ -123,7 +127,7 @@ def describe_by_class(df: DataFrame, column: str, by: str) -> DataFrame:
                                F.stddev_samp(x).alias("stddev"), F.min(x).alias("min"),
                                F.max(x).alias("max"))
     probs = [0.25, 0.5, 0.75]
-    q = exact_quantiles(df.select(by, x.alias("_v")), "_v", probs, [by])
+    q = quantiles(df.select(by, x.alias("_v")), "_v", probs, [by])
     qs = q.groupBy(by).pivot("prob", probs).agg(F.first("quantile"))
     names = ["q25", "q50", "q75"]
     qs = qs.select(by, *[F.col(f"`{p}`").alias(n) for p, n in zip(probs, names)])
@@ -147,27 +151,24 @@ def means(df: DataFrame, columns: list[str]) -> DataFrame:
 # ------------------------------------------------------------- A18 / A19
 
 
-# Pairs of columns that one aggregate takes at a time.
+# Pairs of columns that one aggregate takes; more go through matrix products.
 _PAIRS = 400
 
 
 def corr_pearson(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pairwise Pearson, long (a, b, corr) for a before b in ``columns``;
-    each pair over the rows where both are present, zero variance -> null.
-    Every aggregate takes a chunk of the pairs, so wide tables take several
-    passes and mean the same."""
+    each pair over the rows where both are present, zero variance -> null.  One
+    scan: few pairs are one aggregate, the pairs of a wide table blocked matrix
+    products (``moments.correlations``)."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    parts = []
-    for at in range(0, max(1, len(pairs)), _PAIRS):
-        some = pairs[at: at + _PAIRS]
-        one = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}|{b}") for a, b in some]
-                     or [F.lit(1)])
-        rows = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
-                         F.nanvl(F.col(f"`{a}|{b}`"), F.lit(None).cast("double")).alias("corr"))
-                for a, b in some]
-        parts.append(one.select(F.inline(F.array(*rows))) if rows
-                     else local_table(df.sparkSession, [], "a string, b string, corr double"))
-    return reduce(DataFrame.unionAll, parts)
+    if not pairs:
+        return local_table(df.sparkSession, [], "a string, b string, corr double")
+    if len(pairs) > _PAIRS:
+        return correlations(df, columns)
+    one = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}|{b}") for a, b in pairs])
+    rows = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
+                     F.nanvl(F.col(f"`{a}|{b}`"), F.lit(None).cast("double")).alias("corr")) for a, b in pairs]
+    return one.select(F.inline(F.array(*rows)))
 
 
 def corr_spearman(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -184,24 +185,25 @@ def corr_spearman(df: DataFrame, columns: list[str]) -> DataFrame:
 # ---------------------------------------------------------- A20 - A22
 
 
-def _ranges(df: DataFrame, columns: list[str], by: list[str] = ()) -> DataFrame:
-    """Per column (and class) min, max, count and stddev: one wide aggregate,
-    then a row per column (and class)."""
+def _wide_ranges(df: DataFrame, columns: list[str], by: list[str] = ()) -> DataFrame:
+    """Min, max, count and stddev of all columns (per class): one aggregate."""
     aggs = []
     for c in columns:
-        v = F.col(c).cast("double")
+        v = F.col(f"`{c}`").cast("double")
         aggs += [F.min(v).alias(f"{c}__mn"), F.max(v).alias(f"{c}__mx"), F.count(v).alias(f"{c}__n"),
                  F.stddev_samp(v).alias(f"{c}__sd")]
-    wide = df.groupBy(*by).agg(*aggs)
+    return df.groupBy(*by).agg(*aggs)
+
+
+def _long_ranges(wide: DataFrame, columns: list[str], by: list[str] = ()) -> DataFrame:
     rows = [F.struct(F.lit(c).alias("column"), *[F.col(f"`{c}__{s}`").alias(f"_{s}") for s in ("mn", "mx", "n", "sd")])
             for c in columns]
     return wide.select(*by, F.inline(F.array(*rows)))
 
 
-def _bin_expr(value, n: int):
-    span = F.col("_mx") - F.col("_mn")
-    raw = F.floor(F.try_divide((value - F.col("_mn")) * n, span)) + 1
-    return F.when(span == 0, F.lit(1)).otherwise(F.least(raw, F.lit(n))).cast("int")
+def _ranges(df: DataFrame, columns: list[str]) -> DataFrame:
+    """A row per column: min, max, count and stddev."""
+    return _long_ranges(_wide_ranges(df, columns), columns)
 
 
 def histogram(df: DataFrame, columns: list[str], bins: int = 10, by: str | None = None) -> DataFrame:
@@ -209,15 +211,23 @@ def histogram(df: DataFrame, columns: list[str], bins: int = 10, by: str | None
     (column[, by], bin, lo, hi, count, density); empty bins are kept, a null
     class is a class.  Range per column (and class); top edge folded into the
     last bin.  Without classes the ranges are literals of the counting
-    projection; classes join their table of ranges."""
+    projection; with classes a row meets one row with the ranges of its class."""
     grp = [by] if by else []
-    ranges = _ranges(df, columns, grp)
     if by:
-        long = _long(df, columns, grp).where(F.col("value").isNotNull())
-        binned = (join_groups(long, ranges.where("_n > 0"), ["column", by], "inner")
-                  .select("column", by, _bin_expr(F.col("value"), bins).alias("bin")))
+        # Stored, so that the planner knows how small the table of classes is.
+        wide = materialize(_wide_ranges(df, columns, grp))
+        cells = []
+        for c in columns:
+            value, low, high = F.col(f"`{c}`").cast("double"), F.col(f"`{c}__mn`"), F.col(f"`{c}__mx`")
+            raw = F.floor(F.try_divide((value - low) * bins, high - low)) + 1
+            at = F.when(value.isNotNull(), F.when(low == high, F.lit(1)).otherwise(F.least(raw, F.lit(bins))))
+            cells.append(F.struct(F.lit(c).alias("column"), at.cast("int").alias("bin")))
+        binned = (join_groups(df.select(by, *columns), wide, [by], "inner")
+                  .select(by, F.inline(F.array(*cells))).where("bin is not null"))
+        ranges = _long_ranges(wide, columns, grp)
     else:
         # At most one row per column.
+        ranges = _ranges(df, columns)
         ranges = local_table(df.sparkSession, ranges.collect(), ranges.schema)
         rows = {r["column"]: r for r in ranges.collect()}
         cells = []

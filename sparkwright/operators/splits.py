@@ -11,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkwright.operators.ordering import join_groups, row_number_exact
+from sparkwright.functions.exprs import join_groups
+from sparkwright.operators.selection import place_among, select_kth
+from sparkwright.session import materialize
 
 
 def hex_threshold(fraction: float) -> str:
@@ -60,15 +62,20 @@ def stratified_split(df: DataFrame, key: str, label: str, test_fraction: float,
                      exact: bool = True, out: str = "is_test") -> DataFrame:
     """H9: per class, the test side holds round(fraction * class size) rows
     (exact) - the rows with the smallest hashes - or, when not exact, each row
-    independently by the hash threshold.  The exact form ranks by a
-    distributed sort, so a dominant class never lands in one task."""
-    h = hash_key(key, seed)
+    independently by the hash threshold.  The exact form finds one threshold
+    (hash, then key) per class by digit histograms and filters: no class is
+    sorted or gathered.  Rows that repeat a key fall on one side."""
     if not exact:
         return assign_split(df, key, test_fraction, seed, out)
-    x = df.withColumn("_h", h)
-    n = x.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = row_number_exact(x, ["_h", key], part_cols=[label], out="_rn")
-    target = F.round(F.col("_n") * F.lit(test_fraction))
-    return (join_groups(ranked, n, [label])
-            .withColumn(out, (F.col("_rn") <= target).cast("int"))
-            .drop("_h", "_rn", "_n"))
+    digits = F.conv(hash_key(key, seed), 16, 10).cast("bigint")
+    rows = materialize(df.select(label, F.col(key).alias("_key"), digits.alias("key")))
+    wanted = materialize(rows.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+                         .select(label, F.round(F.col("_n") * F.lit(test_fraction)).cast("bigint").alias("k"))
+                         .where("k > 0"))
+    # 32-bit hashes; rows with the threshold's hash are few and go by key.
+    at = select_kth(rows, wanted, [label], bits=32).select(label, F.col("key").alias("_edge"), "rest")
+    tied = join_groups(rows, at, [label], "inner").where("key = _edge")
+    cut = place_among(tied, [label, "_edge"], "_key").withColumnRenamed("_key", "_last")
+    side = (F.col("_h") < F.col("_edge")) | ((F.col("_h") == F.col("_edge")) & (F.col(key) <= F.col("_last")))
+    return (join_groups(df.withColumn("_h", digits), materialize(cut), [label])
+            .withColumn(out, F.coalesce(side, F.lit(False)).cast("int")).drop("_h", "_edge", "_last"))
