@@ -102,14 +102,27 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 # -------------------------------------------------------------------- joins
 
 
+def unique_by(df: DataFrame, key: str) -> DataFrame:
+    """``df`` with an error on a key that occurs more than once (when the query
+    runs).  Rows without a key match nothing and are left out."""
+    others = [c for c in df.columns if c != key]
+    row = F.struct(*[F.col(f"`{c}`") for c in others]) if others else F.lit(None)
+    rows = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.any_value(row).alias("_row"))
+    message = F.concat(F.lit(f"repeated {key}: "), F.col(key).cast("string"))
+    checked = F.when(F.col("_n") == 1, F.col(key)).otherwise(F.raise_error(message).cast(df.schema[key].dataType))
+    return rows.select(checked.alias(key), *[F.col("_row")[c].alias(c) for c in others])
+
+
 def attach_columns(base: DataFrame, key: str, *tables: DataFrame) -> DataFrame:
     """Attach the non-key columns of each table to ``base`` by ``key``,
     replacing columns of the same name.  Left joins: no base row is lost when a
-    table misses a key (the reference's inner join dropped such rows)."""
+    table misses a key (the reference's inner join dropped such rows), and a
+    key that a table has twice is an error, so none is multiplied.  The check
+    and the join share the exchange by key; ``score_store`` does both once."""
     out = base
     for t in tables:
         new_cols = [c for c in t.columns if c != key]
-        out = out.drop(*[c for c in new_cols if c in out.columns]).join(t, key, "left")
+        out = out.drop(*[c for c in new_cols if c in out.columns]).join(unique_by(t, key), key, "left")
     return out
 
 

@@ -7,6 +7,7 @@ from sparkwright.plans import (  # noqa: F401  (import registers the queries)
     q_ml,
     q_profile,
     q_relational,
+    q_stores,
     q_sources,
     q_text,
 )
