@@ -48,7 +48,15 @@ CATEGORY_CASE = """CASE WHEN planted = 0 THEN 'normal' WHEN total >= 400000 THEN
                        WHEN total >= 325000 THEN 'B' ELSE 'C' END"""
 _GROUPS = {"A": ["A"], "B": ["B"], "C": ["C"]}
 PROBS = ["p_km", "p_gm", "p_A", "p_B", "p_C"]
-FLAGS = ["f_km", "f_gm", "f_A", "f_B", "f_C", "f_any"]
+#: Detectors' probabilities, the flags of the five models, and the feature
+#: stacker's flags (the sixth is the OR of the three detectors).
+DETECTORS = ["p_A", "p_B", "p_C"]
+MODEL_FLAGS = ["f_km", "f_gm", "f_A", "f_B", "f_C"]
+FLAGS = [*MODEL_FLAGS, "f_sup"]
+# Thresholds by model for the part the stackers learn from, and
+# one for the part that is reported.
+CV_THRESHOLDS = {"p_km": 0.5, "p_gm": 0.5, "p_A": 0.05, "p_B": 0.05, "p_C": 0.05}
+TEST_THRESHOLD = 0.01
 _LABELS = ["id", "part", "y", "planted", "category", "label2", "label_group"]
 
 
@@ -67,9 +75,22 @@ class Prepared:
 _KEPT: dict[tuple, object] = {}
 
 
+def _input_state(spark, sf) -> tuple:
+    """Names, sizes and times of the files that ``feat`` reads."""
+    conf, found = spark._jsc.hadoopConfiguration(), []
+    for name in ("orders", "customer", "lineitem"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf.rstrip('/')}/{name}.parquet")
+        files = path.getFileSystem(conf).listFiles(path, True)
+        while files.hasNext():
+            f = files.next()
+            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))
+
+
 def _once(spark, sf, name, make):
-    """What ``make`` returns, made once per application and input."""
-    key = (spark.sparkContext.applicationId, sf, name)
+    """What ``make`` returns, made once per application and state of the input:
+    a table that is replaced at the same path is read anew."""
+    key = (spark.sparkContext.applicationId, _input_state(spark, sf), name)
     if key not in _KEPT:
         _KEPT[key] = make()
     return _KEPT[key]
@@ -319,10 +340,20 @@ def _cluster_forest(spark, sf, clustered: DataFrame, forest: dict) -> DataFrame:
     return M.score_clusters(rows, "id", "cluster", routing, forests)
 
 
+def flagged(rows: DataFrame) -> DataFrame:
+    """Scored rows with their flags and the detectors' and models' ORs."""
+    test = F.col("part") == "test"
+    rows = rows.withColumns({"f_" + c[2:]: F.when(test, V.threshold(c, TEST_THRESHOLD)).otherwise(V.threshold(c, e))
+                             for c, e in CV_THRESHOLDS.items()})
+    return rows.withColumns({"p_sup": V.mean_of(DETECTORS), "f_sup": V.any_flag(["f_A", "f_B", "f_C"]),
+                             "f_any": V.any_flag(MODEL_FLAGS)})
+
+
 def base_scores(spark, sf, forest: dict = FOREST) -> DataFrame:
-    """Every row with the scores of the five base models and their flags
-    (threshold 0.05; ``f_any`` is the OR of the k-means, mixture and detector
-    flags); all models are fitted on the base part."""
+    """Every row with the scores of the five base models and their flags; all
+    models are fitted on the base part.  Flags go by the thresholds of the
+    part (the base part has those of cv); ``p_sup`` and ``f_sup`` are mean and
+    OR of the three detectors, ``f_any`` the OR of all five models."""
     def make():
         p = prepared(spark, sf)
         sets = {g: _selected(detector_ratios(p, m), 0.05) for g, m in _GROUPS.items()}
@@ -330,8 +361,7 @@ def base_scores(spark, sf, forest: dict = FOREST) -> DataFrame:
         for name, clustered in (("p_km", _kmeans(spark, sf)[1]), ("p_gm", _gmm(spark, sf)[1])):
             own = _cluster_forest(spark, sf, clustered, forest)
             rows = rows.join(own.select("id", F.col("p").alias(name)), "id")
-        rows = rows.withColumns({"f_" + c[2:]: V.threshold(c, 0.05) for c in PROBS})
-        return materialize(rows.withColumn("f_any", V.any_flag([f for f in FLAGS if f != "f_any"])))
+        return materialize(flagged(rows))
     return _once(spark, sf, f"scores-{sorted(forest.items())}", make)
 
 
@@ -430,7 +460,7 @@ def ml_stack_logistic(spark, sf, forest: dict = FOREST):
 @query("ml_stack_flags_forest")
 def ml_stack_flags_forest(spark, sf, forest: dict = FOREST, flags_forest: dict = FLAGS_FOREST):
     cv, test = _stack_parts(spark, sf, forest)
-    m = M.stack_forest(cv, [f for f in FLAGS if f != "f_any"], "y", **flags_forest)
+    m = M.stack_forest(cv, MODEL_FLAGS, "y", **flags_forest)
     return round_doubles(E.threshold_report(m.transform(test).withColumn("p", M.p_positive()), "y", "p", 0.01))
 
 
@@ -442,6 +472,124 @@ def ml_stack_features_forest(spark, sf, forest: dict = FOREST):
     return round_doubles(E.threshold_report(m.transform(test).withColumn("p", M.p_positive()), "y", "p", 0.01))
 
 
+# --------------------------------------------------------- ensembles
+
+
+def _stacked_test(spark, sf, forest, flags_forest) -> DataFrame:
+    """The test part with the probabilities and flags of both stackers."""
+    def make():
+        cv, test = _stack_parts(spark, sf, forest)
+        first = _logistic(cv)[1].transform(test).withColumn("p_lr", M.p_positive())
+        first = first.drop("features", "rawPrediction", "probability", "prediction")
+        out = M.stack_forest(cv, MODEL_FLAGS, "y", **flags_forest).transform(first.select(
+            *test.columns, "p_lr")).withColumn("p_rf", M.p_positive())
+        return materialize(out.select(*test.columns, "p_lr", "p_rf", V.threshold("p_lr", TEST_THRESHOLD).alias("f_lr"),
+                                      V.threshold("p_rf", TEST_THRESHOLD).alias("f_rf")))
+    return _once(spark, sf, f"stacked-{sorted(forest.items())}-{sorted(flags_forest.items())}", make)
+
+
+#: name -> (part, score of the library, the same in SQL, threshold or None for hard labels)
+ENSEMBLES = {
+    "best_single": ("test", F.col, "f_km", None),
+    "detectors_mean_cv": ("cv", lambda _: V.mean_of(DETECTORS), "(p_A + p_B + p_C) / 3", 0.05),
+    "detectors_or_cv": ("cv", lambda _: V.any_flag(["f_A", "f_B", "f_C"]), "greatest(f_A, f_B, f_C)", None),
+    "detectors_mean": ("test", lambda _: V.mean_of(DETECTORS), "(p_A + p_B + p_C) / 3", 0.005),
+    "detectors_or": ("test", lambda _: V.any_flag(["f_A", "f_B", "f_C"]), "greatest(f_A, f_B, f_C)", None),
+    "vote_five": ("test", lambda _: V.weighted_vote({"p_km": 3, "p_gm": 1, "p_A": 1, "p_B": 1, "p_C": 1}),
+                  "(3 * p_km + p_gm + p_A + p_B + p_C) / 7", 0.005),
+    "vote_three": ("test", lambda _: V.weighted_vote({"p_km": 2, "p_gm": 1, "p_sup": 1}),
+                   "(2 * p_km + p_gm + (p_A + p_B + p_C) / 3) / 4", 0.005),
+    "models_or": ("test", lambda _: V.any_flag(["f_km", "f_gm", "f_sup"]), "greatest(f_km, f_gm, f_A, f_B, f_C)", None),
+    "stackers_mean": ("test", lambda _: V.mean_of(["p_lr", "p_rf"]), "(p_lr + p_rf) / 2", 0.01),
+    "stackers_or": ("test", lambda _: V.any_flag(["f_lr", "f_rf"]), "greatest(f_lr, f_rf)", None),
+}
+
+
+def _ensemble_rows(spark, sf, forest, flags_forest) -> dict[str, DataFrame]:
+    cv, _ = _stack_parts(spark, sf, forest)
+    return {"cv": cv, "test": _stacked_test(spark, sf, forest, flags_forest)}
+
+
+def ensemble_reports(rows: dict[str, DataFrame]) -> DataFrame:
+    """The report of every ensemble (ensemble, cells and metrics)."""
+    out = []
+    for name, (part, score, sql, e) in ENSEMBLES.items():
+        scored = rows[part].withColumn("_score", score(sql))
+        out.append(E.threshold_report(scored, "y", "_score", e).withColumn("ensemble", F.lit(name)))
+    return union_all(out)
+
+
+@query("ml_ensemble_reports")
+def ml_ensemble_reports(spark, sf, forest: dict = FOREST, flags_forest: dict = FLAGS_FOREST):
+    return round_doubles(ensemble_reports(_ensemble_rows(spark, sf, forest, flags_forest)))
+
+
+# The cells of every report, counted again in SQL over the stored scores; the
+# parts' sizes come from the given tables.
+@query("ml_ensemble_cells", with_ctes(FEAT_SQL, "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS ensemble, count(*) AS rows, count(*) FILTER (WHERE planted = 1) AS positives, "
+    f"CAST(0 AS BIGINT) AS differing_cells FROM feat WHERE "
+    + (f"{_hash_sql()} >= '{_CV_END}'" if part == "test" else f"{_hash_sql()} >= '{_BASE_END}' AND {_hash_sql()} < '{_CV_END}'")
+    for name, (part, *_) in ENSEMBLES.items())))
+def ml_ensemble_cells(spark, sf, forest: dict = FOREST, flags_forest: dict = FLAGS_FOREST):
+    rows = _ensemble_rows(spark, sf, forest, flags_forest)
+    reports = materialize(ensemble_reports(rows).select("ensemble", "tn", "fp", "fn", "tp"))
+    again = union_all([rows[part].selectExpr(
+        f"'{name}' AS ensemble", "y", f"({sql}) {'>= ' + str(e) if e is not None else '= 1'} AS hit")
+        for name, (part, _, sql, e) in ENSEMBLES.items()])
+    again = again.groupBy("ensemble").agg(
+        F.expr("count_if(y = 0 AND NOT hit) AS tn2"), F.expr("count_if(y = 0 AND hit) AS fp2"),
+        F.expr("count_if(y = 1 AND NOT hit) AS fn2"), F.expr("count_if(y = 1 AND hit) AS tp2"))
+    return reports.join(again, "ensemble").selectExpr(
+        "ensemble", "tn + fp + fn + tp AS rows", "fn + tp AS positives",
+        "cast(int(tn <> tn2) + int(fp <> fp2) + int(fn <> fn2) + int(tp <> tp2) AS bigint) AS differing_cells")
+
+
+# Flags and their ORs, recomputed in SQL from the stored scores.
+@query("ml_flags_agree", with_ctes(FEAT_SQL, f"""
+SELECT CASE WHEN {_hash_sql()} < '{_BASE_END}' THEN 'base' WHEN {_hash_sql()} < '{_CV_END}' THEN 'cv' ELSE 'test' END AS part,
+       count(*) AS rows, CAST(0 AS BIGINT) AS wrong_flags, CAST(0 AS BIGINT) AS wrong_ors FROM feat GROUP BY 1"""))
+def ml_flags_agree(spark, sf, forest: dict = FOREST):
+    wrong = " OR ".join(f"f_{c[2:]} <> CASE WHEN {c} >= CASE WHEN part = 'test' THEN {TEST_THRESHOLD} ELSE {e} END "
+                        "THEN 1 ELSE 0 END" for c, e in CV_THRESHOLDS.items())
+    ors = "f_sup <> greatest(f_A, f_B, f_C) OR f_any <> greatest(f_km, f_gm, f_sup)"
+    return base_scores(spark, sf, forest).groupBy("part").agg(
+        F.count(F.lit(1)).alias("rows"), F.expr(f"count_if({wrong}) AS wrong_flags"), F.expr(f"count_if({ors}) AS wrong_ors"))
+
+
+# Each detector on the rows of its own category and the normal ones.
+@query("ml_detector_reports", with_ctes(FEAT_SQL, f"""
+f AS (SELECT *, {CATEGORY_CASE} AS category FROM feat WHERE {_hash_sql()} >= '{_BASE_END}')""", "\nUNION ALL\n".join(
+    f"SELECT '{g}' AS detector, CASE WHEN {_hash_sql()} < '{_CV_END}' THEN 'cv' ELSE 'test' END AS part, "
+    f"count(*) AS rows, count(*) FILTER (WHERE category = '{g}') AS positives, true AS learned "
+    f"FROM f WHERE category IN ('{g}', 'normal') GROUP BY ALL" for g in _GROUPS)))
+def ml_detector_reports(spark, sf, forest: dict = FOREST):
+    """Rows and positives of each report, and whether the detector is right on
+    at least nine rows in ten (its bands follow from one feature)."""
+    scores, out = base_scores(spark, sf, forest), []
+    for g in _GROUPS:
+        for part in ("cv", "test"):
+            own = scores.where((F.col("part") == part) & F.col("category").isin(g, "normal"))
+            report = E.threshold_report(own.withColumn("_y", (F.col("category") == g).cast("double")), "_y", f"p_{g}", 0.5)
+            out.append(report.select(F.lit(g).alias("detector"), F.lit(part).alias("part"),
+                                     F.expr("tn + fp + fn + tp AS rows"), F.expr("fn + tp AS positives"),
+                                     (F.col("accuracy") >= 0.9).alias("learned")))
+    return union_all(out)
+
+
+# The weighted logistic fit is at its optimum: the weighted residuals sum to
+# zero, against the sum of the weights.
+@query("ml_logistic_residuals", with_ctes(FEAT_SQL, f"""
+SELECT count(*) AS rows, CAST(0 AS DOUBLE) AS residual FROM feat
+WHERE {_hash_sql()} >= '{_BASE_END}' AND {_hash_sql()} < '{_CV_END}'"""))
+def ml_logistic_residuals(spark, sf, forest: dict = FOREST):
+    cv, _ = _stack_parts(spark, sf, forest)
+    weighted, model = _logistic(cv)
+    scored = model.transform(weighted).withColumn("p", M.p_positive())
+    gap = F.sum(F.col("w") * (F.col("y") - F.col("p"))) / F.sum("w")
+    return scored.agg(F.count(F.lit(1)).alias("rows"), F.abs(F.round(gap, 3)).alias("residual"))
+
+
 # ------------------------------------------------------------- charts
 
 

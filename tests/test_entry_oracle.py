@@ -54,6 +54,8 @@ def test_query_matches_oracle(spark, duck, name):
     build = E.queries()[name]
     # Forests of the registered size take minutes; their checks hold for small ones.
     sizes = {"forest": {"num_trees": 8, "max_depth": 4, "seed": 1}} if "forest" in inspect.signature(build).parameters else {}
+    if "flags_forest" in inspect.signature(build).parameters:
+        sizes["flags_forest"] = {"num_trees": 8, "max_depth": 3, "seed": 1}
     if name == "ml_forest_agrees":
         sizes = {"forest": {"num_trees": 60, "max_depth": 12, "seed": 1}}
     df = build(spark, SF_SMOKE, **sizes)

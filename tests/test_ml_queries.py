@@ -3,6 +3,7 @@ also compared in ``test_entry_oracle``."""
 
 import inspect
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,10 +61,33 @@ def test_parts_are_disjoint_and_whole(spark):
     assert {r.id for r in test.select("id").collect()} == ids["test"]
 
 
-def test_any_flag_is_the_or_of_the_models(spark):
-    s = Q.base_scores(spark, SF_SMOKE, SMALL)
-    bad = s.where(F.col("f_any") != F.greatest("f_km", "f_gm", "f_A", "f_B", "f_C"))
-    assert bad.count() == 0
+def test_flags_go_by_model_and_part(spark):
+    """Thresholds of the part, and the two ORs: of the detectors (an input of
+    the feature stacker) and of all five models (a report)."""
+    p = [0.0, 0.005, 0.01, 0.03, 0.05, 0.4, 0.5, 0.9]
+    data = [(part, *(p[(i * k + k) % 8] for k in range(1, 6))) for i in range(8) for part in ("base", "cv", "test")]
+    rows = spark.createDataFrame(data, "part string, p_km double, p_gm double, p_A double, p_B double, p_C double")
+    for r in Q.flagged(rows).collect():
+        test = r["part"] == "test"
+        want = {"f_km": r["p_km"] >= (0.01 if test else 0.5), "f_gm": r["p_gm"] >= (0.01 if test else 0.5)}
+        want |= {f"f_{g}": r[f"p_{g}"] >= (0.01 if test else 0.05) for g in "ABC"}
+        assert {c: bool(r[c]) for c in want} == want
+        assert bool(r["f_sup"]) == any(want[f"f_{g}"] for g in "ABC")
+        assert bool(r["f_any"]) == any(want.values())
+        assert abs(r["p_sup"] - (r["p_A"] + r["p_B"] + r["p_C"]) / 3) < 1e-12
+    assert Q.FLAGS[-1] == "f_sup" and "f_any" not in Q.FLAGS and len(Q.MODEL_FLAGS) == 5
+
+
+def test_kept_tables_follow_the_input(spark, tmp_path):
+    """A table replaced at the same path is read anew."""
+    import shutil
+    for name in ("orders", "customer", "lineitem"):
+        shutil.copy(f"{SF_SMOKE}/{name}.parquet", tmp_path / f"{name}.parquet")
+    before = Q.prepared(spark, str(tmp_path)).scaled.count()
+    assert Q.prepared(spark, str(tmp_path)) is Q.prepared(spark, str(tmp_path))
+    few = pq.read_table(f"{SF_SMOKE}/orders.parquet").slice(0, 500)
+    pq.write_table(few, tmp_path / "orders.parquet")
+    assert before > 500 and Q.prepared(spark, str(tmp_path)).scaled.count() == 500
 
 
 def test_pca_vector_has_the_signed_components(spark):
