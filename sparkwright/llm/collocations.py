@@ -7,18 +7,20 @@ each other have adjacent slots and all others don't.
 
 Length after length the relation is merge-joined with itself on piece and
 adjacent position: a phrase of k words and the one that starts a word later
-make a phrase of k+1 words.  The joined pairs are counted per sheet, then by
-group over all sheets; the frequent groups get numbers and are semi-joined
-back, and what is left is persisted as the next relation.
+make a phrase of k+1 words.  The joined pairs are counted per sheet and dealt
+to buckets by their hash.  A bucket gets the pairs of all sheets: it sums the
+counts, numbers the frequent groups and tells every sheet which of its pairs
+these are (the semi-join); what is left of the relation is persisted as the
+next one.
 
 A sheet is one row of a persisted table (its columns packed into compressed
 blobs) and holds texts of one language: at most ``SHEET`` words and the text
-that exceeds them.  Only distinct pairs of a sheet are ever rows of a shuffle.
-Before the semi-join a bitmap of fixed size (``FILTER_BITS``) passes over most
-pairs that are not frequent; the join decides."""
+that exceeds them.  Only distinct pairs of a sheet are shuffled, sorted and
+packed; a bucket holds a share of all distinct pairs, whatever their counts."""
 
 from __future__ import annotations
 
+import zlib
 from collections import defaultdict
 
 import numpy as np
@@ -34,26 +36,56 @@ LEAST_COUNT = 100
 TOP = 2000
 #: A phrase goes when a longer one has this share (in percent) of its count.
 COVERED = 100
-SHEET = 1 << 21
-FILTER_BITS = 1 << 23
-SLICE_BITS = 1 << 16
+SHEET = 1 << 22
+#: Buckets per shuffle partition.
+BUCKETS = 2
 
 #: A-Z lower-cased; piece borders as line feeds; tabs as blanks.
 BORDERS = b".,;:!?\x0a\x0b\x0c\x0d"
 BYTES = bytes(b + 32 if 65 <= b <= 90 else 10 if b in BORDERS else 32 if b == 9 else b for b in range(256))
 
-SHEETS = "sheet bigint, lang string, blob binary, no int, word string, n bigint"
+#: Texts (blob) and word lists by bucket (words, numbers, counts).
+SHEETS = "sheet bigint, lang string, blob binary, bucket bigint, words binary, numbers binary, counts binary"
 RELATION = "sheet bigint, slots binary, groups binary, names binary"
+#: Distinct pairs of a sheet by bucket.
+PAIRS = "bucket bigint, sheet bigint, a binary, b binary, n binary"
+#: What a bucket finds: frequent groups (gid, f; a and b, or lang and word),
+#: words in all (lang, f), and the numbers of a sheet's frequent groups.
+FOUND = ("gid bigint, f bigint, lang string, word string, a bigint, b bigint, sheet bigint, first binary, second binary, "
+         "gids binary")
 
 
 def _pack(a: np.ndarray) -> bytes:
-    return pa.compress(np.ascontiguousarray(a).tobytes(), codec="zstd", asbytes=True) + len(a).to_bytes(8, "little")
+    """Numbers as compressed bytes, all lowest bytes first."""
+    planes = np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.dtype.itemsize).T
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True) + len(a).to_bytes(8, "little")
 
 
 def _unpack(blob: bytes, kind: str) -> np.ndarray:
-    n = int.from_bytes(blob[-8:], "little")
-    size = n * np.dtype(kind).itemsize
-    return np.frombuffer(pa.decompress(blob[:-8], decompressed_size=size, codec="zstd", asbytes=True), kind)
+    n, size = int.from_bytes(blob[-8:], "little"), np.dtype(kind).itemsize
+    raw = pa.decompress(blob[:-8], decompressed_size=n * size, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, n).T).view(kind).reshape(n)
+
+
+def _rising(a: np.ndarray) -> bytes:
+    """Sorted numbers, packed by their differences."""
+    return _pack(np.diff(a, prepend=0).astype("<i8"))
+
+
+def _risen(blob: bytes) -> np.ndarray:
+    return np.cumsum(_unpack(blob, "<i8"))
+
+
+def _runs(order: np.ndarray, value: np.ndarray) -> list[np.ndarray]:
+    """Places in ``order``, which goes by value, cut where the value changes."""
+    return np.split(order, np.flatnonzero(np.diff(value[order])) + 1) if len(order) else []
+
+
+def _frame(schema: str, rows: list[dict]) -> pa.Table:
+    """Rows as an Arrow table of a schema of bigint, string, int and binary."""
+    kinds = {"bigint": pa.int64(), "string": pa.string(), "binary": pa.binary(), "int": pa.int32()}
+    cols = [c.strip().split(" ") for c in schema.split(",")]
+    return pa.table({c: pa.array([r.get(c) for r in rows], kinds[k]) for c, k in cols})
 
 
 class _Builder:
@@ -74,8 +106,8 @@ class _Builder:
             self.size += len(ids)
 
 
-def _sheets(limit: int):
-    """A row (blob) per sheet and a row (no, word, n) per word of its list."""
+def _sheets(limit: int, buckets: int):
+    """A row with the texts of each sheet, and its word list by buckets."""
     def run(batches):
         worker, number, open_ = TaskContext.get().partitionId(), 0, {}
         for b in slices(batches):
@@ -92,21 +124,51 @@ def _sheets(limit: int):
             if not held.size:
                 continue
             ids = np.concatenate(held.texts)
+            held.texts.clear()
             sheet = (worker << 32) | (number + k)
-            yield batch([sheet], [lang], [_pack(ids)], [None], [None], [None])
+            yield from _frame(SHEETS, [{"sheet": sheet, "lang": lang, "blob": _pack(ids)}]).to_batches()
             n = np.bincount(ids, minlength=len(held.words) - 1)
-            words = list(held.words)[2:]  # after the empty word and the border
-            for at in range(0, len(words), 100_000):
-                part = words[at: at + 100_000]
-                size = len(part)
-                yield batch([sheet] * size, [lang] * size, [None] * size, range(at + 1, at + 1 + size), part,
-                            n[at + 1: at + 1 + size])
-            held.texts.clear()
+            words = sorted(list(held.words)[2:])  # after the empty word and the border
+            no = np.fromiter(map(held.words.__getitem__, words), np.int64, len(words))
+            bucket = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
+            order = np.argsort(bucket, kind="stable")
+            rows = []
+            for own in _runs(order, bucket):
+                rows.append({"sheet": sheet, "lang": lang, "bucket": int(bucket[own[0]]),
+                             "words": pa.compress(raw := b" ".join([words[i] for i in own]), codec="zstd", asbytes=True)
+                             + len(raw).to_bytes(8, "little"),
+                             "numbers": _pack(no[own].astype("<i4")), "counts": _pack(n[no[own]].astype("<i8"))})
+            yield from _frame(SHEETS, rows).to_batches(max_chunksize=64)
+    return run
+
 
-    def batch(sheet, lang, blob, no, word, n):
-        arrays = [pa.array(sheet, pa.int64()), pa.array(lang, pa.string()), pa.array(blob, pa.binary()),
-                  pa.array(no, pa.int32()), pa.array(word, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())]
-        return pa.RecordBatch.from_arrays(arrays, names=["sheet", "lang", "blob", "no", "word", "n"])
+def _word_list(blob: bytes) -> list[bytes]:
+    return pa.decompress(blob[:-8], decompressed_size=int.from_bytes(blob[-8:], "little"), codec="zstd",
+                         asbytes=True).split(b" ")
+
+
+def _count_words(least: int, buckets: int):
+    """A bucket's words over all sheets: the frequent ones, each sheet's numbers
+    of them, and the words of each language in all."""
+    def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+        bucket, total = key[0].as_py(), defaultdict(int)
+        lists = [(s, lang, _word_list(w), _unpack(no, "<i4"), _unpack(n, "<i8")) for s, lang, w, no, n in zip(
+            *[t[c].to_pylist() for c in ("sheet", "lang", "words", "numbers", "counts")])]
+        every = defaultdict(int)
+        for _, lang, words, _, n in lists:
+            every[lang] += int(n.sum())
+            for w, k in zip(words, n.tolist()):
+                total[lang, w] += k
+        frequent = sorted(k for k, f in total.items() if f >= least)
+        gid = {k: i * buckets + bucket for i, k in enumerate(frequent)}
+        rows = [{"gid": gid[k], "f": total[k], "lang": k[0], "word": k[1].decode()} for k in frequent]
+        rows += [{"f": n, "lang": lang} for lang, n in every.items()]
+        for sheet, lang, words, no, _ in lists:
+            got = [(i, gid[lang, w]) for i, w in zip(no.tolist(), words) if (lang, w) in gid]
+            if got:
+                first, ids = np.array(got, "<i8").T
+                rows.append({"sheet": sheet, "first": _pack(first), "gids": _pack(ids)})
+        return _frame(FOUND, rows)
     return run
 
 
@@ -114,25 +176,20 @@ def _relation(sheet: int, slots: np.ndarray, gids: np.ndarray) -> dict:
     """A relation's row: slots as differences, groups as places in ``names``."""
     names, groups = np.unique(gids, return_inverse=True)
     return {"sheet": sheet, "slots": _pack(np.diff(slots, prepend=0).astype("<i4")),
-            "groups": _pack(groups.astype("<i4")), "names": _pack(names.astype("<i8"))}
+            "groups": _pack(groups.astype("<i4")), "names": _rising(names)}
 
 
-def _table(rows: list[dict]) -> pa.Table:
-    kinds = [("sheet", pa.int64()), ("slots", pa.binary()), ("groups", pa.binary()), ("names", pa.binary())]
-    return pa.table({c: pa.array([r[c] for r in rows], t) for c, t in kinds})
-
-
-def _first_relation(sheet: pa.Table, words: pa.Table) -> pa.Table:
-    """Relation of the frequent words: a sheet semi-joined with its numbers."""
-    if not sheet.num_rows or not words.num_rows:
-        return _table([])
+def _first_relation(sheet: pa.Table, found: pa.Table) -> pa.Table:
+    """Relation of the frequent words: a sheet's texts with their numbers."""
+    if not sheet.num_rows or not found.num_rows:
+        return _frame(RELATION, [])
     ids = _unpack(sheet["blob"][0].as_py(), "<i4")
-    no, gid = words["no"].to_numpy(), words["gid"].to_numpy()
+    no, gid = (np.concatenate([_unpack(x, "<i8") for x in found[c].to_pylist()]) for c in ("first", "gids"))
     of = np.full(int(max(ids.max(), no.max())) + 1, -1, np.int64)
     of[no] = gid
-    found = of[ids]
-    slots = np.flatnonzero(found >= 0)
-    return _table([_relation(sheet["sheet"][0].as_py(), slots, found[slots])])
+    got = of[ids]
+    slots = np.flatnonzero(got >= 0)
+    return _frame(RELATION, [_relation(sheet["sheet"][0].as_py(), slots, got[slots])])
 
 
 def _joined(slots: np.ndarray, groups: np.ndarray, names: np.ndarray):
@@ -144,88 +201,78 @@ def _joined(slots: np.ndarray, groups: np.ndarray, names: np.ndarray):
     return slot[met], group[met] * len(names) + group[met + 1]
 
 
-def _read(b: pa.RecordBatch):
-    for k in range(b.num_rows):
-        row = [b.column(j)[k].as_py() for j in range(4)]
-        yield row[0], _unpack(row[1], "<i4"), _unpack(row[2], "<i4"), _unpack(row[3], "<i8")
-
+def _read(sheet, slots, groups, names):
+    return sheet, _unpack(slots, "<i4"), _unpack(groups, "<i4"), _risen(names)
 
-def _pair_counts(batches):
-    """(a, b, n): distinct pairs of each sheet with their counts."""
-    for b in slices(batches, 1):
-        for _, slots, groups, names in _read(b):
-            _, key = _joined(slots, groups, names)
-            pairs, n = np.unique(key, return_counts=True)
-            for at in range(0, len(pairs), 500_000):
-                p = pairs[at: at + 500_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names[p // len(names)]), pa.array(names[p % len(names)]),
-                     pa.array(n[at: at + 500_000].astype(np.int64))], names=["a", "b", "n"])
 
-
-def _bit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Place of a pair in the bitmap."""
-    x = a.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ b.view(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    x = a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ b.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
     x ^= x >> np.uint64(29)
     x *= np.uint64(0xBF58476D1CE4E5B9)
-    return (x >> np.uint64(32)).astype(np.int64) % FILTER_BITS
-
-
-def _bits(batches):
-    bits = np.zeros(FILTER_BITS, bool)
-    for b in batches:
-        bits[_bit(b.column(0).to_numpy(), b.column(1).to_numpy())] = True
-    for k in np.flatnonzero(bits.reshape(-1, SLICE_BITS).any(1)):
-        part = np.packbits(bits[k * SLICE_BITS: (k + 1) * SLICE_BITS]).tobytes()
-        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([part], pa.binary())], names=["part", "bits"])
+    return (x >> np.uint64(32)).astype(np.int64)
 
 
-def _united(t: pa.Table) -> pa.Table:
-    out = np.zeros(SLICE_BITS // 8, np.uint8)
-    for x in t["bits"].to_pylist():
-        out |= np.frombuffer(x, np.uint8)
-    return pa.table({"part": t["part"].slice(0, 1), "bits": pa.array([out.tobytes()], pa.binary())})
-
-
-def _bitmap(frequent: DataFrame) -> np.ndarray:
-    """The pairs' bitmap; its size is fixed, whatever the number of pairs."""
-    kind = "part bigint, bits binary"
-    parts = frequent.select("a", "b").mapInArrow(_bits, kind).groupBy("part").applyInArrow(_united, kind).collect()
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
-    for r in parts:
-        at = r["part"] * SLICE_BITS // 8
-        bits[at: at + SLICE_BITS // 8] = np.frombuffer(r["bits"], np.uint8)
-    return bits
+def _pairs(buckets: int):
+    """The distinct pairs of each sheet with their counts, by bucket."""
+    def run(batches):
+        for batch in slices(batches, 1):
+            for row in zip(*[c.to_pylist() for c in batch.columns]):
+                sheet, slots, groups, names = _read(*row)
+                key, n = np.unique(_joined(slots, groups, names)[1], return_counts=True)
+                if not len(key):
+                    continue
+                a, b = names[key // len(names)], names[key % len(names)]
+                bucket = _mixed(a, b) % buckets
+                order = np.argsort(bucket, kind="stable")
+                rows = [{"bucket": int(bucket[own[0]]), "sheet": sheet, "a": _rising(a[own]), "b": _pack(b[own]),
+                         "n": _pack(n[own].astype("<i8"))}
+                        for own in _runs(order, bucket)]
+                yield from _frame(PAIRS, rows).to_batches(max_chunksize=64)
+    return run
 
 
-def _possible(bits):
-    """(sheet, a, b): the distinct pairs of each sheet that the bitmap has."""
-    def run(batches):
-        held = bits.value
-        for b in slices(batches, 1):
-            for sheet, slots, groups, names in _read(b):
-                pairs = np.unique(_joined(slots, groups, names)[1])
-                x, y = names[pairs // max(1, len(names))], names[pairs % max(1, len(names))]
-                at = _bit(x, y)
-                ok = held[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1 > 0
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(ok.sum(), sheet, np.int64)), pa.array(x[ok]),
-                                                  pa.array(y[ok])], names=["sheet", "a", "b"])
+def _count_pairs(least: int, buckets: int, tell: bool):
+    """A bucket's pairs over all sheets: the frequent ones and, if ``tell``, each
+    sheet's own of them."""
+    def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+        bucket, sheets = key[0].as_py(), t["sheet"].to_pylist()
+        parts = [[_risen(a), _unpack(b, "<i8"), _unpack(n, "<i8")] for a, b, n in zip(
+            *[t[c].to_pylist() for c in ("a", "b", "n")])]
+        of = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
+        a, b, n = (np.concatenate(c) for c in zip(*parts))
+        order = np.lexsort((of, b, a))
+        a, b, n, of = a[order], b[order], n[order], of[order]
+        start = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+        f = np.add.reduceat(n, start)
+        ok = f >= least
+        gid = (np.cumsum(ok) - 1) * buckets + bucket
+        rows = [{"gid": g, "f": k, "a": x, "b": y} for g, k, x, y in zip(
+            gid[ok].tolist(), f[ok].tolist(), a[start[ok]].tolist(), b[start[ok]].tolist())]
+        if tell and rows:
+            group = np.repeat(np.arange(len(start)), np.diff(np.r_[start, len(a)]))
+            mine = np.flatnonzero(ok[group])
+            mine = mine[np.argsort(of[mine], kind="stable")]
+            for own in _runs(mine, of):
+                rows.append({"sheet": sheets[of[own[0]]], "first": _rising(a[own]), "second": _pack(b[own]),
+                             "gids": _pack(gid[group[own]])})
+        return _frame(FOUND, rows)
     return run
 
 
 def _next_relation(relation: pa.Table, found: pa.Table) -> pa.Table:
     """The joined rows of a sheet whose pairs are frequent, with their numbers."""
     if not relation.num_rows or not found.num_rows:
-        return _table([])
-    sheet, slots, groups, names = next(_read(relation.combine_chunks().to_batches()[0]))
+        return _frame(RELATION, [])
+    sheet, slots, groups, names = _read(*[c[0].as_py() for c in relation.columns])
     slot, key = _joined(slots, groups, names)
-    a, b = np.searchsorted(names, found["a"].to_numpy()), np.searchsorted(names, found["b"].to_numpy())
-    mine = a * len(names) + b
+    a = np.searchsorted(names, np.concatenate([_risen(x) for x in found["first"].to_pylist()]))
+    b, gid = (np.concatenate([_unpack(x, "<i8") for x in found[c].to_pylist()]) for c in ("second", "gids"))
+    mine = a * len(names) + np.searchsorted(names, b)
     order = np.argsort(mine)
-    mine, gid = mine[order], found["gid"].to_numpy()[order]
+    mine, gid = mine[order], gid[order]
     at = np.minimum(np.searchsorted(mine, key), len(mine) - 1)
     ok = mine[at] == key
-    return _table([_relation(sheet, slot[ok], gid[at[ok]])])
+    return _frame(RELATION, [_relation(sheet, slot[ok], gid[at[ok]])])
 
 
 def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", longest: int = LONGEST,
@@ -237,36 +284,31 @@ def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "t
     rows count each; an empty table gives empty tables; extra columns are
     ignored."""
     rows = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), text_or_empty(text_col).alias("text"))
-    sheets = stage(rows.mapInArrow(_sheets(sheet), SHEETS), "sheets")
-    words = sheets.where("blob is null")
-    counts = stage(words.groupBy("lang", "word").agg(F.sum("n").alias("f")), "words")
-    totals = counts.groupBy("lang").agg(F.sum("f").alias("n"))
-    level = stage(counts.where(F.col("f") >= least).select(
-        F.monotonically_increasing_id().alias("gid"), "lang", F.col("word").alias("phrase"),
-        F.col("word").alias("last"), "f"), "phrases-1")
-    numbers = words.join(level, (words["word"] == level["phrase"]) & (words["lang"] == level["lang"])).select(
-        F.col("sheet").alias("of"), "no", "gid")
+    buckets = BUCKETS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sheets = stage(rows.mapInArrow(_sheets(sheet, buckets), SHEETS), "sheets")
+    found = stage(sheets.where("bucket is not null").select("bucket", "sheet", "lang", "words", "numbers", "counts")
+                  .groupBy("bucket").applyInArrow(_count_words(least, buckets), FOUND), "words")
+    totals = stage(found.where("gid is null and sheet is null").groupBy("lang").agg(F.sum("f").alias("n")), "totals")
+    level = stage(found.where("gid is not null").select("gid", "lang", F.col("word").alias("phrase"),
+                                                        F.col("word").alias("last"), "f"), "phrases-1")
     texts = sheets.where("blob is not null").select("sheet", "blob")
-    relation = texts.groupBy("sheet").cogroup(numbers.groupBy("of")).applyInArrow(_first_relation, RELATION)
+    own = found.where("sheet is not null").select(F.col("sheet").alias("of"), "first", "gids")
+    relation = texts.groupBy("sheet").cogroup(own.groupBy("of")).applyInArrow(_first_relation, RELATION)
     levels = [level]
     for size in range(2, longest + 1):
         relation = stage(relation, f"relation-{size - 1}")
-        pairs = (relation.mapInArrow(_pair_counts, "a bigint, b bigint, n bigint")
-                 .groupBy("a", "b").agg(F.sum("n").alias("f")).where(F.col("f") >= least))
-        pairs = stage(pairs.withColumn("gid", F.monotonically_increasing_id()), f"pairs-{size}")
+        found = stage(relation.mapInArrow(_pairs(buckets), PAIRS).groupBy("bucket")
+                      .applyInArrow(_count_pairs(least, buckets, size < longest), FOUND), f"pairs-{size}")
+        pairs = found.where("gid is not null").select("gid", "f", "a", "b")
         if not pairs.head(1):
             break
         front = level.select(F.col("gid").alias("a"), "lang", "phrase")
         back = level.select(F.col("gid").alias("b"), "last")
-        longer = stage(pairs.join(front, "a").join(back, "b").select(
+        level = stage(pairs.join(front, "a").join(back, "b").select(
             "gid", "lang", F.concat_ws(" ", "phrase", "last").alias("phrase"), "last", "f"), f"phrases-{size}")
-        levels.append(longer)
-        if size < longest:
-            bits = docs.sparkSession.sparkContext.broadcast(_bitmap(pairs))
-            may = relation.mapInArrow(_possible(bits), "sheet bigint, a bigint, b bigint")
-            found = may.join(pairs.select("a", "b", "gid"), ["a", "b"]).withColumnRenamed("sheet", "of")
-            relation = relation.groupBy("sheet").cogroup(found.groupBy("of")).applyInArrow(_next_relation, RELATION)
-        level = longer
+        levels.append(level)
+        own = found.where("sheet is not null").select(F.col("sheet").alias("of"), "first", "second", "gids")
+        relation = relation.groupBy("sheet").cogroup(own.groupBy("of")).applyInArrow(_next_relation, RELATION)
     return levels, totals
 
 

@@ -83,11 +83,12 @@ def test_empty_and_clashing_names(spark):
     assert got(docs, 4) == plain([(r[2], r[1]) for r in rows], 4)
 
 
-def test_bitmap_has_every_frequent_pair(spark):
+def test_packed_numbers_round_trip():
     import numpy as np
-    pairs = spark.range(0, 5000).selectExpr("id * 8589934592 + id as a", "-id as b")
-    bits = collocations._bitmap(pairs)
-    a = np.arange(5000, dtype=np.int64)
-    at = collocations._bit(a * 8589934592 + a, -a)
-    assert ((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).all()
-    assert len(bits) * 8 == collocations.FILTER_BITS
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 2, 1000):
+        for kind in ("<i4", "<i8"):
+            x = rng.integers(-(1 << 30), 1 << 30, n).astype(kind)
+            assert (collocations._unpack(collocations._pack(x), kind) == x).all()
+        x = np.sort(rng.integers(0, 1 << 62, n))
+        assert (collocations._risen(collocations._rising(x)) == x).all()
