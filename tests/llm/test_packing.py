@@ -89,3 +89,45 @@ def test_empty_and_bad_capacity(spark):
     assert packing.pack(docs(spark, []), PATH).count() == 0
     with pytest.raises(ValueError):
         packing.pack(docs(spark, []), PATH, capacity=1000)
+
+
+BLANKS = [" ", "\n", "\t", " ", "　", "\r\n", " \n\t  "]
+
+
+def test_long_runs_give_the_same_ids(reference):
+    texts = [x * (30_000 // len(x)) for x in [*BLANKS, "a", "abc", "7", "!", "?!-", "́", "\x1c"]]
+    texts += [t + end for t in texts[:7] for end in ("x", "7", "!", "<|endoftext|>", "<|endoftext|>  b", "\x1c")]
+    n = packing.LONG_BLANKS
+    texts += ["a" + " " * k + "b" + "\n" * k + "<|endoftext|>" + " " * k for k in (n - 1, n, n + 1)]
+    texts.append("x" + " " * n + "\x1c" + " " * n + " y" + "\n" * n + "\n" + " " * n)
+    for t in texts:
+        assert [*packing.token_ids(t, PATH).tolist(), 1] == reference(t)
+
+
+@pytest.mark.parametrize("text", [" " * 3_000_000, "\n" * 3_000_000 + "x", "\t" * 3_000_000, " " * 1_000_000 + "1",
+                                  "a" * 3_000_000, "7" * 3_000_000, "!" * 3_000_000, " \n" * 1_500_000 + " z"])
+def test_millions_of_one_character(reference, text):
+    assert [*packing.token_ids(text, PATH).tolist(), 1] == reference(text)
+
+
+def test_long_blanks_go_through_pack(spark, reference):
+    rows = list(enumerate([" " * 1_200_000 + "x", "\n" * 1_200_000, "plain"]))
+    check(packing.pack(docs(spark, rows), PATH).collect(), rows, reference, packing.CAPACITY)
+
+
+def test_other_tokenizer_files(tmp_path):
+    """The file's normalizer and pre-tokenizer count: what isn't plain
+    byte-level BPE runs on the tokenizers library."""
+    import json
+    with open(PATH, encoding="utf-8") as f:
+        spec = json.load(f)
+    assert packing._fast_form(spec)
+    for name, change in {"lower": {"normalizer": {"type": "Lowercase"}},
+                         "prefix": {"pre_tokenizer": spec["pre_tokenizer"] | {"add_prefix_space": True}},
+                         "whole": {"pre_tokenizer": spec["pre_tokenizer"] | {"use_regex": False}}}.items():
+        path = tmp_path / f"{name}.json"
+        path.write_text(json.dumps(spec | change), encoding="utf-8")
+        assert not packing._fast_form(spec | change)
+        slow = Tokenizer.from_file(str(path))
+        for t in ("Hello World", "  two Words\n", "x"):
+            assert packing.token_ids(t, str(path)).tolist() == slow.encode(t, add_special_tokens=False).ids
