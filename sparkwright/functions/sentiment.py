@@ -11,7 +11,6 @@ A large lexicon kept in a table goes through ``score_with_table`` instead
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 

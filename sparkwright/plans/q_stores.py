@@ -8,7 +8,10 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from sparkwright.functions import sentiment as SE
 from sparkwright.operators import profile as P
+from sparkwright.operators import randomized_pca
+from sparkwright.operators import sketches as K
 from sparkwright.operators import splits as S
 from sparkwright.operators.score_store import ScoreStore
 from sparkwright.operators.selection import quantiles
@@ -18,7 +21,7 @@ from sparkwright.plans.q_features import _SEED, _hash_sql
 from sparkwright.plans.q_profile import feat_once, round_doubles
 from sparkwright.plans.q_text import _CLEAN_SQL, _sentiment_sql, framed_documents
 from sparkwright.plans.registry import query, with_ctes
-from sparkwright.session import shared_path
+from sparkwright.session import materialize, shared_path
 from sparkwright.sources.tables import FEAT_BINARY, FEAT_NUMERIC, FEAT_SQL, feat, read_table
 from sparkwright.streaming import text_job as J
 
@@ -195,3 +198,122 @@ def agg_quantiles_many_classes(spark, sf):
     """Exact quantiles of thousands of classes."""
     li = read_table(spark, sf, "lineitem").select("l_partkey", "l_extendedprice")
     return round_doubles(quantiles(li, "l_extendedprice", _PROBS, ["l_partkey"]))
+
+
+# ------------------------------------------------------------ A4, A7 sketches
+
+_SKETCH_PROBS = [0.05, 0.25, 0.5, 0.75, 0.95]
+
+
+@query("agg_sketches_merged", "\nUNION ALL\n".join(
+    f"SELECT event_type, CAST({p} AS DOUBLE) AS prob, count(value) AS n, true AS rank_close, true AS users_close "
+    "FROM events GROUP BY event_type" for p in _SKETCH_PROBS))
+def agg_sketches_merged(spark, sf):
+    """Daily sketches of the events, stored, and merged per type from the store
+    alone: the estimates' true ranks are within 2 % of the asked ones, the
+    distinct users within 5 %."""
+    e = read_table(spark, sf, "events").select(F.to_date("ts").alias("day"), "event_type", "value", "user_id")
+    path = shared_path(spark, "sketches")
+    K.store(K.sketch(e, ["day", "event_type"], ["value"], ["user_id"]), path, "day")
+    merged = materialize(K.merge(spark.read.parquet(path), ["event_type"]))
+    q = K.quantile_estimates(merged, "value", _SKETCH_PROBS, ["event_type"])
+    users = K.distinct_estimate(merged, "user_id", ["event_type"]).withColumnRenamed("user_id", "users")
+    asked = materialize(q.join(users, "event_type"))
+    exact = e.groupBy("event_type").agg(F.count_distinct("user_id").alias("true_users"))
+    # Counts of the values below and up to each estimate.
+    below = e.join(asked.select("event_type", "prob", "quantile"), "event_type").groupBy("event_type", "prob").agg(
+        F.count_if(F.col("value") < F.col("quantile")).alias("lo"), F.count_if(F.col("value") <= F.col("quantile")).alias("hi"))
+    out = asked.join(below, ["event_type", "prob"]).join(exact, "event_type")
+    return out.select(
+        "event_type", "prob", "n",
+        ((F.col("lo") / F.col("n") <= F.col("prob") + 0.02) & (F.col("hi") / F.col("n") >= F.col("prob") - 0.02)).alias("rank_close"),
+        (F.abs(F.col("users") - F.col("true_users")) <= 0.05 * F.col("true_users")).alias("users_close"))
+
+
+# --------------------------------------------------------------- H12 at width
+
+
+def _power_sums_sql() -> str:
+    """Traces of the powers of the correlation matrix: the power sums of its
+    eigenvalues, which determine them."""
+    cells = "\nUNION ALL\n".join(f"SELECT {i} AS i, {j} AS j, corr({a}, {b}) AS c FROM feat"
+                                 for i, a in enumerate(FEAT_NUMERIC) for j, b in enumerate(FEAT_NUMERIC))
+    powers = ["m1 AS (SELECT i, j, c FROM cm)"]
+    powers += [f"m{k} AS (SELECT a.i, b.j, sum(a.c * b.c) AS c FROM m{k - 1} a JOIN cm b ON a.j = b.i GROUP BY a.i, b.j)"
+               for k in range(2, 6)]
+    return with_ctes(FEAT_SQL, f"cm AS ({cells})", *powers, "\nUNION ALL\n".join(
+        f"SELECT {k} AS power, round(sum(c), 5) AS total FROM m{k} WHERE i = j" for k in range(1, 6)))
+
+
+@query("ml_pca_randomized", _power_sums_sql())
+def ml_pca_randomized(spark, sf):
+    """Power sums of the variances of all components of the scaled columns."""
+    f = feat_once(spark, sf, list(FEAT_NUMERIC))
+    model = randomized_pca.fit(f, FEAT_NUMERIC, k=len(FEAT_NUMERIC), scaled=True)
+    values = F.array(*[F.lit(float(v)) for v in model.variances])
+    return spark.range(1, 6).select(F.col("id").cast("int").alias("power"), F.round(F.aggregate(
+        F.transform(values, lambda v: F.pow(v, F.col("id"))), F.lit(0.0), lambda a, x: a + x), 5).alias("total"))
+
+
+@query("ml_pca_components_uncorrelated", f"""
+SELECT 'pc1' AS a, 'pc2' AS b, count(*) AS n, CAST(0 AS DOUBLE) AS corr, true AS falling FROM embeddings""")
+def ml_pca_components_uncorrelated(spark, sf):
+    """Two leading components of the embeddings: uncorrelated, the first the
+    wider."""
+    e = materialize(read_table(spark, sf, "embeddings").select(
+        *[F.col("embedding")[k].cast("double").alias(f"e{k}") for k in range(_WIDTH)]))
+    rows = randomized_pca.fit(e, e.columns, k=2).transform(e)
+    one = rows.agg(F.count(F.lit(1)).alias("n"), F.corr("pc1", "pc2").alias("r"),
+                   (F.stddev("pc1") >= F.stddev("pc2")).alias("falling"))
+    return one.select(F.lit("pc1").alias("a"), F.lit("pc2").alias("b"), "n", F.abs(F.round("r", 2)).alias("corr"), "falling")
+
+
+# ----------------------------------------------------------- T-2..T-4 tables
+
+#: Size of the lexicon table derived from the documents' words.  Scores are
+#: multiples of 1/256, so that sums are exact in any order.
+_LEXICON = 20_000
+
+
+def _byte(h: str, at: int) -> str:
+    digit = lambda k: f"(instr('0123456789abcdef', substr({h}, {k}, 1)) - 1)"
+    return f"(16 * {digit(at)} + {digit(at + 1)})"
+
+
+def lexicon_table(spark, sf):
+    """Words of the documents with scores from their hash: a keyed table."""
+    text = F.lower("text")
+    words = read_table(spark, sf, "documents").select(F.explode(F.split(text, SE.TOKEN_SPLIT)).alias("word"))
+    few = words.where("word <> ''").distinct().orderBy(F.md5("word"), "word").limit(_LEXICON)
+    return materialize(few.select("word", F.expr(f"({_byte('md5(word)', 1)} - 128) / 128D").alias("polarity"),
+                                  F.expr(f"{_byte('md5(word)', 3)} / 256D").alias("subjectivity")))
+
+
+_LEXICON_SQL = with_ctes(
+    f"c AS ({_CLEAN_SQL})", f"""
+lex AS (SELECT word, CAST(({_byte('md5(word)', 1)} - 128) AS DOUBLE) / 128 AS polarity,
+               CAST({_byte('md5(word)', 3)} AS DOUBLE) / 256 AS subjectivity
+        FROM (SELECT DISTINCT unnest(regexp_split_to_array(lower(text), '[^a-z'']+')) AS word FROM documents)
+        WHERE word <> '' ORDER BY md5(word), word LIMIT {_LEXICON})""",
+    "r AS (SELECT row_number() OVER () AS id, word FROM c)",
+    "t AS (SELECT id, unnest(regexp_split_to_array(lower(word), '[^a-z'']+')) AS tok FROM r)",
+    """s AS (SELECT id, avg(polarity) AS polarity, avg(subjectivity) AS subjectivity FROM t JOIN lex ON lex.word = t.tok
+         GROUP BY id)""", """
+SELECT r.word, coalesce(s.polarity, 0) AS polarity, coalesce(s.subjectivity, 0) AS subjectivity
+FROM r LEFT JOIN s ON s.id = r.id""")
+
+
+@query("txt_lexicon_table", _LEXICON_SQL)
+def txt_lexicon_table(spark, sf):
+    """T-2..T-4 with 20,000 entries from a table, as a batch."""
+    return J.scored_by_table(J.clean_words(framed_documents(spark, sf)), lexicon_table(spark, sf))
+
+
+@query("stream_lexicon_table", _LEXICON_SQL)
+def stream_lexicon_table(spark, sf):
+    """The same on a stream: each micro-batch meets the table."""
+    src, out, chk = (shared_path(spark, f"lexicon-{x}") for x in ("src", "out", "chk"))
+    framed_documents(spark, sf).repartition(3).write.text(src)
+    J.run_idempotent(J.file_line_source(spark, src, max_files_per_trigger=2), out, chk, query_name="lexicon",
+                     trigger={"availableNow": True}, lexicon=lexicon_table(spark, sf)).awaitTermination()
+    return spark.read.parquet(out).drop("batch_id")

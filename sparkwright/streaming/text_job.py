@@ -14,11 +14,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
-from sparkwright.functions.sentiment import LEXICON, classify_text
+from sparkwright.functions.sentiment import LEXICON, classify_text, score_with_table
 from sparkwright.functions.text import clean_stream_text
+from sparkwright.session import materialize
 
 LINE_SCHEMA = StructType([StructField("value", StringType(), True)])
 
@@ -45,6 +47,14 @@ def scored_words(words: DataFrame, lexicon: dict = LEXICON) -> DataFrame:
     return classify_text(words, "word", lexicon)
 
 
+def scored_by_table(words: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """T-4 for a lexicon table, on a batch or a micro-batch: (word, polarity,
+    subjectivity).  The texts are stored once with a number, so that only
+    numbers and tokens meet the lexicon."""
+    rows = materialize(words.select("word").withColumn("_row", F.monotonically_increasing_id()))
+    return score_with_table(rows, "_row", "word", lexicon).drop("_row")
+
+
 def run_stream(source: DataFrame, out_path: str, checkpoint: str, query_name: str = "all_texts",
                trigger: dict | None = None, repartition: int | None = None,
                strict: bool = True, lexicon: dict = LEXICON) -> StreamingQuery:
@@ -61,17 +71,20 @@ def run_stream(source: DataFrame, out_path: str, checkpoint: str, query_name: st
     return w.start()
 
 
-def batch_writer(out_path: str, files: int | None = None,
-                 after: Callable[[int], None] | None = None) -> Callable[[DataFrame, int], None]:
+def batch_writer(out_path: str, files: int | None = None, after: Callable[[int], None] | None = None,
+                 apply: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` writer whose output depends on the batch id alone:
     batch k replaces the folder ``batch_id=k``.  A batch that is run again
     after a failure (the checkpoint names the same files for it) writes the
     same rows to the same place, so nothing doubles and nothing is lost.
 
+    ``apply`` turns a batch into what is written; it may use joins and
+    aggregates, which need no state since each batch is complete.
     ``files``: files per batch.  ``after`` is called when a batch is written,
     before the checkpoint commits it."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.repartition(files) if files else batch
+        rows = apply(batch) if apply else batch
+        rows = rows.repartition(files) if files else rows
         rows.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
         if after:
             after(batch_id)
@@ -80,12 +93,18 @@ def batch_writer(out_path: str, files: int | None = None,
 
 def run_idempotent(source: DataFrame, out_path: str, checkpoint: str, query_name: str = "all_texts",
                    trigger: dict | None = None, files: int | None = 1, strict: bool = True,
-                   lexicon: dict = LEXICON, after: Callable[[int], None] | None = None) -> StreamingQuery:
+                   lexicon: dict | DataFrame = LEXICON,
+                   after: Callable[[int], None] | None = None) -> StreamingQuery:
     """T-5 with a sink that survives a restart: start the job, or go on with the
     one that left ``checkpoint``.  The result is read with
     ``spark.read.parquet(out_path)``; its ``batch_id`` column tells the batch.
-    ``files=1`` gives one file a trigger (for small streams)."""
-    words = scored_words(clean_words(source, strict), lexicon)
+    ``files=1`` gives one file a trigger (for small streams).  A lexicon table
+    (word, polarity, subjectivity) is joined batch by batch."""
+    words, apply = clean_words(source, strict), None
+    if isinstance(lexicon, dict):
+        words = scored_words(words, lexicon)
+    else:
+        apply = lambda batch: scored_by_table(batch, lexicon)
     w = words.writeStream.queryName(query_name).outputMode("append").option("checkpointLocation", checkpoint)
-    return w.foreachBatch(batch_writer(out_path, files, after)).trigger(
+    return w.foreachBatch(batch_writer(out_path, files, after, apply)).trigger(
         **(trigger or {"processingTime": "60 seconds"})).start()
