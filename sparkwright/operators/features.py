@@ -80,11 +80,22 @@ def apply_index(df: DataFrame, index: DataFrame, column: str, out: str) -> DataF
 # ------------------------------------------------------------ H3: one-hot
 
 
+#: Values of a column that may become columns of the wide form.
+MOST_CATEGORIES = 10_000
+
+
 def fit_categories(train: DataFrame, columns: list[str]) -> dict[str, list]:
     """Sorted distinct values per nominal column, for the wide form: each
-    becomes a column, so the schema bounds them.  For columns with more values
-    use ``frequency_index`` and ``one_hot_vector``, which keep them in a table."""
-    return {c: sorted(r[0] for r in train.select(c).where(F.col(c).isNotNull()).distinct().collect()) for c in columns}
+    becomes a column.  More than ``MOST_CATEGORIES`` are an error; columns with
+    more values go through ``stages.OneHotByFrequency``, which keeps them in a
+    table and gives sparse vectors."""
+    out = {}
+    for c in columns:
+        found = train.select(c).where(F.col(c).isNotNull()).distinct().limit(MOST_CATEGORIES + 1).collect()
+        if len(found) > MOST_CATEGORIES:
+            raise ValueError(f"{c} has more than {MOST_CATEGORIES} values; use stages.OneHotByFrequency")
+        out[c] = sorted(r[0] for r in found)
+    return out
 
 
 def one_hot_vector(df: DataFrame, index: DataFrame, column: str, out: str) -> DataFrame:

@@ -67,6 +67,10 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
 
 
+#: Values that may become columns (as for Spark's own pivot).
+MOST_COLUMNS = 10_000
+
+
 def crosstab_long(df: DataFrame, a: str, b: str) -> DataFrame:
     """A5 for any number of values: (a, b, count) of the pairs that occur,
     nulls included."""
@@ -77,10 +81,12 @@ def crosstab(df: DataFrame, a: str, b: str, values: list | None = None) -> DataF
     """A5: contingency table, first column ``a_b`` holds a's value, one count
     column per value of b (``null`` for its nulls), missing pairs = 0.  Keys
     keep their type (unlike ``DataFrame.crosstab``).  The wide form has a
-    column per value, listed or found; for unbounded ones there is
-    ``crosstab_long``."""
+    column per value, listed or found; more than ``MOST_COLUMNS`` found ones are
+    an error, and ``crosstab_long`` takes any number."""
     if values is None:
-        found = [r[0] for r in df.select(b).distinct().collect()]
+        found = [r[0] for r in df.select(b).distinct().limit(MOST_COLUMNS + 1).collect()]
+        if len(found) > MOST_COLUMNS:
+            raise ValueError(f"{b} has more than {MOST_COLUMNS} values; use crosstab_long")
         values = sorted(v for v in found if v is not None) + [None] * (None in found)
     counts = [F.count_if(F.col(b).eqNullSafe(F.lit(v))).alias("null" if v is None else str(v)) for v in values]
     return df.groupBy(F.col(a).alias(f"{a}_{b}")).agg(*counts)

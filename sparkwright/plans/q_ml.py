@@ -577,6 +577,52 @@ def ml_detector_reports(spark, sf, forest: dict = FOREST):
     return union_all(out)
 
 
+# Both forest stackers, the logistic one and the default forest do better on
+# the test part than the more frequent class.
+@query("ml_stackers_learn", with_ctes(FEAT_SQL, "\nUNION ALL\n".join(
+    f"SELECT '{m}' AS model, count(*) AS rows, count(*) FILTER (WHERE planted = 1) AS positives, true AS learned "
+    f"FROM feat WHERE {_hash_sql()} >= '{_CV_END}'" for m in ("logistic", "flags_forest", "features_forest", "default_forest"))))
+def ml_stackers_learn(spark, sf, forest: dict = FOREST, flags_forest: dict = FLAGS_FOREST):
+    stacked = _stacked_test(spark, sf, forest, flags_forest)
+    cv, test = _stack_parts(spark, sf, forest)
+    strong = M.stack_forest(cv, _selected(prepared(spark, sf).ratios, 1.5) + FLAGS, "y", **flags_forest)
+    scored = {"logistic": (stacked, "p_lr"), "flags_forest": (stacked, "p_rf"),
+              "features_forest": (strong.transform(test).withColumn("p", M.p_positive()), "p"),
+              "default_forest": (_forest_report(spark, sf, DEFAULT_FOREST), "p")}
+    out = []
+    for name, (rows, p) in scored.items():
+        # Class weights move the logistic scores, so the best cut of a sweep counts.
+        sweep = E.threshold_sweep(rows, "y", p, [0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99])
+        out.append(sweep.agg(F.first(F.expr("tn + fp + fn + tp")).alias("rows"), F.first(F.expr("fn + tp")).alias("positives"),
+                             F.max(F.expr("(tn + tp) > greatest(tn + fp, fn + tp)")).alias("learned"))
+                   .select(F.lit(name).alias("model"), "rows", "positives", "learned"))
+    return union_all(out)
+
+
+# The mixture's covariance, within and between its components, is the sample
+# covariance of the rows it was fitted on.
+@query("ml_gmm_covariance_total", with_ctes(FEAT_SQL, f"""
+SELECT count(*) AS rows, CAST(0 AS DOUBLE) AS off_11, CAST(0 AS DOUBLE) AS off_12, CAST(0 AS DOUBLE) AS off_22
+FROM feat WHERE {_hash_sql()} < '{_BASE_END}'"""))
+def ml_gmm_covariance_total(spark, sf):
+    model, rows = _gmm(spark, sf)
+    base = rows.where("part = 'base'").agg(
+        F.count(F.lit(1)).alias("rows"), F.avg("pc1").alias("m1"), F.avg("pc2").alias("m2"),
+        *[F.covar_pop(f"pc{i}", f"pc{j}").alias(f"s{i}{j}") for i, j in ((1, 1), (1, 2), (2, 2))])
+    means = M.gmm_params(model).groupBy("component").agg(
+        F.first("weight").alias("w"), F.sum(F.when(F.col("dim") == 0, F.col("mean"))).alias("c1"),
+        F.sum(F.when(F.col("dim") == 1, F.col("mean"))).alias("c2"))
+    cov = M.gmm_covariances(model).groupBy("component").agg(*[
+        F.sum(F.when((F.col("i") == i - 1) & (F.col("j") == j - 1), F.col("cov"))).alias(f"v{i}{j}")
+        for i, j in ((1, 1), (1, 2), (2, 2))])
+    total = [F.sum(F.expr(f"w * (v{i}{j} + c{i} * c{j})")).alias(f"t{i}{j}") for i, j in ((1, 1), (1, 2), (2, 2))]
+    mixed = means.join(cov, "component").agg(*total, F.sum(F.expr("w * c1")).alias("g1"), F.sum(F.expr("w * c2")).alias("g2"))
+    one = F.lit(1).alias("one")
+    both = mixed.select("*", one).join(base.select("*", one), "one")
+    off = [F.abs(F.round(F.expr(f"(t{i}{j} - g{i} * g{j}) - s{i}{j}"), 2)).alias(f"off_{i}{j}") for i, j in ((1, 1), (1, 2), (2, 2))]
+    return both.select("rows", *off)
+
+
 # The weighted logistic fit is at its optimum: the weighted residuals sum to
 # zero, against the sum of the weights.
 @query("ml_logistic_residuals", with_ctes(FEAT_SQL, f"""

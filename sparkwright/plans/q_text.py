@@ -83,6 +83,25 @@ def stream_track_filter(spark, sf):
     return TX.track_filter(m, "text", "lang", _TRACK_WORDS, _TRACK_LANGS).select("doc_id")
 
 
+_MANY = 1000
+_MANY_SQL = f"""many AS (
+  SELECT DISTINCT unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS keyword FROM documents)"""
+
+
+@query("txt_track_many", with_ctes(_MANY_SQL, f"""
+few AS (SELECT keyword FROM many WHERE length(keyword) >= 5 ORDER BY md5(keyword), keyword LIMIT {_MANY})""", """
+SELECT doc_id, count(*) AS keywords FROM documents JOIN few ON contains(lower(text), keyword)
+WHERE lang IN ('en', 'fr') GROUP BY doc_id"""))
+def txt_track_many(spark, sf):
+    """A thousand keywords, taken from the texts, found as parts of any word."""
+    d = documents(spark, sf)
+    words = d.select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("keyword")).distinct()
+    few = words.where("length(keyword) >= 5").orderBy(F.md5("keyword"), "keyword").limit(_MANY).collect()
+    found = TX.keyword_matches(TX.track_many(d, "doc_id", "text", "lang", [r[0] for r in few], _TRACK_LANGS),
+                               "doc_id", "text", [r[0] for r in few])
+    return found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("keywords"))
+
+
 def _lex_case(tok: str, idx: int) -> str:
     whens = " ".join(f"WHEN '{w}' THEN CAST({v[idx]} AS DOUBLE)" for w, v in SE.LEXICON.items())
     return f"CASE {tok} {whens} END"

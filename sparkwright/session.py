@@ -1,13 +1,15 @@
 """Session construction and the shared working folder.
 
-On a cluster the folder named by ``spark.checkpoint.dir`` is shared by all
+The folder named by ``spark.checkpoint.dir`` is shared by the driver and all
 executors; intermediate tables (staged CSV, stream sinks, checkpoints) go
-below it.  Only when the setting is absent (local tests) do we create one.
+below it.  Only a session in one process may do without the setting.
 """
 
 from __future__ import annotations
 
+import os
 import re
+import shutil
 import tempfile
 import uuid
 
@@ -41,6 +43,15 @@ def get_spark(master: str | None = None, app: str = "sparkwright",
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors (their Python workers import it by
+    name).  Needed on clusters that don't have it on their PYTHONPATH."""
+    here = os.path.dirname(os.path.abspath(__file__))
+    with tempfile.TemporaryDirectory() as d:
+        spark.sparkContext.addPyFile(shutil.make_archive(
+            f"{d}/sparkwright", "zip", os.path.dirname(here), os.path.basename(here)))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.  Only a session in
     one process (``local[...]``) may do without: it gets a private folder.

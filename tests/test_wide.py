@@ -87,3 +87,32 @@ def test_lexicon_table_in_batch_and_stream(spark, tmp_path):
     assert stream == sorted(map(tuple, batch.collect()))
     assert stream == sorted([("good bad GOOD", 1 / 3, 1.25 / 3)] * 2 + [("nothing here", 0.0, 0.0),
                                                                        ("It's good, good!", 2.5 / 3, 2.0 / 3)])
+
+
+def test_many_keywords_equal_brute_force(spark):
+    """50,000 keywords; texts with overlaps, other alphabets and line feeds."""
+    from sparkwright.functions import text as TX
+    rng = random.Random(11)
+    words = sorted({"".join(rng.choice("abcdeé漢") for _ in range(rng.randint(4, 9))) for _ in range(60_000)})[:50_000]
+    texts = ["".join(rng.choice("abcdeÉé漢 \n") for _ in range(rng.choice([0, 3, 50, 400]))) for _ in range(60)] + [None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string").repartition(3)
+    got = {(r["id"], r["keyword"]) for r in TX.keyword_matches(df, "id", "text", words).collect()}
+    low = [(t or "").lower() for t in texts]
+    assert got == {(i, w) for i, t in enumerate(low) for w in words if w in t} and len(got) > 50
+    for few in (["ab"], ["a", "漢"], ["", "abc"], []):
+        got = {(r["id"], r["keyword"]) for r in TX.keyword_matches(df, "id", "text", few).collect()}
+        assert got == {(i, w) for i, t in enumerate(low) for w in few if w and w in t}
+    rows = df.withColumn("lang", F.lit("en"))
+    kept = TX.track_many(rows, "id", "text", "lang", words, ["en"])
+    assert kept.columns == ["id", "text", "lang"]
+    assert {r["id"] for r in kept.collect()} == {i for i, t in enumerate(low) if any(w in t for w in words)}
+
+
+def test_too_many_values_for_columns_are_an_error(spark):
+    from sparkwright.operators import features as H
+    from sparkwright.operators import profile as P
+    df = spark.range(10_500).select(F.col("id").cast("string").alias("a"), (F.col("id") % 2).alias("b"))
+    with pytest.raises(ValueError, match="crosstab_long"):
+        P.crosstab(df, "b", "a")
+    with pytest.raises(ValueError, match="OneHotByFrequency"):
+        H.fit_categories(df, ["a"])
