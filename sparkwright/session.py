@@ -7,6 +7,7 @@ below it.  Only a session in one process may do without the setting.
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
 import shutil
@@ -47,9 +48,11 @@ def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors (their Python workers import it by
     name).  Needed on clusters that don't have it on their PYTHONPATH."""
     here = os.path.dirname(os.path.abspath(__file__))
-    with tempfile.TemporaryDirectory() as d:
-        spark.sparkContext.addPyFile(shutil.make_archive(
-            f"{d}/sparkwright", "zip", os.path.dirname(here), os.path.basename(here)))
+    # The driver serves the file to executors that join later, too.
+    folder = tempfile.mkdtemp(prefix="sparkwright-package-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    spark.sparkContext.addPyFile(shutil.make_archive(
+        f"{folder}/sparkwright", "zip", os.path.dirname(here), os.path.basename(here)))
 
 
 def checkpoint_root(spark: SparkSession) -> str:
