@@ -45,30 +45,35 @@ MASK = "[SECRET]"
 SPAN = "array<struct<start:bigint,rank:int,end:bigint,kind:string,role:string>>"
 
 
+def _running(values: Column, combine) -> Column:
+    """Inclusive running sums (or maxima) of an array: in round k every element
+    takes in the one 2^k places before it, so n elements take log n rounds of
+    linear work.  (A fold that appends copies its result at every step.)"""
+    rounds = F.ceil(F.log2(F.size(values) + F.lit(0.0))).cast("int")
+    steps = F.when(F.size(values) > 1, F.sequence(F.lit(0), rounds - 1)).otherwise(F.array().cast("array<int>"))
+
+    def step(acc, k):
+        by = F.pow(F.lit(2.0), k).cast("int")
+        return F.concat(F.slice(acc, F.lit(1), by),
+                        F.zip_with(F.slice(acc, by + 1, F.size(acc) - by), F.slice(acc, F.lit(1), F.size(acc) - by), combine))
+
+    return F.aggregate(steps, values, step)
+
+
 def _spans(text: Column, kind: str, spec: tuple) -> Column:
-    """Spans of the matches of one pattern: the texts between the matches and
-    the matches themselves give the offsets."""
+    """Spans of the matches of one pattern: the running lengths of the texts
+    between the matches and of the matches give the offsets."""
     rank, role, pattern, group, least = spec
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = whole if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    steps = F.arrays_zip(F.transform(F.split(text, pattern), F.length).alias("gap"),
-                         F.transform(whole, F.length).alias("size"), F.transform(value, F.length).alias("held"))
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(
-        "array<struct<start:bigint,end:bigint,held:int>>").alias("spans"))
-
-    def step(acc, x):
-        begin = acc["at"] + x["gap"]
-        end = begin + F.coalesce(x["size"], F.lit(0))
-        span = F.struct(begin.alias("start"), end.alias("end"), x["held"].alias("held"))
-        # The last gap has no match after it; a match that is too short is
-        # passed over but moves the offset on.
-        keep = x["held"] >= least
-        return F.struct(end.alias("at"),
-                        F.when(keep, F.array_append(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
-
-    found = F.aggregate(steps, start, step, lambda acc: acc["spans"])
-    named = F.transform(found, lambda s: F.struct(
-        s["start"].alias("start"), F.lit(rank).alias("rank"), s["end"].alias("end"),
+    size = F.transform(whole, F.length)
+    # The last gap has no match after it.
+    gaps = F.slice(F.transform(F.split(text, pattern), F.length), F.lit(1), F.size(whole))
+    ends = _running(F.zip_with(gaps, size, lambda g, n: (g + n).cast("bigint")), lambda x, y: x + y)
+    steps = F.arrays_zip(ends.alias("end"), size.alias("size"), F.transform(value, F.length).alias("held"))
+    # A match that is too short is passed over but moves the offset on.
+    named = F.transform(F.filter(steps, lambda x: x["held"] >= least), lambda x: F.struct(
+        (x["end"] - x["size"]).alias("start"), F.lit(rank).alias("rank"), x["end"].alias("end"),
         F.lit(kind).alias("kind"), F.lit(role).alias("role")))
     # The plain test spares most texts the rest.
     return F.when(text.rlike(pattern), named).otherwise(F.array()).cast(SPAN)
@@ -138,6 +143,36 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope:
                     F.coalesce("linked", F.array().cast(SPAN)).alias("linked")))
 
 
+#: Code points of a text that are addressed together.
+CHUNK = 1024
+
+
+def _masked(text: Column, spans: Column, mask: str) -> Column:
+    """``text`` with the spans (sorted by start) replaced; a span that starts
+    inside earlier ones adds no mask.  The text is cut into chunks once, so a
+    piece of it costs its own length and two chunks, wherever it stands."""
+    reach = _running(F.transform(spans, lambda s: s["end"]), lambda x, y: F.greatest(x, y))
+    # Each span with the end of all before it.
+    pairs = F.arrays_zip(F.transform(spans, lambda s: s["start"]).alias("start"),
+                         F.concat(F.array(F.lit(0).cast("bigint")), F.slice(reach, F.lit(1), F.size(reach) - 1)).alias("from"))
+    chunks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+
+    def piece(held, start, end):
+        one, two = F.floor(start / CHUNK).cast("int"), F.floor(end / CHUNK).cast("int")
+        a, b = (start % CHUNK).cast("int"), (end % CHUNK).cast("int")
+        first, last = F.coalesce(F.get(held, one), F.lit("")), F.coalesce(F.get(held, two), F.lit(""))
+        return F.when(one == two, F.substring(first, a + 1, b - a)).otherwise(F.concat(
+            F.substring(first, a + 1, F.lit(CHUNK)), F.array_join(F.slice(held, one + 2, two - one - 1), ""),
+            F.substring(last, F.lit(1), b)))
+
+    # One binding of the chunks for all pieces.
+    parts = F.transform(F.array(chunks), lambda held: F.concat(
+        F.array_join(F.transform(pairs, lambda x: F.when(
+            x["start"] >= x["from"], F.concat(piece(held, x["from"], x["start"]), F.lit(mask))).otherwise("")), ""),
+        piece(held, F.array_max(reach), F.length(text).cast("bigint"))))
+    return F.get(parts, F.lit(0))
+
+
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE,
            mask: str = MASK) -> DataFrame:
     """``docs`` with every secret span of its texts replaced by ``mask``;
@@ -151,15 +186,7 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scop
     t = F.col("row")[text_col]
     spans = F.array_sort(F.concat("base", F.coalesce("linked", F.array().cast(SPAN))))
 
-    def step(acc, s):
-        gap = F.substring(t, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
-        return F.when(s["start"] >= acc["at"], F.struct(
-            F.array_append(F.array_append(acc["out"], gap), F.lit(mask)).alias("out"), s["end"].alias("at"))
-        ).otherwise(F.struct(acc["out"].alias("out"), F.greatest(acc["at"], s["end"]).alias("at")))
-
-    zero = F.struct(F.array().cast("array<string>").alias("out"), F.lit(0).cast("bigint").alias("at"))
-    clean = F.aggregate(spans, zero, step, lambda acc: F.concat(
-        F.array_join(acc["out"], ""), F.substring(t, (acc["at"] + 1).cast("int"), F.length(t))))
+    clean = _masked(t, spans, mask)
     rows = rows.select("row", F.when(F.size(spans) > 0, clean).alias("clean"))
     kinds = dict(docs.dtypes)
     out = []

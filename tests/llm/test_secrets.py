@@ -98,3 +98,54 @@ def test_many_parts_in_one_text(spark):
     text = " ".join(f"user=bob{i} password=abcdef{i} https://h{i}.org/x" for i in range(1500))
     got = secrets.scan(docs(spark, [text])).first()
     assert len(got["base"]) == 1500 and len(got["linked"]) == 3000
+
+
+def test_running_sums_and_maxima(spark):
+    from pyspark.sql import functions as F
+    rng = random.Random(4)
+    data = [[rng.randint(0, 50) for _ in range(n)] for n in (0, 1, 2, 3, 4, 5, 7, 8, 9, 31, 64, 100, 1000)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(data)], "i int, v array<bigint>")
+    out = df.select("v", secrets._running(F.col("v"), lambda x, y: x + y).alias("s"),
+                    secrets._running(F.col("v"), lambda x, y: F.greatest(x, y)).alias("m")).collect()
+    for r in out:
+        assert r["s"] == [sum(r["v"][: k + 1]) for k in range(len(r["v"]))]
+        assert r["m"] == [max(r["v"][: k + 1]) for k in range(len(r["v"]))]
+
+
+def test_masked_texts_against_plain(spark):
+    """Spans that touch, overlap, hold each other and cross chunk borders."""
+    from pyspark.sql import functions as F
+    rng = random.Random(8)
+    rows = []
+    for k in range(60):
+        text = "".join(rng.choice("abcé😀 \n") for _ in range(rng.choice([1, 40, 1023, 1024, 1025, 5000])))
+        cut = [sorted((rng.randint(0, len(text)), rng.randint(0, len(text)))) for _ in range(rng.randint(1, 12))]
+        rows.append((k, text, sorted((a, b) for a, b in cut if a < b) or [(0, 1)]))
+    df = spark.createDataFrame(rows, "i int, t string, spans array<struct<start:bigint,end:bigint>>")
+    got = {r["i"]: r["x"] for r in df.select("i", secrets._masked(F.col("t"), F.col("spans"), "[X]").alias("x")).collect()}
+    for k, text, spans in rows:
+        out, at = "", 0
+        for a, b in spans:
+            if a >= at:
+                out += text[at:a] + "[X]"
+            at = max(at, b)
+        assert got[k] == out + text[at:]
+
+
+def test_time_is_linear_in_the_matches(spark):
+    """Twice the matches take at most 2.5 times as long, in scan and redact."""
+    import time
+    took = {}
+    for n in (40_000, 80_000):
+        text = " ".join(f"{i:032x}" for i in range(n))
+        df = docs(spark, [text]).cache()
+        df.count()
+        best = []
+        for _ in range(2):
+            t = time.perf_counter()
+            assert len(secrets.scan(df).first()["base"]) == n
+            clean = secrets.redact(df).first()["text"]
+            best.append(time.perf_counter() - t)
+            assert clean == " ".join([secrets.MASK] * n)
+        took[n] = min(best)
+    assert took[80_000] < 2.5 * took[40_000]
