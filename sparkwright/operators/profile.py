@@ -178,13 +178,15 @@ def corr_pearson(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def corr_spearman(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Spearman = Pearson of average ranks.  Each column's distinct values
-    are ranked on their own and joined to its rows; the rows are neither
-    unpivoted nor put together again."""
+    """Spearman = Pearson of average ranks.  The distinct values of all
+    columns are ranked together, column by column in one running total; the
+    ranks are then joined to the rows, which are not put together again."""
     base = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    ranks = materialize(rank_table(_long(base, columns), "value", ["column"]))
     ranked = base
     for i, c in enumerate(columns):
-        ranked = join_groups(ranked, rank_table(base, c, out=f"_rank{i}"), [c])
+        own = ranks.where(F.col("column") == c).select(F.col("value").alias(c), F.col("rank").alias(f"_rank{i}"))
+        ranked = join_groups(ranked, own, [c])
     return corr_pearson(ranked.select(*[F.col(f"_rank{i}").alias(c) for i, c in enumerate(columns)]), columns)
 
 
