@@ -8,14 +8,17 @@ in DataFrames and are attached by key.
 
 from __future__ import annotations
 
+import threading
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.feature import PCA, VectorAssembler, VectorIndexer, VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkwright.functions.exprs import local_table
@@ -145,27 +148,69 @@ def random_forest(num_trees: int = 20, max_depth: int = 5, seed: int = 42, featu
     return rf
 
 
-#: Model fits that run at the same time.  Each keeps its growing forest in the
-#: driver's memory; raise it where the driver has several gigabytes.
-FITS_AT_ONCE = 1
+#: Model fits that run at the same time, at most.
+FITS_AT_ONCE = 8
+#: Bytes of the driver's heap per node of a forest that is being grown.
+NODE_BYTES = 320
 
 
-def _side_by_side(fit, args: list) -> list:
-    """Independent fits, ``FITS_AT_ONCE`` at a time."""
-    with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
-        return list(pool.map(fit, args))
+class Admission:
+    """Lets fits run side by side as long as their estimated memory together
+    stays within ``budget``; one that is larger runs alone."""
+
+    def __init__(self, budget: float):
+        self.budget, self.used, self.running = budget, 0.0, 0
+        self.free = threading.Condition()
+
+    @contextmanager
+    def room(self, cost: float):
+        with self.free:
+            self.free.wait_for(lambda: not self.running or self.used + cost <= self.budget)
+            self.used, self.running = self.used + cost, self.running + 1
+        try:
+            yield
+        finally:
+            with self.free:
+                self.used, self.running = self.used - cost, self.running - 1
+                self.free.notify_all()
+
+
+def forest_bytes(rows: int, num_trees: int = 20, max_depth: int = 5, **_) -> int:
+    """What a forest on so many rows may hold on the driver while it grows: a
+    tree has no more nodes than twice its rows, or than its depth allows."""
+    return num_trees * min(2 * max(rows, 1), 2 << max_depth) * NODE_BYTES
+
+
+def _side_by_side(spark: SparkSession, fit, jobs: list[tuple], budget: float | None = None) -> list:
+    """Results of ``fit(arg)`` for jobs (arg, bytes), in order.  Each fit has a
+    thread with the caller's local properties and a scheduler pool of its own
+    (in FAIR mode the pools share the executors); half of the driver's heap
+    bounds what runs together."""
+    gate = Admission(budget or spark._jvm.java.lang.Runtime.getRuntime().maxMemory() / 2)
+
+    def run(job, pool):
+        arg, cost = job
+        with gate.room(cost):
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", pool)
+            return fit(arg)
+
+    with ThreadPoolExecutor(max(1, min(FITS_AT_ONCE, len(jobs)))) as pool:
+        tasks = [pool.submit(inheritable_thread_target(spark)(run), job, f"fit-{i}") for i, job in enumerate(jobs)]
+        return [t.result() for t in tasks]
 
 
 def fit_cluster_forests(train: DataFrame, routing_rows: list, cluster_col: str, features: str, label: str,
                         **rf_args) -> dict:
     """M5: one forest per mixed cluster (at most k); each fit is a distributed
-    Spark job."""
-    clusters = [r["cluster"] for r in routing_rows if r["route"] == "model"]
+    Spark job, and independent fits run side by side."""
+    own = [r for r in routing_rows if r["route"] == "model"]
+    clusters = [r["cluster"] for r in own]
 
     def fit(cluster):
         part = train.where(F.col(cluster_col) == cluster).drop("probability", "rawPrediction", "prediction")
         return random_forest(features=features, label=label, **rf_args).fit(part)
-    return dict(zip(clusters, _side_by_side(fit, clusters)))
+    jobs = [(r["cluster"], forest_bytes(r["count"], **rf_args)) for r in own]
+    return dict(zip(clusters, _side_by_side(train.sparkSession, fit, jobs)))
 
 
 def score_clusters(df: DataFrame, key: str, cluster_col: str, routing: DataFrame, models: dict,
@@ -204,8 +249,11 @@ def category_detectors(train: DataFrame, df: DataFrame, label5: str, groups: dic
         rf = random_forest(features="_f", label="_y", **rf_args)
         return Pipeline(stages=[VectorAssembler(inputCols=feature_sets[name], outputCol="_f"), rf]).fit(sub)
 
+    sizes = train.select(*[F.count_if(F.col(label5).isin(*groups[g], normal)).alias(f"n{i}")
+                           for i, g in enumerate(groups)]).first() if groups else []
+    jobs = [(g, forest_bytes(n, **rf_args)) for g, n in zip(groups, sizes)]
     scored = df
-    for name, m in zip(groups, _side_by_side(fit, list(groups))):
+    for name, m in zip(groups, _side_by_side(train.sparkSession, fit, jobs)):
         scored = (m.transform(scored).withColumn(f"p_{name}", p_positive())
                   .drop("_f", "rawPrediction", "probability", "prediction"))
     return scored
