@@ -48,7 +48,7 @@ ANCHORS_AT_ONCE = 1 << 20
 #: One text in so many is looked at for hot grams; a gram is hot from so many
 #: different spans in the sample on.
 SAMPLE = 64
-HOT_SPANS = 64
+HOT_SPANS = 16
 #: Hot grams at most: a bound for the list that goes to every task.  A gram
 #: beyond it is treated like any other.
 HOT_GRAMS = 10_000
