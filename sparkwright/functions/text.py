@@ -6,6 +6,8 @@ state or leaves the JVM.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +26,9 @@ def strip_markup(c, strict: bool = True) -> Column:
         if p.isalnum() or p in ("#", ":"):
             c = F.replace(c, F.lit(p), F.lit(""))      # literal: no regex engine
         else:
-            c = F.regexp_replace(c, p, "")
+            # Most texts lack the pattern's literal start: they skip the regex engine.
+            start = re.match(r"(\\b)?([\w@#]+?)(?=\\|$)", p)
+            c = F.when(F.contains(c, F.lit(start[2])), F.regexp_replace(c, p, "")).otherwise(c)
     return c
 
 

@@ -607,8 +607,8 @@ FROM feat WHERE {_hash_sql()} < '{_BASE_END}'"""))
 def ml_gmm_covariance_total(spark, sf):
     model, rows = _gmm(spark, sf)
     base = rows.where("part = 'base'").agg(
-        F.count(F.lit(1)).alias("rows"), F.avg("pc1").alias("m1"), F.avg("pc2").alias("m2"),
-        *[F.covar_pop(f"pc{i}", f"pc{j}").alias(f"s{i}{j}") for i, j in ((1, 1), (1, 2), (2, 2))])
+        F.count(F.lit(1)).alias("rows"),
+        *[F.covar_pop(f"pc{i}", f"pc{j}").alias(f"s{i}{j}") for i, j in ((1, 1), (1, 2), (2, 2))]).first()
     means = M.gmm_params(model).groupBy("component").agg(
         F.first("weight").alias("w"), F.sum(F.when(F.col("dim") == 0, F.col("mean"))).alias("c1"),
         F.sum(F.when(F.col("dim") == 1, F.col("mean"))).alias("c2"))
@@ -617,10 +617,9 @@ def ml_gmm_covariance_total(spark, sf):
         for i, j in ((1, 1), (1, 2), (2, 2))])
     total = [F.sum(F.expr(f"w * (v{i}{j} + c{i} * c{j})")).alias(f"t{i}{j}") for i, j in ((1, 1), (1, 2), (2, 2))]
     mixed = means.join(cov, "component").agg(*total, F.sum(F.expr("w * c1")).alias("g1"), F.sum(F.expr("w * c2")).alias("g2"))
-    one = F.lit(1).alias("one")
-    both = mixed.select("*", one).join(base.select("*", one), "one")
-    off = [F.abs(F.round(F.expr(f"(t{i}{j} - g{i} * g{j}) - s{i}{j}"), 2)).alias(f"off_{i}{j}") for i, j in ((1, 1), (1, 2), (2, 2))]
-    return both.select("rows", *off)
+    off = [F.abs(F.round(F.expr(f"t{i}{j} - g{i} * g{j}") - F.lit(base[f"s{i}{j}"]), 2)).alias(f"off_{i}{j}")
+           for i, j in ((1, 1), (1, 2), (2, 2))]
+    return mixed.select(F.lit(base["rows"]).cast("bigint").alias("rows"), *off)
 
 
 # The weighted logistic fit is at its optimum: the weighted residuals sum to
