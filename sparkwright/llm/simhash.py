@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkwright.llm.components import components, forest
-from sparkwright.llm.shared import query, release, slices, stage, table
+from sparkwright.llm.shared import KEY, query, release, row_key, same_key, slices, stage, table
 
 SEGMENTS = 5
 WIDTHS = (13, 13, 13, 13, 12)
@@ -240,19 +240,46 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
              bits: int = 4) -> DataFrame:
-    """``docs`` without the documents whose component has a smaller id.  Rows
-    that repeat an id keep the smallest of them; rows without an id stay."""
-    found = stage(near_duplicates(docs, id_col, text_col, shingle, bits), "components")
-    drop = stage(found.where("doc_id != component_id").select(F.col("doc_id").alias("drop_id")).distinct(), "drop")
-    left = docs.join(drop, docs[id_col] == drop["drop_id"], "left_anti")
-    again = stage(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
-                  .select(F.col("doc_id").alias("again_id")), "repeated-ids")
+    """``docs`` with one row of each component.
+
+    A row counts by its id and text, so rows of one id or without an id are
+    told apart.  The smallest row stays: ids before none, then the smaller id,
+    then the text's hashes; of rows alike in id and text one stays."""
+    rows = docs.select(*row_key(id_col, text_col), F.col(text_col).alias("text"))
+    rows = stage(rows.withColumn("k_id", F.col("k_id").cast("bigint"))
+                 .mapInArrow(_keyed_prints(shingle), KEYED), "prints")
+    links = near_links(rows.groupBy("fp").agg(F.lit(1).alias("one")), bits)
+    groups = components(links).withColumnRenamed("node", "fp")
+    order = F.struct(F.col("k_id").isNull().alias("none"), *KEY)
+    # The smallest row of each fingerprint, then of each component.
+    low = rows.groupBy("fp").agg(F.min(order).alias("low"))
+    named = stage(low.join(groups, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root")), "named")
+    least = named.groupBy("root").agg(F.min("low").alias("least"))
+    least = named.join(least, "root").select("fp", "least")
+    marked = rows.groupBy("fp", *KEY).agg(F.count("*").alias("copies")).join(least, "fp")
+    stays = F.col("least").eqNullSafe(order)
+    # Rows to drop, and rows that stay but repeat.
+    drop = stage(marked.where(~stays).select(*KEY), "drop")
+    again = stage(marked.where(stays & (F.col("copies") > 1)).select(*KEY), "again")
+    keyed = docs.select(F.struct("*").alias("row"), *row_key(id_col, text_col))
+    # The rows to drop grow with the input: the same join at every size.
+    left = keyed.join(drop.hint("merge"), same_key(keyed, drop), "left_anti")
     if not again.head(1):
-        return left
-    on = left[id_col] == again["again_id"]
-    once = (left.join(again, on, "left_semi").groupBy(id_col)
-            .agg(F.min(F.struct(*[left[c] for c in docs.columns])).alias("row")).select("row.*"))
-    return left.join(again, on, "left_anti").unionByName(once)
+        return left.select("row.*")
+    on = same_key(left, again)
+    once = left.join(again, on, "left_semi").groupBy(*KEY).agg(F.first("row").alias("row"))
+    return left.join(again, on, "left_anti").select("row.*").unionAll(once.select("row.*"))
+
+
+KEYED = "k_id bigint, k_h1 bigint, k_h2 int, k_len int, fp bigint"
+
+
+def _keyed_prints(shingle: int):
+    def run(batches):
+        for b in slices(batches):
+            fp = np.array([fingerprint(t, shingle) for t in b.column(4).to_pylist()], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(fp)], names=["k_id", "k_h1", "k_h2", "k_len", "fp"])
+    return run
 
 
 @query("op1_simhash_near_dedup")

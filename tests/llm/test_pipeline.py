@@ -75,3 +75,20 @@ def test_odd_rows_go_through_every_stage(spark):
         for name, apply in C.STAGES:
             d = C.stage(apply(spark, d, SF_SMOKE), "odd")
     assert len(C.STAGES) == 5 and d.count() == 0
+
+
+def test_long_blanks_and_repeated_ids_in_the_pipeline(spark, tmp_path):
+    """A run of blanks ends no stage; texts that share an id, or have none, stay."""
+    import shutil
+    for name in ("benchmark", "labels", "documents"):
+        shutil.copy(f"{SF_SMOKE}/{name}.parquet", tmp_path / f"{name}.parquet")
+    good = spark.read.parquet(f"{SF_SMOKE}/documents.parquet")
+    kept = C.quality_filter(spark, good, SF_SMOKE).orderBy("doc_id").limit(3).collect()
+    a, b, c = (r["text"] for r in kept)
+    rows = [(1, a), (1, b), (2, a), (None, c), (None, c)]
+    d = C.near_dedup(spark, docs(spark, rows), SF_SMOKE)
+    assert sorted((str(r["doc_id"]), r["text"]) for r in d.collect()) == sorted([("1", a), ("1", b), ("None", c)])
+    long = docs(spark, [(7, " " * 1_500_000 + "end."), (8, "\n" * 1_500_000)])
+    for name, apply in C.STAGES[1:]:
+        long = C.stage(apply(spark, long, SF_SMOKE), "long")
+    assert {r["doc_id"] for r in long.collect()} <= {7, 8} and long.count() > 0

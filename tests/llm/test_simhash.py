@@ -126,3 +126,23 @@ def test_forest_and_components(spark):
 def test_bits_out_of_range(spark):
     with pytest.raises(ValueError):
         simhash.near_links(spark.createDataFrame([], "fp bigint"), bits=5)
+
+
+def test_keep_one_keeps_every_text_once(spark):
+    """Ids 1, 1, 2, 3, 3 and two rows without one; five texts."""
+    a, b, c, d, e = (prose(300, s) for s in (31, 32, 33, 34, 35))
+    rows = [(1, a), (1, b), (2, a), (3, c), (3, d), (None, e), (None, e)]
+    for df in (docs(spark, rows), clash(docs(spark, rows)).repartition(5)):
+        out = simhash.keep_one(df)
+        assert out.columns == df.columns
+        assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=repr) == sorted(
+            [(1, a), (1, b), (3, c), (3, d), (None, e)], key=repr)
+
+
+def test_keep_one_near_copies_and_ids(spark):
+    a = prose(400, 41)
+    near = a + " end"
+    assert (simhash.fingerprint(a) ^ simhash.fingerprint(near)).bit_count() <= 4
+    got = simhash.keep_one(docs(spark, [(None, a), (9, near), (4, prose(300, 42)), (9, near), (4, "")])).collect()
+    # An id comes before none; the texts under id 4 differ.
+    assert sorted((r["doc_id"], len(r["text"])) for r in got) == sorted([(9, len(near)), (4, len(prose(300, 42))), (4, 0)])
