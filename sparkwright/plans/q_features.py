@@ -9,7 +9,7 @@ from sparkwright.operators import attribute_ratio as AR
 from sparkwright.operators import features as H
 from sparkwright.operators import splits as S
 from sparkwright.operators.votes import class_weights
-from sparkwright.plans.q_profile import round_doubles
+from sparkwright.plans.q_profile import feat_once, round_doubles
 from sparkwright.plans.q_relational import PRIORITY_GROUP
 from sparkwright.plans.registry import query, with_ctes
 from sparkwright.sources.tables import FEAT_BINARY, FEAT_NOMINAL, FEAT_NUMERIC, FEAT_SQL, feat, read_table
@@ -203,7 +203,7 @@ h AS (SELECT id, label2, {_hash_sql()} AS h, count(*) OVER (PARTITION BY label2)
 SELECT id, label2, CAST(row_number() OVER (PARTITION BY label2 ORDER BY h, id) <= round(n * 0.33) AS INTEGER) AS is_test
 FROM h"""))
 def split_stratified(spark, sf):
-    return S.stratified_split(feat(spark, sf).select("id", "label2"), "id", "label2", 0.33, _SEED)
+    return S.stratified_split(feat_once(spark, sf, ["id", "label2"]), "id", "label2", 0.33, _SEED)
 
 
 _SAMPLE_FRACTIONS = {"A": 0.5, "B": 0.25, "C": 0.1, "normal": 0.05}

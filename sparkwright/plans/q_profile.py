@@ -98,7 +98,7 @@ SELECT label2, count(total) AS count, round(avg(total), 6) AS mean, round(stddev
        round(quantile_cont(total, 0.75), 6) AS q75
 FROM feat GROUP BY label2"""))
 def agg_describe_by_class(spark, sf):
-    return round_doubles(P.describe_by_class(feat(spark, sf), "total", "label2"))
+    return round_doubles(P.describe_by_class(feat_once(spark, sf, ["total", "label2"]), "total", "label2"))
 
 
 # The customer table's columns and their Spark type names.
