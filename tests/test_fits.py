@@ -56,3 +56,50 @@ def test_scores_do_not_depend_on_the_order_of_fits(spark, monkeypatch):
     side = sorted(map(tuple, M.category_detectors(*args, **sizes).select("id", "p_A", "p_B").collect()))
     monkeypatch.setattr(M, "FITS_AT_ONCE", 1)
     assert side == sorted(map(tuple, M.category_detectors(*args, **sizes).select("id", "p_A", "p_B").collect()))
+
+
+def test_a_pilot_makes_room_for_forests_that_need_less_than_their_bound(spark, monkeypatch):
+    """Forests whose bound exceeds the budget ran one at a time, however few
+    nodes their trees had; results stay the same."""
+    import threading
+    from contextlib import contextmanager
+    rows = spark.range(600).select((F.col("id") % 3).cast("int").alias("c"), (F.col("id") % 17).cast("double").alias("a"),
+                                   (F.col("id") % 17 > 9).cast("double").alias("y"))
+    rows = M.assemble(rows, ["a"]).cache()
+    own = [{"route": "model", "cluster": c, "count": 200} for c in range(3)]
+    sizes = {"num_trees": 16, "max_depth": 20, "seed": 1}
+    budget = 1.9 * M.forest_bytes(200, **sizes)
+    peak, here, lock = [], [], threading.Lock()
+
+    class Seen(M.Admission):
+        @contextmanager
+        def room(self, cost):
+            with super().room(cost):
+                with lock:
+                    here.append(cost)
+                    peak.append(list(here))
+                yield
+                with lock:
+                    here.remove(cost)
+    monkeypatch.setattr(M, "Admission", lambda _: Seen(budget))
+    monkeypatch.setattr(M, "_side_by_side", lambda s, f, j, b=None, pilot=None, _old=M._side_by_side:
+                        _old(s, f, j, b or budget, pilot))
+    found = M.fit_cluster_forests(rows, own, "c", "features", "y", **sizes)
+    # Three trees of two or three nodes each need far less than 400 nodes a tree.
+    assert max(map(len, peak)) == 3 and all(sum(p) <= budget for p in peak)
+    alone = M.random_forest(features="features", label="y", **sizes).fit(rows.where("c = 1"))
+    assert found[1].toDebugString.split("\n", 1)[1] == alone.toDebugString.split("\n", 1)[1]
+
+
+def test_a_fit_of_many_rows_has_more_partitions(spark, monkeypatch):
+    """A forest's rows stayed in the input's partitions, however large."""
+    rows = M.assemble(spark.range(0, 900, 1, 2).selectExpr("cast(id as double) as a", "cast(id % 2 as double) as y"), ["a"])
+    assert M.spread(rows, 900, num_trees=20) is rows
+    monkeypatch.setattr(M, "FIT_BYTES", 900 * (12 * 20 + M.ROW_BYTES) // 5)
+    out = M.spread(rows, 900, num_trees=20)
+    assert out.rdd.getNumPartitions() == 5 and out.count() == 900
+    own = [{"route": "model", "cluster": 1, "count": 900}]
+    seen = []
+    monkeypatch.setattr(M, "spread", lambda r, n, _f=M.spread, **a: seen.append(_f(r, n, **a)) or seen[-1])
+    M.fit_cluster_forests(rows.selectExpr("*", "1 as c"), own, "c", "features", "y", num_trees=20, max_depth=2)
+    assert seen[0].rdd.getNumPartitions() == 5
