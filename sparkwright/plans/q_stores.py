@@ -150,15 +150,16 @@ def stream_restart_sink(spark, sf):
     """The text job stopped by a failure after its second batch was written but
     not committed, and started again: that batch is replayed onto itself."""
     src, out, chk = (shared_path(spark, f"restart-{x}") for x in ("src", "out", "chk"))
-    framed_documents(spark, sf).repartition(4).write.text(src)
+    # Four batches of as many files as the input needs.
+    times = J.stage_lines(framed_documents(spark, sf), src, 4)
 
     def fail(batch_id):
         if batch_id == 1:
             raise RuntimeError("stopped before the commit")
 
     def start(after=None):
-        return J.run_idempotent(J.file_line_source(spark, src, max_files_per_trigger=1), out, chk,
-                                query_name="restarted", trigger={"availableNow": True}, after=after)
+        return J.run_idempotent(J.file_line_source(spark, src, max_files_per_trigger=times), out, chk,
+                                query_name="restarted", trigger={"availableNow": True}, files=None, after=after)
 
     first = start(fail)
     try:
@@ -313,7 +314,7 @@ def txt_lexicon_table(spark, sf):
 def stream_lexicon_table(spark, sf):
     """The same on a stream: each micro-batch meets the table."""
     src, out, chk = (shared_path(spark, f"lexicon-{x}") for x in ("src", "out", "chk"))
-    framed_documents(spark, sf).repartition(3).write.text(src)
-    J.run_idempotent(J.file_line_source(spark, src, max_files_per_trigger=2), out, chk, query_name="lexicon",
-                     trigger={"availableNow": True}, lexicon=lexicon_table(spark, sf)).awaitTermination()
+    times = J.stage_lines(framed_documents(spark, sf), src, 3)
+    J.run_idempotent(J.file_line_source(spark, src, max_files_per_trigger=2 * times), out, chk, query_name="lexicon",
+                     trigger={"availableNow": True}, files=None, lexicon=lexicon_table(spark, sf)).awaitTermination()
     return spark.read.parquet(out).drop("batch_id")

@@ -11,6 +11,7 @@ metadata log plus the checkpoint (read results through Spark).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,9 @@ from sparkwright.functions.sentiment import LEXICON, classify_text, score_with_t
 from sparkwright.functions.text import clean_stream_text
 from sparkwright.session import materialize
 
+#: Bytes of a staged file, about; a task reads one.
+FILE_BYTES = 32_000_000
+
 LINE_SCHEMA = StructType([StructField("value", StringType(), True)])
 
 
@@ -37,6 +41,16 @@ def file_line_source(spark: SparkSession, path: str, glob: str | None = None,
     return r.load(path)
 
 
+def stage_lines(lines: DataFrame, path: str, parts: int) -> int:
+    """Write ``lines`` as text files of about ``FILE_BYTES``; their number is a
+    multiple of ``parts``, and that multiple is returned.  So a stream can read
+    any number of rows in ``parts`` batches of which no task reads much."""
+    size = lines.agg(F.sum(F.octet_length("value"))).first()[0] or 0
+    times = max(1, math.ceil(size / (parts * FILE_BYTES)))
+    lines.repartition(parts * times).write.text(path)
+    return times
+
+
 def clean_words(lines: DataFrame, strict: bool = True) -> DataFrame:
     """T-1 on a stream or a batch."""
     return clean_stream_text(lines, "value", strict=strict)

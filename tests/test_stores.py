@@ -19,7 +19,7 @@ from sparkwright.operators.stages import FrequencyIndexer, OneHotByFrequency, Ra
 from sparkwright.operators.stored_collection import Collection
 from sparkwright.session import shared_path
 from sparkwright.streaming import text_job as J
-from tests.conftest import rows
+from tests.conftest import SF_SMOKE, rows
 
 # ---------------------------------------------------------------- scores
 
@@ -239,3 +239,18 @@ def test_stopped_stream_goes_on_without_loss_or_doubles(spark, tmp_path):
     # A third start finds nothing to do.
     start(seen.append).awaitTermination()
     assert len(seen) == 6 and spark.read.parquet(out).count() == 100
+
+
+@pytest.mark.parametrize("name", ["stream_restart_sink", "stream_lexicon_table"])
+def test_a_batch_is_read_and_written_by_several_tasks(spark, name, monkeypatch):
+    """A larger input has more files in as many batches; each batch was one
+    file, and one task wrote it."""
+    from sparkwright.plans import QUERIES
+    few = QUERIES[name](spark, SF_SMOKE)
+    monkeypatch.setattr(J, "FILE_BYTES", 20_000)
+    monkeypatch.setattr(J, "scored_by_table", lambda b, t, _f=J.scored_by_table: _f(b, t).repartition(3))
+    many = QUERIES[name](spark, SF_SMOKE)
+    assert sorted(map(tuple, many.collect())) == sorted(map(tuple, few.collect()))
+    files = [f.split("batch_id=")[1].split("/")[0] for f in many.inputFiles()]
+    batches = 4 if name == "stream_restart_sink" else 2
+    assert len(set(files)) == batches and all(files.count(b) > 1 for b in set(files))
