@@ -73,22 +73,39 @@ def keyword_matches(df: DataFrame, key: str, text: str, keywords: list[str]) ->
     """S9 for many keywords: (key, keyword) for every keyword that a text holds
     (in lower case, as ``track_filter``), once each.
 
-    A keyword's key is its first ``GRAM`` characters (fewer if the shortest
-    keyword has fewer).  A text is cut into its different runs of that length in
-    one pass, the runs probe a hash table of the keys, and only the keywords
-    that share a run with the text are looked for; so the cost of a text goes
-    with its length and its candidates, not with the number of keywords.  The
-    keywords are a list given by the caller, so their table is broadcast."""
+    A text is cut at characters that no keyword has, and each of its different
+    pieces, if long enough for a keyword, is looked at once.  A keyword's key is
+    its first ``GRAM`` characters (fewer if the shortest keyword has fewer).  A
+    piece is cut into its different runs of that length in one pass, the runs
+    probe a hash table of the keys, and only the keywords that share a run with
+    the piece are looked for; so the cost of a text goes with its length and
+    its candidates, not with the number of keywords, and a run carries its
+    piece, not its text.  The keywords are a list given by the caller, so their
+    table is broadcast."""
     words = sorted({w.lower() for w in keywords if w})
     if not words:
         return df.select(key, F.lit("").alias("keyword")).where("false")
-    size = min(GRAM, *map(len, words)) if len(words) > 1 else min(GRAM, len(words[0]))
+    shortest = min(map(len, words))
+    size = min(GRAM, shortest)
     table = df.sparkSession.createDataFrame([(w[:size], w) for w in words], "_gram string, keyword string")
-    runs = F.array_distinct(F.regexp_extract_all(F.col("_t"), F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1)))
-    rows = df.select(key, F.lower(F.col(text)).alias("_t")).select(key, "_t", F.explode(runs).alias("_gram"))
+    pieces = F.array_distinct(F.split(F.lower(F.col(text)), f"[^{_char_class(''.join(words))}]+"))
+    rows = (df.select(key, F.explode(pieces).alias("_t")).where(F.length("_t") >= shortest)
+            .select(key, "_t", F.explode(F.array_distinct(
+                F.regexp_extract_all(F.col("_t"), F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1)))).alias("_gram")))
     return (rows.join(F.broadcast(table), "_gram").where(F.contains("_t", "keyword")).select(key, "keyword").distinct())
 
 
+def _char_class(chars: str) -> str:
+    """The inside of a regex class of these characters, as ranges."""
+    points, ranges = sorted(set(map(ord, chars))), []
+    for p in points:
+        if ranges and p == ranges[-1][1] + 1:
+            ranges[-1][1] = p
+        else:
+            ranges.append([p, p])
+    return "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges)
+
+
 def track_many(df: DataFrame, key: str, text: str, lang: str, keywords: list[str], langs: list[str]) -> DataFrame:
     """S9 for many keywords: the rows of ``track_filter``, by a unique key."""
     rows = df.where(F.col(lang).isin(list(langs)))

@@ -116,3 +116,18 @@ def test_too_many_values_for_columns_are_an_error(spark):
         P.crosstab(df, "b", "a")
     with pytest.raises(ValueError, match="OneHotByFrequency"):
         H.fit_categories(df, ["a"])
+
+
+def test_a_run_carries_its_piece_of_the_text(spark):
+    """Keywords of any characters equal brute force; different pieces, cut at
+    characters that no keyword has, are looked at once (each run of a text
+    carried the whole text)."""
+    from sparkwright.functions import text as TX
+    words = ["a-b", "]x^", "\\d+", "x y\nz", "😀é", "-", "A&&B"]
+    texts = ["a-b a-b,]X^|\\D+", "x y\nz😀É", "A&&b[^a-z]", "dd++ xyz", "", None, "q" * 500 + "]x^" + "w" * 500]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    found = TX.keyword_matches(df, "id", "text", words)
+    low = [(t or "").lower() for t in texts]
+    assert {tuple(r) for r in found.collect()} == {(i, w.lower()) for i, t in enumerate(low) for w in words if w.lower() in t}
+    plan = TX.keyword_matches(df, "id", "text", ["cats", "dog"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_distinct(split(lower(text" in plan
