@@ -9,7 +9,7 @@ probability of the n-gram and the back-off weight of the context in every
 language, so one binary search serves all languages.
 
 A text's language has the lowest cross-entropy per character.  The rejection
-threshold of a language is calibrated on training texts: mean plus
+threshold of a language is calibrated on all its training texts: mean plus
 ``REJECT_SD`` deviations of their cross-entropy; a text above it is marked and
 its score lowered.
 
@@ -35,8 +35,6 @@ HELD_CELLS = 4_000_000
 SLICE_BITS = 9
 #: Distinct words that a task counts or scores before it starts anew.
 WORDS_HELD = 250_000
-#: Texts that calibrate the rejection, at most.
-CALIBRATE_ROWS = 4_000
 REJECT_SD = 4.0
 #: Characters after which more text makes a score no surer.
 SURE_AT = 400
@@ -263,11 +261,12 @@ def smoothed(grams: DataFrame, order: int = ORDER) -> DataFrame:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        order: int = ORDER, calibrate_rows: int = CALIBRATE_ROWS, held_cells: int = HELD_CELLS) -> Model:
+        order: int = ORDER, held_cells: int = HELD_CELLS) -> Model:
     """Learn from all rows of ``docs`` with a text and a language; others are
-    ignored.  Without any the model knows no language and predicts ``und``."""
+    ignored (ids are not used).  Without any the model knows no language and
+    predicts ``und``."""
     rows = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
-        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("id"))
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     grams = rows.select("lang", "text").mapInArrow(_count(order), GRAM)
     found = stage(smoothed(grams, order), "model")
     empty = {r["lang"]: r["gamma"] for r in found.where("k = 0").collect()}  # a row per language
@@ -282,7 +281,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         model.hold(found.toArrow())
     else:
         model.table = found
-    _calibrate(model, rows, calibrate_rows)
+    _calibrate(model, rows)
     return model
 
 
@@ -321,20 +320,15 @@ def _apply(rows: DataFrame, model: Model, score, schema: str) -> DataFrame:
     return numbered.groupBy("slice").cogroup(needed.groupBy("slice")).applyInArrow(join, schema)
 
 
-def _calibrate(model: Model, rows: DataFrame, limit: int) -> None:
-    """Set each language's limit from the training texts with the smallest id
-    hashes: the hashes alone are sorted, and the last one cuts the table."""
-    h = F.xxhash64("id")
-    cut = rows.select(h.alias("h")).orderBy("h").limit(limit).agg(F.max("h")).first()[0]
-    some = rows.where(h <= cut).select("lang", "text")
-
+def _calibrate(model: Model, rows: DataFrame) -> None:
+    """Set each language's limit from all its training texts."""
     def run(m, b):
         lang = np.array(b.column("lang").to_pylist(), object)
         h, n = m.entropies(b.column("text").to_pylist())
         ok = np.flatnonzero(n > 0)
         own = np.array([m.langs.index(x) for x in lang[ok]], np.int64)
         return pa.RecordBatch.from_arrays([pa.array(lang[ok], pa.string()), pa.array(h[ok, own])], names=["lang", "h"])
-    stats = _apply(some, model, run, "lang string, h double").groupBy("lang").agg(
+    stats = _apply(rows.select("lang", "text"), model, run, "lang string, h double").groupBy("lang").agg(
         F.avg("h").alias("mean"), F.stddev_pop("h").alias("sd")).collect()
     for r in stats:
         model.limit[model.langs.index(r["lang"])] = r["mean"] + REJECT_SD * max(r["sd"], 0.05)

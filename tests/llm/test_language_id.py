@@ -133,3 +133,11 @@ def test_held_out_accuracy(spark):
     rows = [r for r in L.op10(spark, SF_ORACLE).collect()]
     held = [r["lang_pred"] == lang[r["doc_id"]] for r in rows if r["held_out"]]
     assert len(rows) == len(lang) and len(held) > 250 and sum(held) >= 0.97 * len(held)
+
+
+def test_all_training_texts_calibrate(spark):
+    """The limit is that of all texts (4,000 were taken, by their ids' hashes)."""
+    texts = ["the cat " + "the dog ran " * (i % 7) + ("zq" * (i % 50) if i % 11 == 0 else "") for i in range(4600)]
+    model = L.fit(spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], DOC))
+    h = model.entropies(texts)[0][:, 0]
+    assert model.limit[0] == pytest.approx(h.mean() + L.REJECT_SD * max(h.std(), 0.05), rel=1e-9)
