@@ -10,13 +10,15 @@ from __future__ import annotations
 
 import math
 import threading
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
+import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.clustering import GaussianMixture, KMeans
+from pyspark.ml.clustering import GaussianMixture, GaussianMixtureModel, KMeans
 from pyspark.ml.feature import PCA, VectorAssembler, VectorIndexer, VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -90,12 +92,108 @@ def kmeans(train: DataFrame, df: DataFrame, vec: str, k: int = 8, seed: int = 42
 
 def gmm(train: DataFrame, df: DataFrame, vec: str, k: int = 8, seed: int = 42, max_iter: int = 150,
         out: str = "cluster") -> tuple[object, DataFrame]:
-    """M2: Gaussian mixture with soft probabilities (``probability`` vector)."""
-    model = GaussianMixture(k=k, seed=seed, maxIter=max_iter, featuresCol=vec, predictionCol=out,
-                            probabilityCol="probability").fit(train)
+    """M2: Gaussian mixture with soft probabilities (``probability`` vector).
+    Spark's estimator draws the start; its iterations are sums over
+    cached blocks of rows (``_expectation``), up to ``max_iter`` or until
+    the likelihood changes by no more than the estimator's tolerance."""
+    est = GaussianMixture(k=k, seed=seed, maxIter=0, featuresCol=vec, predictionCol=out, probabilityCol="probability")
+    start = est.fit(train)
+    weights = np.array(start.weights)
+    found = start.gaussiansDF.collect()
+    means, covs = np.array([g["mean"].toArray() for g in found]), np.array([g["cov"].toArray() for g in found])
+    x, d = vector_to_array(F.col(vec)), means.shape[1]
+    blocks = train.select(*[x[i].alias(f"x{i}") for i in range(d)]).mapInArrow(_blocks(), "block binary").persist()
+    try:
+        before, now, step = 0.0, -np.finfo(float).max, 0
+        while step < max_iter and abs(now - before) > est.getTol():
+            task = _expectation(weights, means, *_density_constants(covs))
+            found = np.sum([r["sums"] for r in blocks.mapInArrow(task, "sums array<double>").collect()], axis=0)
+            sums, before, now, step = found[1:].reshape(k, -1), now, found[0], step + 1
+            own = sums[:, 0]
+            means = sums[:, 1:1 + d] / own[:, None]
+            covs = sums[:, 1 + d:].reshape(k, d, d) / own[:, None, None] - means[:, :, None] * means[:, None, :]
+            weights = own / own.sum()
+    finally:
+        blocks.unpersist()
+    model = _mixture_model(train.sparkSession, weights, means, covs)
+    model.setFeaturesCol(vec).setPredictionCol(out).setProbabilityCol("probability")
     return model, model.transform(df)
 
 
+def _density_constants(covs):
+    """(roots, heights) of the components: a log density is height - |root (x - mean)|^2 / 2,
+    with the pseudo-inverse where a covariance is singular."""
+    roots, heights = [], []
+    for cov in covs:
+        values, vectors = np.linalg.eigh(cov)
+        real = values > np.finfo(float).eps * values.max() * len(values)
+        if not real.any():
+            raise ValueError("Covariance matrix has no non-zero singular values")
+        scale = np.where(real, 1.0 / np.sqrt(np.where(real, values, 1.0)), 0.0)
+        roots.append(scale[:, None] * vectors.T)
+        heights.append(-0.5 * (len(values) * np.log(2 * np.pi) + np.log(values[real]).sum()))
+    return np.array(roots), np.array(heights)
+
+
+def _blocks():
+    """A task that packs an Arrow batch of d columns into one binary value, d x rows doubles."""
+    def task(batches):
+        import numpy as np
+        import pyarrow as pa
+        for batch in batches:
+            x = np.array([c.to_numpy(zero_copy_only=False) for c in batch.columns], dtype=float)
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary())], ["block"])
+    return task
+
+
+def _expectation(weights, means, roots, heights):
+    """A task's sums over its blocks: log likelihood, and per component the
+    shares, shares times x, and shares times x x'."""
+    def task(batches):
+        import numpy as np
+        import pyarrow as pa
+        k, d = means.shape
+        flat = roots.reshape(k * d, d)
+        centre = np.einsum("kij,kj->ki", roots, means).reshape(k * d, 1)
+        like, sums = 0.0, np.zeros((k, 1 + d + d * d))
+        for batch in batches:
+            for block in batch.column(0):
+                x = np.frombuffer(block.as_buffer()).reshape(d, -1)
+                y = flat @ x
+                y -= centre
+                y *= y
+                share = y.reshape(k, d, -1).sum(axis=1)
+                share *= -0.5
+                share += heights[:, None]
+                np.exp(share, out=share)
+                share *= weights[:, None]
+                share += np.finfo(float).eps
+                total = share.sum(axis=0)
+                like += np.log(total).sum()
+                share /= total
+                terms = np.concatenate([np.ones((1, x.shape[1])), x, *(x[i] * x for i in range(d))])
+                sums += share @ terms.T
+        yield pa.RecordBatch.from_arrays([pa.array([[like, *sums.ravel()]], pa.list_(pa.float64()))], ["sums"])
+    return task
+
+
+def _mixture_model(spark: SparkSession, weights, means, covs) -> GaussianMixtureModel:
+    """Spark's model of the given parameters."""
+    jvm, array = spark._jvm, spark.sparkContext._gateway.new_array
+    ml = jvm.org.apache.spark.ml
+
+    def doubles(values):
+        out = array(jvm.double, len(values))
+        for i, v in enumerate(values):
+            out[i] = float(v)
+        return out
+    gaussian, d = ml.stat.distribution.MultivariateGaussian, means.shape[1]
+    parts = array(gaussian, len(weights))
+    for i, (m, c) in enumerate(zip(means, covs)):
+        parts[i] = gaussian(ml.linalg.DenseVector(doubles(m)), ml.linalg.DenseMatrix(d, d, doubles(c.ravel())))
+    return GaussianMixtureModel(ml.clustering.GaussianMixtureModel(f"GaussianMixture_{uuid.uuid4().hex[:12]}", doubles(weights), parts))
+
+
 def gmm_params(model) -> DataFrame:
     """M3: (component, dim, mean, variance, weight) per component and
     dimension; the parameters are k x d numbers of the fitted model."""

@@ -103,3 +103,29 @@ def test_mixture_covariances_are_symmetric(spark):
     diagonal = {(r.component, r.dim): r.variance for r in M.gmm_params(model).collect()}
     assert all(v == pytest.approx(cov[k, j, i]) for (k, i, j), v in cov.items())
     assert all(cov[k, d, d] == v for (k, d), v in diagonal.items())
+
+
+def test_mixture_sums_blocks_and_agrees_with_the_estimator(spark, monkeypatch):
+    """The estimator went through all rows in every iteration, one object a
+    row; it draws the start only, and the result is the same."""
+    from pyspark.ml.clustering import GaussianMixture
+    rows = spark.range(0, 3000, 1, 3).select("id", F.randn(1).alias("a"), (F.randn(2) + F.col("id") % 3 * 4).alias("b"))
+    v = M.assemble(rows, ["a", "b"], "v")
+    want = GaussianMixture(k=3, seed=5, maxIter=25, featuresCol="v").fit(v)
+    seen, fit = [], GaussianMixture.fit
+    monkeypatch.setattr(GaussianMixture, "fit", lambda self, *a: seen.append(self.getMaxIter()) or fit(self, *a))
+    got, scored = M.gmm(v, v, "v", 3, 5, 25)
+    assert seen == [0] and list(got.weights) == pytest.approx(list(want.weights), abs=1e-9)
+    for x, y in zip(got.gaussiansDF.collect(), want.gaussiansDF.collect()):
+        assert list(x["mean"]) == pytest.approx(list(y["mean"]), abs=1e-8)
+        assert x["cov"].toArray().ravel() == pytest.approx(y["cov"].toArray().ravel(), abs=1e-8)
+    same = scored.select("id", "cluster").join(want.transform(v).select("id", F.col("prediction").alias("p")), "id")
+    assert scored.columns == [*v.columns, "probability", "cluster"] and same.where("cluster = p").count() == 3000
+
+
+def test_mixture_of_rows_on_a_line(spark):
+    """A singular covariance has a pseudo-inverse, in Spark's model too."""
+    from pyspark.ml.clustering import GaussianMixture
+    v = M.assemble(spark.range(200).selectExpr("id", "double(id % 17) as a", "2.0 * (id % 17) as b"), ["a", "b"], "v")
+    want, got = GaussianMixture(k=2, seed=1, maxIter=5, featuresCol="v").fit(v), M.gmm(v, v, "v", 2, 1, 5)[0]
+    assert list(got.weights) == pytest.approx(list(want.weights), abs=1e-6)
