@@ -6,6 +6,8 @@ by their next digit (a partial aggregate, so a hot group is counted map-side)
 and descends into the digit that holds the wanted position.  64 bits take four
 passes over narrow rows.  Nothing is sorted, sampled or windowed; a group is
 never gathered, only its counters (at most 2^16 a pass and wanted place) are.
+``quantiles`` gathers the keys of groups of at most ``GATHER`` rows, in one
+exchange; only larger groups are counted by digits.
 """
 
 from __future__ import annotations
@@ -17,6 +19,8 @@ from sparkwright.functions.exprs import join_groups
 from sparkwright.session import materialize
 
 DIGIT = 16
+#: Rows of a group whose keys may be gathered in one list.
+GATHER = 4096
 _FRACTION = 52
 _TOP = 2047 << _FRACTION
 
@@ -100,6 +104,39 @@ def place_among(rows: DataFrame, part_cols: list[str], column: str, rest: str =
     return lists.select(*part_cols, _descend(kind)["lead"].alias(column))
 
 
+def _places(n: Column, prob: Column) -> tuple[Column, Column, Column]:
+    """Positions (from 1) of the two rows around a quantile of ``n`` rows, and
+    the part of the way between them."""
+    height = (n - 1) * prob
+    return F.floor(height) + 1, F.ceil(height) + 1, height - F.floor(height)
+
+
+def _neighbours_gathered(rows: DataFrame, probs: list[float], groups: list[str]) -> DataFrame:
+    """(*groups, prob, _a, _b, _part): the keys around every quantile, from the
+    sorted list of a group's keys."""
+    keys = F.col("_keys")
+    cells = []
+    for p in probs:
+        low, high, part = _places(F.size(keys).cast("bigint"), F.lit(float(p)))
+        cells.append(F.struct(F.lit(float(p)).alias("prob"), F.element_at(keys, low.cast("int")).alias("_a"),
+                              F.element_at(keys, high.cast("int")).alias("_b"), part.alias("_part")))
+    lists = rows.groupBy(*groups).agg(F.array_sort(F.collect_list("key")).alias("_keys"))
+    return lists.select(*groups, F.explode(F.array(*cells)).alias("_c")).select(*groups, "_c.*")
+
+
+def _neighbours_counted(rows: DataFrame, sizes: DataFrame, probs: list[float], groups: list[str]) -> DataFrame:
+    """The same by ``select_kth``; ``sizes`` has the rows of every group."""
+    low, high, part = _places(F.col("_n"), F.col("prob"))
+    places = materialize(sizes.select(*groups, "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"))
+                         .select(*groups, "prob", part.alias("_part"), low.alias("_low"), high.alias("_high")))
+    found = select_kth(rows, places.select(*groups, F.explode(F.array("_low", "_high")).alias("k")), groups)
+    out = places
+    for place, v in (("_low", "_a"), ("_high", "_b")):
+        out = join_groups(out, found.select(*groups, F.col("k").alias(place), F.col("key").alias(v)), [*groups, place],
+                          "inner")
+    return out.select(*groups, "prob", "_a", "_b", "_part")
+
+
 def quantiles(df: DataFrame, value: str, probs: list[float], part_cols=()) -> DataFrame:
     """(*part_cols, prob, quantile): exact quantiles with linear interpolation
     (numpy/pandas default, DuckDB quantile_cont) of the non-null values of each
@@ -109,19 +146,20 @@ def quantiles(df: DataFrame, value: str, probs: list[float], part_cols=()) -> Da
     rows = df.where(F.col(value).isNotNull())
     rows = rows.select(*part_cols, *([] if part_cols else [F.lit(0).alias("_g")]), order_bits(F.col(value)).alias("key"))
     rows = materialize(rows)
-    height = (F.col("_n") - 1) * F.col("prob")
-    places = (rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
-              .select(*groups, "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"))
-              .select(*groups, "prob", (height - F.floor(height)).alias("_part"),
-                      (F.floor(height) + 1).alias("_low"), (F.ceil(height) + 1).alias("_high")))
-    places = materialize(places)
-    wanted = places.select(*groups, F.explode(F.array("_low", "_high")).alias("k"))
-    found = select_kth(rows, wanted, groups)
-    found = found.select(*groups, "k", from_order_bits(F.col("key")).alias("_v"))
-    out = places
-    for place, v in (("_low", "_a"), ("_high", "_b")):
-        out = join_groups(out, found.select(*groups, F.col("k").alias(place), F.col("_v").alias(v)), [*groups, place],
-                          "inner")
+    sizes = materialize(rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")))
+    large = sizes.where(F.col("_n") > GATHER)
+    n_small, n_large = sizes.agg(F.count_if(F.col("_n") <= GATHER), F.count_if(F.col("_n") > GATHER)).first()
+    if n_small and n_large:
+        # A large group has over GATHER rows, which bounds the list of them.
+        names = F.broadcast(large.select(*groups))
+        parts = [_neighbours_gathered(join_groups(rows, names, groups, "left_anti"), probs, groups),
+                 _neighbours_counted(join_groups(rows, names, groups, "left_semi"), large, probs, groups)]
+        out = parts[0].unionByName(parts[1])
+    elif n_large:
+        out = _neighbours_counted(rows, large, probs, groups)
+    else:
+        out = _neighbours_gathered(rows, probs, groups)
+    out = out.withColumns({c: from_order_bits(F.col(c)) for c in ("_a", "_b")})
     exact = F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_part")
     # Equal neighbours need no arithmetic (infinities).
     return out.select(*part_cols, "prob", F.when(F.col("_a") == F.col("_b"), F.col("_a")).otherwise(exact).alias("quantile"))

@@ -67,6 +67,32 @@ def test_quantiles_hot_class_many_classes_and_ties(spark):
         assert q == pytest.approx(float(np.quantile(by[g], p)), abs=1e-12)
 
 
+def test_quantiles_of_small_classes_need_no_counting_passes(spark, monkeypatch):
+    """Every row of a small class went through four exchanges."""
+    def never(*_, **__):
+        raise AssertionError("counted by digits")
+    monkeypatch.setattr(selection, "select_kth", never)
+    data = [(i % 40 or None, float(i * 7 % 101)) for i in range(600)] + [(1, math.nan), (2, math.inf), (2, None), (99, None)]
+    df = spark.createDataFrame(data, "g int, v double")
+    got = {(r["g"], r["prob"]): r["quantile"] for r in selection.quantiles(df, "v", [0.0, 0.3, 0.5], ["g"]).collect()}
+    want = {(g, p): float(np.quantile(sorted([v for x, v in data if x == g and v is not None], key=lambda v: (v != v, v)), p))
+            for g in {g for g, _ in data} - {99, 1} for p in (0.0, 0.3, 0.5)}
+    assert {k: v for k, v in got.items() if k[0] != 1} == pytest.approx(want) and len(got) == len(want) + 3
+
+
+@pytest.mark.parametrize("most", [0, 20, 10**6])
+def test_quantiles_gathered_and_counted_agree(spark, monkeypatch, most):
+    """Classes on both sides of the limit, and null classes, by either way."""
+    rng = random.Random(2)
+    data = [(g, rng.choice([0.0, -1.5, rng.gauss(0, 1e6)])) for g, n in (("a", 300), ("b", 20), ("c", 21), (None, 1), ("d", 2))
+            for _ in range(n)]
+    df = spark.createDataFrame(data, "g string, v double")
+    monkeypatch.setattr(selection, "GATHER", most)
+    got = {(r["g"], r["prob"]): r["quantile"] for r in selection.quantiles(df, "v", [0.0, 0.4, 0.99], ["g"]).collect()}
+    assert got == pytest.approx({(g, p): float(np.quantile([v for x, v in data if x == g], p))
+                                 for g in ("a", "b", "c", None, "d") for p in (0.0, 0.4, 0.99)})
+
+
 def test_quantiles_plan_no_sort_no_window(spark):
     df = spark.range(1000).selectExpr("id % 7 as g", "cast(id as double) as v")
     rows = df.select("g", selection.order_bits(F.col("v")).alias("key"))
