@@ -20,8 +20,11 @@ slice is scored with the rows it needs.  Both ways give the same results."""
 
 from __future__ import annotations
 
+import contextlib
+
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -231,28 +234,46 @@ def _slices(texts: list[str]):
             lo, size = i + 1, 0
 
 
-def smoothed(grams: DataFrame, order: int = ORDER) -> DataFrame:
+@contextlib.contextmanager
+def _kept():
+    """``keep(df)`` holds ``df`` on the executors' disks until the end.  Counts
+    have few bytes but a partition per shuffle partition, and a file system
+    without Hadoop's native library starts a process for every file it makes."""
+    held: list[DataFrame] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        held.append(df.persist(StorageLevel.DISK_ONLY))
+        return held[-1]
+    try:
+        yield keep
+    finally:
+        for df in held:
+            df.unpersist()
+
+
+def smoothed(grams: DataFrame, order: int = ORDER, keep=lambda df: df) -> DataFrame:
     """(lang, k, gram, alpha, gamma) from n-gram counts: Kneser-Ney with one
     discount per language and order.  gamma, the weight of the shorter context,
-    stands on the n-gram that is the context; order 0 holds the empty one."""
-    totals = stage(grams.groupBy("lang", "k", "gram").agg(
+    stands on the n-gram that is the context; order 0 holds the empty one.
+    ``keep`` holds a table that is read several times."""
+    totals = keep(grams.groupBy("lang", "k", "gram").agg(
         F.sum("n").alias("n"), F.min("prefix").alias("prefix"), F.min("suffix").alias("suffix"),
-        F.max("opening").alias("opening")), "grams")
+        F.max("opening").alias("opening")))
     # Below the highest order a count is the number of characters seen before
     # the n-gram; at a word's mark there is none, and the count itself serves.
     before = (totals.where("k > 1").groupBy("lang", (F.col("k") - 1).alias("k"), F.col("suffix").alias("gram"))
               .agg(F.count("*").alias("before")))
     used = totals.join(before, ["lang", "k", "gram"], "left").withColumn(
         "a", F.when((F.col("k") == order) | F.col("opening"), F.col("n")).otherwise(F.coalesce("before", "n")))
-    used = stage(used.select("lang", "k", "gram", "prefix", "a"), "adjusted")
+    used = keep(used.select("lang", "k", "gram", "prefix", "a"))
     once, twice = (F.sum(F.when(F.col("a") == i, 1).otherwise(0)) for i in (1, 2))
     # A row per language and order.
     discount = used.groupBy("lang", "k").agg(F.least(F.lit(0.95), F.greatest(
         F.lit(0.05), once / (once + 2 * twice + 1e-9))).alias("d"))
     contexts = (used.groupBy("lang", "k", "prefix").agg(F.sum("a").alias("total"), F.count("*").alias("kinds"))
-                .join(discount, ["lang", "k"]))
-    contexts = stage(contexts.select("lang", "k", "prefix", "total", "d",
-                                     (F.col("d") * F.col("kinds") / F.col("total")).alias("weight")), "contexts")
+                .join(F.broadcast(discount), ["lang", "k"]))
+    contexts = keep(contexts.select("lang", "k", "prefix", "total", "d",
+                                    (F.col("d") * F.col("kinds") / F.col("total")).alias("weight")))
     alpha = used.join(contexts, ["lang", "k", "prefix"]).select(
         "lang", "k", "gram", (F.greatest(F.col("a") - F.col("d"), F.lit(0.0)) / F.col("total")).alias("alpha"))
     gamma = contexts.select("lang", (F.col("k") - 1).alias("k"), F.col("prefix").alias("gram"),
@@ -268,19 +289,20 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     rows = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     grams = rows.select("lang", "text").mapInArrow(_count(order), GRAM)
-    found = stage(smoothed(grams, order), "model")
-    empty = {r["lang"]: r["gamma"] for r in found.where("k = 0").collect()}  # a row per language
-    model = Model(sorted(empty), order)
-    if not empty:
-        return model
-    model.first_gamma = np.array([empty[x] for x in model.langs])
-    found = found.where("k > 0")
-    model.size = found.where("k = 1").select("gram").distinct().count() + 1
-    # No language has more n-grams than there are rows.
-    if found.count() * len(model.langs) <= held_cells:
-        model.hold(found.toArrow())
-    else:
-        model.table = found
+    with _kept() as keep:
+        found = keep(smoothed(grams, order, keep))
+        empty = {r["lang"]: r["gamma"] for r in found.where("k = 0").collect()}  # a row per language
+        model = Model(sorted(empty), order)
+        if not empty:
+            return model
+        model.first_gamma = np.array([empty[x] for x in model.langs])
+        found = found.where("k > 0")
+        model.size = found.where("k = 1").select("gram").distinct().count() + 1
+        # No language has more n-grams than there are rows.
+        if found.count() * len(model.langs) <= held_cells:
+            model.hold(found.toArrow())
+        else:
+            model.table = stage(found, "model")
     _calibrate(model, rows)
     return model
 

@@ -128,6 +128,17 @@ def test_a_model_that_is_not_held_gives_the_same(spark):
     assert L.identify(df.where("false"), joined).count() == 0
 
 
+def test_a_held_model_writes_no_files(spark, monkeypatch):
+    """Counts on the way were four tables in the shared folder, with a file per partition."""
+    staged, counted = [], len(spark.sparkContext._jsc.getPersistentRDDs())
+    monkeypatch.setattr(L, "stage", lambda df, name, _old=L.stage: staged.append(name) or _old(df, name))
+    held = L.fit(train(spark))
+    assert staged == [] and held.table is None
+    # A model that is joined outlives its fit, so it alone is staged.
+    assert L.fit(train(spark), held_cells=0).table is not None and staged[0] == "model" and set(staged) <= {"model", "slices"}
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == counted
+
+
 def test_held_out_accuracy(spark):
     lang = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{SF_ORACLE}/documents.parquet").collect()}
     rows = [r for r in L.op10(spark, SF_ORACLE).collect()]
