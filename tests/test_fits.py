@@ -103,3 +103,26 @@ def test_a_fit_of_many_rows_has_more_partitions(spark, monkeypatch):
     monkeypatch.setattr(M, "spread", lambda r, n, _f=M.spread, **a: seen.append(_f(r, n, **a)) or seen[-1])
     M.fit_cluster_forests(rows.selectExpr("*", "1 as c"), own, "c", "features", "y", num_trees=20, max_depth=2)
     assert seen[0].rdd.getNumPartitions() == 5
+
+
+def test_a_forest_of_many_rows_is_fitted_in_batches_of_trees(spark, monkeypatch):
+    """Its partitions grew with rows times trees; every pass sends each node's sums from all of them."""
+    assert M.tree_batches(576_000, 500, 12) == [500] and M.tree_batches(10**12, 20, 12) == [20]
+    assert M.tree_batches(5_760_000, 500, 12) == [72, 72, 72, 71, 71, 71, 71]
+    # A rule with a wrong label in ten, so that trees differ.
+    rows = M.assemble(spark.range(0, 900, 1, 2).selectExpr(
+        "id", "cast(id % 30 as double) as a", "cast(id % 7 as double) as b", "cast(id % 30 > 11 as double) as rule",
+        "cast((id % 30 > 11) <> (crc32(cast(id as string)) % 10 = 0) as double) as y"), ["a", "b"])
+    monkeypatch.setattr(M, "LEAST_TREES", 4)
+    monkeypatch.setattr(M, "FIT_BYTES", 900 * (12 * 6 + M.ROW_BYTES) / (2 * spark.sparkContext.defaultParallelism))
+    parts = []
+    monkeypatch.setattr(M, "spread", lambda r, n, _f=M.spread, **a: parts.append(_f(r, n, **a)) or parts[-1])
+    model = M.fit_forest(rows, 900, num_trees=20, max_depth=4, label="y")
+    assert len(parts) == 4 and all(p.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism for p in parts)
+    assert model.getNumTrees == len(model.trees) == 20 and len({t.toDebugString.split("\n", 1)[1] for t in model.trees}) > 5
+    scored = model.transform(rows).withColumn("p", M.p_positive()).select("id", "p", "rule", "prediction").collect()
+    assert len(scored) == 900 and sum(r["prediction"] == r["rule"] for r in scored) > 850
+    # The mean of the batches' probabilities, by their trees.
+    single = [M.random_forest(num_trees=5, max_depth=4, seed=42 + i, label="y").fit(p) for i, p in enumerate(parts)]
+    each = [{r["id"]: r["p"] for r in m.transform(rows).withColumn("p", M.p_positive()).collect()} for m in single]
+    assert all(abs(r["p"] - sum(e[r["id"]] for e in each) / 4) < 1e-9 for r in scored)
