@@ -126,3 +126,14 @@ def test_a_forest_of_many_rows_is_fitted_in_batches_of_trees(spark, monkeypatch)
     single = [M.random_forest(num_trees=5, max_depth=4, seed=42 + i, label="y").fit(p) for i, p in enumerate(parts)]
     each = [{r["id"]: r["p"] for r in m.transform(rows).withColumn("p", M.p_positive()).collect()} for m in single]
     assert all(abs(r["p"] - sum(e[r["id"]] for e in each) / 4) < 1e-9 for r in scored)
+
+
+def test_forests_score_in_a_session_with_an_observation(spark):
+    """Their models carried the session, which can't be sent to tasks once it has observed a table."""
+    from pyspark.sql import Observation
+    seen = Observation()
+    assert spark.range(5).observe(seen, F.count(F.lit(1)).alias("n")).count() == 5 and seen.get["n"] == 5
+    rows = M.assemble(spark.range(60).selectExpr("cast(id as double) as a", "cast(id > 30 as double) as label"), ["a"])
+    for model in (M.random_forest(num_trees=3).fit(rows), M.stack_forest(rows.drop("features"), ["a"], "label", num_trees=3)):
+        assert model.transform(rows.drop("features") if hasattr(model, "stages") else rows).count() == 60
+        assert model.transform(rows.drop("features") if hasattr(model, "stages") else rows).where("prediction = label").count() > 50
