@@ -134,6 +134,7 @@ def test_forests_score_in_a_session_with_an_observation(spark):
     seen = Observation()
     assert spark.range(5).observe(seen, F.count(F.lit(1)).alias("n")).count() == 5 and seen.get["n"] == 5
     rows = M.assemble(spark.range(60).selectExpr("cast(id as double) as a", "cast(id > 30 as double) as label"), ["a"])
-    for model in (M.random_forest(num_trees=3).fit(rows), M.stack_forest(rows.drop("features"), ["a"], "label", num_trees=3)):
+    for model in (M.random_forest(num_trees=3).fit(rows), M.stack_forest(rows.drop("features"), ["a"], "label", num_trees=3),
+                  M.stack_logistic(rows.drop("features"), ["a"], "label")):
         assert model.transform(rows.drop("features") if hasattr(model, "stages") else rows).count() == 60
         assert model.transform(rows.drop("features") if hasattr(model, "stages") else rows).where("prediction = label").count() > 50
