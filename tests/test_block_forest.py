@@ -83,7 +83,7 @@ def test_forests_of_many_rows_and_trees_grow_on_blocks(spark, monkeypatch):
     model = M.fit_forest(vectors, 900, num_trees=40, max_depth=4, label="y")
     assert seen == [40] and M.fit_forest(vectors, 900, num_trees=3, max_depth=2, label="y").getNumTrees == 3 and seen == [40]
     # In two batches, with draws of their own.
-    assert model.getNumTrees == len(model.trees) == 40 and len({t.toDebugString.split("\n", 1)[1] for t in model.trees}) > 10
+    assert model.getNumTrees == len(model.trees) == 40 and len({t._java_obj.rootNode().impurity() for t in model.trees}) > 30
     scored = model.transform(vectors).withColumn("p", M.p_positive()).select("p", "rule", "prediction").collect()
     assert len(scored) == 900 and all(0 <= r["p"] <= 1 for r in scored) and sum(r["prediction"] == r["rule"] for r in scored) > 850
     # The stacker's forest is the same step, behind indexed flags.
