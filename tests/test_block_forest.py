@@ -92,3 +92,54 @@ def test_forests_of_many_rows_and_trees_grow_on_blocks(spark, monkeypatch):
     assert seen == [40, 40] and stacked.transform(flags).where("prediction = f").count() == 900
     with pytest.raises(ValueError, match="labels"):
         M.fit_forest(vectors.withColumn("y", F.col("y") - 0.5), 900, num_trees=40, max_depth=4, label="y")
+
+
+def test_trees_of_a_block_forest_stay_off_the_driver(spark, monkeypatch):
+    """Its model was Spark's, whose trees the driver holds (about 300 bytes a node) and sends to the tasks as a whole."""
+    from pyspark.ml.classification import RandomForestClassificationModel
+    rows = spark.range(0, 700, 1, 2).selectExpr("id", "cast(id % 31 as double) as a", "cast(id % 8 as double) as b",
+                                                "cast(id % 31 > 11 as int) + cast(crc32(cast(id as string)) % 3 = 0 as int) as label")
+    vectors = M.assemble(rows, ["a", "b"]).cache()
+    monkeypatch.setattr(B, "SLICE_BYTES", 3000)
+    model = B.fit_block_forest(vectors, 700, num_trees=30, max_depth=6)
+    assert not isinstance(model, RandomForestClassificationModel) and len(model.slices()) > 3 and model.totalNumNodes > 300
+    columns = ["id", "a", "features", "rawPrediction", "probability", "prediction"]
+    got = {}
+    for held in (B.HELD_BYTES, 1):      # trees kept by a task, or read again for each lot of rows
+        monkeypatch.setattr(B, "HELD_BYTES", held)
+        monkeypatch.setattr(B, "MORE_ROWS", 50)
+        got[held] = model.transform(vectors).select(columns).orderBy("id").collect()
+    assert model._spark_model is None
+    want = model.to_spark().transform(vectors).select(columns).orderBy("id").collect()
+    for rows_of in got.values():
+        assert len(rows_of) == 700
+        for x, y in zip(rows_of, want):
+            assert x[:3] == y[:3] and x["prediction"] == y["prediction"]
+            for c in ("rawPrediction", "probability"):
+                assert np.abs(x[c].toArray() - y[c].toArray()).max() < 1e-9
+
+
+def test_few_forests_on_blocks_grow_at_once_and_none_has_a_pilot(spark, monkeypatch):
+    """Up to eight grew side by side, after pilots that the estimator grew on the driver."""
+    import threading
+    import time
+    here, peak, sizes, lock = [], [], [], threading.Lock()
+
+    class Fitted:
+        stages, totalNumNodes = [None], 1
+
+    def fit(rows, count, num_trees=20, **_):
+        with lock:
+            here.append(count)
+            sizes.append(num_trees)
+            peak.append(len(here))
+        time.sleep(0.2)
+        with lock:
+            here.remove(count)
+        return Fitted()
+    monkeypatch.setattr(M, "BLOCK_CELLS", 100)
+    monkeypatch.setattr(M, "fit_forest", fit)
+    rows = spark.range(10).selectExpr("cast(id % 5 as int) as c", "double(id) as y")
+    own = [{"route": "model", "cluster": c, "count": 50_000_000} for c in range(5)]
+    assert len(M.fit_cluster_forests(rows, own, "c", "features", "y", num_trees=500, max_depth=20)) == 5
+    assert max(peak) == M.BLOCK_FITS and sizes == [500] * 5
